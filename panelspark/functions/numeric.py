@@ -20,6 +20,11 @@ def to_int(c: Column) -> Column:
     return to_double(c).try_cast("int")
 
 
+def number_array(values: Sequence[float]) -> Column:
+    """Constant array of doubles from one literal (folded at planning; a literal per value is slow to build)."""
+    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
+
+
 def no_nan(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 

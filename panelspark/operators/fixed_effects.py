@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelspark.functions.tails import t_two_sided
 from panelspark.operators.linear import COEFFICIENTS, prepare
@@ -134,7 +135,7 @@ def _effects_direct(cells: DataFrame, unit: str, period: str, shift: Sequence[fl
     a, b = whole[:size * size].reshape(size, size), whole[size * size:].reshape(size, q)
     effects = np.linalg.pinv(a, rcond=1e-12, hermitian=True) @ b
     rows = [(label, [float(v) for v in effects[i]]) for label, i in place.items()]
-    schema = cells.select(period).schema.add("_effect", "array<double>")
+    schema = cells.select(period).schema.add("_effect", T.ArrayType(T.DoubleType()))
     return spark.createDataFrame(rows, schema)
 
 

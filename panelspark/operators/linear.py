@@ -79,7 +79,7 @@ def solve_groups(
     stats: DataFrame, by: Sequence[str], schema: str, q: int, solve: Callable[[float, np.ndarray, np.ndarray], list[tuple]]
 ) -> DataFrame:
     """Turn each row of moments into result rows; the input is already one small row per group."""
-    out = T.StructType([stats.schema[k] for k in by] + T._parse_datatype_string(schema).fields)
+    out = T.StructType([stats.schema[k] for k in by] + T.StructType.fromDDL(schema).fields)
     keys = list(by)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -230,7 +230,7 @@ def leave_one_out(
     centre = np.array(total["m"], dtype=float)
     n_all, cross_all = float(total["n"]), unpack(np.array(total["c"]), q)
     per_unit = moments(work, names, [unit], None if q <= 6 else centre.tolist())
-    out = T.StructType([per_unit.schema[unit]] + T._parse_datatype_string(LEAVE_ONE_OUT).fields)
+    out = T.StructType([per_unit.schema[unit]] + T.StructType.fromDDL(LEAVE_ONE_OUT).fields)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -26,6 +26,7 @@ from panelspark.session import materialise
 
 COARSE = tuple(float(k) for k in range(-12, 13))
 ROUNDS = 4
+LOCAL_ROWS = 20_000
 VARIANCES = (
     "n_obs long, n_units long, theta_unit double, theta_stratum double, sigma2 double, "
     "var_unit double, var_stratum double, criterion double"
@@ -39,6 +40,7 @@ class MixedFit(NamedTuple):
 
 class _Problem(NamedTuple):
     classes: DataFrame
+    local: pd.DataFrame | None  # the classes themselves when they are few
     centre: dict[str, list[float]]
     n: dict[str, float]
     units: dict[str, float]
@@ -69,7 +71,8 @@ def size_classes(units: DataFrame, q: int, keys: Sequence[str]) -> DataFrame:
 
 
 def _problem(
-    df: DataFrame, unit: str, stratum: str | None, outcome: str, regressors: Sequence[str], by: str | None, log_outcome: bool
+    df: DataFrame, unit: str, stratum: str | None, outcome: str, regressors: Sequence[str], by: str | None, log_outcome: bool,
+    local_rows: int,
 ) -> _Problem:
     work = df.withColumns({
         "_by": F.lit("") if by is None else F.col(by).cast("string"),
@@ -88,6 +91,7 @@ def _problem(
         raise ValueError("no complete row to fit")
     return _Problem(
         classes,
+        _few(classes, q, local_rows),
         {r["_by"]: list(r["centre"]) for r in totals},
         {r["_by"]: r["n"] for r in totals},
         {r["_by"]: r["units"] for r in totals},
@@ -95,8 +99,20 @@ def _problem(
     )
 
 
+def _few(classes: DataFrame, q: int, limit: int) -> pd.DataFrame | None:
+    """The class table in the driver if it has at most ``limit`` rows (checked first), else None."""
+    if classes.limit(limit + 1).count() > limit:
+        return None
+    return classes.orderBy("_by", "_stratum", "n").toPandas()
+
+
 def _evaluate(problem: _Problem, grid: dict[str, tuple[list[float], list[float]]]) -> pd.DataFrame:
-    """Weighted cross-product matrices and log-determinants at every point of each ``by``'s grid."""
+    """Weighted cross-product matrices and log-determinants at every point of each ``by``'s grid.
+
+    A class table of checked small size is evaluated where it is; a larger one by Spark jobs of the same algebra.
+    """
+    if problem.local is not None:
+        return _evaluate_local(problem, grid)
     q = problem.q
     spark = problem.classes.sparkSession
     points = spark.createDataFrame(
@@ -131,6 +147,32 @@ def _evaluate(problem: _Problem, grid: dict[str, tuple[list[float], list[float]]
     return total.toPandas()
 
 
+def _evaluate_local(problem: _Problem, grid: dict[str, tuple[list[float], list[float]]]) -> pd.DataFrame:
+    rows, place = [], np.array(pairs(problem.q))
+    for b, (t1s, t2s) in grid.items():
+        part = problem.local[problem.local["_by"] == b]
+        n, g = part["n"].to_numpy(float), part["g"].to_numpy(float)
+        d = np.stack(part["mm"].to_numpy()).astype(float) - np.array(problem.centre[b])
+        square = np.stack(part["s"].to_numpy()) + g[:, None] * d[:, place[:, 0]] * d[:, place[:, 1]]
+        within = np.stack(part["w"].to_numpy()).astype(float)
+        stratum = part["_stratum"].to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], stratum[1:] != stratum[:-1]]))
+        for t1 in t1s:
+            a = n / (1.0 + n * t1)
+            ga = np.add.reduceat(g * a, starts)
+            u = np.add.reduceat((g * a)[:, None] * d, starts)
+            v = (within + a[:, None] * square).sum(axis=0)
+            logdet = float((g * np.log1p(n * t1)).sum())
+            for t2 in t2s:
+                k = t2 / (1.0 + t2 * ga)
+                shrunk = (k[:, None] * u[:, place[:, 0]] * u[:, place[:, 1]]).sum(axis=0)
+                rows.append((
+                    b, t1, t2, float((ga - k * ga * ga).sum()), ((1.0 - k * ga)[:, None] * u).sum(axis=0), v - shrunk,
+                    logdet + float(np.log1p(t2 * ga).sum()),
+                ))
+    return pd.DataFrame(rows, columns=["_by", "t1", "t2", "m00", "m0", "mm", "logdet"])
+
+
 def _matrix(frame: pd.DataFrame, q: int) -> np.ndarray:
     """Full matrices over (1, X, y)."""
     full = np.zeros((len(frame), q + 1, q + 1))
@@ -197,13 +239,14 @@ def mixed_model(
     log_outcome: bool = True,
     theta_grid: Sequence[float] | None = None,
     rounds: int = ROUNDS,
+    local_rows: int = LOCAL_ROWS,
 ) -> MixedFit:
     """Random-intercept model by restricted likelihood: unit effects, or unit effects nested in stratum effects.
 
     ``by`` (an imputation number or an outcome name: few values) fits one model per value in the same jobs.
     ``theta_grid`` fixes the candidate variance ratios; otherwise the optimum is refined to about 1e-4 of its log.
     """
-    problem = _problem(df, unit, stratum, outcome, regressors, by, log_outcome)
+    problem = _problem(df, unit, stratum, outcome, regressors, by, log_outcome, local_rows)
     best = _search(problem, stratum is not None, theta_grid, rounds)
     spark = df.sparkSession
     head = f"{by} string, " if by else ""
@@ -270,6 +313,7 @@ def leave_one_out_mixed(
     covariates: Sequence[str] = (),
     log_outcome: bool = True,
     theta_grid: Sequence[float] | None = None,
+    local_rows: int = LOCAL_ROWS,
 ) -> DataFrame:
     """Exposure coefficient of the random-intercept model without each unit in turn.
 
@@ -291,11 +335,11 @@ def leave_one_out_mixed(
     refine = theta_grid is None
     grid = [float(np.exp(k / 4)) for k in range(-48, 49)] if refine else sorted(float(t) for t in theta_grid)
     thetas = np.array([0.0, *grid] if refine else grid)
-    problem = _Problem(classes, {"": list(total["centre"])}, {"": total["n"]}, {"": 0.0}, q)
+    problem = _Problem(classes, _few(classes, q, local_rows), {"": list(total["centre"])}, {"": total["n"]}, {"": 0.0}, q)
     table = _evaluate(problem, {"": (thetas.tolist(), [0.0])}).sort_values("t1", ignore_index=True)
     totals, logdets = _matrix(table, q), table["logdet"].to_numpy()
     centre, n_all = np.array(total["centre"], dtype=float), float(total["n"])
-    out = T.StructType([units.schema[unit]] + T._parse_datatype_string(LEAVE_ONE_OUT).fields)
+    out = T.StructType([units.schema[unit]] + T.StructType.fromDDL(LEAVE_ONE_OUT).fields)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -1 +1,481 @@
-"""Registered queries of the model side."""
+"""Registered queries of the model side: indices, regressions, panel models, imputation, post-estimation."""
+
+from __future__ import annotations
+
+from math import exp
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from panelspark.operators import effects, fixed_effects, gee, impute, index, linear, mixed
+from panelspark.plans import model_sql
+from panelspark.plans.registry import q6, query, r6
+from panelspark.plans.views import (
+    COMPONENTS, CUSTOMER_MONTH, NATION_YEAR, USER_DAY_WIDE, customer_month, nation_year, table, user_day_wide,
+)
+from panelspark.session import materialise
+
+POSITIVE = "d AS (SELECT *, ln(y) AS v FROM cm WHERE y > 0)"
+
+
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: r6(c, digits) for c in columns})
+
+
+# ---- indices -------------------------------------------------------------------------------------------------------
+
+@query("zscore", f"""
+WITH {USER_DAY_WIDE}, s AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in COMPONENTS)} FROM uw)
+SELECT unit, period, {', '.join(f"{q6(f'({c} - m_{c}) / s_{c}')} AS {c}_z" for c in COMPONENTS)} FROM uw, s""")
+def zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = index.standardise(user_day_wide(spark, sf_dir), COMPONENTS)
+    return scored.select("unit", "period", *[r6(f"{c}_z").alias(f"{c}_z") for c in COMPONENTS])
+
+
+_CORRELATIONS = f"""
+{USER_DAY_WIDE},
+cc AS (SELECT * FROM uw WHERE click IS NOT NULL AND error IS NOT NULL AND view IS NOT NULL),
+st AS (
+  SELECT count(*) AS n, count(DISTINCT unit) AS n_units, avg(click) AS m1, avg(error) AS m2, avg(view) AS m3,
+         stddev_pop(click) AS s1, stddev_pop(error) AS s2, stddev_pop(view) AS s3,
+         covar_pop(click, error) / (stddev_pop(click) * stddev_pop(error)) AS a,
+         covar_pop(click, view) / (stddev_pop(click) * stddev_pop(view)) AS b,
+         covar_pop(error, view) / (stddev_pop(error) * stddev_pop(view)) AS c
+  FROM cc
+)"""
+_FIRST_COMPONENT = _CORRELATIONS + """,
+root AS (
+  SELECT *, 2 * sqrt((a * a + b * b + c * c) / 3)
+            * cos(acos(greatest(-1, least(1, a * b * c / pow((a * a + b * b + c * c) / 3, 1.5)))) / 3) AS t FROM st
+),
+raw AS (SELECT *, a * c + b * t AS v1, a * b + c * t AS v2, t * t - a * a AS v3 FROM root),
+pc AS (
+  SELECT *, CASE WHEN v1 >= 0 THEN 1 ELSE -1 END / sqrt(v1 * v1 + v2 * v2 + v3 * v3) AS k FROM raw
+)"""
+
+
+@query("pca_index", f"""
+WITH {_FIRST_COMPONENT}
+SELECT unit, period,
+       {q6('k * (v1 * (click - m1) / s1 + v2 * (error - m2) / s2 + v3 * (view - m3) / s3)')} AS index FROM uw, pc""")
+def pca_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = index.pca_index(user_day_wide(spark, sf_dir), COMPONENTS, "unit").panel
+    return scored.select("unit", "period", r6("index").alias("index"))
+
+
+@query("pca_diagnostics", f"""
+WITH {_FIRST_COMPONENT}
+""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS component, {q6(f'm{i}')} AS mean, {q6(f's{i}')} AS sd, {q6(f'k * v{i}')} AS loading, "
+    f"{q6('(1 + t) / 3')} AS explained, n AS n_rows, n_units FROM pc" for i, c in enumerate(COMPONENTS, start=1)))
+def pca_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = index.pca_index(user_day_wide(spark, sf_dir), COMPONENTS, "unit").diagnostics
+    return rounded(report, "mean", "sd", "loading", "explained")
+
+
+@query("cronbach_alpha", f"""
+WITH {_CORRELATIONS}
+SELECT n AS n_rows, 3 AS n_items, {q6('1.5 * (1 - 3 / (3 + 2 * (a + b + c)))')} AS alpha FROM st""")
+def cronbach_alpha(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(index.cronbach_alpha(user_day_wide(spark, sf_dir), COMPONENTS), "alpha")
+
+
+@query("equal_weight_index", f"""
+WITH {USER_DAY_WIDE}, s AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}' for c in COMPONENTS)} FROM uw),
+z AS (SELECT unit, period, {', '.join(f'({c} - m_{c}) / s_{c} AS z_{c}' for c in COMPONENTS)} FROM uw, s)
+SELECT unit, period, {q6('list_avg([' + ', '.join(f'z_{c}' for c in COMPONENTS) + '])')} AS index_equal FROM z""")
+def equal_weight_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = index.equal_weight_index(user_day_wide(spark, sf_dir), COMPONENTS)
+    return scored.select("unit", "period", r6("index_equal").alias("index_equal"))
+
+
+@query("quartile_table", f"""
+WITH {CUSTOMER_MONTH}, e AS (SELECT quantile_cont(x, [0.25, 0.5, 0.75]) AS q FROM cm)
+SELECT CASE WHEN x <= q[1] THEN 'Q1' WHEN x <= q[2] THEN 'Q2' WHEN x <= q[3] THEN 'Q3' ELSE 'Q4' END AS quartile,
+       {q6('avg(y)')} AS y, {q6('avg(x2)')} AS x2 FROM cm, e GROUP BY 1""")
+def quartile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(index.quantile_table(customer_month(spark, sf_dir), "x", ["y", "x2"]), "y", "x2")
+
+
+@query("scatter_bins", f"""
+WITH {CUSTOMER_MONTH}, {POSITIVE}, s AS (SELECT min(x) AS x0, max(x) AS x1, min(v) AS y0, max(v) AS y1 FROM d)
+SELECT CAST(least(floor((x - x0) / (x1 - x0) * 20), 19) AS INTEGER) AS x_bin,
+       CAST(least(floor((v - y0) / (y1 - y0) * 20), 19) AS INTEGER) AS y_bin,
+       count(*) AS n_points, {q6('avg(x)')} AS mean_x, {q6('avg(v)')} AS mean_log_y FROM d, s GROUP BY 1, 2""")
+def scatter_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = effects.dose_points(customer_month(spark, sf_dir), "x", "y")
+    return rounded(effects.scatter_bins(points), "mean_x", "mean_log_y")
+
+
+# ---- linear models -------------------------------------------------------------------------------------------------
+
+@query("ols_multi", f"""
+WITH {CUSTOMER_MONTH}, {POSITIVE},
+s AS (
+  SELECT CAST(count(*) AS DOUBLE) AS n, avg(x) AS ma, avg(x2) AS mb, avg(v) AS mv, var_pop(x) * count(*) AS saa,
+         var_pop(x2) * count(*) AS sbb, covar_pop(x, x2) * count(*) AS sab, covar_pop(x, v) * count(*) AS sav,
+         covar_pop(x2, v) * count(*) AS sbv, var_pop(v) * count(*) AS svv FROM d
+),
+f AS (SELECT *, saa * sbb - sab * sab AS det FROM s),
+c AS (SELECT *, (sbb * sav - sab * sbv) / det AS ba, (saa * sbv - sab * sav) / det AS bb FROM f),
+e AS (SELECT *, mv - ba * ma - bb * mb AS b0, (svv - ba * sav - bb * sbv) / (n - 3) AS s2 FROM c),
+r AS (
+  SELECT '(Intercept)' AS term, b0 AS est, sqrt(s2 * (1 / n + (ma * ma * sbb - 2 * ma * mb * sab + mb * mb * saa) / det)) AS se, n FROM e
+  UNION ALL SELECT 'x', ba, sqrt(s2 * sbb / det), n FROM e UNION ALL SELECT 'x2', bb, sqrt(s2 * saa / det), n FROM e
+)
+SELECT term, {q6('est')} AS estimate, {q6('se')} AS std_error, {q6('est / se', 4)} AS statistic, n - 3 AS df,
+       CAST(n AS BIGINT) AS n_obs FROM r""")
+def ols_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = linear.ols(customer_month(spark, sf_dir), "y", ["x", "x2"], log_outcome=True)
+    return rounded(rounded(fit, "estimate", "std_error"), "statistic", digits=4).drop("p_value")
+
+
+@query("stratified_slopes", f"""
+WITH {CUSTOMER_MONTH}, {POSITIVE}
+SELECT stratum, {q6('regr_slope(v, x)')} AS slope, {q6('regr_intercept(v, x)')} AS intercept, {q6('regr_r2(v, x)')} AS r2,
+       count(*) AS n_obs FROM d GROUP BY stratum""")
+def stratified_slopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(linear.stratified_slopes(customer_month(spark, sf_dir), "stratum", "y", "x"), "slope", "intercept", "r2")
+
+
+_KNOTS = "kn AS (SELECT quantile_cont(x, [0.05, 0.35, 0.65, 0.95]) AS k FROM cm)"
+
+
+def _spline_sql(j: int) -> str:
+    def cube(i: int) -> str:
+        return f"pow(greatest(x - k[{i}], 0), 3)"
+
+    return (
+        f"(({cube(j)} - {cube(3)} * (k[4] - k[{j}]) / (k[4] - k[3]) + {cube(4)} * (k[3] - k[{j}]) / (k[4] - k[3]))"
+        " / pow(k[4] - k[1], 2))"
+    )
+
+
+_SPLINE = f"""
+{CUSTOMER_MONTH}, {POSITIVE}, {_KNOTS},
+sp AS (SELECT d.*, {_spline_sql(1)} AS x_s1, {_spline_sql(2)} AS x_s2 FROM d, kn)"""
+
+
+@query("rcs_knots", f"""
+WITH {CUSTOMER_MONTH}, {_KNOTS}
+SELECT CAST(unnest([1, 2, 3, 4]) AS INTEGER) AS knot, round(unnest(k), 6) AS value FROM kn""")
+def rcs_knots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    knots = linear.spline_knots(customer_month(spark, sf_dir), "x")
+    return rounded(spark.createDataFrame(list(enumerate(knots, start=1)), "knot int, value double"), "value")
+
+
+@query("rcs_basis", f"""
+WITH {_SPLINE} SELECT unit, period, {q6('x')} AS x, {q6('x_s1')} AS x_s1, {q6('x_s2')} AS x_s2 FROM sp""")
+def rcs_basis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = materialise(customer_month(spark, sf_dir))
+    wide, names = linear.with_spline(panel.filter("y > 0"), "x", linear.spline_knots(panel, "x"))
+    return rounded(wide.select("unit", "period", *names), *names)
+
+
+@query("rcs_fit", f"""
+WITH {_SPLINE}, {model_sql.eliminate('sp', ['x', 'x_s1', 'x_s2'], 'v', 'o')}
+""" + " UNION ALL ".join(
+    f"SELECT '{t}' AS term, {q6(f'b{i}')} AS estimate, n - 4 AS df, CAST(n AS BIGINT) AS n_obs FROM o_fit"
+    for i, t in enumerate(["(Intercept)", "x", "x_s1", "x_s2"])))
+def rcs_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = linear.spline_fit(materialise(customer_month(spark, sf_dir)), "y", "x")
+    return rounded(fit, "estimate").select("term", "estimate", "df", "n_obs")
+
+
+@query("nonlinearity_test", f"""
+WITH {_SPLINE}, {model_sql.eliminate('sp', ['x', 'x_s1', 'x_s2'], 'v', 'o')}, {model_sql.eliminate('sp', ['x'], 'v', 'l')},
+b AS (SELECT o_fit.n, o_fit.rss AS rf, l_fit.rss AS rl, o_fit.tss FROM o_fit, l_fit)
+SELECT 'exposure' AS test, {q6('((tss - rf) / 3) / (rf / (n - 4))')} AS statistic, 3.0::DOUBLE AS df_num, n - 4 AS df_den,
+       {q6('rf', 4)} AS rss_spline, {q6('rl', 4)} AS rss_linear FROM b
+UNION ALL SELECT 'nonlinear', {q6('((rl - rf) / 2) / (rf / (n - 4))')}, 2.0, n - 4, {q6('rf', 4)}, {q6('rl', 4)} FROM b
+UNION ALL SELECT 'likelihood_ratio', {q6('n * ln(rl / rf)')}, 2.0, NULL, {q6('rf', 4)}, {q6('rl', 4)} FROM b""")
+def nonlinearity_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tests = linear.nonlinearity_test(materialise(customer_month(spark, sf_dir)), "y", "x")
+    return rounded(rounded(tests, "statistic"), "rss_spline", "rss_linear", digits=4).drop("p_value")
+
+
+_LEAVE_ONE_OUT = f"""
+{CUSTOMER_MONTH}, {POSITIVE},
+c AS (SELECT unit, x - (SELECT avg(x) FROM d) AS x, v - (SELECT avg(v) FROM d) AS v FROM d),
+t AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(x) AS sx, sum(v) AS sy, sum(x * x) AS sxx, sum(x * v) AS sxy, sum(v * v) AS syy FROM c),
+g AS (SELECT unit, count(*) AS n, sum(x) AS sx, sum(v) AS sy, sum(x * x) AS sxx, sum(x * v) AS sxy, sum(v * v) AS syy FROM c GROUP BY unit),
+r AS (
+  SELECT unit, t.n - g.n AS n, t.sxx - g.sxx - pow(t.sx - g.sx, 2) / (t.n - g.n) AS cxx,
+         t.sxy - g.sxy - (t.sx - g.sx) * (t.sy - g.sy) / (t.n - g.n) AS cxy,
+         t.syy - g.syy - pow(t.sy - g.sy, 2) / (t.n - g.n) AS cyy FROM g, t
+),
+loo AS (SELECT unit, cxy / cxx AS estimate, sqrt((cyy - cxy * cxy / cxx) / (n - 2) / cxx) AS std_error, n FROM r)"""
+
+
+@query("jackknife_loo", f"""
+WITH {_LEAVE_ONE_OUT}
+SELECT unit, {q6('estimate')} AS estimate, {q6('std_error')} AS std_error, CAST(n AS BIGINT) AS n_obs, 'ok' AS status FROM loo""")
+def jackknife_loo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = materialise(customer_month(spark, sf_dir))
+    return rounded(linear.leave_one_out(panel, "unit", "y", "x"), "estimate", "std_error")
+
+
+@query("forest_table", f"""
+WITH {_LEAVE_ONE_OUT}, e AS (SELECT unit, {q6('estimate', 9)} AS estimate FROM loo)
+SELECT unit, estimate, row_number() OVER (ORDER BY estimate, unit) AS position,
+       {q6('(SELECT quantile_cont(estimate, 0.5) FROM e)', 10)} AS median_estimate,
+       {q6('estimate - (SELECT quantile_cont(estimate, 0.5) FROM e)', 10)} AS shift FROM e""")
+def forest_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = materialise(customer_month(spark, sf_dir))
+    estimates = materialise(rounded(linear.leave_one_out(panel, "unit", "y", "x").select("unit", "estimate"), "estimate", digits=9))
+    return rounded(effects.forest_table(estimates, "unit"), "median_estimate", "shift", digits=10)
+
+
+# ---- panel models --------------------------------------------------------------------------------------------------
+
+_TWO_WAY = f"""
+{NATION_YEAR},
+dm AS (
+  SELECT unit, x - avg(x) OVER (PARTITION BY unit) - avg(x) OVER (PARTITION BY period) + avg(x) OVER () AS xd,
+         y - avg(y) OVER (PARTITION BY unit) - avg(y) OVER (PARTITION BY period) + avg(y) OVER () AS yd FROM ny
+),
+fe AS (SELECT sum(xd * yd) / sum(xd * xd) AS b, sum(xd * xd) AS sxx, CAST(count(*) AS DOUBLE) AS n FROM dm),
+size AS (SELECT CAST(count(DISTINCT unit) AS DOUBLE) AS g, CAST(count(DISTINCT period) AS DOUBLE) AS t FROM ny),
+meat AS (SELECT sum(s * s) AS j FROM (SELECT unit, sum(xd * (yd - b * xd)) AS s FROM dm, fe GROUP BY unit))"""
+
+
+@query("twoway_fe", f"""
+WITH {_TWO_WAY} SELECT 'x' AS term, {q6('b')} AS estimate, CAST(n AS BIGINT) AS n_obs FROM fe""")
+def twoway_fe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = fixed_effects.two_way_fixed_effects(nation_year(spark, sf_dir), "y", ["x"], "unit", "period")
+    return rounded(fit, "estimate").select("term", "estimate", "n_obs")
+
+
+@query("cluster_se", f"""
+WITH {_TWO_WAY}, se AS (SELECT b, sqrt(j * g / (g - 1) * (n - 1) / (n - 1 - t)) / sxx AS e, g FROM fe, size, meat)
+SELECT 'x' AS term, {q6('e')} AS std_error, {q6('b / e')} AS statistic, g - 1 AS df FROM se""")
+def cluster_se(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = fixed_effects.two_way_fixed_effects(nation_year(spark, sf_dir), "y", ["x"], "unit", "period")
+    return rounded(fit, "std_error", "statistic").select("term", "std_error", "statistic", "df")
+
+
+_CM_MIXED = f"{CUSTOMER_MONTH}, src AS (SELECT '' AS grp, stratum, unit, x, ln(y) AS y FROM cm WHERE y > 0)"
+_CM_FLAT = f"{CUSTOMER_MONTH}, src AS (SELECT '' AS grp, 0 AS stratum, unit, x, ln(y) AS y FROM cm WHERE y > 0)"
+
+
+@query("mixed_intercept", f"WITH {_CM_FLAT}, {model_sql.mixed('src', False)} {model_sql.mixed_coefficients()}")
+def mixed_intercept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = mixed.mixed_model(customer_month(spark, sf_dir), "y", ["x"], "unit").coefficients
+    return rounded(fit, "estimate", "std_error").select("term", "estimate", "std_error", "n_obs")
+
+
+_VARIANCES = f"""
+SELECT CAST(nn AS BIGINT) AS n_obs, units AS n_units, {q6('t1')} AS theta_unit, {q6('t2')} AS theta_stratum,
+       {q6('rss / (nn - 2)')} AS sigma2, {q6('t1 * rss / (nn - 2)')} AS var_unit, {q6('t2 * rss / (nn - 2)')} AS var_stratum
+FROM mixed_fit"""
+
+
+@query("mixed_variances", f"WITH {_CM_FLAT}, {model_sql.mixed('src', False)} {_VARIANCES}")
+def mixed_variances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = mixed.mixed_model(customer_month(spark, sf_dir), "y", ["x"], "unit").variances
+    return rounded(fit, "theta_unit", "theta_stratum", "sigma2", "var_unit", "var_stratum").drop("criterion")
+
+
+@query("mixed_nested", f"WITH {_CM_MIXED}, {model_sql.mixed('src', True)} {model_sql.mixed_coefficients()}")
+def mixed_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = mixed.mixed_model(customer_month(spark, sf_dir), "y", ["x"], "unit", "stratum").coefficients
+    return rounded(fit, "estimate", "std_error").select("term", "estimate", "std_error", "n_obs")
+
+
+THETA_GRID = [0.0, *[exp(k / 2) for k in range(-16, 9)]]
+_CONTROL = f"""{NATION_YEAR}, src AS (
+  SELECT 'y' AS grp, stratum, unit, x, ln(y) AS y FROM ny
+  UNION ALL SELECT 'n_orders', stratum, unit, x, ln(CAST(n_orders AS DOUBLE)) FROM ny)"""
+
+
+@query("control_outcome", f"WITH {_CONTROL}, {model_sql.mixed('src', True)} {model_sql.mixed_coefficients('outcome')}")
+def control_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = mixed.control_outcomes(nation_year(spark, sf_dir), ["y", "n_orders", "absent"], ["x"], "unit", "stratum")
+    return rounded(fit, "estimate", "std_error").select("outcome", "term", "estimate", "std_error", "n_obs")
+
+
+_LOO_MIXED = f"""
+{_CM_FLAT},
+centre AS (SELECT avg(x) AS cx, avg(y) AS cy, CAST(count(*) AS DOUBLE) AS nn FROM src),
+un AS (
+  SELECT unit, CAST(count(*) AS DOUBLE) AS n, avg(x) - any_value(cx) AS dx, avg(y) - any_value(cy) AS dy,
+         var_pop(x) * count(*) AS cxx, covar_pop(x, y) * count(*) AS cxy, var_pop(y) * count(*) AS cyy
+  FROM src, centre GROUP BY unit
+),
+own AS (
+  SELECT unit, t, n, n / (1 + n * t) AS m00, n / (1 + n * t) * dx AS m0x, n / (1 + n * t) * dy AS m0y,
+         cxx + n / (1 + n * t) * dx * dx AS mxx, cxy + n / (1 + n * t) * dx * dy AS mxy, cyy + n / (1 + n * t) * dy * dy AS myy,
+         ln(1 + n * t) AS ld
+  FROM un, (SELECT unnest([{', '.join(f'{t!r}::DOUBLE' for t in THETA_GRID)}]) AS t)
+),
+al AS (SELECT t, {', '.join(f'sum({c}) AS {c}' for c in 'm00 m0x m0y mxx mxy myy ld'.split())} FROM own GROUP BY t),
+re AS (
+  SELECT own.unit, t, nn - own.n AS n, {', '.join(f'al.{c} - own.{c} AS {c}' for c in 'm00 m0x m0y mxx mxy myy ld'.split())}
+  FROM own JOIN al USING (t), centre
+),
+sl AS (SELECT *, m00 * mxx - m0x * m0x AS det, (m00 * mxy - m0x * m0y) / (m00 * mxx - m0x * m0x) AS b1 FROM re),
+ic AS (SELECT *, (m0y - m0x * b1) / m00 AS b0 FROM sl),
+rs AS (SELECT *, myy - b0 * m0y - b1 * mxy AS rss FROM ic),
+va AS (SELECT *, (n - 2) * ln(rss) + ld + ln(det) AS value FROM rs),
+be AS (SELECT * FROM va QUALIFY row_number() OVER (PARTITION BY unit ORDER BY value, t) = 1)"""
+
+
+@query("jackknife_mixed", f"""
+WITH {_LOO_MIXED}
+SELECT unit, {q6('b1')} AS estimate, {q6('sqrt(rss / (n - 2) * m00 / det)')} AS std_error, {q6('t')} AS theta,
+       CAST(n AS BIGINT) AS n_obs, 'ok' AS status FROM be""")
+def jackknife_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = mixed.leave_one_out_mixed(customer_month(spark, sf_dir), "unit", "y", "x", theta_grid=THETA_GRID)
+    return rounded(rest, "estimate", "std_error", "theta")
+
+
+_GEE = f"{CUSTOMER_MONTH}, src AS (SELECT unit, period, x, ln(y) AS y FROM cm WHERE y > 0), {model_sql.gee('src')}"
+
+
+@query("gee_ar1", f"""
+WITH {_GEE}
+SELECT '(Intercept)' AS term, {q6('b0 - b1 * cx + cy')} AS estimate, {q6('sqrt(v00 - 2 * cx * v01 + cx * cx * v11)')} AS std_error,
+       CAST(n AS BIGINT) AS n_obs FROM gee_var
+UNION ALL SELECT 'x', {q6('b1')}, {q6('sqrt(v11)')}, CAST(n AS BIGINT) FROM gee_var""")
+def gee_ar1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = gee.gee_ar1(materialise(customer_month(spark, sf_dir)), "y", ["x"], "unit", "period").coefficients
+    return rounded(fit, "estimate", "std_error").select("term", "estimate", "std_error", "n_obs")
+
+
+@query("gee_working", f"WITH {_GEE} SELECT {q6('rho')} AS alpha, {q6('scale')} AS scale, CAST(n AS BIGINT) AS n_obs FROM gee_var")
+def gee_working(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = gee.gee_ar1(materialise(customer_month(spark, sf_dir)), "y", ["x"], "unit", "period").working
+    return rounded(fit, "alpha", "scale")
+
+
+# ---- imputation and pooling ----------------------------------------------------------------------------------------
+
+def holed_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer x month with the outcome missing in the customers' first calendar quarter and a covariate in May."""
+    month = (F.col("period") - 1) % 12 + 1
+    return customer_month(spark, sf_dir).withColumns({
+        "y": F.when(month > 3, F.col("y")), "x2": F.when(month != 5, F.col("x2")),
+    })
+
+
+@query("pmm_single", f"""
+WITH {CUSTOMER_MONTH},
+h AS (SELECT unit, period, x, x3, CASE WHEN (period - 1) % 12 + 1 > 3 THEN y END AS y FROM cm),
+s AS (
+  SELECT avg(x) AS ma, avg(x3) AS mb, avg(y) AS mv, var_pop(x) * count(*) * 1.00001 AS saa, var_pop(x3) * count(*) * 1.00001 AS sbb,
+         covar_pop(x, x3) * count(*) AS sab, covar_pop(x, y) * count(*) AS sav, covar_pop(x3, y) * count(*) AS sbv
+  FROM h WHERE y IS NOT NULL
+),
+b AS (SELECT *, (sbb * sav - sab * sbv) / (saa * sbb - sab * sab) AS ba, (saa * sbv - sab * sav) / (saa * sbb - sab * sab) AS bb FROM s),
+p AS (SELECT h.*, mv - ba * ma - bb * mb + ba * x + bb * x3 AS yhat FROM h, b),
+dn AS (SELECT *, row_number() OVER (ORDER BY yhat, unit, period) AS r FROM p WHERE y IS NOT NULL),
+rc AS (SELECT p.unit, p.period, p.x, p.x3, p.yhat,
+              (SELECT count(*) FROM dn WHERE dn.yhat < p.yhat) AS k FROM p WHERE y IS NULL),
+nb AS (
+  SELECT rc.unit, rc.period, rc.x, rc.x3, dn.y,
+         row_number() OVER (PARTITION BY rc.unit, rc.period ORDER BY abs(dn.yhat - rc.yhat), dn.r) AS pos
+  FROM rc JOIN dn ON dn.r BETWEEN rc.k AND rc.k + 1
+)
+SELECT unit, period, {q6('y', 8)} AS y, FALSE AS imputed FROM h WHERE y IS NOT NULL
+UNION ALL SELECT unit, period, {q6('y', 8)}, TRUE FROM nb WHERE pos = 1""")
+def pmm_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = materialise(holed_panel(spark, sf_dir).drop("x2"))
+    filled = impute.pmm_single(panel, ["unit", "period"], "y", ["x", "x3"])
+    return rounded(filled, "y", digits=8).select("unit", "period", "y", "imputed")
+
+
+@query("mice_pmm")
+def mice_pmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = materialise(holed_panel(spark, sf_dir))
+    return impute.mice(panel, ["unit", "period"], ["y", "x", "x2", "x3"], m=3, iterations=2, carry=["stratum"])
+
+
+@query("rubin_pool", f"""
+WITH {CUSTOMER_MONTH},
+cp AS (SELECT imp, x, ln(y + imp * x3 / 10) AS v FROM cm, (SELECT unnest([1, 2, 3, 4, 5]) AS imp) WHERE y + imp * x3 / 10 > 0),
+s AS (
+  SELECT imp, CAST(count(*) AS DOUBLE) AS n, avg(x) AS mx, avg(v) AS mv, var_pop(x) * count(*) AS sxx,
+         covar_pop(x, v) * count(*) AS sxy, var_pop(v) * count(*) AS syy FROM cp GROUP BY imp
+),
+f AS (SELECT *, sxy / sxx AS b, (syy - sxy * sxy / sxx) / (n - 2) AS s2 FROM s),
+e AS (
+  SELECT imp, '(Intercept)' AS term, mv - b * mx AS est, s2 * (1 / n + mx * mx / sxx) AS u, n FROM f
+  UNION ALL SELECT imp, 'x', b, s2 / sxx, n FROM f
+),
+g AS (SELECT term, count(*) AS m, avg(est) AS est, avg(u) AS w, var_samp(est) AS bt, max(n) - 2 AS nu FROM e GROUP BY term),
+t AS (SELECT *, w + (1 + 1.0 / m) * bt AS tot, (1 + 1.0 / m) * bt / (w + (1 + 1.0 / m) * bt) AS lam FROM g),
+o AS (SELECT *, (m - 1) / (lam * lam) AS od, (nu + 1) / (nu + 3) * nu * (1 - lam) AS sd FROM t)
+SELECT term, m, {q6('est')} AS estimate, {q6('sqrt(tot)')} AS std_error, {q6('est / sqrt(tot)')} AS statistic,
+       {q6('od * sd / (od + sd)', 3)} AS df, {q6('w')} AS within, {q6('bt')} AS between, {q6('lam')} AS missing_share FROM o""")
+def rubin_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    copies = customer_month(spark, sf_dir).withColumn("imp", F.explode(F.sequence(F.lit(1), F.lit(5))))
+    shifted = copies.withColumn("y", F.col("y") + F.col("imp") * F.col("x3") / 10)
+    pooled = impute.pool(linear.ols(shifted, "y", ["x"], ["imp"], log_outcome=True))
+    out = rounded(pooled, "estimate", "std_error", "statistic", "within", "between", "missing_share")
+    return rounded(out, "df", digits=3)
+
+
+# ---- post-estimation -----------------------------------------------------------------------------------------------
+
+@query("evalue", f"""
+WITH {CUSTOMER_MONTH}, {POSITIVE}, sd AS (SELECT stddev_samp(x) AS sd FROM cm),
+f AS (
+  SELECT stratum, regr_slope(v, x) AS est,
+         sqrt((regr_syy(v, x) - pow(regr_sxy(v, x), 2) / regr_sxx(v, x)) / (count(*) - 2) / regr_sxx(v, x)) AS se
+  FROM d GROUP BY stratum
+),
+r AS (SELECT stratum, exp(0.91 * est / sd) AS rr, exp(0.91 * est / sd - 1.78 * se / sd) AS lo, exp(0.91 * est / sd + 1.78 * se / sd) AS hi FROM f, sd),
+i AS (SELECT *, CASE WHEN rr < 1 THEN 1 / rr ELSE rr END AS p,
+             CASE WHEN rr > 1 THEN CASE WHEN lo < 1 THEN 1 / lo ELSE lo END ELSE CASE WHEN hi < 1 THEN 1 / hi ELSE hi END END AS l FROM r)
+SELECT stratum, {q6('rr')} AS rr, {q6('lo')} AS rr_low, {q6('hi')} AS rr_high, {q6('p + sqrt(p * (p - 1))')} AS e_value,
+       {q6('CASE WHEN lo <= 1 AND hi >= 1 THEN 1 ELSE l + sqrt(l * (l - 1)) END')} AS e_value_limit FROM i""")
+def evalue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = customer_month(spark, sf_dir)
+    slopes = linear.ols(panel, "y", ["x"], ["stratum"], log_outcome=True).filter("term = 'x'")
+    sd = panel.agg(F.stddev_samp("x").alias("sd")).scalar()
+    columns = ["rr", "rr_low", "rr_high", "e_value", "e_value_limit"]
+    return rounded(effects.e_value(slopes, sd), *columns).select("stratum", *columns)
+
+
+@query("morans_i", f"""
+WITH {NATION_YEAR},
+va AS (SELECT unit, avg(ln(y)) AS x FROM ny GROUP BY unit),
+ed AS (
+  SELECT a.n_name AS src, b.n_name AS dst, sum(l_quantity) AS w FROM lineitem
+  JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+  JOIN nation a ON s_nationkey = a.n_nationkey JOIN nation b ON c_nationkey = b.n_nationkey
+  WHERE a.n_name <> b.n_name GROUP BY 1, 2
+),
+w AS (SELECT src, dst, w / sum(w) OVER (PARTITION BY src) AS w FROM ed),
+z AS (SELECT unit, x - avg(x) OVER () AS z FROM va),
+lg AS (SELECT src, sum(w * z) AS lag, sum(w) AS ow FROM w JOIN z ON dst = unit GROUP BY src),
+iw AS (SELECT dst, sum(w) AS iw FROM w GROUP BY dst),
+s AS (SELECT CAST(count(lag) AS DOUBLE) AS n, CAST(count(*) AS DOUBLE) AS na, sum(ow) AS s0, sum(pow(coalesce(ow, 0) + coalesce(iw, 0), 2)) AS s2,
+             sum(z * lag) AS zl, sum(z * z) AS z2, sum(pow(z, 4)) AS z4
+      FROM z LEFT JOIN lg ON unit = src LEFT JOIN iw ON unit = dst),
+s1 AS (SELECT sum(pow(v, 2)) / 2 AS s1 FROM (SELECT src, dst, sum(w) AS v FROM (SELECT * FROM w UNION ALL SELECT dst, src, w FROM w) GROUP BY 1, 2)),
+m AS (SELECT *, n * zl / (s0 * z2) AS i, -1 / (n - 1) AS e, (z4 / na) / pow(z2 / na, 2) AS b2 FROM s, s1),
+v AS (SELECT *, (n * ((n * n - 3 * n + 3) * s1 - n * s2 + 3 * s0 * s0) - b2 * ((n * n - n) * s1 - 2 * n * s2 + 6 * s0 * s0))
+                / ((n - 1) * (n - 2) * (n - 3) * s0 * s0) - e * e AS var FROM m)
+SELECT CAST(n AS BIGINT) AS n_units, (SELECT count(*) FROM w) AS n_links, {q6('s0')} AS weight_sum, {q6('i')} AS moran_i,
+       {q6('e')} AS expected, {q6('var')} AS variance, {q6('(i - e) / sqrt(var)')} AS z FROM v""")
+def morans_i(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = nation_year(spark, sf_dir).groupBy("unit").agg(F.avg(F.ln("y")).alias("x"))
+    test = effects.morans_i(values, "unit", "x", trade_links(spark, sf_dir))
+    return rounded(test, "weight_sum", "moran_i", "expected", "variance", "z")
+
+
+def trade_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantity shipped from each supplier nation to each customer nation, as a weighted neighbour table."""
+    lineitem, supplier = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    buyers = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
+    flows = (
+        lineitem.select("l_orderkey", "l_suppkey", "l_quantity")
+        .join(supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy("s_nationkey", "c_nationkey").agg(F.sum("l_quantity").alias("weight"))
+    )
+    named = flows.join(nation.toDF("s_nationkey", "src"), "s_nationkey").join(nation.toDF("c_nationkey", "dst"), "c_nationkey")
+    return named.select("src", "dst", "weight")

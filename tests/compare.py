@@ -54,7 +54,7 @@ def normal(table) -> list[tuple]:
 def difference(spark: SparkSession, db, sf_dir: str, name: str) -> str | None:
     """None when both sides agree on names, types and every value; else what differs first."""
     got = queries()[name](spark, sf_dir).toArrow()
-    want = db.execute(oracle_sql()[name]).to_arrow_table()
+    want = db.sql(oracle_sql()[name]).to_arrow_table()
     if sorted(got.column_names) != sorted(want.column_names):
         return f"columns {sorted(got.column_names)} != {sorted(want.column_names)}"
     types = [(n, str(got.schema.field(n).type), str(want.schema.field(n).type)) for n in got.column_names]
