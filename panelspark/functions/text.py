@@ -8,7 +8,6 @@ range are left as they are.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -51,11 +50,6 @@ def _fold_pairs() -> tuple[tuple[str, str], ...]:
     )
 
 
-def _once(c: Column, change: Callable[[Column], Column]) -> Column:
-    """Apply ``change`` to the value of ``c``; its expression is evaluated once however often ``change`` uses it."""
-    return F.element_at(F.transform(F.array(c), change), F.lit(1))
-
-
 def _covering_class(chars: str, bridge: int = 64) -> str:
     """Character class of a few ranges that cover the characters; a long list of single ones is slow to match."""
     ranges: list[list[int]] = []
@@ -67,33 +61,42 @@ def _covering_class(chars: str, bridge: int = 64) -> str:
     return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
 
 
-def _expand(c: Column, pairs: tuple[tuple[str, str], ...]) -> Column:
-    """Replace each key of ``pairs``; the replacements run only on rows that may hold one of the keys."""
-    keys = "".join(k for k, _ in pairs)
-    table = F.arrays_zip(
-        F.split(F.lit("|".join(keys)), r"\|").alias("k"), F.split(F.lit("|".join(v for _, v in pairs)), r"\|").alias("v")
-    )
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    def replace_all(text: Column) -> Column:
-        replaced = F.aggregate(table, text, lambda acc, p: F.replace(acc, p["k"], p["v"]))
-        return F.when(text.rlike(_covering_class(keys)), replaced).otherwise(text)
 
-    return _once(c, replace_all)
+def _in_turn(c: Column, *bodies: str) -> Column:
+    """Apply SQL expressions over ``t`` one after the other; each value is computed once however often it is used."""
+    steps = F.array(c)
+    for body in bodies:
+        steps = F.call_function("transform", steps, F.expr(f"t -> {body}"))
+    return F.element_at(steps, F.lit(1))
 
 
-def strip_accents(c: Column) -> Column:
-    """Compatibility decomposition without combining marks."""
+def _expansion(pairs: tuple[tuple[str, str], ...]) -> str:
+    """SQL that replaces each key of ``pairs``; the replacements run only on rows that may hold one of the keys."""
+    keys, values = (_literal("|".join(side)) for side in zip(*pairs))
+    table = f"arrays_zip(split({keys}, '[|]'), split({values}, '[|]'))"
+    guard = _literal(_covering_class("".join(k for k, _ in pairs)))
+    return f"CASE WHEN t RLIKE {guard} THEN aggregate({table}, t, (acc, p) -> replace(acc, p.`0`, p.`1`)) ELSE t END"
+
+
+@lru_cache(maxsize=1)
+def _accent_steps() -> tuple[str, str]:
     source, target, many = _accent_tables()
+    beyond_ascii = _literal(r"[^\x00-\x7F]")
+    swap = f"CASE WHEN t RLIKE {beyond_ascii} THEN translate(t, {_literal(source)}, {_literal(target)}) ELSE t END"
+    return swap, _expansion(many)
 
-    def swap(text: Column) -> Column:
-        return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, source, target)).otherwise(text)
 
-    return _expand(_once(c, swap), many)
+def strip_accents(c: Column) -> Column:
+    """Compatibility decomposition without combining marks."""
+    return _in_turn(c, *_accent_steps())
 
 
 def plain_lower(c: Column) -> Column:
     """Accent-free lower case; null becomes the empty string."""
-    return F.lower(strip_accents(F.coalesce(c.cast("string"), F.lit(""))))
+    return _in_turn(F.coalesce(c.cast("string"), F.lit("")), *_accent_steps(), "lower(t)")
 
 
 _SPACE = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
@@ -105,7 +108,8 @@ def collapse_spaces(c: Column) -> Column:
 
 def name_key(c: Column) -> Column:
     """Join key of a name: accent-free, case-folded, single-spaced, trimmed; null becomes the empty string."""
-    return collapse_spaces(_expand(plain_lower(c), _fold_pairs()))
+    text = F.coalesce(c.cast("string"), F.lit(""))
+    return collapse_spaces(_in_turn(text, *_accent_steps(), "lower(t)", _expansion(_fold_pairs())))
 
 
 def item_key(c: Column) -> Column:

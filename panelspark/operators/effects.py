@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelspark.operators.quantiles import exact_quantiles
 from panelspark.operators.ranking import running_count
 from panelspark.operators.schema import quoted
+from panelspark.session import materialise
 
 
 def _e_value(ratio: Column) -> Column:
@@ -37,7 +38,7 @@ def morans_i(values: DataFrame, unit: str, value: str, edges: DataFrame, row_sta
     """
     known = values.select(F.col(unit).alias("u"), F.col(value).cast("double").alias("x")).dropna()
     mean = known.agg(F.avg("x").alias("m")).scalar()
-    centred = known.select("u", (F.col("x") - mean).alias("z"))
+    centred = materialise(known.select("u", (F.col("x") - mean).alias("z")))
     weight = F.col("weight").cast("double") if "weight" in edges.columns else F.lit(1.0)
     links = edges.select("src", "dst", weight.alias("w")).filter("src <> dst").groupBy("src", "dst").agg(F.sum("w").alias("w"))
     ends = centred.select("u")
@@ -47,6 +48,7 @@ def morans_i(values: DataFrame, unit: str, value: str, edges: DataFrame, row_sta
     if row_standardise:
         row_sum = links.groupBy("src").agg(F.sum("w").alias("row"))
         links = links.join(row_sum, "src").select("src", "dst", (F.col("w") / F.col("row")).alias("w"))
+    links = materialise(links)
     lag = (
         links.join(centred.withColumnRenamed("u", "dst"), "dst")
         .groupBy("src").agg(F.sum(F.col("w") * F.col("z")).alias("lag"), F.sum("w").alias("out_w"), F.count(F.lit(1)).alias("links"))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.tails import normal_two_sided
@@ -77,26 +77,29 @@ def gee_ar1(
     paired = previous_row(shifted, unit, period, names, chunk)
     step = F.lit(1.0) if gap == "ignore" else (F.col(period) - F.col(f"_prev.{quoted(period)}")).cast("double")
     k = len(names) + 1
-    now = [F.lit(1.0), *[F.col(quoted(c)) for c in names]]
-    before = [F.lit(1.0), *[F.col(f"_prev.{quoted(c)}") for c in names]]
+    now = ["1D", *[quoted(c) for c in names]]
+    before = ["1D", *[f"_prev.{quoted(c)}" for c in names]]
     pair_list = pairs(k)
     full = [(i, j) for i in range(k) for j in range(k)]
     lagged = paired.withColumn("gap", F.when(F.col("_prev").isNull(), F.lit(0.0)).otherwise(step))
-    has_prev = F.col("gap") > 0
+
+    def sums(parts: list[str]) -> Column:
+        return F.expr(f"array({', '.join(f'coalesce(sum({part}), 0D)' for part in parts)})")
+
+    # A first row has no predecessor: its products are null and add nothing.
     per_unit = materialise(
         lagged.groupBy(unit, "gap").agg(
-            F.count(F.lit(1)).cast("double").alias("n"),
-            F.array(*[F.sum(now[i] * now[j]) for i, j in pair_list]).alias("a"),
-            F.array(*[F.coalesce(F.sum(F.when(has_prev, now[i] * before[j])), F.lit(0.0)) for i, j in full]).alias("b"),
-            F.array(*[F.coalesce(F.sum(F.when(has_prev, before[i] * before[j])), F.lit(0.0)) for i, j in pair_list]).alias("c"),
+            F.expr("double(count(1))").alias("n"),
+            sums([f"{now[i]} * {now[j]}" for i, j in pair_list]).alias("a"),
+            sums([f"if(gap > 0, {now[i]} * {before[j]}, NULL)" for i, j in full]).alias("b"),
+            sums([f"if(gap > 0, {before[i]} * {before[j]}, NULL)" for i, j in pair_list]).alias("c"),
         )
     )
     totals = per_unit.groupBy("gap").agg(
         F.sum("n").alias("n"),
-        F.countDistinct(unit).alias("units"),
-        F.array(*[F.sum(F.col("a")[i]) for i in range(len(pair_list))]).alias("a"),
-        F.array(*[F.sum(F.col("b")[i]) for i in range(len(full))]).alias("b"),
-        F.array(*[F.sum(F.col("c")[i]) for i in range(len(pair_list))]).alias("c"),
+        sums([f"a[{i}]" for i in range(len(pair_list))]).alias("a"),
+        sums([f"b[{i}]" for i in range(len(full))]).alias("b"),
+        sums([f"c[{i}]" for i in range(len(pair_list))]).alias("c"),
     ).collect()
     table = [
         (r["gap"], r["n"], unpack(np.array(r["a"]), k), np.array(r["b"]).reshape(k, k), unpack(np.array(r["c"]), k))
@@ -141,20 +144,18 @@ def gee_ar1(
             break
     phi = scale_and_alpha(beta)[0]
     bread = np.linalg.inv(whitened(rho)[:p, :p])
-    v = [float(x) for x in np.append(-beta, 1.0)]
+    v = [f"({float(x)!r}D)" for x in np.append(-beta, 1.0)]
     place = {ij: i for i, ij in enumerate(pair_list)}
-    f = F.pow(F.lit(rho), F.col("gap"))
+    f = f"pow({rho!r}D, gap)"
     scores = []
     for i in range(p):
         sym = [place[min(i, j), max(i, j)] for j in range(k)]
-        own = sum((F.col("a")[sym[j]] * v[j] for j in range(k)), F.lit(0.0))
-        mixed = sum(((F.col("b")[i * k + j] + F.col("b")[j * k + i]) * v[j] for j in range(k)), F.lit(0.0))
-        past = sum((F.col("c")[sym[j]] * v[j] for j in range(k)), F.lit(0.0))
-        weighted = (own - f * mixed + f * f * past) / (F.lit(1.0) - f * f)
-        scores.append(F.sum(F.when(F.col("gap") == 0, own).otherwise(weighted)).alias(f"s{i}"))
-    meat = per_unit.groupBy(unit).agg(*scores).agg(
-        F.array(*[F.sum(F.col(f"s{i}") * F.col(f"s{j}")) for i, j in pairs(p)]).alias("meat")
-    ).first()
+        own = " + ".join(f"a[{sym[j]}] * {v[j]}" for j in range(k))
+        mixed = " + ".join(f"(b[{i * k + j}] + b[{j * k + i}]) * {v[j]}" for j in range(k))
+        past = " + ".join(f"c[{sym[j]}] * {v[j]}" for j in range(k))
+        weighted = f"(({own}) - {f} * ({mixed}) + {f} * {f} * ({past})) / (1D - {f} * {f})"
+        scores.append(F.expr(f"sum(CASE WHEN gap = 0 THEN {own} ELSE {weighted} END)").alias(f"s{i}"))
+    meat = per_unit.groupBy(unit).agg(*scores).agg(sums([f"s{i} * s{j}" for i, j in pairs(p)]).alias("meat")).first()
     covariance = bread @ unpack(np.array(meat["meat"]), p) @ bread
     shift = np.concatenate([[1.0], -centre[:-1]])
     estimates = np.concatenate([[beta @ shift + centre[-1]], beta[1:]])

@@ -14,7 +14,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,15 +58,12 @@ def unit_moments(
 
 def size_classes(units: DataFrame, q: int, keys: Sequence[str]) -> DataFrame:
     """Units of equal size, per key: count ``g``, mean ``mm`` and scatter ``s`` of their means, pooled scatter ``w``."""
-    m = [F.col("m")[i] for i in range(q)]
-    g = F.count(F.lit(1)).cast("double")
-    scatter = [(F.var_pop(m[i]) if i == j else F.covar_pop(m[i], m[j])) * g for i, j in pairs(q)]
-    within = [F.sum(F.col("c")[k]) for k in range(len(pairs(q)))]
+    scatter = [f"{f'var_pop(m[{i}])' if i == j else f'covar_pop(m[{i}], m[{j}])'} * count(1)" for i, j in pairs(q)]
     return units.groupBy(*keys, "n").agg(
-        g.alias("g"),
-        F.array(*[F.avg(x) for x in m]).alias("mm"),
-        F.array(*scatter).alias("s"),
-        F.array(*within).alias("w"),
+        F.expr("double(count(1))").alias("g"),
+        F.expr(f"array({', '.join(f'avg(m[{i}])' for i in range(q))})").alias("mm"),
+        F.expr(f"array({', '.join(scatter)})").alias("s"),
+        F.expr(f"array({', '.join(f'sum(c[{k}])' for k in range(len(pairs(q))))})").alias("w"),
     )
 
 
@@ -120,29 +117,23 @@ def _evaluate(problem: _Problem, grid: dict[str, tuple[list[float], list[float]]
         "_by string, t1s array<double>, t2s array<double>, centre array<double>",
     )
     work = problem.classes.join(F.broadcast(points), "_by").withColumn("t1", F.explode("t1s"))
-    a = F.col("n") / (F.lit(1.0) + F.col("n") * F.col("t1"))
-    d = [F.col("mm")[i] - F.col("centre")[i] for i in range(q)]
-    square = [
-        F.col("w")[k] + a * (F.col("s")[k] + F.col("g") * d[i] * d[j]) for k, (i, j) in enumerate(pairs(q))
-    ]
+    a = "(n / (1D + n * t1))"
+    d = [f"(mm[{i}] - centre[{i}])" for i in range(q)]
+    square = [f"sum(w[{k}] + {a} * (s[{k}] + g * {d[i]} * {d[j]}))" for k, (i, j) in enumerate(pairs(q))]
     strata = work.groupBy("_by", "_stratum", "t1").agg(
         F.first("t2s").alias("t2s"),
-        F.sum(F.col("g") * a).alias("a"),
-        F.array(*[F.sum(F.col("g") * a * x) for x in d]).alias("u"),
-        F.array(*[F.sum(x) for x in square]).alias("v"),
-        F.sum(F.col("g") * F.log1p(F.col("n") * F.col("t1"))).alias("logdet"),
+        F.expr(f"sum(g * {a})").alias("a"),
+        F.expr(f"array({', '.join(f'sum(g * {a} * {x})' for x in d)})").alias("u"),
+        F.expr(f"array({', '.join(square)})").alias("v"),
+        F.expr("sum(g * log1p(n * t1))").alias("logdet"),
     )
-    wide = strata.withColumn("t2", F.explode("t2s")).withColumn(
-        "k", F.col("t2") / (F.lit(1.0) + F.col("t2") * F.col("a"))
-    )
-    shrink: Column = F.col("k")
+    wide = strata.withColumn("t2", F.explode("t2s")).withColumn("k", F.expr("t2 / (1D + t2 * a)"))
+    shrunk = [f"sum(v[{k}] - k * u[{i}] * u[{j}])" for k, (i, j) in enumerate(pairs(q))]
     total = wide.groupBy("_by", "t1", "t2").agg(
-        F.sum(F.col("a") - shrink * F.col("a") * F.col("a")).alias("m00"),
-        F.array(*[F.sum(F.col("u")[i] * (F.lit(1.0) - shrink * F.col("a"))) for i in range(q)]).alias("m0"),
-        F.array(*[
-            F.sum(F.col("v")[k] - shrink * F.col("u")[i] * F.col("u")[j]) for k, (i, j) in enumerate(pairs(q))
-        ]).alias("mm"),
-        F.sum(F.col("logdet") + F.log1p(F.col("t2") * F.col("a"))).alias("logdet"),
+        F.expr("sum(a - k * a * a)").alias("m00"),
+        F.expr(f"array({', '.join(f'sum(u[{i}] * (1D - k * a))' for i in range(q))})").alias("m0"),
+        F.expr(f"array({', '.join(shrunk)})").alias("mm"),
+        F.expr("sum(logdet + log1p(t2 * a))").alias("logdet"),
     )
     return total.toPandas()
 

@@ -36,16 +36,20 @@ def moment_columns(columns: Sequence[str], centre: Sequence[float] | None = None
     plain sums of shifted products are used (one buffer per pair), which suits many columns. The columns must be
     null in the same rows, or in none.
     """
-    xs = [F.col(quoted(c)).cast("double") for c in columns]
-    n = F.count(xs[0]).cast("double")
+    xs = [f"double({quoted(c)})" for c in columns]
+    n = f"double(count({xs[0]}))"
     if centre is None:
-        cross = [(F.var_pop(xs[i]) if i == j else F.covar_pop(xs[i], xs[j])) * n for i, j in pairs(len(xs))]
-        return [n.alias("n"), F.array(*[F.avg(x) for x in xs]).alias("m"), F.array(*cross).alias("c")]
-    shifted = [x - F.lit(float(s)) for x, s in zip(xs, centre)]
-    sums = [F.sum(x) for x in shifted]
-    cross = [F.sum(shifted[i] * shifted[j]) - sums[i] * sums[j] / n for i, j in pairs(len(xs))]
-    means = [F.lit(float(s)) + t / n for s, t in zip(centre, sums)]
-    return [n.alias("n"), F.array(*means).alias("m"), F.array(*cross).alias("c")]
+        means = [f"avg({x})" for x in xs]
+        cross = [
+            f"{f'var_pop({xs[i]})' if i == j else f'covar_pop({xs[i]}, {xs[j]})'} * {n}" for i, j in pairs(len(xs))
+        ]
+    else:
+        shifted = [f"({x} - {float(s)!r}D)" for x, s in zip(xs, centre)]
+        means = [f"{float(s)!r}D + sum({x}) / {n}" for x, s in zip(shifted, centre)]
+        cross = [
+            f"sum({shifted[i]} * {shifted[j]}) - sum({shifted[i]}) * sum({shifted[j]}) / {n}" for i, j in pairs(len(xs))
+        ]
+    return [F.expr(n).alias("n"), F.expr(f"array({', '.join(means)})").alias("m"), F.expr(f"array({', '.join(cross)})").alias("c")]
 
 
 def moments(

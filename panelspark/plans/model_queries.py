@@ -368,13 +368,14 @@ s AS (
 ),
 b AS (SELECT *, (sbb * sav - sab * sbv) / (saa * sbb - sab * sab) AS ba, (saa * sbv - sab * sav) / (saa * sbb - sab * sab) AS bb FROM s),
 p AS (SELECT h.*, mv - ba * ma - bb * mb + ba * x + bb * x3 AS yhat FROM h, b),
-dn AS (SELECT *, row_number() OVER (ORDER BY yhat, unit, period) AS r FROM p WHERE y IS NOT NULL),
-rc AS (SELECT p.unit, p.period, p.x, p.x3, p.yhat,
-              (SELECT count(*) FROM dn WHERE dn.yhat < p.yhat) AS k FROM p WHERE y IS NULL),
+o AS (
+  SELECT *, count(y) OVER (ORDER BY yhat, y IS NOT NULL, unit, period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS r FROM p
+),
+rc AS (SELECT unit, period, yhat, unnest([r, r + 1]) AS r FROM o WHERE y IS NULL),
 nb AS (
-  SELECT rc.unit, rc.period, rc.x, rc.x3, dn.y,
+  SELECT rc.unit, rc.period, dn.y,
          row_number() OVER (PARTITION BY rc.unit, rc.period ORDER BY abs(dn.yhat - rc.yhat), dn.r) AS pos
-  FROM rc JOIN dn ON dn.r BETWEEN rc.k AND rc.k + 1
+  FROM rc JOIN (SELECT * FROM o WHERE y IS NOT NULL) dn ON dn.r = rc.r
 )
 SELECT unit, period, {q6('y', 8)} AS y, FALSE AS imputed FROM h WHERE y IS NOT NULL
 UNION ALL SELECT unit, period, {q6('y', 8)}, TRUE FROM nb WHERE pos = 1""")

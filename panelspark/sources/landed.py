@@ -39,13 +39,13 @@ def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
 
     A file that is no payload adds no rows, so one failed indicator does not stop the others.
     """
-    files = spark.read.option("wholetext", True).option("basePath", folder).text(f"{folder}/indicator=*")
+    files = spark.read.option("basePath", folder).text(f"{folder}/indicator=*", wholetext=True)
     return flatten_payload(files, "value", F.col("indicator").cast("string"))
 
 
 def payload_report(spark: SparkSession, folder: str) -> DataFrame:
     """Indicators whose landed files gave no record."""
-    files = spark.read.option("wholetext", True).option("basePath", folder).text(f"{folder}/indicator=*")
+    files = spark.read.option("basePath", folder).text(f"{folder}/indicator=*", wholetext=True)
     records = F.from_json(F.try_element_at(F.from_json("value", "array<string>"), F.lit(2)), RECORD_SCHEMA)
     counted = files.groupBy(F.col("indicator").cast("string").alias("indicador")).agg(
         F.sum(F.coalesce(F.size(records), F.lit(0))).alias("n_records")
