@@ -1,6 +1,10 @@
-import pytest
+import os
 
-from tests.compare import session
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")  # before numpy is loaded
+
+import pytest  # noqa: E402
+
+from tests.compare import session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
