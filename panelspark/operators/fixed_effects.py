@@ -50,10 +50,11 @@ def two_way_fixed_effects(
     centre = cells.agg(*[F.avg(F.col("mean")[i]).alias(f"m{i}") for i in range(q)]).first()
     if centre[0] is None:
         raise ValueError("no complete row to fit")
-    n_periods = cells.select(period).distinct().limit(dense_periods + 1).count()
+    labels = sorted(r[0] for r in cells.select(period).distinct().limit(dense_periods + 1).collect())
+    n_periods = len(labels)
     shift = [float(v) for v in centre]
     if n_periods <= dense_periods:
-        effects = F.broadcast(_effects_direct(cells, unit, period, shift))
+        effects = F.broadcast(_effects_direct(cells, unit, period, shift, labels))
     else:
         effects = _effects_by_sweeps(cells, unit, period, shift)
         n_periods = cells.select(period).distinct().count()
@@ -99,7 +100,7 @@ def two_way_fixed_effects(
     return df.sparkSession.createDataFrame(rows, COEFFICIENTS)
 
 
-def _effects_direct(cells: DataFrame, unit: str, period: str, shift: Sequence[float]) -> DataFrame:
+def _effects_direct(cells: DataFrame, unit: str, period: str, shift: Sequence[float], labels: list) -> DataFrame:
     """Period effects from the normal equations with the unit effects eliminated (a periods x periods system).
 
     Each task multiplies its own units' period counts; only that many numbers per task, whatever the number of units,
@@ -107,7 +108,6 @@ def _effects_direct(cells: DataFrame, unit: str, period: str, shift: Sequence[fl
     """
     q = len(shift)
     spark = cells.sparkSession
-    labels = sorted(r[0] for r in cells.select(period).distinct().collect())
     size = len(labels)
     place = {label: i for i, label in enumerate(labels)}
     lists = cells.groupBy(unit).agg(F.collect_list(F.struct(F.col(period).alias("t"), "n", "mean")).alias("cells"))

@@ -24,19 +24,25 @@ class GeeFit(NamedTuple):
 
 
 def previous_row(
-    df: DataFrame, unit: str, period: str, columns: Sequence[str], chunk: float = CHUNK, out: str = "_prev"
+    df: DataFrame,
+    unit: str,
+    period: str,
+    columns: Sequence[str],
+    chunk: float = CHUNK,
+    out: str = "_prev",
+    span: tuple[float, float] | None = None,
 ) -> DataFrame:
     """Add the unit's preceding row in period order as a struct (null for its first row).
 
     (unit, period) must be unique. When the period range exceeds ``chunk`` a unit's series is cut into stretches of
     that many periods, so that even a unit with most of the rows spreads over many tasks; the first row of a stretch
-    takes the last row of the unit's stretch before it.
+    takes the last row of the unit's stretch before it. ``span`` is the known (first, last) period.
     """
     row = F.struct(period, *[quoted(c) for c in columns if c != period])
-    span = df.agg(F.min(period).alias("low"), F.max(period).alias("high")).first()
-    if span["low"] is None or span["high"] - span["low"] < chunk:
+    low, high = span or df.agg(F.min(period), F.max(period)).first()
+    if low is None or high - low < chunk:
         return df.withColumn(out, F.lag(row).over(Window.partitionBy(unit).orderBy(period)))
-    cut = df.withColumn("_chunk", F.floor((F.col(period) - F.lit(span["low"])) / F.lit(chunk)))
+    cut = df.withColumn("_chunk", F.floor((F.col(period) - F.lit(low)) / F.lit(chunk)))
     inside = cut.withColumn(out, F.lag(row).over(Window.partitionBy(unit, "_chunk").orderBy(period)))
     lasts = cut.groupBy(unit, "_chunk").agg(F.max_by(row, period).alias("_last"))
     carried = lasts.select(
@@ -69,12 +75,12 @@ def gee_ar1(
     names = [*regressors, "_y"]
     work = complete_rows(prepare(df, outcome, regressors, [unit, period], log_outcome), names)
     work = work.dropna(subset=[unit, period])
-    means = work.agg(*[F.avg(quoted(c)) for c in names]).first()
+    means = work.agg(*[F.avg(quoted(c)) for c in names], F.min(period), F.max(period)).first()
     if means[0] is None:
         raise ValueError("no complete row to fit")
-    centre = np.array(means, dtype=float)
+    centre = np.array(means[:-2], dtype=float)
     shifted = work.select(unit, period, *[(F.col(quoted(c)) - F.lit(float(s))).alias(c) for c, s in zip(names, centre)])
-    paired = previous_row(shifted, unit, period, names, chunk)
+    paired = previous_row(shifted, unit, period, names, chunk, span=(means[-2], means[-1]))
     step = F.lit(1.0) if gap == "ignore" else (F.col(period) - F.col(f"_prev.{quoted(period)}")).cast("double")
     k = len(names) + 1
     now = ["1D", *[quoted(c) for c in names]]

@@ -66,16 +66,23 @@ def missing_categories(df: DataFrame, column: str, required: DataFrame) -> DataF
 
 
 def coverage_profile(df: DataFrame, unit: str, period: str, category: str | None = None) -> DataFrame:
-    """Rows, units, period span and (optionally) the number of categories, in one aggregation."""
+    """Rows, units, period span and (optionally) the number of categories.
+
+    Rows first shrink to one per unit (and category) map-side; the distinct counts then run on that small table.
+    """
+    keys = [unit, *([category] if category else [])]
+    reduced = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min(period).alias("first"), F.max(period).alias("last")
+    )
     parts = [
-        F.count(F.lit(1)).alias("n_rows"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
         F.countDistinct(unit).alias("n_units"),
-        F.min(period).alias("first_period"),
-        F.max(period).alias("last_period"),
+        F.min("first").alias("first_period"),
+        F.max("last").alias("last_period"),
     ]
     if category:
         parts.append(F.countDistinct(category).alias("n_categories"))
-    return df.agg(*parts)
+    return reduced.agg(*parts)
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -21,17 +21,17 @@ def exact_quantiles(
 ) -> list[float]:
     """Linearly interpolated quantiles of the non-null values; ``[]`` when there are none.
 
-    Up to ``in_memory_rows`` values Spark's exact ``percentile`` is used. Beyond, see :func:`order_statistics`.
+    The column is written once, so that its source is computed in one pass. Up to ``in_memory_rows`` values Spark's
+    exact ``percentile`` is used; beyond, see :func:`order_statistics`.
     """
     values = df.select(F.col(quoted(column)).cast("double").alias("x")).filter("x is not null and not isnan(x)")
     probs = [float(p) for p in probabilities]
-    small = values.limit(in_memory_rows + 1).agg(F.count("x").alias("n")).first()["n"]
-    if small == 0:
-        return []
-    if small <= in_memory_rows:
-        return list(values.agg(F.percentile("x", F.array(*map(F.lit, probs))).alias("q")).first()["q"])
     values = materialise(values)
     n = values.count()
+    if n == 0:
+        return []
+    if n <= in_memory_rows:
+        return list(values.agg(F.percentile("x", F.array(*map(F.lit, probs))).alias("q")).first()["q"])
     places = [(n - 1) * p for p in probs]
     wanted = sorted({k for h in places for k in (floor(h), min(floor(h) + 1, n - 1))})
     found = order_statistics(values, "x", wanted)

@@ -1,4 +1,4 @@
-"""Session helpers: the shared folder for intermediate tables, and size-checked broadcasts."""
+"""Session helpers: the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _LOCAL_FOLDERS: dict[str, str] = {}
@@ -35,8 +34,3 @@ def materialise(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast only after counting at most ``max_rows + 1`` rows; otherwise leave the join to AQE."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
