@@ -456,8 +456,8 @@ def outer_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @query("outer_panel", f"""
 WITH {NATION_YEAR}, {SHIPMENTS}
-SELECT unit, period, {q6('y')} AS y, {q6('x')} AS x, {q6('shipped')} AS shipped
+SELECT unit, period, {q6('y', 9)} AS y, {q6('x', 9)} AS x, {q6('shipped', 9)} AS shipped
 FROM (SELECT unit, period, y, x FROM ny WHERE period <= 2000) FULL JOIN sh USING (unit, period)""")
 def outer_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = panel.outer_panel(outer_sources(spark, sf_dir), ["unit", "period"])
-    return wide.select("unit", "period", *[r6(c).alias(c) for c in ("y", "x", "shipped")])
+    return wide.select("unit", "period", *[r6(c, 9).alias(c) for c in ("y", "x", "shipped")])
