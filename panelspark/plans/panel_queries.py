@@ -456,8 +456,12 @@ def outer_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @query("outer_panel", f"""
 WITH {NATION_YEAR}, {SHIPMENTS}
-SELECT unit, period, {q6('y', 9)} AS y, {q6('x', 9)} AS x, {q6('shipped', 9)} AS shipped
+SELECT unit, period, {q6('ln(y)')} AS log_y, {q6('x * x')} AS x_squared, {q6('ln(shipped)')} AS log_shipped
 FROM (SELECT unit, period, y, x FROM ny WHERE period <= 2000) FULL JOIN sh USING (unit, period)""")
 def outer_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = panel.outer_panel(outer_sources(spark, sf_dir), ["unit", "period"])
-    return wide.select("unit", "period", *[r6(c, 9).alias(c) for c in ("y", "x", "shipped")])
+    # Means of amounts in cents often end in a 5 exactly; logs and squares do not, so rounding cannot tie.
+    return wide.select(
+        "unit", "period", r6(F.ln("y")).alias("log_y"), r6(F.col("x") * F.col("x")).alias("x_squared"),
+        r6(F.ln("shipped")).alias("log_shipped"),
+    )
