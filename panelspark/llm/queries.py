@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelspark.llm import arrow_tokens, bpe
+from panelspark.llm import arrow_tokens, bpe, decontaminate
+from panelspark.llm.sql import OP9
 from panelspark.llm.common import table
 
 QUERIES: dict = {}
@@ -39,3 +40,17 @@ def op10_byte_bpe(spark, sf_dir):
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@register
+def op9_decontamination(spark, sf_dir):
+    """Words of every document that lie inside a window of a benchmark item."""
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+    )
+
+
+ORACLES["op9_decontamination"] = OP9
