@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelspark.llm import arrow_tokens, bpe, decontaminate
+from panelspark.llm import arrow_tokens, bbit_minhash, bpe, decontaminate
 from panelspark.llm.sql import OP9
 from panelspark.llm.common import table
 
@@ -54,3 +54,9 @@ def op9_decontamination(spark, sf_dir):
 
 
 ORACLES["op9_decontamination"] = OP9
+
+
+@register
+def op7_near_duplicates(spark, sf_dir):
+    """The component of near copies that every document belongs to."""
+    return bbit_minhash.near_duplicates(table(spark, sf_dir, "documents"), words_each=4, percent=80)
