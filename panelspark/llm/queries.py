@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelspark.llm import arrow_tokens, bbit_minhash, bpe, decontaminate
+from panelspark.llm import arrow_tokens, bbit_minhash, bpe, decontaminate, quality_model, quality_rules
 from panelspark.llm.sql import OP9
 from panelspark.llm.common import table
 
@@ -60,3 +60,17 @@ ORACLES["op9_decontamination"] = OP9
 def op7_near_duplicates(spark, sf_dir):
     """The component of near copies that every document belongs to."""
     return bbit_minhash.near_duplicates(table(spark, sf_dir, "documents"), words_each=4, percent=80)
+
+
+@register
+def op6_quality(spark, sf_dir):
+    """Quality score of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_model.score(docs, quality_model.fit(docs, labels))
+
+
+@register
+def op8_quality_rules(spark, sf_dir):
+    """Counts, fixed failures and the trees' verdict for every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_rules.judge(docs, quality_rules.fit(docs, labels))
