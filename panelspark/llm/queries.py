@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelspark.llm import arrow_tokens, bbit_minhash, bpe, decontaminate, quality_model, quality_rules
-from panelspark.llm.sql import OP9
+from panelspark.llm import arrow_tokens, bbit_minhash, bpe, decontaminate, quality_model, quality_rules, secret_scan
+from panelspark.llm.sql import OP2, OP9
 from panelspark.llm.common import table
 
 QUERIES: dict = {}
@@ -74,3 +74,13 @@ def op8_quality_rules(spark, sf_dir):
     """Counts, fixed failures and the trees' verdict for every document."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality_rules.judge(docs, quality_rules.fit(docs, labels))
+
+
+@register
+def op2_secret_scan(spark, sf_dir):
+    """Secrets of every document, with spans added for tokens that stay with one owner."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *secret_scan.digest_columns(F.col("spans")))
+
+
+ORACLES["op2_secret_scan"] = OP2

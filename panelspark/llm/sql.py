@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from panelspark.llm import secret_scan
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = (
     f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
@@ -27,3 +29,46 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+
+def _spans(kind: int, pattern: str, group: int, least: int, extra: str = "") -> str:
+    """Rows (doc_id, source, lang, kind, start, stop, value) of one kind's matches."""
+    p = pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, source, lang, {kind} AS kind, z - len AS start, z AS stop, value FROM (
+    SELECT doc_id, source, lang, value, length(m) AS len,
+      sum(gap + length(m)) OVER (PARTITION BY doc_id ORDER BY i) AS z FROM (
+      SELECT doc_id, source, lang, i, ms[i] AS m, vs[i] AS value, length(gaps[i]) AS gap FROM (
+        SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (
+          SELECT doc_id, source, lang, string_split_regex(t, '{p}') AS gaps, regexp_extract_all(t, '{p}', 0) AS ms,
+            regexp_extract_all(t, '{p}', {group}) AS vs
+          FROM d WHERE regexp_matches(t, '{p}')))))
+  WHERE length(value) >= {least} {extra}"""
+
+
+_MIXED = "AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[0-9]')"
+
+OP2 = f"""
+WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents),
+base AS ({_spans(0, secret_scan.ASSIGN, 2, secret_scan.LEAST_VALUE)} UNION ALL
+  {_spans(1, secret_scan.ACCESS, 0, secret_scan.LEAST_ACCESS)} UNION ALL {_spans(2, secret_scan.HEX, 0, 24)}),
+own AS (SELECT * FROM ({_spans(3, secret_scan.OWNED, 0, 24, _MIXED)}) o WHERE NOT EXISTS (
+  SELECT 1 FROM base b WHERE b.doc_id = o.doc_id AND b.start < o.stop AND o.start < b.stop)),
+spans AS (SELECT * FROM base UNION ALL SELECT * FROM own),
+held AS (
+  SELECT value, count(DISTINCT coalesce(source, '')) <= {secret_scan.MOST_OWNERS}
+    AND count(DISTINCT coalesce(source, '') || '/' || coalesce(lang, '')) <= {secret_scan.MOST_REPOSITORIES} AS live
+  FROM spans GROUP BY value),
+kept AS (
+  SELECT doc_id, kind, start, live, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || CAST(start AS BIGINT) || ':'
+    || CAST(stop AS BIGINT) AS said
+  FROM spans JOIN held USING (value) WHERE kind < 3 OR live),
+told AS (
+  SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+    count(*) FILTER (kind = 2) AS n_hex, count(*) FILTER (kind < 3 AND live) AS n_live,
+    string_agg(said, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(said, ',' ORDER BY start, kind) AS spans
+  FROM kept GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live
+FROM documents LEFT JOIN told USING (doc_id)
+"""
