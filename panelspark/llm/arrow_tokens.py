@@ -32,26 +32,41 @@ SEQUENCE_LENGTH = 2048
 #: Sequences of a record batch; every batch of a file but the last has as many, so a place gives its batch.
 BATCH_SEQUENCES = 128
 #: Entries that one Python worker remembers; it starts anew beyond that.
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 1_000_000
+#: Punctuation that may end a word; no contraction starts with it.
+_TAIL = b".,;:!?#$%&*|)"
 _MANIFEST = "part int, data_path string, index_path string, n_docs bigint, n_ids bigint"
 
 
+def _only_letters(text: str) -> bool:
+    """Whether the text is letters, also in lower case, where some get a combining mark."""
+    return text.isalpha() and text.lower().isalpha()
+
+
 class WordMemo(dict):
-    """Memo from a word, cut at ASCII white space, to its ids; right for vocabularies that drop white space."""
+    """Memo from a word, cut at ASCII white space, to its ids.
+
+    Right for tokenizers that drop white space, lower-case, and split letters from punctuation before they merge: for
+    those, a word in lower case has the ids of the word, and letters with punctuation after them the ids of both parts.
+    """
 
     def __init__(self, tokenizer, dtype: str):
         super().__init__()
         self.tokenizer, self.dtype = tokenizer, dtype
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        letters = word.rstrip(_TAIL)
+        if len(letters) < len(word) and _only_letters(letters.decode()):
+            value = self[letters] + self[word[len(letters):]]
+        else:
+            value = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, self.dtype).tobytes()
         if len(self) >= MEMO_ENTRIES:
             self.clear()
-        self[word] = value = np.array(ids, self.dtype).tobytes()
+        self[word] = value
         return value
 
     def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join(map(self.__getitem__, text.lower().split()))  # bytes: A-Z and ASCII white space only
 
 
 _MEMOS: dict[tuple[str, str], WordMemo] = {}
