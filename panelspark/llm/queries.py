@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelspark.llm import arrow_tokens, bbit_minhash, bpe, decontaminate, quality_model, quality_rules, secret_scan
-from panelspark.llm.sql import OP2, OP9
+from panelspark.llm import arrow_tokens, bbit_minhash, bpe, decontaminate, quality_model, quality_rules, secret_scan, sharding
+from panelspark.llm.sql import OP2, OP3, OP9
 from panelspark.llm.common import table
 
 QUERIES: dict = {}
@@ -15,6 +15,7 @@ ORACLES: dict[str, str] = {}
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END_ID = 2
+SHARDS = 8
 
 
 def register(fn):
@@ -84,3 +85,15 @@ def op2_secret_scan(spark, sf_dir):
 
 
 ORACLES["op2_secret_scan"] = OP2
+
+
+@register
+def op3_sharding(spark, sf_dir):
+    """Shard and slot of every document among eight equal shards, and its shard among nine."""
+    placed = sharding.assign(table(spark, sf_dir, "documents"), [1.0] * SHARDS, [1.0] * (SHARDS + 1))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
+    )
+
+
+ORACLES["op3_sharding"] = OP3

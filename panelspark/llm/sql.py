@@ -72,3 +72,36 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live
 FROM documents LEFT JOIN told USING (doc_id)
 """
+
+
+def _best_shard(shards: int) -> str:
+    bids = ", ".join(
+        f"{{'bid': ln((('0x' || substr(md5(CAST(doc_id AS VARCHAR) || ':{s}'), 1, 13))::BIGINT + 1)::DOUBLE "
+        f"/ {16 ** 13}.0), 'shard': {-s}}}" for s in range(shards)
+    )
+    return f"CAST(-list_max([{bids}]).shard AS INTEGER)"
+
+
+def _crc_steps() -> list[int]:
+    """CRC-32 of each byte, by the reversed polynomial."""
+    steps = list(range(256))
+    for _ in range(8):
+        steps = [c >> 1 ^ (0xEDB88320 if c & 1 else 0) for c in steps]
+    return steps
+
+
+_CRC = f"""xor(list_reduce(
+  list_transform(range(0, strlen(t)), lambda k: CAST('0x' || substr(h, 2 * k + 1, 2) AS BIGINT)),
+  lambda crc, b: xor(crc >> 8, list_extract(CAST({_crc_steps()} AS BIGINT[]), (xor(crc, b) & 255) + 1)),
+  4294967295::BIGINT), 4294967295)"""
+
+OP3 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h FROM documents),
+told AS (
+  SELECT doc_id, CAST(strlen(t) + 1 AS BIGINT) AS size, CAST({_CRC} AS BIGINT) AS text_crc32,
+    {_best_shard(8)} AS shard, {_best_shard(9)} AS grown_shard
+  FROM d)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+  CAST(row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS BIGINT) AS slot
+FROM told
+"""
