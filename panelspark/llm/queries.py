@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelspark.llm import arrow_tokens, bbit_minhash, bpe, decontaminate, quality_model, quality_rules, secret_scan, sharding
-from panelspark.llm.sql import OP2, OP3, OP9
+from panelspark.llm import arrow_tokens, bbit_minhash, bpe, decontaminate, html_text, quality_model, quality_rules
+from panelspark.llm import secret_scan, sharding, warc
+from panelspark.llm.sql import OP2, OP3, OP4, OP9
 from panelspark.llm.common import table
 
 QUERIES: dict = {}
@@ -97,3 +98,24 @@ def op3_sharding(spark, sf_dir):
 
 
 ORACLES["op3_sharding"] = OP3
+
+
+@register
+def op4_warc(spark, sf_dir):
+    """Every page as a WARC record, as read back from the archives."""
+    pages = table(spark, sf_dir, "pages")
+    manifest = warc.write_archives(pages)
+    found = warc.read_archives(spark, manifest, dict(pages.dtypes)["page_id"])
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register
+def op5_html_text(spark, sf_dir):
+    """The main text of every page."""
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select(
+        "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "n_outside", "n_covered"
+    )
+
+
+ORACLES["op4_warc"] = OP4

@@ -105,3 +105,13 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
   CAST(row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS BIGINT) AS slot
 FROM told
 """
+
+OP4 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes, sha256(b) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes < 100 OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN payload_bytes < 100 OR page_id = first THEN NULL ELSE first END AS refers_to
+FROM f
+"""
