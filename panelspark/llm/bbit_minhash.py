@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from panelspark.llm.common import in_batches, map_documents
+from panelspark.llm.common import content_key, in_batches, map_documents
 from panelspark.session import materialise
 
 HASHES = 256
@@ -324,3 +324,15 @@ def _links(docs, key, text, words_each, percent, classes: DataFrame) -> DataFram
     links = materialise(links.union(_confirmed(across, sets, percent)))
     links = links.union(_rest(members, components(links), classes, sets, percent / 100, percent))
     return materialise(links)
+
+
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words_each: int = 5, percent: int = 80):
+    """The rows of ``docs`` without those whose component has a smaller id; one of equal rows stays."""
+    keyed = docs.withColumn("_content", content_key(key, text))
+    told = materialise(near_duplicates(keyed, "_content", text, words_each, percent))
+    gone = materialise(told.filter("NOT kept").select("_content").distinct())
+    left = keyed.join(gone, "_content", "left_anti")
+    again = told.filter("kept").groupBy("_content").agg(F.count("*").alias("n")).filter("n > 1")
+    if not again.isEmpty():  # rows equal in id and text: only then are the texts worth a shuffle
+        left = left.dropDuplicates(["_content"])
+    return left.select(docs.columns)

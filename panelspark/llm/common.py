@@ -79,3 +79,18 @@ def map_documents(
         yield from in_batches(rows(), schema)
 
     return df.select(*keys, *texts).mapInArrow(run, out)
+
+
+def filter_documents(df: DataFrame, text: str, decide: Callable[[list[bytes]], Iterable[bool]]) -> DataFrame:
+    """The rows of ``df`` whose text ``decide`` lets stay, with all their columns; texts arrive as UTF-8 bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(decide(as_bytes(b.column(b.schema.get_field_index(text)))), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def content_key(key: str = "doc_id", text: str = "text") -> Column:
+    """Key of a row's content: rows that share an id but not the text differ."""
+    return F.struct(F.col(key).alias("id"), F.xxhash64(text).alias("hash"))

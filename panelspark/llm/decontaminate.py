@@ -19,12 +19,13 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from panelspark.llm.common import as_bytes, in_batches
+from panelspark.llm.common import as_bytes, content_key, in_batches
+from panelspark.session import materialise
 
 WINDOW = 13
 #: UTF-8 bytes of benchmark text in one broadcast, on average; an item is never split.
@@ -146,3 +147,16 @@ def _search_block(df: DataFrame, kind: str, block: Broadcast, window: int, last:
         yield from in_batches(rows(batches), out)
 
     return df.mapInArrow(run, ddl)
+
+
+def contaminated() -> Column:
+    """Whether a twentieth or more of the words are hit."""
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns."""
+    keyed = docs.withColumn("_content", content_key(key, text))
+    found = find_contamination(keyed, benchmark, "_content", text)
+    gone = materialise(found.filter(contaminated()).select("_content").distinct())
+    return keyed.join(gone, "_content", "left_anti").select(docs.columns)

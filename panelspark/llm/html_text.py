@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import xxhash
@@ -35,13 +36,19 @@ BROADCAST_PREFIXES = 2_000_000
 
 MAIN, FURNITURE, OPEN = 0, 1, 2
 
+#: Comments and declarations, or a tag whose quoted attribute values may hold a ">".
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+)>", re.S
+)
+#: The same without regard to quotes, for what follows a tag that never ends.
+_PLAIN_TAG = re.compile(_TAG.pattern.rpartition("|<(/?)")[0] + r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
+_TAG_START = re.compile(r"<[a-zA-Z/!?]")
+_ATTRIBUTE = re.compile(
+    r"(?<![a-zA-Z-])(?:([a-zA-Z-]++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))|(hidden)(?![a-zA-Z=-]))"
 )
-_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b")
 _RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp", "svg", "math", "select"}
-_RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in _RAW}
+_RAW_END = {name: re.compile(rf"</{name}\b[^>]*+(?:>|\Z)", re.I) for name in _RAW}
 _BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section "
@@ -97,6 +104,7 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
     blocks: list[tuple[int, str]] = []
     parts: list[str] = []
     stack: list[tuple[str, int, bool]] = [("", OPEN, False)]  # open elements that may matter for a role
+    opened: Counter[str] = Counter()  # their names
 
     def flush() -> None:
         if parts:
@@ -106,15 +114,23 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
                 blocks.append((stack[-1][1], text))
             parts.clear()
 
-    at = 0
-    while (m := _TAG.search(page, at)) is not None:
-        if m.start() > at:
-            parts.append(page[at:m.start()])
+    at, tag = 0, _TAG
+    while (opening := _TAG_START.search(page, at)) is not None:
+        m = tag.match(page, opening.start())
+        if m is None and tag is _TAG:
+            tag = _PLAIN_TAG
+            m = tag.match(page, opening.start())
+        if m is None:
+            if page.find(">", opening.start()) < 0:
+                break
+            parts.append(page[at:opening.end()])
+            at = opening.end()
+            continue
+        parts.append(page[at:m.start()])
         at = m.end()
-        name = m[2] or m[5]
-        if name is None:
+        if m[2] is None:
             continue
-        name, closing = name.lower(), bool(m[1] or m[4])
+        name, closing = m[2].lower(), bool(m[1])
         if name == "br":
             parts.append(" ")
         block = name in _BLOCK
@@ -126,20 +142,24 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
                 at = end.end() if end else len(page)
             continue
         if closing:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-            if depth:
+            if opened[name]:
                 flush()
-                del stack[depth:]
+                while opened[name] and stack:
+                    last = stack.pop()[0]
+                    opened[last] -= 1
+                    if last == name:
+                        break
         elif name not in _VOID:
             if block and stack[-1][0] == "p":
-                stack.pop()  # a paragraph ends where another block starts
-            attributes = _attributes(m[3] or m[6] or "") if (m[3] or m[6]) else {}
+                opened[stack.pop()[0]] -= 1  # a paragraph ends where another block starts
+            attributes = _attributes(m[3]) if m[3] else {}
             role, final = _role(name, attributes, stack[-1][1], stack[-1][2])
             if block or (role, final) != stack[-1][1:]:
                 if not block:
                     flush()
                 if name != "p" or (role, final) != stack[-1][1:]:
                     stack.append((name, role, final))
+                    opened[name] += 1
     parts.append(page[at:])
     flush()
     return blocks

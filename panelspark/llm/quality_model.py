@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm import boosting
-from panelspark.llm.common import map_documents
+from panelspark.llm.common import filter_documents, map_documents
 from panelspark.llm.labelled import SAMPLE_ROWS, fold, training_rows
 from panelspark.llm.statistics import shape
 
@@ -57,3 +57,14 @@ def score(docs: DataFrame, trees: boosting.Trees, key: str = "doc_id", text: str
         key, F.coalesce(fold(F.col(key)) == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= CUT).cast("int").alias("predicted"),
     )
+
+
+def keep(docs: DataFrame, trees: boosting.Trees, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are predicted as good, with all their columns."""
+    model = docs.sparkSession.sparkContext.broadcast(trees)
+
+    def decide(texts):
+        parts = [texts[i:i + BLOCK] for i in range(0, len(texts), BLOCK)]
+        return [s >= CUT for part in parts for s in model.value.score(np.array([shape(t) for t in part]))]
+
+    return filter_documents(docs, text, decide)

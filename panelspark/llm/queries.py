@@ -51,7 +51,7 @@ def op9_decontamination(spark, sf_dir):
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        decontaminate.contaminated().alias("contaminated"),
     )
 
 
