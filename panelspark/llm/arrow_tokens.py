@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from panelspark.llm.common import as_bytes, in_batches, new_folder, open_path
+from panelspark.llm.common import as_bytes, in_batches, map_in_arrow, new_folder, open_path
 from panelspark.session import materialise
 
 SEQUENCE_LENGTH = 2048
@@ -217,7 +217,7 @@ def write_sequences(
             yield from in_batches([(0, row)], out)
 
     written = placed.repartitionByRange(*order).sortWithinPartitions(*order).select("_k", "_t")
-    return materialise(written.mapInArrow(write, _MANIFEST))
+    return materialise(map_in_arrow(written, write, _MANIFEST))
 
 
 def to_arrow_schema_of(ddl: str) -> pa.Schema:

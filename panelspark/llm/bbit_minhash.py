@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from panelspark.llm.common import content_key, in_batches, map_documents
+from panelspark.llm.common import content_key, in_batches, map_documents, map_in_arrow
 from panelspark.session import materialise
 
 HASHES = 256
@@ -189,7 +189,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
         yield from in_batches(rows(), out)
 
-    return joined.mapInArrow(run, ddl)
+    return map_in_arrow(joined, run, ddl)
 
 
 def _class_sets(docs, key, text, words_each, needed: DataFrame) -> DataFrame:
@@ -231,7 +231,7 @@ def _rest(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from in_batches(((16, link) for block in _blocks(batches) for link in _block_links(block, least, percent)), out)
 
-    return dealt.mapInArrow(run, ddl)
+    return map_in_arrow(dealt, run, ddl)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:

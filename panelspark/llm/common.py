@@ -16,6 +16,8 @@ from panelspark.session import shared_folder
 
 #: Bytes of values after which a task hands an Arrow batch back to Spark.
 BATCH_BYTES = 4 << 20
+#: Most rows that Spark hands to a task in one Arrow batch: texts and sets may be long, so a batch holds few of them.
+BATCH_ROWS = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +65,14 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
+def map_in_arrow(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """``df.mapInArrow`` with batches of BATCH_ROWS rows at most, which bounds what a task holds beside one text."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, BATCH_ROWS)
+    return df.mapInArrow(run, schema)
+
+
 def map_documents(
     df: DataFrame, keys: list[str], texts: list[str], make: Callable[..., Iterable[tuple[int, tuple]]], fields: str
 ) -> DataFrame:
@@ -78,7 +88,7 @@ def map_documents(
 
         yield from in_batches(rows(), schema)
 
-    return df.select(*keys, *texts).mapInArrow(run, out)
+    return map_in_arrow(df.select(*keys, *texts), run, out)
 
 
 def filter_documents(df: DataFrame, text: str, decide: Callable[[list[bytes]], Iterable[bool]]) -> DataFrame:
@@ -88,7 +98,7 @@ def filter_documents(df: DataFrame, text: str, decide: Callable[[list[bytes]], I
         for b in batches:
             yield b.filter(pa.array(decide(as_bytes(b.column(b.schema.get_field_index(text)))), pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return map_in_arrow(df, run, df.schema)
 
 
 def content_key(key: str = "doc_id", text: str = "text") -> Column:

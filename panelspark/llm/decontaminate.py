@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from panelspark.llm.common import as_bytes, content_key, in_batches
+from panelspark.llm.common import as_bytes, content_key, in_batches, map_in_arrow
 from panelspark.session import materialise
 
 WINDOW = 13
@@ -146,7 +146,7 @@ def _search_block(df: DataFrame, kind: str, block: Broadcast, window: int, last:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from in_batches(rows(batches), out)
 
-    return df.mapInArrow(run, ddl)
+    return map_in_arrow(df, run, ddl)
 
 
 def contaminated() -> Column:

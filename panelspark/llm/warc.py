@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from panelspark.llm.common import in_batches, new_folder, open_path
+from panelspark.llm.common import in_batches, map_in_arrow, new_folder, open_path
 from panelspark.session import materialise
 
 MAGIC = b"WARC/1.1\r\n"
@@ -99,7 +99,7 @@ def write_archives(
             sink.close()
             yield from in_batches([(0, (path, size, n))], out)
 
-    return materialise(judged.mapInArrow(write, ddl))
+    return materialise(map_in_arrow(judged, write, ddl))
 
 
 class _File:
