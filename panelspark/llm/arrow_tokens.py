@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from panelspark.llm.common import as_bytes, in_batches, map_in_arrow, new_folder, open_path
+from panelspark.llm.common import as_bytes, in_batches, map_in_arrow, new_folder, open_path, sole_memo
 from panelspark.session import materialise
 
 SEQUENCE_LENGTH = 2048
@@ -203,6 +203,7 @@ def write_sequences(
 
         part = TaskContext.get().partitionId()
         memo = _memo(tokenizer_path)
+        sole_memo(memo)
         end = np.array([end_id], memo.dtype).tobytes()
         writer = None
         for b in batches:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from panelspark.llm.common import content_key, in_batches, map_documents, map_in_arrow
+from panelspark.llm.common import content_key, in_batches, map_documents, map_in_arrow, sole_memo
 from panelspark.session import materialise
 
 HASHES = 256
@@ -42,7 +42,7 @@ BROADCAST_IDS = 2_000_000
 #: Classes of one bucket that a task compares with as many others.
 BLOCK_CLASSES = 500
 #: Words that one Python worker remembers the hash of.
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 200_000
 _LANES = HASHES * BITS // 64
 
 
@@ -132,6 +132,7 @@ def document_sets(docs: DataFrame, key: str, text: str, words_each: int) -> Data
     """(key, set_key, n_shingles, bands, packed); the key of an empty set is null."""
 
     def make(keys, texts):
+        sole_memo(_WORDS)
         for k, t in zip(keys, texts):
             hashes = shingle_set(t, words_each)
             if not len(hashes):
@@ -201,6 +202,7 @@ def _class_sets(docs, key, text, words_each, needed: DataFrame) -> DataFrame:
     )
 
     def make(cids, wanted, texts):
+        sole_memo(_WORDS)
         for cid, digest, t in zip(cids, wanted, texts):
             hashes = shingle_set(t, words_each)
             if xxhash.xxh3_128_digest(hashes) == digest:  # ids may be shared by different texts

@@ -65,6 +65,16 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
+_MEMOS_IN_USE: list[dict] = []
+
+
+def sole_memo(memo: dict) -> None:
+    """Mark the memo that this worker process fills; one that an earlier stage left in the process is emptied."""
+    if _MEMOS_IN_USE and _MEMOS_IN_USE[0] is not memo:
+        _MEMOS_IN_USE[0].clear()
+    _MEMOS_IN_USE[:] = [memo]
+
+
 def map_in_arrow(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
     """``df.mapInArrow`` with batches of BATCH_ROWS rows at most, which bounds what a task holds beside one text."""
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -36,9 +36,7 @@ def op1_token_files(spark, sf_dir):
 def op10_byte_bpe(spark, sf_dir):
     """Ids of every document by the rank file, and the bytes they decode to."""
     docs = table(spark, sf_dir, "documents")
-    encoded = bpe.encode(docs, BYTE_RANKS, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, BYTE_RANKS, public_tokenizers.PATTERN)
-    return decoded.select(
+    return bpe.encode(docs, BYTE_RANKS, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
