@@ -38,8 +38,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document as little-endian unsigned 32-bit integers, their number, and the digest of what they
     decode to."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks, public_tokenizers.PATTERN).select(
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), "ids",
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
