@@ -205,65 +205,6 @@ def encode(
     return map_documents(docs, [key], [text], make, fields)
 
 
-def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.vocabulary.__getitem__, memoryview(ids).cast("I")))
-
-
-#: Byte strings of UTF-8 in which white space may stand beside a space.
-_BESIDE = (
-    b"  ", b"\n ", b" \n", b"\t", b"\r", b"\x0b", b"\x0c", b"\x1c", b"\x1d", b"\x1e", b"\x1f",
-    b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80",
-)
-
-
-def stretches(text: bytes) -> list[bytes]:
-    """Cuts before single spaces that have no white space on either side: there every match of the pattern ends."""
-    parts = text.split(b" ")
-    if len(parts) == 1:
-        return parts
-    if parts[0] and parts[-1] and not any(b in text for b in _BESIDE):
-        return [parts[0], *[b" " + p for p in parts[1:]]]
-    out, before = [parts[0]], parts[0].decode()
-    for part in parts[1:]:
-        now = part.decode()
-        if before and now and not before[-1].isspace() and not now[0].isspace():
-            out.append(b" " + part)
-        else:
-            out[-1] += b" " + part
-        before = now
-    return out
-
-
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-
-
-def _encoder(path: str, pattern: str, built: tuple[int, list[int]] | None = None) -> Encoder:
-    """This process's encoder for a rank file; ``built`` spares it the search for the perfect hash."""
-    if (path, pattern) not in _ENCODERS:
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _ENCODERS[path, pattern] = Encoder(ranks, pattern, built)
-    return _ENCODERS[path, pattern]
-
-
-def encode(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ids): the ids of each whole text as little-endian unsigned 32-bit integers, one row for each row.
-
-    ``ranks_path`` is a rank file that every worker can read. What is broadcast, the perfect hash's displacements, has
-    a number for every third entry of that vocabulary.
-    """
-    perfect = _encoder(ranks_path, pattern).perfect
-    built = docs.sparkSession.sparkContext.broadcast((perfect.seed, perfect.displace))
-
-    def make(keys, texts):
-        encoder = _encoder(ranks_path, pattern, built.value)
-        for k, t in zip(keys, texts):
-            ids = encoder.encode(t)
-            yield len(ids), (k, ids)
-
-    return map_documents(docs, [key], [text], make, f"`{key}` {{{key}}}, ids binary")
-
-
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id") -> DataFrame:
     """(key, ids, decoded): the bytes that the ids stand for."""
     perfect = _encoder(ranks_path, pattern).perfect
