@@ -9,10 +9,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity)$"
+
+
 def to_double(c: Column) -> Column:
-    """Lenient cast; text that is no number and NaN both become null."""
-    number = F.trim(c.cast("string")).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    """Lenient cast; text that is no plain number (such as ``7D`` or ``1.5f``) and NaN both become null."""
+    text = F.trim(c.cast("string"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def to_int(c: Column) -> Column:

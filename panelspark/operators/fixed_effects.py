@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelspark.functions.tails import t_two_sided
 from panelspark.operators.linear import COEFFICIENTS, prepare
 from panelspark.operators.moments import complete_rows, is_singular, moments, pairs, unpack
 from panelspark.operators.schema import quoted
-from panelspark.session import materialise
+from panelspark.session import materialise, release
 
-DENSE_PERIODS = 1000
-SWEEPS = 1000
-TOLERANCE = 1e-10
+#: Residual of the period effects, relative to the start, at which they count as solved.
+TOLERANCE = 1e-11
 
 
 def two_way_fixed_effects(
@@ -29,7 +26,6 @@ def two_way_fixed_effects(
     period: str,
     log_outcome: bool = False,
     small_sample: bool = True,
-    dense_periods: int = DENSE_PERIODS,
 ) -> DataFrame:
     """Coefficients of ``outcome ~ regressors`` with unit and period effects; errors clustered by unit.
 
@@ -50,19 +46,13 @@ def two_way_fixed_effects(
     centre = cells.agg(*[F.avg(F.col("mean")[i]).alias(f"m{i}") for i in range(q)]).first()
     if centre[0] is None:
         raise ValueError("no complete row to fit")
-    labels = sorted(r[0] for r in cells.select(period).distinct().limit(dense_periods + 1).collect())
-    n_periods = len(labels)
     shift = [float(v) for v in centre]
-    if n_periods <= dense_periods:
-        effects = F.broadcast(_effects_direct(cells, unit, period, shift, labels))
-    else:
-        effects = _effects_by_sweeps(cells, unit, period, shift)
-        n_periods = cells.select(period).distinct().count()
+    effects = materialise(_period_effects(cells, unit, period, shift))
+    n_periods = effects.count()
     cleaned = work.join(effects, period).select(
         unit, *[(F.col(quoted(c)) - F.lit(s) - F.col("_effect")[i]).alias(c) for i, (c, s) in enumerate(zip(names, shift))]
     )
-    # The means were taken out above, so plain sums are stable and need no further pass for a centre.
-    units = materialise(moments(cleaned, names, [unit], None if q <= 6 else [0.0] * q))
+    units = materialise(moments(cleaned, names, [unit]))
     total = units.agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("g"),
         F.array(*[F.sum(F.col("c")[k]) for k in range(len(pairs(q)))]).alias("c"),
@@ -96,70 +86,57 @@ def two_way_fixed_effects(
     for i, term in enumerate(regressors):
         se = float(np.sqrt(max(covariance[i, i], 0.0))) or None
         t = float(beta[i]) / se if se else None
-        rows.append((term, float(beta[i]), se, t, g - 1.0, t_two_sided(t, g - 1.0), int(n)))
+        rows.append((term, float(beta[i]), se, t, g - 1.0, t_two_sided(t, g - 1.0), int(n), "ok"))
+    release(cells, effects, units)
     return df.sparkSession.createDataFrame(rows, COEFFICIENTS)
 
 
-def _effects_direct(cells: DataFrame, unit: str, period: str, shift: Sequence[float], labels: list) -> DataFrame:
-    """Period effects from the normal equations with the unit effects eliminated (a periods x periods system).
+def _period_effects(cells: DataFrame, unit: str, period: str, shift: Sequence[float]) -> DataFrame:
+    """Period effects of every variable: the normal equations with the unit effects eliminated, by conjugate gradients.
 
-    Each task multiplies its own units' period counts; only that many numbers per task, whatever the number of units,
-    are added up.
+    A step multiplies the system with a vector by two grouped sums over the cells, so neither a task nor the driver ever
+    holds more than a row per period and the scalars. The method ends after at most as many steps as there are periods,
+    up to rounding; the coefficients feel an error of the effects only in its square.
     """
     q = len(shift)
-    spark = cells.sparkSession
-    size = len(labels)
-    place = {label: i for i, label in enumerate(labels)}
-    lists = cells.groupBy(unit).agg(F.collect_list(F.struct(F.col(period).alias("t"), "n", "mean")).alias("cells"))
-
-    def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a, b = np.zeros((size, size)), np.zeros((size, q))
-        for frame in frames:
-            counts, values = np.zeros((len(frame), size)), np.zeros((len(frame), size, q))
-            for g, entries in enumerate(frame["cells"]):
-                for e in entries:
-                    at = place[e["t"]]
-                    counts[g, at] = e["n"]
-                    values[g, at] = np.asarray(e["mean"], dtype=float) - shift
-            sums = counts[:, :, None] * values
-            share = counts / counts.sum(axis=1, keepdims=True)
-            a += np.diag(counts.sum(axis=0)) - share.T @ counts
-            b += sums.sum(axis=0) - share.T @ sums.sum(axis=1)
-        whole = np.concatenate([a.ravel(), b.ravel()])
-        yield pd.DataFrame({"at": np.arange(len(whole)), "v": whole})
-
-    summed = lists.select("cells").mapInPandas(partial, "at int, v double").groupBy("at").agg(F.sum("v").alias("v"))
-    whole = np.zeros(size * (size + q))
-    for r in summed.collect():
-        whole[r["at"]] = r["v"]
-    a, b = whole[:size * size].reshape(size, size), whole[size * size:].reshape(size, q)
-    effects = np.linalg.pinv(a, rcond=1e-12, hermitian=True) @ b
-    rows = [(label, [float(v) for v in effects[i]]) for label, i in place.items()]
-    schema = cells.select(period).schema.add("_effect", T.ArrayType(T.DoubleType()))
-    return spark.createDataFrame(rows, schema)
-
-
-def _effects_by_sweeps(cells: DataFrame, unit: str, period: str, shift: Sequence[float]) -> DataFrame:
-    """Period effects by alternating unit and period means over the cells, for more periods than a dense system."""
-    q = len(shift)
-    values = [F.col("mean")[i] - F.lit(s) for i, s in enumerate(shift)]
-    effects = cells.select(period).distinct().withColumn("_effect", F.array(*[F.lit(0.0)] * q))
-    for _ in range(SWEEPS):
-        left = cells.join(effects, period).select(
-            unit, "n", *[(F.col("n") * (v - F.col("_effect")[i])).alias(f"r{i}") for i, v in enumerate(values)]
-        )
-        unit_means = left.groupBy(unit).agg(F.array(*[F.sum(f"r{i}") / F.sum("n") for i in range(q)]).alias("_unit"))
-        rest = cells.join(unit_means, unit).select(
-            period, "n", *[(F.col("n") * (v - F.col("_unit")[i])).alias(f"r{i}") for i, v in enumerate(values)]
-        )
-        fresh = materialise(
-            rest.groupBy(period).agg(F.array(*[F.sum(f"r{i}") / F.sum("n") for i in range(q)]).alias("_effect"))
+    each = range(q)
+
+    def dot(a: str, b: str) -> list:
+        return [F.sum(F.col(a)[i] * F.col(b)[i] * F.col("_n")).alias(f"{a}{i}") for i in each]
+
+    def array(make) -> Column:
+        return F.array(*[make(i) for i in each])
+
+    values = array(lambda i: F.col("mean")[i] - F.lit(shift[i]))
+    deviations = cells.withColumn("mean", values)
+    units = deviations.groupBy(unit).agg(array(lambda i: F.sum(F.col("n") * F.col("mean")[i]) / F.sum("n")).alias("_unit"))
+    # r / n is the preconditioned residual z; all vectors are kept divided by n, so that products carry the weight n
+    state = materialise(
+        deviations.join(units, unit).groupBy(period).agg(
+            F.sum("n").alias("_n"),
+            array(lambda i: F.sum(F.col("n") * (F.col("mean")[i] - F.col("_unit")[i])) / F.sum("n")).alias("_z"),
+        ).withColumn("_x", F.array(*[F.lit(0.0)] * q)).withColumn("_p", F.col("_z"))
+    )
+    row = state.agg(F.count(F.lit(1)).alias("periods"), *dot("_z", "_z")).first()
+    start = rest = [float(row[f"_z{i}"]) for i in each]
+    for _ in range(2 * row["periods"] + 50):
+        if all(now <= TOLERANCE**2 * first for now, first in zip(rest, start)):
+            return state.select(period, F.col("_x").alias("_effect"))
+        laid = cells.select(unit, period, "n").join(state.select(period, "_p"), period)
+        means = laid.groupBy(unit).agg(array(lambda i: F.sum(F.col("n") * F.col("_p")[i]) / F.sum("n")).alias("_unit"))
+        moved = laid.join(means, unit).groupBy(period).agg(
+            array(lambda i: F.sum(F.col("n") * (F.col("_p")[i] - F.col("_unit")[i])) / F.sum("n")).alias("_a")
         )
-        moved = fresh.join(effects.withColumnRenamed("_effect", "_old"), period).agg(*[
-            (F.max(F.abs(F.col("_effect")[i] - F.col("_old")[i])) / (F.max(F.abs(F.col("_effect")[i])) + F.lit(1e-300)))
-            for i in range(q)
-        ]).first()
-        effects = fresh
-        if max(moved) < TOLERANCE:
-            return effects
-    raise RuntimeError(f"period effects did not settle in {SWEEPS} sweeps")
+        stepped = materialise(state.join(moved, period))
+        curve = stepped.agg(*dot("_p", "_a")).first()
+        alpha = [r / float(curve[f"_p{i}"]) if r > 0 and curve[f"_p{i}"] > 0 else 0.0 for i, r in enumerate(rest)]
+        advanced = materialise(stepped.select(
+            period, "_n", "_p", array(lambda i: F.col("_x")[i] + F.lit(alpha[i]) * F.col("_p")[i]).alias("_x"),
+            array(lambda i: F.col("_z")[i] - F.lit(alpha[i]) * F.col("_a")[i]).alias("_z"),
+        ))
+        release(state, stepped)
+        fresh = [float(v) for v in advanced.agg(*dot("_z", "_z")).first()]
+        beta = [f / r if r > 0 else 0.0 for f, r in zip(fresh, rest)]
+        state = advanced.withColumn("_p", array(lambda i: F.col("_z")[i] + F.lit(beta[i]) * F.col("_p")[i]))
+        rest = fresh
+    raise RuntimeError("period effects did not settle")

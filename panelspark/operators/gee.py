@@ -8,14 +8,15 @@ from typing import NamedTuple
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelspark.functions.tails import normal_two_sided
 from panelspark.operators.linear import COEFFICIENTS, INTERCEPT, prepare
 from panelspark.operators.moments import complete_rows, is_singular, pairs, unpack
+from panelspark.operators.quality import guard
 from panelspark.operators.schema import quoted
-from panelspark.session import materialise
+from panelspark.session import materialise, release
 
-CHUNK = 1_000_000
 
 
 class GeeFit(NamedTuple):
@@ -23,33 +24,39 @@ class GeeFit(NamedTuple):
     working: DataFrame
 
 
-def previous_row(
-    df: DataFrame,
-    unit: str,
-    period: str,
-    columns: Sequence[str],
-    chunk: float = CHUNK,
-    out: str = "_prev",
-    span: tuple[float, float] | None = None,
-) -> DataFrame:
+def period_number(df: DataFrame, period: str) -> Column:
+    """The period as a number: days for dates and timestamps, numbers as they are."""
+    kind = df.schema[period].dataType
+    c = F.col(quoted(period))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")) / F.lit(86_400e6)
+    if isinstance(kind, T.NumericType):
+        return c.cast("double")
+    raise TypeError(f"period {period} is neither a number nor a date: {kind.simpleString()}")
+
+
+def previous_row(df: DataFrame, unit: str, period: str, columns: Sequence[str], out: str = "_prev") -> DataFrame:
     """Add the unit's preceding row in period order as a struct (null for its first row).
 
-    (unit, period) must be unique. When the period range exceeds ``chunk`` a unit's series is cut into stretches of
-    that many periods, so that even a unit with most of the rows spreads over many tasks; the first row of a stretch
-    takes the last row of the unit's stretch before it. ``span`` is the known (first, last) period.
+    Rows are dealt out by ranges of (unit, period), so a unit with most of the rows spreads over many tasks. Each range
+    is linked up on its own; its first row of a unit takes the last row of that unit from the ranges before. Writing in
+    between fixes the ranges. A repeated (unit, period), which has no order, fails the query.
     """
-    row = F.struct(period, *[quoted(c) for c in columns if c != period])
-    low, high = span or df.agg(F.min(period), F.max(period)).first()
-    if low is None or high - low < chunk:
-        return df.withColumn(out, F.lag(row).over(Window.partitionBy(unit).orderBy(period)))
-    cut = df.withColumn("_chunk", F.floor((F.col(period) - F.lit(low)) / F.lit(chunk)))
-    inside = cut.withColumn(out, F.lag(row).over(Window.partitionBy(unit, "_chunk").orderBy(period)))
-    lasts = cut.groupBy(unit, "_chunk").agg(F.max_by(row, period).alias("_last"))
+    ranged = df.repartitionByRange(unit, period).withColumn("_pid", F.spark_partition_id())
+    fixed = materialise(ranged)
+    row = F.struct(quoted(period), *[quoted(c) for c in columns if c != period])
+    inside = fixed.withColumn(out, F.lag(row).over(Window.partitionBy(unit, "_pid").orderBy(period)))
+    lasts = fixed.groupBy(unit, "_pid").agg(F.max_by(row, quoted(period)).alias("_last"))
     carried = lasts.select(
-        unit, "_chunk", F.lag("_last").over(Window.partitionBy(unit).orderBy("_chunk")).alias("_carried")
+        unit, "_pid", F.lag("_last").over(Window.partitionBy(unit).orderBy("_pid")).alias("_carried")
     )
-    joined = inside.join(carried, [unit, "_chunk"], "left")
-    return joined.withColumn(out, F.coalesce(out, "_carried")).drop("_chunk", "_carried")
+    joined = inside.join(carried, [unit, "_pid"], "left").withColumn(out, F.coalesce(out, "_carried"))
+    where = F.concat_ws(", ", F.col(quoted(unit)).cast("string"), F.col(quoted(period)).cast("string"))
+    twice = F.col(f"{out}.{quoted(period)}") == F.col(quoted(period))
+    checked = guard(F.col(out), twice, F.concat(F.lit("repeated unit and period: "), where))
+    return joined.withColumn(out, checked).drop("_pid", "_carried")
 
 
 def gee_ar1(
@@ -62,26 +69,27 @@ def gee_ar1(
     alpha: float | None = None,
     rounds: int = 50,
     gap: str = "ignore",
-    chunk: float = CHUNK,
 ) -> GeeFit:
     """Estimating equations with AR(1) working correlation; ``gap='power'`` uses alpha to the period distance.
 
-    Whitening combines a row and its predecessor with weights that depend on alpha only, so the cross-products of
-    rows, predecessors and row-predecessor pairs, summed per unit once, serve every iteration. Alpha is the lag-one
-    moment estimate (less the number of coefficients) unless given; the errors are the unit-clustered sandwich.
+    Periods are numbers, dates or timestamps (distances in days); (unit, period) must be unique. Whitening combines a
+    row and its predecessor with weights that depend on alpha only, so the cross-products of rows, predecessors and
+    row-predecessor pairs, summed per unit once, serve every iteration; the driver sees their p x p totals. Alpha is the
+    lag-one moment estimate (less the number of coefficients) unless given; the errors are the unit-clustered sandwich.
+    An estimate of one or more, and iterations that do not settle, are errors.
     """
     if gap not in ("ignore", "power"):
         raise ValueError("gap is 'ignore' or 'power'")
     names = [*regressors, "_y"]
     work = complete_rows(prepare(df, outcome, regressors, [unit, period], log_outcome), names)
-    work = work.dropna(subset=[unit, period])
-    means = work.agg(*[F.avg(quoted(c)) for c in names], F.min(period), F.max(period)).first()
+    work = work.dropna(subset=[unit, period]).withColumn("_t", period_number(df, period))
+    means = work.agg(*[F.avg(quoted(c)) for c in names]).first()
     if means[0] is None:
         raise ValueError("no complete row to fit")
-    centre = np.array(means[:-2], dtype=float)
-    shifted = work.select(unit, period, *[(F.col(quoted(c)) - F.lit(float(s))).alias(c) for c, s in zip(names, centre)])
-    paired = previous_row(shifted, unit, period, names, chunk, span=(means[-2], means[-1]))
-    step = F.lit(1.0) if gap == "ignore" else (F.col(period) - F.col(f"_prev.{quoted(period)}")).cast("double")
+    centre = np.array(means, dtype=float)
+    shifted = work.select(unit, "_t", *[(F.col(quoted(c)) - F.lit(float(s))).alias(c) for c, s in zip(names, centre)])
+    paired = previous_row(shifted, unit, "_t", names)
+    step = F.lit(1.0) if gap == "ignore" else F.col("_t") - F.col("_prev._t")
     k = len(names) + 1
     now = ["1D", *[quoted(c) for c in names]]
     before = ["1D", *[f"_prev.{quoted(c)}" for c in names]]
@@ -101,28 +109,30 @@ def gee_ar1(
             sums([f"if(gap > 0, {before[i]} * {before[j]}, NULL)" for i, j in pair_list]).alias("c"),
         )
     )
-    totals = per_unit.groupBy("gap").agg(
-        F.sum("n").alias("n"),
-        sums([f"a[{i}]" for i in range(len(pair_list))]).alias("a"),
-        sums([f"b[{i}]" for i in range(len(full))]).alias("b"),
-        sums([f"c[{i}]" for i in range(len(pair_list))]).alias("c"),
-    ).collect()
-    table = [
-        (r["gap"], r["n"], unpack(np.array(r["a"]), k), np.array(r["b"]).reshape(k, k), unpack(np.array(r["c"]), k))
-        for r in sorted(totals, key=lambda r: r["gap"])
-    ]
-    n = sum(r[1] for r in table)
+    by_gap = materialise(
+        per_unit.groupBy("gap").agg(
+            F.sum("n").alias("n"),
+            sums([f"a[{i}]" for i in range(len(pair_list))]).alias("a"),
+            sums([f"b[{i}]" for i in range(len(full))]).alias("b"),
+            sums([f"c[{i}]" for i in range(len(pair_list))]).alias("c"),
+        )
+    )
+    total = by_gap.agg(F.sum("n").alias("n"), sums([f"a[{i}]" for i in range(len(pair_list))]).alias("a")).first()
+    n, whole = total["n"], unpack(np.array(total["a"]), k)
+    near = by_gap.filter("gap > 0").orderBy("gap").limit(1).collect()
     p = k - 1
+    place = {ij: i for i, ij in enumerate(pair_list)}
+
+    def at(i: int, j: int) -> int:
+        return place[min(i, j), max(i, j)]
 
     def whitened(rho: float) -> np.ndarray:
-        matrix = np.zeros((k, k))
-        for g, _, a, b, c in table:
-            if g == 0:
-                matrix += a
-            else:
-                f = rho**g
-                matrix += (a - f * (b + b.T) + f * f * c) / (1.0 - f * f)
-        return matrix
+        f = f"pow({rho!r}D, gap)"
+        cells = [
+            f"if(gap = 0, a[{at(i, j)}], (a[{at(i, j)}] - {f} * (b[{i * k + j}] + b[{j * k + i}]) + {f} * {f} * c[{at(i, j)}]) "
+            f"/ (1D - {f} * {f}))" for i, j in pair_list
+        ]
+        return unpack(np.array(by_gap.agg(sums(cells).alias("m")).first()["m"]), k)
 
     def solve(matrix: np.ndarray) -> np.ndarray:
         if is_singular(matrix[:p, :p]):
@@ -131,37 +141,43 @@ def gee_ar1(
 
     def scale_and_alpha(beta: np.ndarray) -> tuple[float, float]:
         v = np.append(-beta, 1.0)
-        phi = sum(v @ a @ v for _, _, a, _, _ in table) / (n - p)
-        lags = [r for r in table if r[0] > 0]
-        if not lags:
+        phi = float(v @ whole @ v) / (n - p)
+        if not near or near[0]["n"] <= p:
             return phi, 0.0
-        g, count, _, b, _ = lags[0]
-        rho = (v @ b @ v) / ((count - p) * phi) if count > p else 0.0
-        rho = float(np.clip(rho, -0.99, 0.99))
+        g, count, b = near[0]["gap"], near[0]["n"], np.array(near[0]["b"]).reshape(k, k)
+        rho = float(v @ b @ v) / ((count - p) * phi)
+        if abs(rho) >= 1.0:
+            raise RuntimeError(f"the working correlation is not below one: {rho}")
         return phi, rho if g == 1 else float(np.sign(rho) * abs(rho) ** (1.0 / g))
 
     rho = 0.0 if alpha is None else float(alpha)
-    beta = solve(whitened(rho))
-    for _ in range(rounds if alpha is None else 0):
-        fresh = scale_and_alpha(beta)[1]
-        beta = solve(whitened(fresh))
-        moved, rho = abs(fresh - rho), fresh
+    if abs(rho) >= 1.0:
+        raise ValueError("alpha lies between -1 and 1")
+    matrix = whitened(rho)
+    beta = solve(matrix)
+    moved = 0.0 if alpha is not None else 1.0
+    for _ in range(rounds):
         if moved < 1e-12:
             break
+        fresh = scale_and_alpha(beta)[1]
+        matrix = whitened(fresh)
+        beta = solve(matrix)
+        moved, rho = abs(fresh - rho), fresh
+    if moved >= 1e-12:
+        raise RuntimeError(f"the working correlation did not settle in {rounds} rounds; it last moved by {moved}")
     phi = scale_and_alpha(beta)[0]
-    bread = np.linalg.inv(whitened(rho)[:p, :p])
+    bread = np.linalg.inv(matrix[:p, :p])
     v = [f"({float(x)!r}D)" for x in np.append(-beta, 1.0)]
-    place = {ij: i for i, ij in enumerate(pair_list)}
     f = f"pow({rho!r}D, gap)"
     scores = []
     for i in range(p):
-        sym = [place[min(i, j), max(i, j)] for j in range(k)]
-        own = " + ".join(f"a[{sym[j]}] * {v[j]}" for j in range(k))
+        own = " + ".join(f"a[{at(i, j)}] * {v[j]}" for j in range(k))
         mixed = " + ".join(f"(b[{i * k + j}] + b[{j * k + i}]) * {v[j]}" for j in range(k))
-        past = " + ".join(f"c[{sym[j]}] * {v[j]}" for j in range(k))
+        past = " + ".join(f"c[{at(i, j)}] * {v[j]}" for j in range(k))
         weighted = f"(({own}) - {f} * ({mixed}) + {f} * {f} * ({past})) / (1D - {f} * {f})"
         scores.append(F.expr(f"sum(CASE WHEN gap = 0 THEN {own} ELSE {weighted} END)").alias(f"s{i}"))
     meat = per_unit.groupBy(unit).agg(*scores).agg(sums([f"s{i} * s{j}" for i, j in pairs(p)]).alias("meat")).first()
+    release(per_unit, by_gap)
     covariance = bread @ unpack(np.array(meat["meat"]), p) @ bread
     shift = np.concatenate([[1.0], -centre[:-1]])
     estimates = np.concatenate([[beta @ shift + centre[-1]], beta[1:]])
@@ -169,7 +185,7 @@ def gee_ar1(
     rows = []
     for term, est, se in zip([INTERCEPT, *regressors], estimates, errors):
         z = float(est / se) if se > 0 else None
-        rows.append((term, float(est), float(se), z, None, normal_two_sided(z), int(n)))
+        rows.append((term, float(est), float(se), z, None, normal_two_sided(z), int(n), "ok"))
     spark = df.sparkSession
     working = spark.createDataFrame([(float(rho), float(phi), int(n))], "alpha double, scale double, n_obs long")
     return GeeFit(spark.createDataFrame(rows, COEFFICIENTS), working)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -12,15 +13,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark.functions.numeric import log_positive, spline_terms
-from panelspark.functions.tails import f_upper, t_two_sided
-from panelspark.operators.moments import is_singular, moments, unpack
+from panelspark.functions.tails import f_upper, t_two_sided_all
+from panelspark.operators.moments import SINGULAR, moments, unpack
 from panelspark.operators.quantiles import exact_quantiles
 from panelspark.operators.schema import quoted, require_columns
 
 INTERCEPT = "(Intercept)"
 SPLINE_PROBABILITIES = (0.05, 0.35, 0.65, 0.95)
 COEFFICIENTS = (
-    "term string, estimate double, std_error double, statistic double, df double, p_value double, n_obs long"
+    "term string, estimate double, std_error double, statistic double, df double, p_value double, n_obs long, "
+    "status string"
 )
 
 
@@ -37,59 +39,78 @@ def prepare(
     )
 
 
-class Fit(NamedTuple):
+class Fits(NamedTuple):
+    """Least-squares fits of a block of groups, one per leading index; those that are not identified hold NaN."""
+
     beta: np.ndarray  # intercept first
     covariance: np.ndarray
-    rss: float
-    tss: float
-    df: float
-    n: float
+    rss: np.ndarray
+    tss: np.ndarray
+    df: np.ndarray
+    n: np.ndarray
+    status: np.ndarray
 
 
-def fit_moments(n: float, mean: np.ndarray, cross: np.ndarray) -> Fit | None:
-    """Least squares of the last variable on the others and an intercept; None when the fit is not identified."""
-    p = len(mean) - 1
-    sxx, sxy, syy = cross[:p, :p], cross[:p, p], cross[p, p]
+def fit_moments(n: np.ndarray, mean: np.ndarray, cross: np.ndarray) -> Fits:
+    """Least squares of the last variable on the others and an intercept, for many groups at once."""
+    g, p = mean.shape[0], mean.shape[1] - 1
+    sxx, sxy, syy = cross[:, :p, :p], cross[:, :p, p], cross[:, p, p]
     df = n - p - 1
-    if df < 0 or is_singular(sxx):
-        return None
-    inverse = np.linalg.inv(sxx) if p else np.zeros((0, 0))
-    slope = inverse @ sxy
-    rss = max(float(syy - slope @ sxy), 0.0)
-    sigma2 = rss / df if df > 0 else np.nan
-    covariance = np.empty((p + 1, p + 1))
-    covariance[1:, 1:] = inverse
-    covariance[0, 1:] = covariance[1:, 0] = -inverse @ mean[:p]
-    covariance[0, 0] = 1.0 / n + mean[:p] @ inverse @ mean[:p]
-    beta = np.concatenate([[mean[p] - mean[:p] @ slope], slope])
-    return Fit(beta, covariance * sigma2, rss, float(syy), float(df), float(n))
-
-
-def coefficient_rows(terms: Sequence[str], fit: Fit) -> list[tuple]:
-    rows = []
-    for i, term in enumerate(terms):
-        variance = fit.covariance[i, i]
-        se = float(np.sqrt(variance)) if variance > 0 else None
-        t = float(fit.beta[i]) / se if se else None
-        rows.append((term, float(fit.beta[i]), se, t, fit.df, t_two_sided(t, fit.df), int(fit.n)))
-    return rows
+    spread = np.sqrt(np.clip(np.einsum("gii->gi", sxx), 0.0, None))
+    enough = df >= 0
+    usable = enough & np.all(spread > 0, axis=1) & np.all(np.isfinite(cross), axis=(1, 2))
+    scale = np.where(usable[:, None], spread, 1.0)
+    standard = np.where(usable[:, None, None], sxx / (scale[:, :, None] * scale[:, None, :]), np.eye(p))
+    good = usable & (np.linalg.eigvalsh(standard)[:, 0] >= SINGULAR if p else True)
+    standard = np.where(good[:, None, None], standard, np.eye(p))
+    inverse = np.linalg.inv(standard) / (scale[:, :, None] * scale[:, None, :])
+    slope = np.einsum("gij,gj->gi", inverse, sxy)
+    rss = np.clip(syy - np.einsum("gi,gi->g", slope, sxy), 0.0, None)
+    sigma2 = np.where(df > 0, rss / np.where(df > 0, df, 1.0), np.nan)
+    x = mean[:, :p]
+    covariance = np.empty((g, p + 1, p + 1))
+    covariance[:, 1:, 1:] = inverse
+    covariance[:, 0, 1:] = covariance[:, 1:, 0] = -np.einsum("gij,gj->gi", inverse, x)
+    covariance[:, 0, 0] = 1.0 / n + np.einsum("gi,gij,gj->g", x, inverse, x)
+    beta = np.concatenate([(mean[:, p] - np.einsum("gi,gi->g", x, slope))[:, None], slope], axis=1)
+    lost = ~good
+    beta[lost], rss[lost], sigma2[lost] = np.nan, np.nan, np.nan
+    status = np.where(good, "ok", np.where(enough, "collinear", "too_few_rows"))
+    return Fits(beta, covariance * sigma2[:, None, None], rss, np.where(good, syy, np.nan), df, n, status)
+
+
+def coefficient_columns(terms: Sequence[str], fits: Fits) -> dict[str, np.ndarray]:
+    """The columns of COEFFICIENTS, one row per group and term; a fit that is not identified has its status only."""
+    variance = np.einsum("gii->gi", fits.covariance)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        se = np.where(variance > 0, np.sqrt(np.clip(variance, 0.0, None)), np.nan)
+        t = fits.beta / se
+    k = len(terms)
+    df = np.repeat(fits.df, k)
+    return {
+        "term": np.tile(np.array(terms, object), len(fits.n)), "estimate": fits.beta.ravel(), "std_error": se.ravel(),
+        "statistic": t.ravel(), "df": df.astype(float), "p_value": t_two_sided_all(t.ravel(), df),
+        "n_obs": np.repeat(fits.n, k).astype("int64"), "status": np.repeat(fits.status, k),
+    }
 
 
 def solve_groups(
-    stats: DataFrame, by: Sequence[str], schema: str, q: int, solve: Callable[[float, np.ndarray, np.ndarray], list[tuple]]
+    stats: DataFrame, by: Sequence[str], schema: str, q: int,
+    solve: Callable[[np.ndarray, np.ndarray, np.ndarray], dict[str, np.ndarray]], rows_each: int,
 ) -> DataFrame:
-    """Turn each row of moments into result rows; the input is already one small row per group."""
+    """Turn each row of moments into ``rows_each`` result rows; the input is already one small row per group."""
     out = T.StructType([stats.schema[k] for k in by] + T.StructType.fromDDL(schema).fields)
     keys = list(by)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
-            for row in frame.itertuples(index=False):
-                cross = unpack(np.array(row.c), q)
-                head = tuple(getattr(row, f"key{i}") for i in range(len(keys)))
-                rows += [head + r for r in solve(row.n, np.array(row.m, dtype=float), cross)]
-            yield pd.DataFrame(rows, columns=out.names)
+            if len(frame):
+                columns = solve(
+                    frame["n"].to_numpy(float), np.stack(frame["m"].to_numpy()).astype(float),
+                    unpack(np.stack(frame["c"].to_numpy()), q),
+                )
+                heads = {name: frame[f"key{i}"].repeat(rows_each).to_numpy() for i, name in enumerate(keys)}
+                yield pd.DataFrame(heads | columns)[out.names]
 
     named = stats.select(*[F.col(quoted(k)).alias(f"key{i}") for i, k in enumerate(keys)], "n", "m", "c")
     return named.mapInPandas(run, out)
@@ -102,15 +123,28 @@ def ols(
     by: Sequence[str] = (),
     log_outcome: bool = False,
 ) -> DataFrame:
-    """Coefficient table of a linear model, one per group. A group whose fit is not identified has no rows."""
+    """Coefficient table of a linear model, one per group of rows.
+
+    Every group of ``df`` has all its terms; where the fit is not identified they have no numbers and ``status`` says
+    why (``too_few_rows``, ``collinear``, or ``no_rows`` for a group without a complete row).
+    """
     work = prepare(df, outcome, regressors, by, log_outcome)
     terms = [INTERCEPT, *regressors]
-
-    def solve(n: float, mean: np.ndarray, cross: np.ndarray) -> list[tuple]:
-        fit = fit_moments(n, mean, cross)
-        return coefficient_rows(terms, fit) if fit else []
-
-    return solve_groups(moments(work, [*regressors, "_y"], by), by, COEFFICIENTS, len(terms), solve)
+    q = len(terms)
+
+    def solve(n: np.ndarray, mean: np.ndarray, cross: np.ndarray) -> dict[str, np.ndarray]:
+        return coefficient_columns(terms, fit_moments(n, mean, cross))
+
+    found = solve_groups(moments(work, [*regressors, "_y"], by), by, COEFFICIENTS, q, solve, q)
+    if not by:
+        return found
+    groups = df.select(*map(quoted, by)).distinct().withColumn("term", F.explode(F.array(*map(F.lit, terms))))
+    same = [groups[k].eqNullSafe(found[k]) for k in by] + [groups["term"] == found["term"]]
+    values = [c for c in found.columns if c not in (*by, "term", "n_obs", "status")]
+    return groups.join(found, same, "left").select(
+        *[groups[k] for k in by], groups["term"], *[found[c] for c in values],
+        F.coalesce(found["n_obs"], F.lit(0)).alias("n_obs"), F.coalesce(found["status"], F.lit("no_rows")).alias("status"),
+    )
 
 
 def stratified_slopes(df: DataFrame, stratum: str, outcome: str, exposure: str, log_outcome: bool = True) -> DataFrame:
@@ -153,7 +187,8 @@ def spline_fit(
 
 
 NONLINEARITY = (
-    "test string, statistic double, df_num double, df_den double, p_value double, rss_spline double, rss_linear double"
+    "test string, statistic double, df_num double, df_den double, p_value double, rss_spline double, rss_linear double, "
+    "status string"
 )
 
 
@@ -174,26 +209,29 @@ def nonlinearity_test(
     work = prepare(wide, outcome, [*names, *covariates], (), log_outcome)
     s, p = len(names), len(names) + len(covariates)
 
-    def solve(n: float, mean: np.ndarray, cross: np.ndarray) -> list[tuple]:
+    def solve(n: np.ndarray, mean: np.ndarray, cross: np.ndarray) -> dict[str, np.ndarray]:
         full = fit_moments(n, mean, cross)
         keep = [0, *range(s, p + 1)]
-        linear = fit_moments(n, mean[keep], cross[np.ix_(keep, keep)])
-        if full is None or linear is None or full.df <= 0:
-            return []
+        linear = fit_moments(n, mean[:, keep], cross[:, keep][:, :, keep])
+        ok = full.status[0] == linear.status[0] == "ok" and full.df[0] > 0
+        status = "ok" if ok else str(full.status[0] if full.status[0] != "ok" else "too_few_rows")
+        rss, line, rest = full.rss[0], linear.rss[0], full.df[0]
 
-        def wald(first: int, last: int) -> tuple[float, int]:
+        def wald(first: int, last: int) -> float:
             block = slice(first, last)
-            b = full.beta[block]
-            return float(b @ np.linalg.solve(full.covariance[block, block], b)) / (last - first), last - first
+            b = full.beta[0, block]
+            return float(b @ np.linalg.solve(full.covariance[0, block, block], b)) / (last - first)
 
-        rows = []
-        for label, (f, k) in {"exposure": wald(1, s + 1), "nonlinear": wald(2, s + 1)}.items():
-            rows.append((label, f, float(k), full.df, f_upper(f, k, full.df), full.rss, linear.rss))
-        ratio = float(n * np.log(linear.rss / full.rss)) if full.rss > 0 else None
-        rows.append(("likelihood_ratio", ratio, float(s - 1), None, _chi2_upper(ratio, s - 1), full.rss, linear.rss))
-        return rows
+        whole, bent = (wald(1, s + 1), wald(2, s + 1)) if ok else (None, None)
+        ratio = float(n[0] * np.log(line / rss)) if ok and rss > 0 else None
+        return {
+            "test": ["exposure", "nonlinear", "likelihood_ratio"], "statistic": [whole, bent, ratio],
+            "df_num": [float(s), float(s - 1), float(s - 1)], "df_den": [rest, rest, None],
+            "p_value": [f_upper(whole, s, rest), f_upper(bent, s - 1, rest), _chi2_upper(ratio, s - 1)],
+            "rss_spline": [rss] * 3, "rss_linear": [line] * 3, "status": [status] * 3,
+        }
 
-    return solve_groups(moments(work, [*names, *covariates, "_y"]), (), NONLINEARITY, p + 1, solve)
+    return solve_groups(moments(work, [*names, *covariates, "_y"]), (), NONLINEARITY, p + 1, solve, 3)
 
 
 def _chi2_upper(value: float | None, df: int) -> float | None:
@@ -210,6 +248,23 @@ def _chi2_upper(value: float | None, df: int) -> float | None:
     return tail
 
 
+def with_residuals(
+    df: DataFrame, coefficients: DataFrame, outcome: str, log_outcome: bool = False, prefix: str = ""
+) -> DataFrame:
+    """Add ``fitted`` and ``residual`` (with ``prefix``) of one fit's coefficient table; null where a value is missing.
+
+    The table has a row per term, so only that many numbers come to the driver.
+    """
+    beta = {r["term"]: r["estimate"] for r in coefficients.select("term", "estimate").collect()}
+    if any(v is None for v in beta.values()):
+        raise ValueError("the fit has no estimates")
+    terms = [F.lit(v) * F.col(quoted(t)).cast("double") for t, v in beta.items() if t != INTERCEPT]
+    fitted = reduce(lambda a, b: a + b, terms, F.lit(beta.get(INTERCEPT, 0.0)))
+    y = F.col(quoted(outcome)).cast("double")
+    observed = log_positive(y) if log_outcome else y
+    return df.withColumns({f"{prefix}fitted": fitted, f"{prefix}residual": observed - fitted})
+
+
 LEAVE_ONE_OUT = "estimate double, std_error double, n_obs long, status string"
 
 
@@ -229,7 +284,7 @@ def leave_one_out(
         raise ValueError("no complete row to fit")
     centre = np.array(total["m"], dtype=float)
     n_all, cross_all = float(total["n"]), unpack(np.array(total["c"]), q)
-    per_unit = moments(work, names, [unit], None if q <= 6 else centre.tolist())
+    per_unit = moments(work, names, [unit])
     out = T.StructType([per_unit.schema[unit]] + T.StructType.fromDDL(LEAVE_ONE_OUT).fields)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from panelspark.functions.numeric import to_int
 from panelspark.functions.text import code_key, name_key, zero_fill
 from panelspark.operators.quality import QualityError, guard
-from panelspark.operators.schema import require_columns
+from panelspark.operators.schema import quoted, require_columns
+from panelspark.session import materialise
 
 CODE_PATTERN = "^[A-Z]{3}$"
 
@@ -140,18 +141,43 @@ def resolve_cascade(
     Rows of an id source with a readable but unknown id stay unresolved; an alias that maps to null stops the search.
     Adds ``resolved`` and ``match_method`` (``code``, ``id``, ``alias``, ``fuzzy``, ``unknown_id``, ``not_an_entity``
     or ``none``).
+
+    Only the distinct (code, name, id source) labels are resolved, written once and joined back: however many rows share
+    a label, or have none, it is looked up once. Spark broadcasts that table where its measured size allows it and
+    splits skewed labels otherwise.
     """
     from_id = F.lit(False) if id_source is None else F.coalesce(id_source, F.lit(False))
-    work = df.withColumns({
-        "_code": valid_code(F.col(code_column), pattern),
-        "_id": F.when(from_id, to_int(F.col(code_column))),
-        "alias_key": name_key(F.col(name_column)),
-    })
+    marked = df.withColumn("_from_id", from_id)
+    label = [F.col(quoted(code_column)).alias("_raw"), F.col(quoted(name_column)).alias("_name"), "_from_id"]
+    labels = marked.select(*label).distinct()
+    found = materialise(_resolve_labels(labels, aliases, id_dim, dictionary, max_edits, pattern))
+    same = (
+        marked[code_column].eqNullSafe(found["_raw"]) & marked[name_column].eqNullSafe(found["_name"])
+        & (marked["_from_id"] == found["_from_id"])
+    )
+    return marked.join(found, same, "left").select(
+        *[marked[quoted(c)] for c in df.columns], found["resolved"], found["match_method"]
+    )
+
+
+def _looked_up(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Left join in which rows whose key is null or blank stay out of the shuffle: they have no partner."""
+    has_key = F.coalesce(F.col(key).cast("string") != "", F.lit(False))
+    hits = df.filter(has_key).join(dimension, key, "left")
+    return hits.unionByName(df.filter(~has_key), allowMissingColumns=True)
+
+
+def _resolve_labels(labels, aliases, id_dim, dictionary, max_edits: int, pattern: str) -> DataFrame:
+    work = materialise(labels.withColumns({
+        "_code": valid_code(F.col("_raw"), pattern),
+        "_id": F.when(F.col("_from_id"), to_int(F.col("_raw"))),
+        "alias_key": name_key(F.col("_name")),
+    }))
     if id_dim is None:
         work = work.withColumn("dim_code", F.lit(None).cast(T.StringType()))
     else:
-        work = work.join(id_dim.withColumnRenamed("dim_id", "_id"), "_id", "left")
-    work = work.join(aliases, "alias_key", "left")
+        work = _looked_up(work, id_dim.withColumnRenamed("dim_id", "_id"), "_id")
+    work = _looked_up(work, aliases, "alias_key")
     open_row = F.col("_code").isNull() & F.col("_id").isNull() & (F.col("alias_key") != "")
     no_alias = F.col("alias_known").isNull()
     if dictionary is None:
@@ -160,7 +186,7 @@ def resolve_cascade(
         rest = work.filter(open_row & no_alias).select(F.col("alias_key").alias("_rest"))
         hits = fuzzy_lookup(rest, "_rest", dictionary, max_edits)
         hits = hits.select(F.col("name_key").alias("alias_key"), "fuzzy_code")
-        work = work.join(hits, "alias_key", "left")
+        work = _looked_up(work, hits, "alias_key")
     by_name = F.col("_code").isNull() & F.col("_id").isNull()
     method = (
         F.when(F.col("_code").isNotNull(), "code")
@@ -178,7 +204,7 @@ def resolve_cascade(
         .when(F.col("match_method") == "alias", F.col("alias_code"))
         .when(F.col("match_method") == "fuzzy", F.col("fuzzy_code"))
     )
-    return marked.withColumn("resolved", picked).select(*df.columns, "resolved", "match_method")
+    return marked.select("_raw", "_name", "_from_id", picked.alias("resolved"), "match_method")
 
 
 def unresolved_report(resolved: DataFrame, columns: list[str]) -> DataFrame:
@@ -198,8 +224,10 @@ def keep_resolved(resolved: DataFrame, columns: list[str], on_unresolved: str =
     return resolved.filter(F.col("resolved").isNotNull())
 
 
-def is_single_source(df: DataFrame, source: str, column: str = "fonte") -> bool:
-    """Whether every non-null tag in ``column`` is ``source`` (case-insensitive)."""
+def is_single_source(df: DataFrame, source: str, column: str = "fonte", file_name: str = "") -> bool:
+    """Whether the file is named ``<source>_...`` or every non-null tag in ``column`` is ``source``, in either case."""
+    if file_name.lower().startswith(f"{source.lower()}_"):
+        return True
     if column not in df.columns:
         return False
     seen = df.filter(F.col(column).isNotNull()).agg(

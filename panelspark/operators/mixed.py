@@ -22,14 +22,17 @@ from panelspark.functions.tails import t_two_sided
 from panelspark.operators.linear import COEFFICIENTS, INTERCEPT, prepare
 from panelspark.operators.moments import is_singular, moments, pairs, unpack
 from panelspark.operators.schema import quoted
-from panelspark.session import materialise
+from panelspark.session import materialise, release
 
 COARSE = tuple(float(k) for k in range(-12, 13))
 ROUNDS = 4
-LOCAL_ROWS = 20_000
+#: Largest log ratio that a search opens up to; a criterion that still falls there has no optimum.
+LAST_LOG = 600.0
+#: Values of ``by`` (copies, outcomes) that one call fits; each holds some numbers in the driver.
+BY_LIMIT = 10_000
 VARIANCES = (
     "n_obs long, n_units long, theta_unit double, theta_stratum double, sigma2 double, "
-    "var_unit double, var_stratum double, criterion double"
+    "var_unit double, var_stratum double, criterion double, status string"
 )
 
 
@@ -40,7 +43,6 @@ class MixedFit(NamedTuple):
 
 class _Problem(NamedTuple):
     classes: DataFrame
-    local: pd.DataFrame | None  # the classes themselves when they are few
     centre: dict[str, list[float]]
     n: dict[str, float]
     units: dict[str, float]
@@ -68,8 +70,7 @@ def size_classes(units: DataFrame, q: int, keys: Sequence[str]) -> DataFrame:
 
 
 def _problem(
-    df: DataFrame, unit: str, stratum: str | None, outcome: str, regressors: Sequence[str], by: str | None, log_outcome: bool,
-    local_rows: int,
+    df: DataFrame, unit: str, stratum: str | None, outcome: str, regressors: Sequence[str], by: str | None, log_outcome: bool
 ) -> _Problem:
     work = df.withColumns({
         "_by": F.lit("") if by is None else F.col(by).cast("string"),
@@ -83,12 +84,13 @@ def _problem(
         F.sum(rows).alias("n"),
         F.sum("g").alias("units"),
         F.array(*[F.sum(rows * F.col("mm")[i]) / F.sum(rows) for i in range(q)]).alias("centre"),
-    ).collect()
+    ).limit(BY_LIMIT + 1).collect()
     if not totals:
         raise ValueError("no complete row to fit")
+    if len(totals) > BY_LIMIT:
+        raise ValueError(f"more than {BY_LIMIT} values of {by}: fit them in several calls")
     return _Problem(
         classes,
-        _few(classes, q, local_rows),
         {r["_by"]: list(r["centre"]) for r in totals},
         {r["_by"]: r["n"] for r in totals},
         {r["_by"]: r["units"] for r in totals},
@@ -96,20 +98,11 @@ def _problem(
     )
 
 
-def _few(classes: DataFrame, q: int, limit: int) -> pd.DataFrame | None:
-    """The class table in the driver if it has at most ``limit`` rows (checked first), else None."""
-    if classes.limit(limit + 1).count() > limit:
-        return None
-    return classes.orderBy("_by", "_stratum", "n").toPandas()
-
-
 def _evaluate(problem: _Problem, grid: dict[str, tuple[list[float], list[float]]]) -> pd.DataFrame:
-    """Weighted cross-product matrices and log-determinants at every point of each ``by``'s grid.
+    """Weighted cross-product matrices and log-determinants at every point of each ``by``'s grid, as one job.
 
-    A class table of checked small size is evaluated where it is; a larger one by Spark jobs of the same algebra.
+    The points that are broadcast are at most BY_LIMIT rows of some dozen numbers.
     """
-    if problem.local is not None:
-        return _evaluate_local(problem, grid)
     q = problem.q
     spark = problem.classes.sparkSession
     points = spark.createDataFrame(
@@ -138,32 +131,6 @@ def _evaluate(problem: _Problem, grid: dict[str, tuple[list[float], list[float]]
     return total.toPandas()
 
 
-def _evaluate_local(problem: _Problem, grid: dict[str, tuple[list[float], list[float]]]) -> pd.DataFrame:
-    rows, place = [], np.array(pairs(problem.q))
-    for b, (t1s, t2s) in grid.items():
-        part = problem.local[problem.local["_by"] == b]
-        n, g = part["n"].to_numpy(float), part["g"].to_numpy(float)
-        d = np.stack(part["mm"].to_numpy()).astype(float) - np.array(problem.centre[b])
-        square = np.stack(part["s"].to_numpy()) + g[:, None] * d[:, place[:, 0]] * d[:, place[:, 1]]
-        within = np.stack(part["w"].to_numpy()).astype(float)
-        stratum = part["_stratum"].to_numpy()
-        starts = np.flatnonzero(np.concatenate([[True], stratum[1:] != stratum[:-1]]))
-        for t1 in t1s:
-            a = n / (1.0 + n * t1)
-            ga = np.add.reduceat(g * a, starts)
-            u = np.add.reduceat((g * a)[:, None] * d, starts)
-            v = (within + a[:, None] * square).sum(axis=0)
-            logdet = float((g * np.log1p(n * t1)).sum())
-            for t2 in t2s:
-                k = t2 / (1.0 + t2 * ga)
-                shrunk = (k[:, None] * u[:, place[:, 0]] * u[:, place[:, 1]]).sum(axis=0)
-                rows.append((
-                    b, t1, t2, float((ga - k * ga * ga).sum()), ((1.0 - k * ga)[:, None] * u).sum(axis=0), v - shrunk,
-                    logdet + float(np.log1p(t2 * ga).sum()),
-                ))
-    return pd.DataFrame(rows, columns=["_by", "t1", "t2", "m00", "m0", "mm", "logdet"])
-
-
 def _matrix(frame: pd.DataFrame, q: int) -> np.ndarray:
     """Full matrices over (1, X, y)."""
     full = np.zeros((len(frame), q + 1, q + 1))
@@ -198,24 +165,69 @@ def _neighbourhood(theta: float, step: float) -> list[float]:
     return [0.0, *[float(np.exp(centre + step * k / 10.0)) for k in range(-10, 11)]]
 
 
-def _search(problem: _Problem, nested: bool, grid: Sequence[float] | None, rounds: int) -> dict[str, tuple]:
-    """Best (t1, t2, matrix, value) per ``by``: a coarse log grid, then repeated zooms by ten."""
+class _Best(NamedTuple):
+    t1: float
+    t2: float
+    matrix: np.ndarray
+    value: float
+
+
+def _look(problem: _Problem, grids: dict[str, tuple[list[float], list[float]]], best: dict[str, _Best]) -> None:
+    """Evaluate the grids and keep each ``by``'s best point; the first of equal ones, zero before others."""
+    table = _evaluate(problem, grids)
+    for b, part in table.groupby("_by"):
+        part = part.sort_values(["t1", "t2"], ignore_index=True)
+        values = criterion(_matrix(part, problem.q), part["logdet"].to_numpy(), problem.n[b])
+        at = int(np.argmin(values))
+        if b not in best or values[at] < best[b].value:
+            best[b] = _Best(float(part["t1"][at]), float(part["t2"][at]), _matrix(part.iloc[[at]], problem.q)[0], float(values[at]))
+
+
+def _powers(low: float, high: float) -> list[float]:
+    return [float(np.exp(k)) for k in np.arange(low, high + 0.5)]
+
+
+def _open_bracket(problem: _Problem, nested: bool, best: dict[str, _Best]) -> None:
+    """Move the coarse grid on while a best ratio lies at its upper end or below its lower one."""
+    span = COARSE[-1] - COARSE[0]
+    low = {(b, d): COARSE[0] for b in best for d in (0, 1)}
+    high = {(b, d): COARSE[-1] for b in best for d in (0, 1)}
+    while True:
+        grids = {}
+        for b, found in best.items():
+            axes = []
+            for d, t in ((0, found.t1), (1, found.t2)):
+                axis = [t]
+                if d and not nested or not np.isfinite(found.value):
+                    pass
+                elif t >= np.exp(high[b, d] - 0.5) and high[b, d] < LAST_LOG:
+                    top = min(high[b, d] + span, LAST_LOG)
+                    axis = [t, *_powers(high[b, d], top)]
+                    high[b, d] = top
+                elif 0 < t <= np.exp(low[b, d] + 0.5) and low[b, d] > COARSE[0] - 2 * span:
+                    axis = [0.0, t, *_powers(low[b, d] - span, low[b, d])]
+                    low[b, d] -= span
+                axes.append(axis)
+            if max(map(len, axes)) > 1:
+                grids[b] = (axes[0], axes[1])
+        if not grids:
+            return
+        _look(problem, grids, best)
+
+
+def _search(problem: _Problem, nested: bool, grid: Sequence[float] | None, rounds: int) -> dict[str, _Best]:
+    """Best ratios per ``by``: a coarse log grid, opened until the criterion turns, then repeated zooms by ten."""
     first = list(grid) if grid is not None else [0.0, *[float(np.exp(k)) for k in COARSE]]
-    current = {b: (first, first if nested else [0.0]) for b in problem.n}
-    best: dict[str, tuple] = {}
+    best: dict[str, _Best] = {}
+    _look(problem, {b: (first, first if nested else [0.0]) for b in problem.n}, best)
+    if grid is not None:
+        return best
+    _open_bracket(problem, nested, best)
     step = 1.0
-    for _ in range(1 if grid is not None else rounds + 1):
-        table = _evaluate(problem, current)
-        for b, part in table.groupby("_by"):
-            part = part.sort_values(["t1", "t2"], ignore_index=True)
-            values = criterion(_matrix(part, problem.q), part["logdet"].to_numpy(), problem.n[b])
-            at = int(np.argmin(values))
-            if b not in best or values[at] < best[b][3]:
-                best[b] = (part["t1"][at], part["t2"][at], _matrix(part.iloc[[at]], problem.q)[0], float(values[at]))
-        current = {
-            b: (_neighbourhood(t1, step), _neighbourhood(t2, step) if nested else [0.0])
-            for b, (t1, t2, _, _) in best.items()
-        }
+    for _ in range(rounds):
+        _look(problem, {
+            b: (_neighbourhood(f.t1, step), _neighbourhood(f.t2, step) if nested else [0.0]) for b, f in best.items()
+        }, best)
         step /= 10.0
     return best
 
@@ -230,14 +242,15 @@ def mixed_model(
     log_outcome: bool = True,
     theta_grid: Sequence[float] | None = None,
     rounds: int = ROUNDS,
-    local_rows: int = LOCAL_ROWS,
 ) -> MixedFit:
     """Random-intercept model by restricted likelihood: unit effects, or unit effects nested in stratum effects.
 
     ``by`` (an imputation number or an outcome name: few values) fits one model per value in the same jobs.
-    ``theta_grid`` fixes the candidate variance ratios; otherwise the optimum is refined to about 1e-4 of its log.
+    ``theta_grid`` fixes the candidate variance ratios; otherwise any ratio is found, to about 1e-4 of its log.
+    Every value of ``by`` has its rows; a fit without numbers says why in ``status``: ``not_identified``, or
+    ``unbounded`` where the criterion falls without end (no variance is left within units).
     """
-    problem = _problem(df, unit, stratum, outcome, regressors, by, log_outcome, local_rows)
+    problem = _problem(df, unit, stratum, outcome, regressors, by, log_outcome)
     best = _search(problem, stratum is not None, theta_grid, rounds)
     spark = df.sparkSession
     head = f"{by} string, " if by else ""
@@ -247,7 +260,14 @@ def mixed_model(
         key = (b,) if by else ()
         n, p = problem.n[b], problem.q
         mxx, mxy, myy = matrix[:p, :p], matrix[:p, p], matrix[p, p]
+        status = "ok"
         if not np.isfinite(value) or is_singular(mxx):
+            status = "not_identified"
+        elif max(t1, t2) >= np.exp(LAST_LOG - 1):
+            status = "unbounded"
+        if status != "ok":
+            coefficients += [(*key, term, None, None, None, None, None, int(n), status) for term in terms]
+            variances.append((*key, int(n), int(problem.units[b]), *[None] * 6, status))
             continue
         inverse = np.linalg.inv(mxx)
         beta = inverse @ mxy
@@ -259,10 +279,12 @@ def mixed_model(
         for term, est, var in zip(terms, estimates, spread):
             se = float(np.sqrt(var))
             t = float(est / se)
-            coefficients.append((*key, term, float(est), se, t, float(n - p), t_two_sided(t, n - p), int(n)))
+            coefficients.append((*key, term, float(est), se, t, float(n - p), t_two_sided(t, n - p), int(n), status))
         variances.append((
             *key, int(n), int(problem.units[b]), float(t1), float(t2), sigma2, float(t1 * sigma2), float(t2 * sigma2), value,
+            status,
         ))
+    release(problem.classes)
     return MixedFit(
         spark.createDataFrame(coefficients, head + COEFFICIENTS), spark.createDataFrame(variances, head + VARIANCES)
     )
@@ -304,13 +326,13 @@ def leave_one_out_mixed(
     covariates: Sequence[str] = (),
     log_outcome: bool = True,
     theta_grid: Sequence[float] | None = None,
-    local_rows: int = LOCAL_ROWS,
 ) -> DataFrame:
     """Exposure coefficient of the random-intercept model without each unit in turn.
 
     The totals at a grid of variance ratios, less the unit's own term, give every refit; nothing is scanned again.
     With a fixed ``theta_grid`` the best grid point is used. Otherwise the ratio is refined between the points of a
-    fine log grid, on which every entry of the totals is a smooth function.
+    fine log grid, on which every entry of the totals is a smooth function; the grid grows until no unit's best ratio
+    lies at its end.
     """
     names = [exposure, *covariates]
     q = len(names) + 1
@@ -324,21 +346,28 @@ def leave_one_out_mixed(
     if total["n"] is None:
         raise ValueError("no complete row to fit")
     refine = theta_grid is None
-    grid = [float(np.exp(k / 4)) for k in range(-48, 49)] if refine else sorted(float(t) for t in theta_grid)
-    thetas = np.array([0.0, *grid] if refine else grid)
-    problem = _Problem(classes, _few(classes, q, local_rows), {"": list(total["centre"])}, {"": total["n"]}, {"": 0.0}, q)
-    table = _evaluate(problem, {"": (thetas.tolist(), [0.0])}).sort_values("t1", ignore_index=True)
-    totals, logdets = _matrix(table, q), table["logdet"].to_numpy()
+    problem = _Problem(classes, {"": list(total["centre"])}, {"": total["n"]}, {"": 0.0}, q)
     centre, n_all = np.array(total["centre"], dtype=float), float(total["n"])
     out = T.StructType([units.schema[unit]] + T.StructType.fromDDL(LEAVE_ONE_OUT).fields)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for start in range(0, len(frame), 256):
-                part = frame.iloc[start:start + 256]
-                yield _refit(part, unit, thetas, totals, logdets, centre, n_all, refine, out.names)
-
-    return units.select(unit, "n", "m", "c").mapInPandas(run, out)
+    last = COARSE[-1]
+    while True:
+        grid = [0.0, *np.exp(np.arange(4 * COARSE[0], 4 * last + 1) / 4)] if refine else sorted(map(float, theta_grid))
+        thetas = np.array(grid, float)
+        table = _evaluate(problem, {"": (thetas.tolist(), [0.0])}).sort_values("t1", ignore_index=True)
+        totals, logdets = _matrix(table, q), table["logdet"].to_numpy()
+
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                for start in range(0, len(frame), 256):
+                    part = frame.iloc[start:start + 256]
+                    yield _refit(part, unit, thetas, totals, logdets, centre, n_all, refine, out.names)
+
+        rest = materialise(units.select(unit, "n", "m", "c").mapInPandas(run, out))
+        if not refine or last >= LAST_LOG or rest.filter(F.col("theta") >= float(np.exp(last - 1))).isEmpty():
+            release(units, classes)
+            return rest
+        release(rest)
+        last = min(2 * last, LAST_LOG)
 
 
 def _own(n: np.ndarray, d: np.ndarray, c: np.ndarray, theta: np.ndarray) -> np.ndarray:

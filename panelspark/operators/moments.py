@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from panelspark.operators.schema import quoted
 
-CENTRED_LIMIT = 6
-
 
 def pairs(q: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(q) for j in range(i, q)]
@@ -29,38 +27,25 @@ def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return kept
 
 
-def moment_columns(columns: Sequence[str], centre: Sequence[float] | None = None) -> list[Column]:
+def moment_columns(columns: Sequence[str]) -> list[Column]:
     """Aggregates ``n``, ``m`` (means) and ``c`` (upper triangle of centred cross-products).
 
-    Without ``centre`` the centred built-ins are used (stable in one pass, four buffers per pair). With ``centre``
-    plain sums of shifted products are used (one buffer per pair), which suits many columns. The columns must be
-    null in the same rows, or in none.
+    The centred built-ins are stable in one pass, whatever the level of a column. The columns must be null in the same
+    rows, or in none.
     """
     xs = [f"double({quoted(c)})" for c in columns]
     n = f"double(count({xs[0]}))"
-    if centre is None:
-        means = [f"avg({x})" for x in xs]
-        cross = [
-            f"{f'var_pop({xs[i]})' if i == j else f'covar_pop({xs[i]}, {xs[j]})'} * {n}" for i, j in pairs(len(xs))
-        ]
-    else:
-        shifted = [f"({x} - {float(s)!r}D)" for x, s in zip(xs, centre)]
-        means = [f"{float(s)!r}D + sum({x}) / {n}" for x, s in zip(shifted, centre)]
-        cross = [
-            f"sum({shifted[i]} * {shifted[j]}) - sum({shifted[i]}) * sum({shifted[j]}) / {n}" for i, j in pairs(len(xs))
-        ]
+    means = [f"avg({x})" for x in xs]
+    cross = [
+        f"{f'var_pop({xs[i]})' if i == j else f'covar_pop({xs[i]}, {xs[j]})'} * {n}" for i, j in pairs(len(xs))
+    ]
     return [F.expr(n).alias("n"), F.expr(f"array({', '.join(means)})").alias("m"), F.expr(f"array({', '.join(cross)})").alias("c")]
 
 
-def moments(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), centre: Sequence[float] | None = None
-) -> DataFrame:
+def moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """One row per group (or one row in all) of :func:`moment_columns` over complete rows."""
     kept = complete_rows(df, columns)
-    if centre is None and len(columns) > CENTRED_LIMIT:
-        means = kept.agg(*[F.avg(quoted(c)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
-        centre = [float(v or 0.0) for v in means]
-    stats = moment_columns(columns, centre)
+    stats = moment_columns(columns)
     return kept.groupBy(*by).agg(*stats) if by else kept.agg(*stats).filter("n > 0")
 
 
@@ -74,7 +59,11 @@ def unpack(triangle: np.ndarray, q: int) -> np.ndarray:
     return full
 
 
-def is_singular(a: np.ndarray, tolerance: float = 1e-11) -> bool:
+#: Least eigenvalue of a correlation matrix that counts as regular.
+SINGULAR = 1e-11
+
+
+def is_singular(a: np.ndarray, tolerance: float = SINGULAR) -> bool:
     """Whether a moment matrix is rank-deficient, judged on its correlation form."""
     d = np.sqrt(np.clip(np.diag(a), 0.0, None))
     if a.size == 0:

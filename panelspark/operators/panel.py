@@ -9,15 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.text import item_key, plain_lower
-from panelspark.operators.quality import guard
+from panelspark.operators.quality import QualityError, duplicate_keys, guard
 from panelspark.operators.schema import quoted
-
-
-CONDITIONAL_MEASURES = 40
-
-
-def _only(measure: str, name: str, value: str) -> Column:
-    return F.when(F.col(quoted(measure)) == F.lit(name), F.col(quoted(value)))
+from panelspark.session import materialise
 
 
 def has_any_word(c: Column, words: Sequence[str]) -> Column:
@@ -74,16 +68,27 @@ def min_size_units(df: DataFrame, unit: str, sizes: DataFrame, size: str, minimu
     return df.join(large, unit, "left_semi")
 
 
-def distinct_measures(df: DataFrame, measure: str, limit: int = 2000) -> list[str]:
-    """Sorted distinct measures; they become columns, so more than ``limit`` is an error and not a cut."""
-    found = [r[0] for r in df.select(measure).dropna().distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} distinct values in {measure}: they cannot become columns")
-    return sorted(found)
+def distinct_measures(df: DataFrame, measure: str) -> list[str]:
+    """Sorted distinct measures, which become the columns of a pivot."""
+    return sorted(r[0] for r in df.select(measure).dropna().distinct().collect())
 
 
-def _present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(columns))
+def present_rows(df: DataFrame, columns: Sequence[str], how: str = "any") -> DataFrame:
+    """Rows without nulls in the columns, or (``how='all'``) with a value in at least one."""
+    return df.dropna(how=how, subset=list(columns))
+
+
+def _wide(
+    df: DataFrame, keys: Sequence[str], measure: str, value: str, measures: Sequence[str] | None, cell: Column
+) -> tuple[DataFrame, list[str]]:
+    """One row per key and one column per measure: cells are aggregated first, then the keys' cells are laid out."""
+    kept = present_rows(df, [*keys, measure, value])
+    if measures is None:
+        names = distinct_measures(kept, measure)
+    else:
+        names = list(measures)
+        kept = kept.filter(F.col(quoted(measure)).isin(names))
+    return kept.groupBy(*keys).pivot(measure, names).agg(cell), names
 
 
 def pivot_mean(
@@ -94,61 +99,46 @@ def pivot_mean(
     measures: Sequence[str] | None = None,
     prefix: str = "",
 ) -> DataFrame:
-    """Long -> wide with the mean per cell. Keys whose every value is null vanish, as do null keys.
-
-    A few measures become conditional averages, which need one shuffle by the keys; many go through Spark's pivot
-    (two shuffles, but no test per measure and row). Pass ``measures`` to save the job that discovers them.
+    """Long -> wide with the mean per cell. Keys whose every value is null vanish, as do null keys and, where
+    ``measures`` are given (which saves the job that discovers them), keys that have none of these.
     """
-    kept = _present(df, [*keys, measure, value])
-    names = list(measures) if measures is not None else distinct_measures(kept, measure)
-    if len(names) > CONDITIONAL_MEASURES:
-        wide = kept.groupBy(*keys).pivot(measure, names).agg(F.avg(value))
-    else:
-        wide = kept.groupBy(*keys).agg(*[F.avg(_only(measure, n, value)).alias(str(n)) for n in names])
+    wide, names = _wide(df, keys, measure, value, measures, F.avg(value))
     return wide.withColumnsRenamed({str(n): f"{prefix}{n}" for n in names}) if prefix else wide
 
 
 def pivot_strict(
     df: DataFrame, keys: Sequence[str], measure: str, value: str, measures: Sequence[str] | None = None
 ) -> DataFrame:
-    """Long -> wide where each cell has exactly one row; a duplicate cell fails the query."""
-    kept = _present(df, [*keys, measure, value])
-    names = list(measures) if measures is not None else distinct_measures(kept, measure)
-
-    def checked(v: Column, n: Column, cell: Column) -> Column:
-        where = F.concat_ws(", ", *[F.col(quoted(c)).cast("string") for c in keys], cell)
-        return guard(v, n > 1, F.concat(F.lit("duplicate cell: "), where))
-
-    if len(names) > CONDITIONAL_MEASURES:
-        cells = kept.groupBy(*keys, measure).agg(F.count(F.lit(1)).alias("_n"), F.max(value).alias("_v"))
-        single = cells.withColumn("_v", checked(F.col("_v"), F.col("_n"), F.col(quoted(measure)).cast("string")))
-        return single.groupBy(*keys).pivot(measure, names).agg(F.max("_v"))
-    parts = []
-    for i, n in enumerate(names):
-        cell = _only(measure, n, value)
-        parts += [F.max(cell).alias(f"_v{i}"), F.count(cell).alias(f"_n{i}")]
-    wide = kept.groupBy(*keys).agg(*parts)
-    out = [checked(F.col(f"_v{i}"), F.col(f"_n{i}"), F.lit(str(n))).alias(str(n)) for i, n in enumerate(names)]
-    return wide.select(*keys, *out)
+    """Long -> wide where each cell has exactly one row; a duplicate cell fails the call.
+
+    The result is written before it is returned, so that no column or row selection can skip the check.
+    """
+    kept = present_rows(df, [*keys, measure, value])
+    cells = kept.groupBy(*keys, measure).agg(F.count(F.lit(1)).alias("_n"), F.max(value).alias("_v"))
+    where = F.concat_ws(", ", *[F.col(quoted(c)).cast("string") for c in [*keys, measure]])
+    single = cells.withColumn("_v", guard(F.col("_v"), F.col("_n") > 1, F.concat(F.lit("duplicate cell: "), where)))
+    return materialise(_wide(single.drop("_n"), keys, measure, "_v", measures, F.max("_v"))[0])
 
 
 def left_many_to_one(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join whose right side must be unique on the keys; a duplicate fails the query."""
+    """Left join whose right side must be unique on the keys; a duplicate, matched or not, fails the call.
+
+    The check is a job of its own over the right side, since a plan may drop whatever its columns do not need.
+    """
+    broken = duplicate_keys(right.dropna(subset=list(keys)), keys).orderBy(*keys).limit(10).collect()
+    if broken:
+        rows = "; ".join(", ".join(str(r[k]) for k in keys) for r in broken)
+        raise QualityError(f"right side is not unique at {rows}")
     extra = [c for c in right.columns if c not in keys]
-    single = right.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.first(F.struct(*map(quoted, extra))).alias("_row")
-    )
-    where = F.concat_ws(", ", *[F.col(quoted(c)).cast("string") for c in keys])
-    row = guard(F.col("_row"), F.col("_n") > 1, F.concat(F.lit("right side is not unique at "), where))
-    checked = single.select(*keys, row.alias("_row"))
-    joined = left.join(checked, list(keys), "left")
-    return joined.select(*left.columns, *[F.col(f"_row.{quoted(c)}").alias(c) for c in extra])
+    joined = left.join(right.select(*keys, *map(quoted, extra)), list(keys), "left")
+    return joined.select(*map(quoted, left.columns), *map(quoted, extra))
 
 
 def outer_panel(parts: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
     """Full outer 1:1 join of any number of wide tables in one shuffle.
 
-    The tables are stacked and grouped once by the keys; each contributes at most one row per key, or the query fails.
+    The tables are stacked and grouped once by the keys; each contributes at most one row per key, or the call fails.
+    The result is written before it is returned, so that no column or row selection can skip the check.
     """
     if not parts:
         raise ValueError("outer_panel needs at least one table")
@@ -165,4 +155,4 @@ def outer_panel(parts: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFram
     most = F.greatest(*[F.col(f"_n{i}") for i in range(len(stacked))], F.lit(0))
     where = F.concat_ws(", ", *[F.col(quoted(c)).cast("string") for c in keys])
     first_key = guard(F.col(quoted(keys[0])), most > 1, F.concat(F.lit("duplicate key in a part: "), where))
-    return merged.select(first_key.alias(keys[0]), *keys[1:], *[quoted(c) for c in values])
+    return materialise(merged.select(first_key.alias(keys[0]), *keys[1:], *[quoted(c) for c in values]))

@@ -9,32 +9,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.operators.schema import quoted
-from panelspark.session import materialise
+from panelspark.session import materialise, release
 
-IN_MEMORY_ROWS = 1_000_000
 BINS = 1024
-FINISH_ROWS = 50_000
 
 
-def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], in_memory_rows: int = IN_MEMORY_ROWS
-) -> list[float]:
+def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> list[float]:
     """Linearly interpolated quantiles of the non-null values; ``[]`` when there are none.
 
-    The column is written once, so that its source is computed in one pass. Up to ``in_memory_rows`` values Spark's
-    exact ``percentile`` is used; beyond, see :func:`order_statistics`.
+    The column is written once, so that its source is computed in one pass; see :func:`order_statistics`.
     """
     values = df.select(F.col(quoted(column)).cast("double").alias("x")).filter("x is not null and not isnan(x)")
     probs = [float(p) for p in probabilities]
     values = materialise(values)
     n = values.count()
     if n == 0:
+        release(values)
         return []
-    if n <= in_memory_rows:
-        return list(values.agg(F.percentile("x", F.array(*map(F.lit, probs))).alias("q")).first()["q"])
     places = [(n - 1) * p for p in probs]
     wanted = sorted({k for h in places for k in (floor(h), min(floor(h) + 1, n - 1))})
     found = order_statistics(values, "x", wanted)
+    release(values)
     out = []
     for h in places:
         low, high = found[floor(h)], found[min(floor(h) + 1, n - 1)]
@@ -42,39 +37,26 @@ def exact_quantiles(
     return out
 
 
-def order_statistics(df: DataFrame, column: str, ranks: Sequence[int], finish_rows: int = FINISH_ROWS) -> dict[int, float]:
+def order_statistics(df: DataFrame, column: str, ranks: Sequence[int]) -> dict[int, float]:
     """Exact values at 0-based ranks of a non-null column, by repeated narrowing.
 
     Each pass counts the values of every open interval in ``BINS`` equal bins (a grouped count that combines
     map-side), keeps the bin that holds the rank and shrinks it to the values seen there. An interval that holds one
-    distinct value is done, so ties of any size end it; a short one is finished by sorting its few values.
+    distinct value is done, so ties of any size end it; no task or driver ever holds more than the bins.
     """
     x = F.col(quoted(column)).cast("double")
     span = df.agg(F.min(x), F.max(x), F.count(x)).first()
     if span[2] == 0:
         return {}
-    open_ranks = {k: (span[0], span[1], 0, span[2]) for k in ranks}
+    open_ranks = {k: (span[0], span[1], 0) for k in ranks}
     found: dict[int, float] = {}
     while open_ranks:
-        for k, (low, high, _, _) in list(open_ranks.items()):
+        for k, (low, high, _) in list(open_ranks.items()):
             if low == high:
                 found[k] = low
                 del open_ranks[k]
         if not open_ranks:
             break
-        short = {k: v for k, v in open_ranks.items() if v[3] <= finish_rows}
-        if short:
-            picks = [
-                F.element_at(
-                    F.sort_array(F.collect_list(F.when(x.between(low, high), x))), F.lit(int(k - below + 1))
-                ).alias(f"k{k}")
-                for k, (low, high, below, _) in short.items()
-            ]
-            row = df.agg(*picks).first()
-            for k in short:
-                found[k] = row[f"k{k}"]
-                del open_ranks[k]
-            continue
         intervals = sorted({v[:2] for v in open_ranks.values()})
         marks = F.array(*[
             F.when(
@@ -93,11 +75,11 @@ def order_statistics(df: DataFrame, column: str, ranks: Sequence[int], finish_ro
         table: dict[int, list] = {}
         for r in sorted(counted, key=lambda r: (r["i"], r["b"])):
             table.setdefault(r["i"], []).append(r)
-        for k, (low, high, below, _) in list(open_ranks.items()):
+        for k, (low, high, below) in list(open_ranks.items()):
             seen = below
             for r in table[intervals.index((low, high))]:
                 if k < seen + r["n"]:
-                    open_ranks[k] = (r["low"], r["high"], seen, r["n"])
+                    open_ranks[k] = (r["low"], r["high"], seen)
                     break
                 seen += r["n"]
     return found

@@ -20,23 +20,26 @@ def first_present(columns: Sequence[str], wanted: Sequence[str]) -> str | None:
 
 
 def find_loose(columns: Sequence[str], names: Sequence[str], hints: Sequence[str] = ()) -> str | None:
-    """Case-insensitive trimmed match; failing that, the first column whose name holds every hint."""
-    by_key = {name.strip().lower(): name for name in columns}
-    for name in names:
-        if name.lower() in by_key:
-            return by_key[name.lower()]
-    return find_by_hints(columns, hints, squeeze=False) if hints else None
+    """The column that reads like the earliest of the names; without one, the first that holds all hints."""
+    spelled = [c.strip().lower() for c in columns]
+    places = [(rank, spelled.index(n)) for rank, n in enumerate(map(str.lower, names)) if n in spelled]
+    if places:
+        return columns[min(places)[1]]
+    return _holding(columns, spelled, hints) if hints else None
 
 
-def find_by_hints(columns: Sequence[str], hints: Sequence[str], squeeze: bool = True) -> str | None:
-    """First column whose name holds every hint; ``squeeze`` drops blanks and reads ``-`` as ``_``."""
-    for name in columns:
-        key = name.strip().lower()
-        if squeeze:
-            key = key.replace(" ", "").replace("-", "_")
-        if all(hint.lower() in key for hint in hints):
-            return name
-    return None
+def find_by_hints(columns: Sequence[str], hints: Sequence[str]) -> str | None:
+    """The first column that holds all hints, with blanks ignored and hyphens read as underscores."""
+    return _holding(columns, [c.lower().translate(_SQUEEZE) for c in columns], hints)
+
+
+_SQUEEZE = {ord(" "): None, ord("\t"): None, ord("-"): "_"}
+
+
+def _holding(columns: Sequence[str], spelled: Sequence[str], hints: Sequence[str]) -> str | None:
+    wanted = [h.lower() for h in hints]
+    hits = (column for column, text in zip(columns, spelled) if sum(h in text for h in wanted) == len(wanted))
+    return next(hits, None)
 
 
 def missing_targets(columns: Sequence[str], aliases: Mapping[str, Sequence[str]]) -> list[str]:
@@ -44,14 +47,20 @@ def missing_targets(columns: Sequence[str], aliases: Mapping[str, Sequence[str]]
 
 
 def alias_project(
-    df: DataFrame, aliases: Mapping[str, Sequence[str]], source: str, source_column: str = "fonte"
+    df: DataFrame, aliases: Mapping[str, Sequence[str]], source: str, source_column: str = "fonte",
+    keep_absent: bool = False,
 ) -> DataFrame:
-    """Project onto the target vocabulary; targets without a match are null strings, so schemas always agree."""
+    """Project onto the target vocabulary.
+
+    A target without a match is left out, so that later steps can tell an absent column from an empty one;
+    ``keep_absent`` makes it a column of null strings instead. See :func:`missing_targets` for what was left out.
+    """
     picked = []
     for target, names in aliases.items():
         found = first_present(df.columns, names)
-        column = F.col(quoted(found)) if found else F.lit(None).cast(T.StringType())
-        picked.append(column.alias(target))
+        if found or keep_absent:
+            column = F.col(quoted(found)) if found else F.lit(None).cast(T.StringType())
+            picked.append(column.alias(target))
     return df.select(*picked, F.lit(source).alias(source_column))
 
 

@@ -38,8 +38,13 @@ def indicators(spark: SparkSession, folder: str, names: Mapping[str, str]) -> Da
     return rows.withColumn("nome_indicador", panel.map_values(F.col("indicador"), by_code))
 
 
-def food_contract(raw: DataFrame, first: int, last: int, m49: DataFrame | None = None) -> DataFrame:
-    """Food-supply extract -> canonical rows; areas without a code drop out, duplicates and missing items abort."""
+def food_contract(
+    raw: DataFrame, first: int, last: int, m49: DataFrame | None = None, review: str | None = None
+) -> DataFrame:
+    """Food-supply extract -> canonical rows; areas without a code drop out, duplicates and missing items abort.
+
+    ``review`` names a folder for the table of areas that dropped out.
+    """
     found = {k: schema.find_loose(raw.columns, names) for k, names in vocab.FOOD_HEADERS.items()}
     missing = [k for k in ("pais", "ano", "item", "valor") if found[k] is None]
     if missing:
@@ -67,6 +72,9 @@ def food_contract(raw: DataFrame, first: int, last: int, m49: DataFrame | None =
         (F.trim(column("flag")) if found["flag"] else F.lit(None).cast("string")).alias("flag"),
     )
     kept = panel.period_filter(rows, "ano", first, last, ["item", "consumo_kg_capita"])
+    if review:
+        lost = kept.filter(F.col("iso3").isNull()).groupBy("pais").agg(F.count(F.lit(1)).alias("n_rows"))
+        write_table(lost, f"{review}/food_areas_without_code", ["pais"])
     kept = kept.filter(F.col("iso3").isNotNull())
     quality.assert_unique(kept, ["iso3", "ano", "item"], "food extract")
     return kept
@@ -110,15 +118,23 @@ def components(spark: SparkSession, path: str) -> DataFrame:
 # ---- harmonise and build -------------------------------------------------------------------------------------------
 
 def harmonised(
-    df: DataFrame, id_source: str | None = None, ids: DataFrame | None = None, dictionary: DataFrame | None = None
+    df: DataFrame, id_source: str | None = None, ids: DataFrame | None = None, dictionary: DataFrame | None = None,
+    review: str | None = None, file_name: str = "",
 ) -> DataFrame:
-    """Rows with a resolved country code. A source keyed by location id must resolve in full; others drop the rest."""
-    strict = id_source is not None and lookup.is_single_source(df, id_source)
+    """Rows with a resolved country code. A source keyed by location id must resolve in full; others drop the rest.
+
+    ``review`` names a folder for the table of all unresolved labels, which is written before a strict source aborts.
+    """
+    absent = [c for c in ("iso3", "pais") if c not in df.columns]
+    df = df.withColumns({c: F.lit(None).cast("string") for c in absent})
+    strict = id_source is not None and lookup.is_single_source(df, id_source, file_name=file_name)
     aliases = lookup.alias_dimension(df.sparkSession, vocab.COUNTRY_ALIASES)
     resolved = lookup.resolve_cascade(
         df, "iso3", "pais", aliases, ids if strict else None, F.lit(strict), dictionary
     )
     labels = [c for c in ("fonte", "pais", "iso3") if c in df.columns]
+    if review:
+        write_table(lookup.unresolved_report(resolved, labels), f"{review}/unresolved_labels", labels)
     kept = lookup.keep_resolved(resolved, labels, "fail" if strict else "drop")
     return kept.withColumn("iso3", F.col("resolved")).drop("resolved", "match_method")
 
@@ -126,6 +142,7 @@ def harmonised(
 def outcomes(burden: DataFrame, measures: Sequence[str] | None = None) -> DataFrame:
     """Age-standardised rates of the cause, one ``asr_*`` column per measure."""
     rules = {"causa": vocab.CAUSE_WORDS, "metrica": vocab.METRIC_WORDS, "faixa_etaria": vocab.AGE_WORDS}
+    schema.require_columns(burden, ["causa", "metrica", "medida", "valor", "ano"], "burden")
     kept = panel.keyword_filter(burden, rules, optional=["faixa_etaria"])
     rows = kept.select(
         "iso3", to_int(F.col("ano")).alias("ano"),
@@ -243,11 +260,11 @@ def descriptive(wide: DataFrame, outcome: str = "asr_incidence", exposure: str =
 
 
 def save(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Write result tables as delimited text."""
+    """Write result tables as delimited text, in the order of their leading column and keys."""
     for name, df in tables.items():
-        write_table(df, f"{folder}/{name}")
+        write_table(df, f"{folder}/{name}", schema.available(df, KEYS) or df.columns[:1])
 
 
 def save_stage(df: DataFrame, folder: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write a stage as Parquet and go on from the files."""
-    return write_stage(df, f"{folder}/{name}", partition_by)
+    """Write a stage as Parquet in key order and go on from the files."""
+    return write_stage(df, f"{folder}/{name}", partition_by, [*partition_by, *schema.available(df, KEYS)])

@@ -124,10 +124,53 @@ r AS (
   UNION ALL SELECT 'x', ba, sqrt(s2 * sbb / det), n FROM e UNION ALL SELECT 'x2', bb, sqrt(s2 * saa / det), n FROM e
 )
 SELECT term, {q6('est')} AS estimate, {q6('se')} AS std_error, {q6('est / se', 4)} AS statistic, n - 3 AS df,
-       CAST(n AS BIGINT) AS n_obs FROM r""")
+       {q6(model_sql.t_tail('est / se', '(n - 3)'), 5)} AS p_value, CAST(n AS BIGINT) AS n_obs, 'ok' AS status FROM r""")
 def ols_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     fit = linear.ols(customer_month(spark, sf_dir), "y", ["x", "x2"], log_outcome=True)
-    return rounded(rounded(fit, "estimate", "std_error"), "statistic", digits=4).drop("p_value")
+    return rounded(rounded(rounded(fit, "estimate", "std_error"), "statistic", digits=4), "p_value", digits=5)
+
+
+WIDE = {
+    "x": "x", "x2": "x2", "x3": "x3", "xx": "x * x", "x2x2": "x2 * x2", "x3x3": "x3 * x3", "xx2": "x * x2", "xx3": "x * x3",
+    "x2x3": "x2 * x3", "season": "CAST(period % 12 AS DOUBLE)", "year": "floor(period / 12) - 1990",
+}
+
+
+@query("ols_wide", f"""
+WITH {CUSTOMER_MONTH}, d AS (SELECT {', '.join(f'{v} AS w{i}' for i, v in enumerate(WIDE.values()))}, ln(y) AS v FROM cm WHERE y > 0),
+{model_sql.eliminate('d', [f'w{i}' for i in range(len(WIDE))], 'v', 'o')}
+""" + " UNION ALL ".join(
+    f"SELECT '{t}' AS term, {q6(f'b{i}', 5)} AS estimate, n - 12 AS df, CAST(n AS BIGINT) AS n_obs, 'ok' AS status FROM o_fit"
+    for i, t in enumerate(["(Intercept)", *WIDE])))
+def ols_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = customer_month(spark, sf_dir).select("y", *[F.expr(v).alias(k) for k, v in WIDE.items()])
+    fit = linear.ols(panel, "y", list(WIDE), log_outcome=True)
+    return rounded(fit, "estimate", digits=5).select("term", "estimate", "df", "n_obs", "status")
+
+
+@query("fit_status", f"""
+WITH {CUSTOMER_MONTH}, {POSITIVE}
+SELECT CAST(imp AS INTEGER) AS imp, CASE WHEN imp = 2 THEN 'collinear' ELSE 'ok' END AS status, 2::BIGINT AS n_terms,
+       count(*)::BIGINT AS n_obs FROM d, (SELECT unnest([1, 2, 3]) AS imp) GROUP BY imp""")
+def fit_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copies_with_a_failure(spark, sf_dir).groupBy("imp", "status").agg(
+        F.count(F.lit(1)).alias("n_terms"), F.max("n_obs").alias("n_obs")
+    )
+
+
+def copies_with_a_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One fit for each of three copies; the regressor of the second is constant."""
+    copies = customer_month(spark, sf_dir).withColumn("imp", F.explode(F.sequence(F.lit(1), F.lit(3))))
+    moved = copies.withColumn("x", F.when(F.col("imp") == 2, F.lit(1.0)).otherwise(F.col("x") * F.col("imp")))
+    return linear.ols(moved, "y", ["x"], ["imp"], log_outcome=True)
+
+
+@query("pool_partial", f"""
+WITH {CUSTOMER_MONTH}, {POSITIVE}
+SELECT 'x' AS term, 2::BIGINT AS m, 1::BIGINT AS m_failed, {q6('(regr_slope(v, x) + regr_slope(v, x * 3)) / 2')} AS estimate FROM d""")
+def pool_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pooled = impute.pool(copies_with_a_failure(spark, sf_dir)).filter("term = 'x'")
+    return rounded(pooled, "estimate").select("term", "m", "m_failed", "estimate")
 
 
 @query("stratified_slopes", f"""
@@ -186,12 +229,15 @@ def rcs_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {_SPLINE}, {model_sql.eliminate('sp', ['x', 'x_s1', 'x_s2'], 'v', 'o')}, {model_sql.eliminate('sp', ['x'], 'v', 'l')},
 b AS (SELECT o_fit.n, o_fit.rss AS rf, l_fit.rss AS rl, o_fit.tss FROM o_fit, l_fit)
 SELECT 'exposure' AS test, {q6('((tss - rf) / 3) / (rf / (n - 4))')} AS statistic, 3.0::DOUBLE AS df_num, n - 4 AS df_den,
-       {q6('rf', 4)} AS rss_spline, {q6('rl', 4)} AS rss_linear FROM b
-UNION ALL SELECT 'nonlinear', {q6('((rl - rf) / 2) / (rf / (n - 4))')}, 2.0, n - 4, {q6('rf', 4)}, {q6('rl', 4)} FROM b
-UNION ALL SELECT 'likelihood_ratio', {q6('n * ln(rl / rf)')}, 2.0, NULL, {q6('rf', 4)}, {q6('rl', 4)} FROM b""")
+       {q6(model_sql.f_tail('((tss - rf) / 3) / (rf / (n - 4))', '3.0', '(n - 4)'), 5)} AS p_value,
+       {q6('rf', 4)} AS rss_spline, {q6('rl', 4)} AS rss_linear, 'ok' AS status FROM b
+UNION ALL SELECT 'nonlinear', {q6('((rl - rf) / 2) / (rf / (n - 4))')}, 2.0, n - 4,
+  {q6('pow(1 + ((rl - rf) / 2) / (rf / (n - 4)) * 2 / (n - 4), -(n - 4) / 2)', 5)}, {q6('rf', 4)}, {q6('rl', 4)}, 'ok' FROM b
+UNION ALL SELECT 'likelihood_ratio', {q6('n * ln(rl / rf)')}, 2.0, NULL, {q6('exp(-n * ln(rl / rf) / 2)', 5)}, {q6('rf', 4)},
+  {q6('rl', 4)}, 'ok' FROM b""")
 def nonlinearity_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     tests = linear.nonlinearity_test(materialise(customer_month(spark, sf_dir)), "y", "x")
-    return rounded(rounded(tests, "statistic"), "rss_spline", "rss_linear", digits=4).drop("p_value")
+    return rounded(rounded(rounded(tests, "statistic"), "rss_spline", "rss_linear", digits=4), "p_value", digits=5)
 
 
 _LEAVE_ONE_OUT = f"""
@@ -254,19 +300,68 @@ def cluster_se(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(fit, "std_error", "statistic").select("term", "std_error", "statistic", "df")
 
 
+@query("twoway_unbalanced", f"""
+WITH {CUSTOMER_MONTH}, {model_sql.two_way('cm', ['x', 'y'])},
+f AS (SELECT sum(x * y) / sum(x * x) AS b, sum(x * x) AS sxx, CAST(count(*) AS DOUBLE) AS n FROM tw),
+z AS (SELECT CAST(count(DISTINCT unit) AS DOUBLE) AS g, CAST(count(DISTINCT period) AS DOUBLE) AS t FROM cm),
+j AS (SELECT sum(s * s) AS j FROM (SELECT unit, sum(x * (y - b * x)) AS s FROM tw, f GROUP BY unit)),
+e AS (SELECT b, n, g, sqrt(j * g / (g - 1) * (n - 1) / (n - 1 - t)) / sxx AS se FROM f, z, j)
+SELECT 'x' AS term, {q6('b')} AS estimate, {q6('se')} AS std_error, {q6('b / se', 4)} AS statistic, g - 1 AS df,
+       {q6(model_sql.t_tail('b / se', '(g - 1)'), 5)} AS p_value, CAST(n AS BIGINT) AS n_obs, 'ok' AS status FROM e""")
+def twoway_unbalanced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = fixed_effects.two_way_fixed_effects(customer_month(spark, sf_dir), "y", ["x"], "unit", "period")
+    return rounded(rounded(rounded(fit, "estimate", "std_error"), "statistic", digits=4), "p_value", digits=5)
+
+
 _CM_MIXED = f"{CUSTOMER_MONTH}, src AS (SELECT '' AS grp, stratum, unit, x, ln(y) AS y FROM cm WHERE y > 0)"
 _CM_FLAT = f"{CUSTOMER_MONTH}, src AS (SELECT '' AS grp, 0 AS stratum, unit, x, ln(y) AS y FROM cm WHERE y > 0)"
 
 
+def coefficient_table(fit: DataFrame) -> DataFrame:
+    return rounded(rounded(rounded(fit, "estimate", "std_error"), "statistic", digits=3), "p_value", digits=5)
+
+
 @query("mixed_intercept", f"WITH {_CM_FLAT}, {model_sql.mixed('src', False)} {model_sql.mixed_coefficients()}")
 def mixed_intercept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fit = mixed.mixed_model(customer_month(spark, sf_dir), "y", ["x"], "unit").coefficients
-    return rounded(fit, "estimate", "std_error").select("term", "estimate", "std_error", "n_obs")
+    return coefficient_table(mixed.mixed_model(customer_month(spark, sf_dir), "y", ["x"], "unit").coefficients)
+
+
+def supplier_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers by calendar months, every cell filled: a large effect of the supplier next to its counts of lines."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(
+        F.col("l_suppkey").alias("unit"), F.month("l_shipdate").alias("period")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("unit"), "s_acctbal")
+    months = supplier.withColumn("period", F.explode(F.sequence(F.lit(1), F.lit(12))))
+    counted = months.join(lines, ["unit", "period"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return counted.select("unit", "period", (F.col("s_acctbal") * 1000 + F.col("n")).alias("y"), F.col("period").cast("double").alias("x"))
+
+
+# In a balanced panel with the same regressor in every unit the restricted estimates are the moments of the two strata.
+@query("mixed_high_ratio", f"""
+WITH sm AS (
+  SELECT s_suppkey AS unit, m AS x, s_acctbal * 1000 + coalesce(n, 0) AS y
+  FROM supplier CROSS JOIN (SELECT unnest(range(1, 13))::DOUBLE AS m)
+  LEFT JOIN (SELECT l_suppkey, month(l_shipdate)::DOUBLE AS lm, count(*) AS n FROM lineitem GROUP BY 1, 2) ON l_suppkey = s_suppkey AND lm = m
+),
+w AS (SELECT unit, x - 6.5 AS xd, y - avg(y) OVER (PARTITION BY unit) AS yd, avg(y) OVER (PARTITION BY unit) AS my FROM sm),
+s AS (SELECT count(DISTINCT unit)::DOUBLE AS g, sum(xd * xd) AS sxx, sum(xd * yd) AS sxy, sum(yd * yd) AS syy FROM w),
+v AS (SELECT *, sxy / sxx AS b, (syy - sxy * sxy / sxx) / (g * 11 - 1) AS s2, (SELECT var_samp(my) FROM (SELECT DISTINCT unit, my FROM w)) AS vb FROM s)
+SELECT CAST(g * 12 AS BIGINT) AS n_obs, {q6('b', 5)} AS slope, {q6('sqrt(s2 / sxx)', 5)} AS slope_error, {q6('s2', 3)} AS sigma2,
+       {q6('ln(vb - s2 / 12)', 4)} AS log_var_unit, {q6('ln((vb - s2 / 12) / s2) / 10', 3)} AS log_ratio, 'ok' AS status FROM v""")
+def mixed_high_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = mixed.mixed_model(supplier_months(spark, sf_dir), "y", ["x"], "unit", log_outcome=False, rounds=7)
+    slope = fit.coefficients.filter("term = 'x'").select("estimate", "std_error")
+    return fit.variances.crossJoin(slope).select(
+        "n_obs", r6("estimate", 5).alias("slope"), r6("std_error", 5).alias("slope_error"), r6("sigma2", 3).alias("sigma2"),
+        r6(F.ln("var_unit"), 4).alias("log_var_unit"), r6(F.ln("theta_unit") / 10, 3).alias("log_ratio"), "status",
+    )
 
 
 _VARIANCES = f"""
 SELECT CAST(nn AS BIGINT) AS n_obs, units AS n_units, {q6('t1')} AS theta_unit, {q6('t2')} AS theta_stratum,
-       {q6('rss / (nn - 2)')} AS sigma2, {q6('t1 * rss / (nn - 2)')} AS var_unit, {q6('t2 * rss / (nn - 2)')} AS var_stratum
+       {q6('rss / (nn - 2)')} AS sigma2, {q6('t1 * rss / (nn - 2)')} AS var_unit, {q6('t2 * rss / (nn - 2)')} AS var_stratum,
+       'ok' AS status
 FROM mixed_fit"""
 
 
@@ -278,8 +373,7 @@ def mixed_variances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("mixed_nested", f"WITH {_CM_MIXED}, {model_sql.mixed('src', True)} {model_sql.mixed_coefficients()}")
 def mixed_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fit = mixed.mixed_model(customer_month(spark, sf_dir), "y", ["x"], "unit", "stratum").coefficients
-    return rounded(fit, "estimate", "std_error").select("term", "estimate", "std_error", "n_obs")
+    return coefficient_table(mixed.mixed_model(customer_month(spark, sf_dir), "y", ["x"], "unit", "stratum").coefficients)
 
 
 THETA_GRID = [0.0, *[exp(k / 2) for k in range(-16, 9)]]
@@ -290,8 +384,9 @@ _CONTROL = f"""{NATION_YEAR}, src AS (
 
 @query("control_outcome", f"WITH {_CONTROL}, {model_sql.mixed('src', True)} {model_sql.mixed_coefficients('outcome')}")
 def control_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fit = mixed.control_outcomes(nation_year(spark, sf_dir), ["y", "n_orders", "absent"], ["x"], "unit", "stratum")
-    return rounded(fit, "estimate", "std_error").select("outcome", "term", "estimate", "std_error", "n_obs")
+    return coefficient_table(
+        mixed.control_outcomes(nation_year(spark, sf_dir), ["y", "n_orders", "absent"], ["x"], "unit", "stratum")
+    )
 
 
 _LOO_MIXED = f"""
@@ -342,6 +437,17 @@ def gee_ar1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(fit, "estimate", "std_error").select("term", "estimate", "std_error", "n_obs")
 
 
+@query("gee_dates", f"""
+WITH {_GEE} SELECT {q6('b1')} AS slope, {q6('sqrt(v11)')} AS std_error, {q6('rho')} AS alpha, CAST(n AS BIGINT) AS n_obs FROM gee_var""")
+def gee_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same series with the first day of each month as the period."""
+    month = F.col("period") - 1
+    dated = customer_month(spark, sf_dir).withColumn("period", F.make_date(F.floor(month / 12).cast("int"), month % 12 + 1, F.lit(1)))
+    fit = gee.gee_ar1(materialise(dated), "y", ["x"], "unit", "period")
+    slope = fit.coefficients.filter("term = 'x'").select(r6("estimate").alias("slope"), r6("std_error").alias("std_error"))
+    return slope.crossJoin(fit.working.select(r6("alpha").alias("alpha"), "n_obs"))
+
+
 @query("gee_working", f"WITH {_GEE} SELECT {q6('rho')} AS alpha, {q6('scale')} AS scale, CAST(n AS BIGINT) AS n_obs FROM gee_var")
 def gee_working(spark: SparkSession, sf_dir: str) -> DataFrame:
     fit = gee.gee_ar1(materialise(customer_month(spark, sf_dir)), "y", ["x"], "unit", "period").working
@@ -391,6 +497,58 @@ def mice_pmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impute.mice(panel, ["unit", "period"], ["y", "x", "x2", "x3"], m=3, iterations=2, carry=["stratum"])
 
 
+@query("completed", f"""
+WITH {CUSTOMER_MONTH},
+h AS (SELECT unit, period, x, x3, CASE WHEN (period - 1) % 12 + 1 > 3 THEN y END AS y FROM cm),
+s AS (
+  SELECT avg(x) AS ma, avg(x3) AS mb, avg(y) AS mv, var_pop(x) * count(*) * 1.00001 AS saa, var_pop(x3) * count(*) * 1.00001 AS sbb,
+         covar_pop(x, x3) * count(*) AS sab, covar_pop(x, y) * count(*) AS sav, covar_pop(x3, y) * count(*) AS sbv
+  FROM h WHERE y IS NOT NULL
+),
+b AS (SELECT *, (sbb * sav - sab * sbv) / (saa * sbb - sab * sab) AS ba, (saa * sbv - sab * sav) / (saa * sbb - sab * sab) AS bb FROM s),
+p AS (SELECT h.*, mv - ba * ma - bb * mb + ba * x + bb * x3 AS yhat FROM h, b),
+o AS (
+  SELECT *, count(y) OVER (ORDER BY yhat, y IS NOT NULL, unit, period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS r FROM p
+),
+rc AS (SELECT unit, period, yhat, unnest([r, r + 1]) AS r FROM o WHERE y IS NULL),
+nb AS (
+  SELECT rc.unit, rc.period, dn.y,
+         row_number() OVER (PARTITION BY rc.unit, rc.period ORDER BY abs(dn.yhat - rc.yhat), dn.r) AS pos
+  FROM rc JOIN (SELECT * FROM o WHERE y IS NOT NULL) dn ON dn.r = rc.r
+)
+SELECT unit, period, {q6('y', 8)} AS y FROM h WHERE y IS NOT NULL
+UNION ALL SELECT unit, period, {q6('y', 8)} FROM nb WHERE pos = 1""")
+def completed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second copy of chained equations without draws: each missing cell takes the nearest donor's value."""
+    panel = materialise(holed_panel(spark, sf_dir).drop("x2"))
+    copies = impute.mice(panel, ["unit", "period"], ["y", "x", "x3"], m=2, iterations=2, neighbours=1, draw=False)
+    return rounded(impute.completed(copies, 2), "y", digits=8).select("unit", "period", "y")
+
+
+@query("mice_check", f"""
+WITH {CUSTOMER_MONTH},
+h AS (SELECT CASE WHEN (period - 1) % 12 + 1 > 3 THEN y END AS y, CASE WHEN (period - 1) % 12 + 1 <> 5 THEN x2 END AS x2 FROM cm)
+SELECT CAST(imp AS INTEGER) AS imp, count(*) AS n_rows, 0::BIGINT AS n_null, count(y) AS y_kept, count(*) - count(y) AS y_from_observed,
+       count(x2) AS x2_kept, count(*) - count(x2) AS x2_from_observed
+FROM h, (SELECT unnest([1, 2, 3]) AS imp) GROUP BY imp""")
+def mice_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per copy: rows, nulls left, observed cells that are unchanged, and imputed cells that are observed values."""
+    panel = materialise(holed_panel(spark, sf_dir))
+    copies = impute.mice(panel, ["unit", "period"], ["y", "x", "x2", "x3"], m=3, iterations=2)
+    joined = copies.join(panel.select("unit", "period", F.col("y").alias("y0"), F.col("x2").alias("x20")), ["unit", "period"])
+    for c in ("y", "x2"):
+        seen = panel.filter(F.col(c).isNotNull()).select(F.col(c)).distinct().withColumn(f"{c}_seen", F.lit(True))
+        joined = joined.join(seen, c, "left")
+    values = ("y", "x", "x2", "x3")
+    return joined.groupBy("imp").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.greatest(*[F.col(c).isNull() for c in values])).alias("n_null"),
+        F.count_if(F.col("y0") == F.col("y")).alias("y_kept"),
+        F.count_if(F.col("y0").isNull() & F.col("y_seen")).alias("y_from_observed"),
+        F.count_if(F.col("x20") == F.col("x2")).alias("x2_kept"),
+        F.count_if(F.col("x20").isNull() & F.col("x2_seen")).alias("x2_from_observed"),
+    )
+
+
 @query("rubin_pool", f"""
 WITH {CUSTOMER_MONTH},
 cp AS (SELECT imp, x, ln(y + imp * x3 / 10) AS v FROM cm, (SELECT unnest([1, 2, 3, 4, 5]) AS imp) WHERE y + imp * x3 / 10 > 0),
@@ -406,14 +564,16 @@ e AS (
 g AS (SELECT term, count(*) AS m, avg(est) AS est, avg(u) AS w, var_samp(est) AS bt, max(n) - 2 AS nu FROM e GROUP BY term),
 t AS (SELECT *, w + (1 + 1.0 / m) * bt AS tot, (1 + 1.0 / m) * bt / (w + (1 + 1.0 / m) * bt) AS lam FROM g),
 o AS (SELECT *, (m - 1) / (lam * lam) AS od, (nu + 1) / (nu + 3) * nu * (1 - lam) AS sd FROM t)
-SELECT term, m, {q6('est')} AS estimate, {q6('sqrt(tot)')} AS std_error, {q6('est / sqrt(tot)')} AS statistic,
-       {q6('od * sd / (od + sd)', 3)} AS df, {q6('w')} AS within, {q6('bt')} AS between, {q6('lam')} AS missing_share FROM o""")
+SELECT term, m, 0::BIGINT AS m_failed, {q6('est')} AS estimate, {q6('sqrt(tot)')} AS std_error, {q6('est / sqrt(tot)')} AS statistic,
+       {q6('od * sd / (od + sd)', 3)} AS df, {q6(model_sql.t_tail('est / sqrt(tot)', '(od * sd / (od + sd))'), 5)} AS p_value,
+       {q6('w')} AS within, {q6('bt')} AS between, {q6('lam')} AS missing_share FROM o""")
 def rubin_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = customer_month(spark, sf_dir).withColumn("imp", F.explode(F.sequence(F.lit(1), F.lit(5))))
     shifted = copies.withColumn("y", F.col("y") + F.col("imp") * F.col("x3") / 10)
     pooled = impute.pool(linear.ols(shifted, "y", ["x"], ["imp"], log_outcome=True))
-    out = rounded(pooled, "estimate", "std_error", "statistic", "within", "between", "missing_share")
-    return rounded(out, "df", digits=3)
+    tested = pooled.withColumn("p_value", impute.t_p_value("statistic", "df"))
+    out = rounded(tested, "estimate", "std_error", "statistic", "within", "between", "missing_share")
+    return rounded(rounded(out, "df", digits=3), "p_value", digits=5)
 
 
 # ---- post-estimation -----------------------------------------------------------------------------------------------
@@ -438,9 +598,21 @@ def evalue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(effects.e_value(slopes, sd), *columns).select("stratum", *columns)
 
 
-@query("morans_i", f"""
+@query("model_residuals", f"""
+WITH {CUSTOMER_MONTH}, {POSITIVE}, f AS (SELECT regr_slope(v, x) AS b, regr_intercept(v, x) AS a FROM d)
+SELECT unit, period, {q6('a + b * x')} AS fitted, {q6('v - a - b * x')} AS residual FROM d, f""")
+def model_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = customer_month(spark, sf_dir)
+    fit = linear.ols(panel, "y", ["x"], log_outcome=True)
+    told = linear.with_residuals(panel.filter("y > 0"), fit, "y", log_outcome=True)
+    return rounded(told, "fitted", "residual").select("unit", "period", "fitted", "residual")
+
+
+def _moran(value: str) -> str:
+    """Moran's I over the trade links of ``value``, CTEs that end in ``va(unit, x)``."""
+    return f"""
 WITH {NATION_YEAR},
-va AS (SELECT unit, avg(ln(y)) AS x FROM ny GROUP BY unit),
+{value},
 ed AS (
   SELECT a.n_name AS src, b.n_name AS dst, sum(l_quantity) AS w FROM lineitem
   JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
@@ -459,13 +631,27 @@ m AS (SELECT *, n * zl / (s0 * z2) AS i, -1 / (n - 1) AS e, (z4 / na) / pow(z2 /
 v AS (SELECT *, (n * ((n * n - 3 * n + 3) * s1 - n * s2 + 3 * s0 * s0) - b2 * ((n * n - n) * s1 - 2 * n * s2 + 6 * s0 * s0))
                 / ((n - 1) * (n - 2) * (n - 3) * s0 * s0) - e * e AS var FROM m)
 SELECT CAST(n AS BIGINT) AS n_units, (SELECT count(*) FROM w) AS n_links, {q6('s0')} AS weight_sum, {q6('i')} AS moran_i,
-       {q6('e')} AS expected, {q6('var')} AS variance, {q6('(i - e) / sqrt(var)')} AS z FROM v""")
+       {q6('e')} AS expected, {q6('var')} AS variance, {q6('(i - e) / sqrt(var)')} AS z FROM v"""
+
+
+@query("morans_i", _moran("va AS (SELECT unit, avg(ln(y)) AS x FROM ny GROUP BY unit)"))
 def morans_i(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = nation_year(spark, sf_dir).groupBy("unit").agg(F.avg(F.ln("y")).alias("x"))
     test = effects.morans_i(values, "unit", "x", trade_links(spark, sf_dir))
     return rounded(test, "weight_sum", "moran_i", "expected", "variance", "z")
 
 
+@query("morans_residuals", _moran("""
+fr AS (SELECT regr_slope(ln(y), x) AS b, regr_intercept(ln(y), x) AS a FROM ny),
+va AS (SELECT unit, avg(ln(y) - a - b * x) AS x FROM ny, fr GROUP BY unit)"""))
+def morans_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = materialise(nation_year(spark, sf_dir))
+    told = linear.with_residuals(panel, linear.ols(panel, "y", ["x"], log_outcome=True), "y", log_outcome=True)
+    values = told.groupBy("unit").agg(F.avg("residual").alias("x"))
+    test = effects.morans_i(values, "unit", "x", trade_links(spark, sf_dir))
+    return rounded(test, "weight_sum", "moran_i", "expected", "variance", "z")
+
+
 def trade_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantity shipped from each supplier nation to each customer nation, as a weighted neighbour table."""
     lineitem, supplier = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")

@@ -8,6 +8,21 @@ from panelspark.operators.mixed import COARSE, ROUNDS
 from panelspark.plans.registry import q6
 
 
+def f_tail(f: str, df1: str, df2: str, steps: int = 2000) -> str:
+    """P(F > f) by Simpson's rule over the density of the root of F."""
+    top = f"least(sqrt(greatest({f}, 0)), 60)"
+    x = f"({top} * i / {steps})"
+    weight = f"CASE WHEN i = 0 OR i = {steps} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    body = f"{weight} * 2 * pow({x}, {df1} - 1) * pow(1 + {df1} * {x} * {x} / {df2}, -({df1} + {df2}) / 2)"
+    scale = f"pow({df1} / {df2}, {df1} / 2) * exp(lgamma(({df1} + {df2}) / 2) - lgamma({df1} / 2) - lgamma({df2} / 2))"
+    return f"(1 - {scale} * {top} / {3 * steps} * list_sum([{body} for i in range({steps + 1})]))"
+
+
+def t_tail(t: str, df: str) -> str:
+    """Two-sided tail of Student's t."""
+    return f_tail(f"({t}) * ({t})", "1.0", df)
+
+
 def eliminate(source: str, xs: Sequence[str], y: str, tag: str) -> str:
     """CTEs that solve least squares of ``y`` on ``xs`` with an intercept by symmetric elimination.
 
@@ -40,6 +55,21 @@ def eliminate(source: str, xs: Sequence[str], y: str, tag: str) -> str:
     return ",\n".join(parts)
 
 
+def two_way(source: str, columns: Sequence[str], rounds: int = 60) -> str:
+    """CTEs that take unit and period means out of the columns in turn; ``tw(unit, <c>...)`` holds what remains."""
+    kept = ", ".join(columns)
+    parts = [f"tw_0 AS MATERIALIZED (SELECT unit, period, {kept} FROM {source})"]
+    for r in range(rounds):
+        for half, key in (("a", "unit"), ("b", "period")):
+            before = f"tw_{r}" if half == "a" else f"tw_{r}a"
+            after = f"tw_{r}a" if half == "a" else f"tw_{r + 1}"
+            out = ", ".join(f"{c} - avg({c}) OVER (PARTITION BY {key}) AS {c}" for c in columns)
+            parts.append(f"{after} AS MATERIALIZED (SELECT unit, period, {out} FROM {before})")
+    out = ", ".join(f"{c} - avg({c}) OVER (PARTITION BY unit) AS {c}" for c in columns)
+    parts.append(f"tw AS (SELECT unit, {out} FROM tw_{rounds})")
+    return ",\n".join(parts)
+
+
 def mixed(source: str, nested: bool, rounds: int = ROUNDS) -> str:
     """CTEs for the random-intercept model with one regressor over ``source(grp, stratum, unit, x, y)``.
 
@@ -104,12 +134,13 @@ def mixed_coefficients(by: str | None = None) -> str:
     """Final SELECT over ``mixed_fit``: intercept and slope with standard errors."""
     key = f"grp AS {by}, " if by else ""
     s2 = "(rss / (nn - 2))"
-    intercept = q6("b0 - b1 * cx + cy")
-    spread = q6(f"sqrt({s2} * (mxx + 2 * cx * m0x + cx * cx * m00) / det)")
-    slope_error = q6(f"sqrt({s2} * m00 / det)")
+    head = key and "grp, "
     return f"""
-SELECT {key}'(Intercept)' AS term, {intercept} AS estimate, {spread} AS std_error, CAST(nn AS BIGINT) AS n_obs FROM mixed_fit
-UNION ALL SELECT {key}'x', {q6('b1')}, {slope_error}, CAST(nn AS BIGINT) FROM mixed_fit"""
+, mixed_terms AS (
+  SELECT grp, '(Intercept)' AS term, b0 - b1 * cx + cy AS est, sqrt({s2} * (mxx + 2 * cx * m0x + cx * cx * m00) / det) AS se, nn
+  FROM mixed_fit UNION ALL SELECT grp, 'x', b1, sqrt({s2} * m00 / det), nn FROM mixed_fit)
+SELECT {key or head}term, {q6('est')} AS estimate, {q6('se')} AS std_error, {q6('est / se', 3)} AS statistic, nn - 2 AS df,
+       {q6(t_tail('est / se', '(nn - 2)'), 5)} AS p_value, CAST(nn AS BIGINT) AS n_obs, 'ok' AS status FROM mixed_terms"""
 
 
 def gee(source: str, rounds: int = 12) -> str:

@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.numeric import row_sum, to_double, to_int
 from panelspark.functions.text import code_key, name_key, plain_lower, slug
-from panelspark.operators import lookup, panel, quality
+from panelspark.operators import lookup, panel, quality, schema
+from panelspark.operators.ranking import running_count
 from panelspark.operators.schema import alias_project
 from panelspark.plans.registry import q6, query, r6
 from panelspark.plans.views import (
-    COMPONENTS, EVENT_TYPES, NATION_YEAR, USER_DAY, USER_DAY_WIDE, nation_year, table, user_day, user_day_wide,
+    COMPONENTS, EVENT_TYPES, USER_DAY, USER_DAY_WIDE, table, user_day, user_day_wide,
 )
 from panelspark.session import shared_folder
 from panelspark.sources import landed
+from panelspark.sources.sinks import write_stage, write_table
 
 
 # ---- sources -------------------------------------------------------------------------------------------------------
@@ -99,7 +101,7 @@ def source_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT p_partkey AS code, p_name AS name, p_brand AS brand, CAST(NULL AS VARCHAR) AS region, 'part' AS fonte FROM part""")
 def alias_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     aliases = {"code": ["part_id", "p_partkey", "p_size"], "name": ["P_NAME", "p_name"], "brand": ["p_brand"], "region": ["zone"]}
-    return alias_project(table(spark, sf_dir, "part"), aliases, "part")
+    return alias_project(table(spark, sf_dir, "part"), aliases, "part", keep_absent=True)
 
 
 @query("coerce_numeric", """
@@ -427,41 +429,147 @@ def left_m2o(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panel.left_many_to_one(supplier, nation, ["s_nationkey"])
 
 
-def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier-side nation x year: lines shipped from 1998 on."""
-    lineitem, supplier = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
-    nation = table(spark, sf_dir, "nation")
-    recent = lineitem.filter(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
-    per_supplier = recent.groupBy("l_suppkey", F.year("l_shipdate").alias("period")).agg(F.sum("l_quantity").alias("q"))
-    return (
-        per_supplier.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("s_nationkey", "period").agg((F.sum("q") / 1000).alias("shipped"))
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(F.col("n_name").alias("unit"), "period", "shipped")
-    )
-
-
-SHIPMENTS = """
-sh AS (
-  SELECT n_name AS unit, CAST(year(l_shipdate) AS INTEGER) AS period, sum(l_quantity) / 1000 AS shipped
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-  WHERE l_shipdate >= TIMESTAMP '1998-01-01' GROUP BY 1, 2
-)"""
-
-
 def outer_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    demand = nation_year(spark, sf_dir).filter("period <= 2000").select("unit", "period", "y", "x")
-    return {"demand": demand, "shipments": shipments(spark, sf_dir)}
+    """Orders by customer and events by user, over calendar months: neither side has all ids and months of the other."""
+    orders, events = table(spark, sf_dir, "orders"), table(spark, sf_dir, "events")
+    demand = orders.groupBy(F.col("o_custkey").alias("unit"), F.month("o_orderdate").alias("period")).agg(
+        F.avg("o_totalprice").alias("y"), F.count(F.lit(1)).cast("double").alias("x")
+    )
+    activity = events.groupBy(F.col("user_id").alias("unit"), F.month("ts").alias("period")).agg(F.avg("value").alias("used"))
+    return {"demand": demand, "activity": activity}
 
 
 @query("outer_panel", f"""
-WITH {NATION_YEAR}, {SHIPMENTS}
-SELECT unit, period, {q6('ln(y)')} AS log_y, {q6('x * x')} AS x_squared, {q6('ln(shipped)')} AS log_shipped
-FROM (SELECT unit, period, y, x FROM ny WHERE period <= 2000) FULL JOIN sh USING (unit, period)""")
+WITH dm AS (SELECT o_custkey AS unit, CAST(month(o_orderdate) AS INTEGER) AS period, avg(o_totalprice) AS y, count(*)::DOUBLE AS x FROM orders GROUP BY 1, 2),
+ac AS (SELECT user_id AS unit, CAST(month(ts) AS INTEGER) AS period, avg(value) AS used FROM events GROUP BY 1, 2)
+SELECT unit, period, {q6('ln(y)')} AS log_y, {q6('x * x')} AS x_squared, {q6('ln(used)')} AS log_used FROM dm FULL JOIN ac USING (unit, period)""")
 def outer_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = panel.outer_panel(outer_sources(spark, sf_dir), ["unit", "period"])
     # Means of amounts in cents often end in a 5 exactly; logs and squares do not, so rounding cannot tie.
     return wide.select(
         "unit", "period", r6(F.ln("y")).alias("log_y"), r6(F.col("x") * F.col("x")).alias("x_squared"),
-        r6(F.ln("shipped")).alias("log_shipped"),
+        r6(F.ln("used")).alias("log_used"),
+    )
+
+
+# ---- readers, gates and sinks as whole round trips -----------------------------------------------------------------
+
+def landed_folder(spark: SparkSession, kind: str) -> str:
+    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+@query("delimited_read", """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS code, c_name AS name, c_acctbal AS balance, c_nationkey AS nation FROM customer""")
+def delimited_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file with another delimiter, codes with leading zeros and typed columns."""
+    folder = landed_folder(spark, "delimited")
+    customer = table(spark, sf_dir, "customer").select(
+        F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias(" code "), F.col("c_name").alias("name"),
+        F.col("c_acctbal").alias("balance"), F.col("c_nationkey").alias("nation"),
+    )
+    customer.write.option("header", True).option("sep", ";").csv(folder)
+    return landed.read_delimited(spark, folder, types={"balance": "double", "nation": "int"})
+
+
+@query("folder_report", """
+SELECT 'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment' AS header, 'segment_code' AS absent, count(*) AS n_rows, 0::BIGINT AS n_corrupt FROM customer
+UNION ALL SELECT 's_suppkey,s_name,s_nationkey,s_acctbal', 'segment, segment_code', count(*), 0 FROM supplier""")
+def folder_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = landed_folder(spark, "landed")
+    for name in ("customer", "supplier"):
+        table(spark, sf_dir, name).write.mode("append").option("header", True).csv(folder)
+    return landed.folder_report(spark, folder, PARTY_ALIASES | {"segment_code": ["zone"]}).select(
+        "header", F.array_join("absent", ", ").alias("absent"), "n_rows", "n_corrupt"
     )
+
+
+@query("optional_rule", """
+SELECT CAST(p_partkey AS VARCHAR) AS code, p_name AS name FROM part WHERE contains(p_name, 'ring')""")
+def optional_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files without the optional column keep their rows: the rule on it is skipped."""
+    folder = landed_folder(spark, "landed")
+    table(spark, sf_dir, "part").select("p_partkey", "p_name").write.option("header", True).csv(folder)
+    rows = landed.read_folder(spark, folder, "part", {"code": ["p_partkey"], "name": ["p_name"], "age": ["age_name"]})
+    rules = {"name": ["ring"], "age": ["standard"]}
+    return panel.keyword_filter(rows, rules, optional=["age"]).select("code", "name")
+
+
+@query("contract_select", "SELECT n_name AS unit, n_nationkey AS code FROM nation")
+def contract_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landed.select_contract(table(spark, sf_dir, "nation"), {"unit": "n_name", "code": "n_nationkey"})
+
+
+@query("sorted_sink", """
+SELECT l_suppkey, l_linenumber, n_lines, row_number() OVER (ORDER BY l_suppkey, l_linenumber) AS position
+FROM (SELECT l_suppkey, l_linenumber, count(*) AS n_lines FROM lineitem GROUP BY 1, 2)""")
+def sorted_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written in key order as delimited text; the position is where its line stands in the files."""
+    folder = landed_folder(spark, "sink")
+    counted = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n_lines"))
+    write_table(counted, folder, ["l_suppkey", "l_linenumber"])
+    lines = spark.read.schema("l_suppkey long, l_linenumber int, n_lines long").option("header", True).csv(folder)
+    placed = lines.withColumns({"file": F.col("_metadata.file_name"), "at": F.monotonically_increasing_id()})
+    return running_count(placed, ["file", "at"], "position").select("l_suppkey", "l_linenumber", "n_lines", "position")
+
+
+@query("stage_copies", "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority = '1-URGENT'")
+def stage_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stage partitioned by a column: one value's rows come from its files alone."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    stage = write_stage(orders, landed_folder(spark, "stage"), ["o_orderpriority"])
+    return stage.filter("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_orderpriority")
+
+
+@query("schema_tools", """
+SELECT p_partkey AS part_p_partkey, p_size AS part_p_size, p_retailprice AS part_p_retailprice FROM part WHERE p_partkey IS NOT NULL""")
+def schema_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loose and required columns, prefixes, and the numeric and available ones of a table."""
+    part = schema.require_columns(table(spark, sf_dir, "part"), ["p_partkey", "p_size"], "part")
+    key = schema.find_loose(part.columns, ("part key", "P_PARTKEY"))
+    hinted = schema.find_by_hints(part.columns, ["retail", "price"])
+    prefixed = schema.prefix_columns(part, "part_", [])
+    wanted = [f"part_{c}" for c in (key, "p_size", hinted, "absent")]
+    numeric = [c for c in schema.numeric_columns(prefixed) if c in schema.columns_with_prefix(prefixed, "part_")]
+    return quality.assert_not_empty(prefixed.select(*[c for c in schema.available(prefixed, wanted) if c in numeric]), "part")
+
+
+@query("same_label", """
+SELECT s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_name = 'NATION_7'""")
+def same_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equality of normalised labels."""
+    nation = table(spark, sf_dir, "nation").withColumn("label", F.concat(F.lit("  "), F.translate(F.lower("n_name"), "ai", "áî"), F.lit(" ")))
+    chosen = nation.filter(name_key(F.col("label")) == name_key(F.lit("Nation_7 ")))
+    return table(spark, sf_dir, "supplier").join(chosen, F.col("s_nationkey") == F.col("n_nationkey"), "left_semi").select("s_suppkey")
+
+
+@query("resolved_only", f"WITH {CASCADE} SELECT c_custkey, resolved FROM rr WHERE resolved IS NOT NULL")
+def resolved_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lenient policy keeps what was resolved; the strict one must refuse the same rows."""
+    resolved = cascade(spark, sf_dir)
+    try:
+        lookup.keep_resolved(resolved, ["fonte", "label"], "fail")
+    except quality.QualityError:
+        return lookup.keep_resolved(resolved, ["fonte", "label"]).select("c_custkey", "resolved")
+    raise AssertionError("unresolved labels passed the strict policy")
+
+
+@query("source_class", """
+SELECT c_mktsegment AS segment, TRUE AS single, FALSE AS mixed FROM customer GROUP BY 1""")
+def source_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the rows of one segment, and those of all, come from that segment alone."""
+    customer = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("fonte"))
+    segments = panel.distinct_measures(customer, "fonte")
+    rows = [
+        (s, lookup.is_single_source(customer.filter(F.col("fonte") == s), s.lower()), lookup.is_single_source(customer, s))
+        for s in segments
+    ]
+    return spark.createDataFrame(rows, "segment string, single boolean, mixed boolean")
+
+
+@query("dup_examples", """
+SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1 ORDER BY 1, 2 LIMIT 10""")
+def dup_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten duplicate keys, as the failing gate lists them."""
+    return quality.duplicate_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]).orderBy(
+        "l_orderkey", "l_linenumber"
+    ).limit(10)

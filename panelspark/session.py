@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -10,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
-_LOCAL_FOLDERS: dict[str, str] = {}
+_LOCAL_FOLDERS: dict[str, tempfile.TemporaryDirectory] = {}  # removed when the process ends
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,8 +27,8 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="panelspark-")
-    return _LOCAL_FOLDERS[app]
+        _LOCAL_FOLDERS[app] = tempfile.TemporaryDirectory(prefix="panelspark-", ignore_cleanup_errors=True)
+    return _LOCAL_FOLDERS[app].name
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -38,7 +39,21 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-_SHIPPED: set[str] = set()
+def release(*tables: DataFrame) -> None:
+    """Delete tables that :func:`materialise` wrote, once nothing reads them any more."""
+    for df in tables:
+        spark = df.sparkSession
+        jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        root = shared_folder(spark)
+        for file in df.inputFiles():
+            name = re.search(r"/table-[0-9a-f]{32}(?=/)", file)
+            if name:
+                path = jvm.org.apache.hadoop.fs.Path(root + name[0])
+                path.getFileSystem(conf).delete(path, True)
+                break
+
+
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -47,9 +62,10 @@ def ship_package(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     package = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="panelspark-")) / f"{package.name}.zip"  # read by the driver's file server
+    folder = tempfile.TemporaryDirectory(prefix="panelspark-zip-", ignore_cleanup_errors=True)
+    target = Path(folder.name) / f"{package.name}.zip"  # handed out by the driver
     with zipfile.ZipFile(target, "w") as archive:
         for source in sorted(package.rglob("*.py")):
             archive.write(source, source.relative_to(package.parent))
     spark.sparkContext.addPyFile(str(target))
-    _SHIPPED.add(app)
+    _SHIPPED[app] = folder

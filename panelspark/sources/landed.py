@@ -5,7 +5,6 @@ from __future__ import annotations
 import csv
 import warnings
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,12 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark.functions.vocab import NULL_TOKENS
-from panelspark.operators.schema import alias_project, quoted
+from panelspark.operators.schema import alias_project, missing_targets, quoted
 
 RECORD_SCHEMA = (
     "array<struct<countryiso3code: string, country: struct<value: string>, date: string, value: double>>"
 )
-FIELD_LIMIT = 1 << 20
+#: Column for what stands beyond the last field of a header.
+BEYOND = "_beyond"
 
 
 def flatten_payload(df: DataFrame, payload: str, indicator: Column) -> DataFrame:
@@ -34,20 +34,28 @@ def flatten_payload(df: DataFrame, payload: str, indicator: Column) -> DataFrame
     )
 
 
+def _payload_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole files below ``indicator=<code>`` directories with the code as text, just as the path has it."""
+    files = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)
+    code = F.regexp_extract(F.col("_metadata.file_path"), "/indicator=([^/]+)/[^/]*$", 1)
+    plain = code
+    for _ in range(2):  # the path is escaped as a URI, the name in it as a directory of a partition
+        plain = F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))
+    return files.select("value", plain.alias("indicator")).filter("indicator <> ''")
+
+
 def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
     """Landed payload files below ``folder``; the ``indicator=<code>`` directory of each is its tag.
 
     A file that is no payload adds no rows, so one failed indicator does not stop the others.
     """
-    files = spark.read.option("basePath", folder).text(f"{folder}/indicator=*", wholetext=True)
-    return flatten_payload(files, "value", F.col("indicator").cast("string"))
+    return flatten_payload(_payload_files(spark, folder), "value", F.col("indicator"))
 
 
 def payload_report(spark: SparkSession, folder: str) -> DataFrame:
     """Indicators whose landed files gave no record."""
-    files = spark.read.option("basePath", folder).text(f"{folder}/indicator=*", wholetext=True)
     records = F.from_json(F.try_element_at(F.from_json("value", "array<string>"), F.lit(2)), RECORD_SCHEMA)
-    counted = files.groupBy(F.col("indicator").cast("string").alias("indicador")).agg(
+    counted = _payload_files(spark, folder).groupBy(F.col("indicator").alias("indicador")).agg(
         F.sum(F.coalesce(F.size(records), F.lit(0))).alias("n_records")
     )
     return counted.filter(F.coalesce("n_records", F.lit(0)) <= 0)
@@ -83,14 +91,29 @@ def _split_header(header: str, delimiter: str) -> list[str]:
     return names
 
 
-def _read_strings(
+def _read_raw(
     spark: SparkSession, paths: Sequence[str], names: Sequence[str], delimiter: str, multi_line: bool = False
 ) -> DataFrame:
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    """Every field as text; BEYOND holds the first field too many of a record that is longer than the header."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BEYOND]])
     reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True)
     reader = reader.option("sep", delimiter).option("mode", "PERMISSIVE").option("escape", '"')
     reader = reader.option("multiLine", multi_line).option("ignoreLeadingWhiteSpace", False)
-    return nulls_from_tokens(reader.csv(list(paths)))
+    return reader.csv(list(paths))
+
+
+def _read_strings(
+    spark: SparkSession, paths: Sequence[str], names: Sequence[str], delimiter: str, multi_line: bool = False,
+    ragged: str = "drop",
+) -> DataFrame:
+    if ragged not in ("drop", "fail"):
+        raise ValueError("ragged is 'drop' or 'fail'")
+    raw = _read_raw(spark, paths, names, delimiter, multi_line)
+    whole = F.col(BEYOND).isNull()
+    if ragged == "fail":
+        record = F.concat_ws(delimiter, *map(quoted, [*names, BEYOND]))
+        whole = F.when(~whole, F.raise_error(F.concat(F.lit("too many fields: "), record))).otherwise(F.lit(True))
+    return nulls_from_tokens(raw.filter(whole).drop(BEYOND))
 
 
 def read_delimited(
@@ -101,10 +124,12 @@ def read_delimited(
     bad_header: str | None = None,
     strip_header: bool = True,
     multi_line: bool = False,
+    ragged: str = "drop",
 ) -> DataFrame:
     """Delimited text with a header; every column is text unless ``types`` names another type (lenient cast).
 
-    Codes such as ``004`` keep their zeros. ``bad_header`` names a header that proves the file corrupt.
+    Codes such as ``004`` keep their zeros. ``bad_header`` names a header that proves the file corrupt. Records with
+    more fields than the header are dropped, or (``ragged='fail'``) fail the query.
     """
     header = header_line(spark, path)
     sep = delimiter or sniff_delimiter(header)
@@ -113,23 +138,35 @@ def read_delimited(
         names = [n.strip() for n in names]
     if bad_header and bad_header in names:
         raise ValueError(f"{path}: corrupt header, a delimiter is missing in {bad_header!r}")
-    df = _read_strings(spark, [path], names, sep, multi_line)
+    df = _read_strings(spark, [path], names, sep, multi_line, ragged)
     for name, kind in (types or {}).items():
         if name in df.columns:
             df = df.withColumn(name, F.col(quoted(name)).try_cast(kind))
     return df
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list[str]:
-    """File paths of one folder without lock files (``~`` prefix); only metadata is read."""
+def layouts(spark: SparkSession, folder: str, pattern: str = "*.csv") -> dict[str, list[str]]:
+    """Header line -> paths of the files of one folder that have it, from one job; lock files (``~``) are left out.
+
+    What comes to the driver is a line for each file, as Spark's own listing does. Files that cannot be read, and those
+    without a line, are left out.
+    """
+    reader = spark.read.option("pathGlobFilter", pattern).option("ignoreCorruptFiles", True)
     try:
-        listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-        paths = sorted(r["path"] for r in listing.select("path").collect())
+        lines = reader.text(folder)
     except Exception as error:
         if "PATH_NOT_FOUND" in str(error):
-            return []
+            return {}
         raise
-    return [p for p in paths if not p.rsplit("/", 1)[-1].startswith("~")]
+    first_block = lines.select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"),
+        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"),
+    ).filter("start = 0 AND name NOT LIKE '~%'")
+    heads = first_block.groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    found: dict[str, list[str]] = {}
+    for row in heads.orderBy("path").collect():
+        found.setdefault(row["header"].lstrip("\ufeff"), []).append(row["path"])
+    return found
 
 
 def read_folder(
@@ -140,35 +177,42 @@ def read_folder(
     pattern: str = "*.csv",
     delimiter: str = ",",
     multi_line: bool = False,
+    ragged: str = "drop",
 ) -> DataFrame:
     """Every delimited file of a folder on one vocabulary.
 
-    Files with the same header are read by one scan, and the scans are stacked by name. A file whose header cannot be
-    read is skipped with a warning; an empty folder gives an empty table of the same schema.
+    Files with the same header are read by one scan, and the scans are stacked by name. Targets that no file has are left
+    out; those that some files have are null in the others. See :func:`folder_report` for what each layout lacks. An
+    empty folder gives an empty table with all targets.
     """
-    paths = list_files(spark, folder, pattern)
-
-    def header(path: str) -> str | None:
-        try:
-            return header_line(spark, path)
-        except Exception as error:
-            warnings.warn(f"skipped {path}: {error}", stacklevel=2)
-            return None
-
-    with ThreadPoolExecutor(8) as pool:
-        headers = list(pool.map(header, paths))
-    layouts: dict[str, list[str]] = {}
-    for path, text in zip(paths, headers):
-        if text:
-            layouts.setdefault(text, []).append(path)
     parts = [
-        alias_project(_read_strings(spark, group, _split_header(text, delimiter), delimiter, multi_line), aliases, source)
-        for text, group in layouts.items()
+        alias_project(_read_strings(spark, paths, _split_header(text, delimiter), delimiter, multi_line, ragged), aliases, source)
+        for text, paths in layouts(spark, folder, pattern).items()
     ]
     if not parts:
         empty = T.StructType([T.StructField(n, T.StringType()) for n in [*aliases, "fonte"]])
         return spark.createDataFrame([], empty)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return whole.select(*[quoted(c) for c in [*aliases, "fonte"] if c in whole.columns])
+
+
+REPORT = "header string, n_files bigint, absent array<string>, n_rows bigint, n_corrupt bigint"
+
+
+def folder_report(
+    spark: SparkSession, folder: str, aliases: Mapping[str, Sequence[str]], pattern: str = "*.csv", delimiter: str = ","
+) -> DataFrame:
+    """For each layout of a folder: its files, the targets it lacks, its records, and those with too many fields."""
+    parts = []
+    for text, paths in layouts(spark, folder, pattern).items():
+        names = _split_header(text, delimiter)
+        absent = F.array(*map(F.lit, missing_targets(names, aliases))).cast("array<string>")
+        raw = _read_raw(spark, paths, names, delimiter)
+        parts.append(raw.agg(
+            F.lit(text).alias("header"), F.lit(len(paths)).cast("bigint").alias("n_files"), absent.alias("absent"),
+            F.count(F.lit(1)).alias("n_rows"), F.count(BEYOND).alias("n_corrupt"),
+        ))
+    return reduce(lambda a, b: a.unionByName(b), parts) if parts else spark.createDataFrame([], REPORT)
 
 
 def union_tagged(parts: Mapping[str, DataFrame], tag: str = "nome_indicador") -> DataFrame:

@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write a stage as Parquet and return it as read back, so that later stages start from the files."""
-    writer = df.write.mode("overwrite")
+def write_stage(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), order_by: Sequence[str] = ()
+) -> DataFrame:
+    """Write a stage as Parquet, in key order where asked, and return it as read back: later stages start from the files."""
+    writer = (df.orderBy(*order_by) if order_by else df).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -99,6 +99,26 @@ def test_study_from_files_to_tables(spark, landed, tmp_path):
     assert tables["quartiles"].count() == 4 and tables["e_value"].first()["e_value"] >= 1
 
 
+def test_a_file_without_an_age_column_keeps_its_rows(spark, tmp_path):
+    head = "location_name,year,measure_name,cause_name,metric_name,val"
+    write(tmp_path / "in" / "a.csv", f"{head}\nBrasil,2010,Incidência,Câncer de Esôfago,Taxa,2.5\nKenya?,2010,Incidência,Câncer de Esôfago,Taxa,1\n")
+    rows = cp.standardised(spark, str(tmp_path / "in"), "who")
+    assert "faixa_etaria" not in rows.columns and "iso3" not in rows.columns
+    kept = cp.harmonised(rows, review=str(tmp_path / "review"))
+    assert [tuple(r) for r in cp.outcomes(kept).collect()] == [("BRA", 2010, 2.5)]
+    review = spark.read.option("header", True).csv(str(tmp_path / "review" / "unresolved_labels")).collect()
+    assert [r["pais"] for r in review] == ["Kenya?"]
+    aged = f"{head},age_name\nBrasil,2011,Incidência,Câncer de Esôfago,Taxa,2.5,Idade padronizada\nBrasil,2012,Incidência,Câncer de Esôfago,Taxa,9,5-9\n"
+    write(tmp_path / "in" / "b.csv", aged)
+    both = cp.outcomes(cp.harmonised(cp.standardised(spark, str(tmp_path / "in"), "who")))
+    assert [tuple(r) for r in both.collect()] == [("BRA", 2011, 2.5)]  # with a column in one file, the rule holds
+
+
+def test_the_file_name_makes_a_source_strict(spark):
+    df = spark.createDataFrame([("1", "Nowhere", "x")], "iso3 string, pais string, fonte string")
+    assert lookup.is_single_source(df, "gbd", file_name="GBD_2021.csv") and not lookup.is_single_source(df, "gbd")
+
+
 def test_an_unknown_id_aborts(spark, landed):
     ids = lookup.id_dimension(spark.createDataFrame([("1", "BRA")], "location_id string, iso3 string"), "location_id", "iso3")
     with pytest.raises(QualityError, match="unresolved"):

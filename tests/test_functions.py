@@ -44,9 +44,9 @@ def test_codes_and_slugs(spark):
 
 
 def test_lenient_numbers(spark):
-    df = spark.createDataFrame([("6.0",), (" 7 ",), ("x",), ("NaN",), (None,), ("-2.9",)], "t string")
+    df = spark.createDataFrame([("6.0",), (" 7 ",), ("x",), ("NaN",), (None,), ("-2.9",), ("7D",), ("1.5f",), ("1e3",), (".5",), ("-",), ("5.",)], "t string")
     rows = df.select(numeric.to_double(F.col("t")).alias("d"), numeric.to_int(F.col("t")).alias("i")).collect()
-    assert [tuple(r) for r in rows] == [(6.0, 6), (7.0, 7), (None, None), (None, None), (None, None), (-2.9, -2)]
+    assert [tuple(r) for r in rows] == [(6.0, 6), (7.0, 7), (None, None), (None, None), (None, None), (-2.9, -2), (None, None), (None, None), (1000.0, 1000), (0.5, 0), (None, None), (5.0, 5)]
 
 
 def test_row_sum_and_mean_keep_all_null_rows_null(spark):

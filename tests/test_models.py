@@ -4,8 +4,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from panelspark.operators import effects, fixed_effects, gee, index, linear, mixed
-from panelspark.operators.moments import moments
+from panelspark.operators import effects, fixed_effects, gee, impute, index, linear, mixed
+from panelspark.operators.moments import moments, unpack
 from panelspark.operators.quality import QualityError
 from panelspark.operators.quantiles import exact_quantiles, order_statistics
 from panelspark.operators.ranking import running_count
@@ -62,7 +62,7 @@ def test_ols_overall_and_by_group(panel, pdf):
         assert r["estimate"] == pytest.approx(ols_direct(design(part, ["x"]), np.log(part.y))[0][1], rel=1e-9)
 
 
-def test_wide_models_use_shifted_sums(spark):
+def test_wide_models_far_from_zero(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(200, 8)) + 2015.0
     y = x @ np.arange(8) + rng.normal(size=200)
@@ -71,14 +71,17 @@ def test_wide_models_use_shifted_sums(spark):
     beta = ols_direct(np.column_stack([np.ones(200), x]), y)[0]
     got = estimates(linear.ols(df, "y", names))
     assert [got[n][0] for n in names] == pytest.approx(beta[1:], rel=1e-7)
-    a = moments(df, names[:3]).first()
-    b = moments(df, names[:3], centre=[2015.0] * 3).first()
-    assert np.allclose(a["c"], b["c"], rtol=1e-9) and np.allclose(a["m"], b["m"])
+    told = moments(df, names).first()
+    centred = x - x.mean(axis=0)
+    assert np.allclose(unpack(np.array(told["c"]), 8), centred.T @ centred, rtol=1e-8) and np.allclose(told["m"], x.mean(axis=0))
 
 
-def test_collinear_and_empty_groups_have_no_rows(spark):
+def test_collinear_and_empty_groups_say_so(spark):
     df = spark.createDataFrame([("a", 1.0, 2.0, 1.0), ("a", 2.0, 4.0, 2.0), ("a", 3.0, 6.0, 5.0), ("b", 1.0, 1.0, None)], "g string, x double, w double, y double")
-    assert linear.ols(df, "y", ["x", "w"], ["g"]).count() == 0
+    got = {(r["g"], r["term"]): r for r in linear.ols(df, "y", ["x", "w"], ["g"]).collect()}
+    assert len(got) == 6
+    assert {r["estimate"] for r in got.values()} == {None} and got["b", "x"]["status"] == "no_rows" and got["b", "x"]["n_obs"] == 0
+    assert got["a", "x"]["status"] in ("collinear", "too_few_rows") and got["a", "x"]["n_obs"] == 3
 
 
 def test_stratified_slope_of_a_constant_is_null(spark):
@@ -155,10 +158,50 @@ def test_nested_intercepts_and_the_spark_evaluation(panel, pdf):
     for a, b in ((1.02, 1), (0.98, 1), (1, 1.02), (1, 0.98)):
         assert reml(pdf, ["x"], v["theta_unit"] * a, v["theta_stratum"] * b + 1e-9)[0] >= value - 1e-9
     assert estimates(local.coefficients)["x"] == pytest.approx((beta[1], se[1]), rel=1e-8)
-    grid = [0.0, 0.1, 0.5, 1.0, 3.0]
-    here = mixed.mixed_model(panel, "y", ["x"], "unit", "stratum", theta_grid=grid)
-    there = mixed.mixed_model(panel, "y", ["x"], "unit", "stratum", theta_grid=grid, local_rows=0)
-    assert estimates(here.coefficients)["x"] == pytest.approx(estimates(there.coefficients)["x"], rel=1e-9)
+    assert v["status"] == "ok"
+
+
+@pytest.mark.parametrize("ratio", [1e-8, 1.0, 1e8, 1e16])
+def test_any_variance_ratio_is_found(spark, ratio):
+    rng = np.random.default_rng(12)
+    unit = np.repeat(np.arange(30), 8)
+    x = rng.normal(size=240)
+    y = 1 + 0.5 * x + np.sqrt(ratio) * rng.normal(size=30)[unit] + rng.normal(size=240)
+    pdf = pd.DataFrame({"unit": unit, "stratum": 0, "x": x, "y": y})
+    fit = mixed.mixed_model(spark.createDataFrame(pdf), "y", ["x"], "unit", log_outcome=False)
+    v = fit.variances.first()
+    assert v["status"] == "ok"
+    if ratio >= 1.0:  # within units the fit does not depend on the unit effects
+        within = pdf - pdf.groupby("unit")[["unit", "stratum", "x", "y"]].transform("mean")
+        b = (within.x @ within.y) / (within.x @ within.x)
+        rss = ((within.y - b * within.x) ** 2).sum()
+        wide = ratio >= 1e8
+        assert v["sigma2"] == pytest.approx(rss / (240 - 30 - 1), rel=1e-3 if wide else 0.05)
+        if wide:
+            assert estimates(fit.coefficients)["x"][0] == pytest.approx(b, rel=1e-4)
+            assert v["var_unit"] == pytest.approx(ratio, rel=0.6)
+    if ratio <= 1e8:
+        dense = pdf.assign(y=np.exp(y - y.mean()) if ratio <= 1 else y)
+        if ratio <= 1:
+            near = [reml(dense, ["x"], t)[0] for t in (v["theta_unit"], v["theta_unit"] * 1.05 + 1e-3, v["theta_unit"] * 0.95)]
+            assert near[0] <= min(near) + 1e-6
+    rest = mixed.leave_one_out_mixed(spark.createDataFrame(pdf), "unit", "y", "x", log_outcome=False).filter("unit = 3").first()
+    refit = mixed.mixed_model(spark.createDataFrame(pdf[pdf.unit != 3]), "y", ["x"], "unit", log_outcome=False)
+    assert (rest["estimate"], rest["std_error"]) == pytest.approx(estimates(refit.coefficients)["x"], rel=1e-3)
+
+
+def test_fits_without_a_solution_say_so(spark):
+    rows = [("a", u, float(t), float(u)) for u in range(5) for t in range(4)]  # nothing varies within units
+    rows += [("b", u, 1.0, float(u + t * t)) for u in range(5) for t in range(4)]
+    rows += [("c", u, float(t), float(u + t + (u * t) % 3)) for u in range(5) for t in range(4)]
+    df = spark.createDataFrame(rows, "g string, unit int, x double, y double")
+    fit = mixed.mixed_model(df, "y", ["x"], "unit", by="g", log_outcome=False)
+    assert {r["g"]: r["status"] for r in fit.variances.collect()} == {"a": "unbounded", "b": "not_identified", "c": "ok"}
+    assert fit.coefficients.filter("estimate is null").count() == 4 and fit.coefficients.count() == 6
+    pooled = impute.pool(fit.coefficients).first()
+    assert (pooled["m"], pooled["m_failed"]) == (1, 2)
+    with pytest.raises(PySparkException, match="copies without a fit: 2"):
+        impute.pool(fit.coefficients, strict=True).collect()
 
 
 def test_zero_ratio_is_ols_and_by_fits_each(panel, pdf):
@@ -203,17 +246,30 @@ def two_way_direct(pdf):
     return beta, np.sqrt(np.diag(bread @ meat @ bread) * factor)
 
 
-@pytest.mark.parametrize("dense", [1000, 0])
-def test_two_way_effects_on_an_unbalanced_panel(spark, dense):
+def test_two_way_effects_on_an_unbalanced_panel(spark):
     pdf = make_panel(seed=5, units=9)
     pdf = pdf[pdf.period < 10]
     beta, se = two_way_direct(pdf)
-    fit = fixed_effects.two_way_fixed_effects(spark.createDataFrame(pdf), "y", ["x", "z"], "unit", "period", dense_periods=dense)
+    fit = fixed_effects.two_way_fixed_effects(spark.createDataFrame(pdf), "y", ["x", "z"], "unit", "period")
     got = estimates(fit)
     assert got["x"] == pytest.approx((beta[0], se[0]), rel=1e-6)
     assert got["z"] == pytest.approx((beta[1], se[1]), rel=1e-6)
 
 
+def test_two_way_effects_over_many_periods(spark):
+    rng = np.random.default_rng(9)
+    unit, period = rng.integers(0, 40, 30_000), rng.integers(0, 1500, 30_000)
+    x = rng.normal(size=30_000) + period / 500 + unit / 10
+    y = 0.7 * x + np.sin(period / 7) + unit + rng.normal(size=30_000)
+    pdf = pd.DataFrame({"unit": unit, "period": period, "x": x, "y": y})
+    got = fixed_effects.two_way_fixed_effects(spark.createDataFrame(pdf), "y", ["x"], "unit", "period").first()
+    residual = pdf.copy()
+    for _ in range(60):
+        for key in ("unit", "period"):
+            residual[["x", "y"]] -= residual.groupby(key)[["x", "y"]].transform("mean")
+    assert got["estimate"] == pytest.approx((residual.x @ residual.y) / (residual.x @ residual.x), rel=1e-9)
+
+
 def gee_direct(pdf, power):
     x, y = design(pdf, ["x"]), np.log(pdf.y.to_numpy())
     groups = [g.sort_values("period").index.to_numpy() for _, g in pdf.groupby("unit")]
@@ -263,8 +319,43 @@ def test_previous_row_in_stretches(spark):
     rows = [("hot", int(t), float(t)) for t in sorted(rng.choice(500, 200, replace=False))] + [("b", 3, 1.0), ("b", 499, 2.0), ("c", 7, 5.0)]
     df = spark.createDataFrame(rows, "u string, t int, v double")
     whole = gee.previous_row(df, "u", "t", ["v"]).select("u", "t", "_prev.v").collect()
-    cut = gee.previous_row(df, "u", "t", ["v"], chunk=7).select("u", "t", "_prev.v").collect()
-    assert sorted(map(tuple, whole), key=str) == sorted(map(tuple, cut), key=str)
+    hot = sorted(r[1:] for r in rows if r[0] == "hot")
+    want = [("hot", b[0], a and a[1]) for a, b in zip([None, *hot], hot)] + [("b", 3, None), ("b", 499, 1.0), ("c", 7, None)]
+    assert sorted(map(tuple, whole), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz"])
+def test_gee_over_dates_equals_day_numbers(spark, kind):
+    pdf = make_panel(seed=7, units=10)
+    df = spark.createDataFrame(pdf)
+    want = gee.gee_ar1(df, "y", ["x"], "unit", "period", gap="power")
+    dated = df.withColumn("period", F.expr(f"cast(date_add(date'2020-01-01', int(period)) as {kind})"))
+    got = gee.gee_ar1(dated, "y", ["x"], "unit", "period", gap="power")
+    assert got.working.first()["alpha"] == pytest.approx(want.working.first()["alpha"], rel=1e-9)
+    assert estimates(got.coefficients)["x"] == pytest.approx(estimates(want.coefficients)["x"], rel=1e-9)
+    with pytest.raises(TypeError, match="neither a number nor a date"):
+        gee.gee_ar1(df.withColumn("period", F.col("period").cast("string")), "y", ["x"], "unit", "period")
+
+
+def test_gee_faults_are_errors(spark):
+    df = spark.createDataFrame(make_panel(seed=7, units=10))
+    with pytest.raises(PySparkException, match="repeated unit and period"):
+        gee.gee_ar1(df.union(df.limit(20)), "y", ["x"], "unit", "period")
+    with pytest.raises(RuntimeError, match="did not settle"):
+        gee.gee_ar1(df, "y", ["x"], "unit", "period", rounds=1)
+
+
+def test_gee_estimates_a_correlation_near_one(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for u in range(20):
+        e = 0.0
+        for t in range(300):
+            e = 0.9995 * e + rng.normal() * (1 if t else 30)
+            rows.append((u, t, rng.normal(), e))
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=["unit", "period", "x", "y"]))
+    alpha = gee.gee_ar1(df, "y", ["x"], "unit", "period", log_outcome=False).working.first()["alpha"]
+    assert 0.99 < alpha < 1 and alpha != 0.99
 
 
 # ---- indices, quantiles, ranks, effects ----------------------------------------------------------------------------
@@ -331,10 +422,9 @@ def test_order_statistics_by_narrowing(spark, kind):
     }[kind]
     df = spark.createDataFrame(pd.DataFrame({"v": values}))
     ranks = [0, 17, 1000, 1499, 2999]
-    got = order_statistics(df, "v", ranks, finish_rows=5)
+    got = order_statistics(df, "v", ranks)
     assert [got[k] for k in ranks] == np.sort(values)[ranks].tolist()
     probs = [0.05, 0.35, 0.5, 0.95]
-    assert exact_quantiles(df, "v", probs, in_memory_rows=10) == pytest.approx(np.quantile(values, probs), rel=1e-12)
     assert exact_quantiles(df, "v", probs) == pytest.approx(np.quantile(values, probs), rel=1e-12)
     assert exact_quantiles(df.filter("false"), "v", probs) == []
 

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from panelspark.functions.vocab import COLUMN_ALIASES
@@ -30,7 +31,10 @@ def test_folder_on_one_vocabulary(spark, tmp_path):
     write(tmp_path / "c.csv", "Code,Country,Year,Value,Sex\nKEN,Kenya,2013,3,Both\n")
     write(tmp_path / "~lock.csv", "junk\n")
     df = landed.read_folder(spark, str(tmp_path), "gbd", COLUMN_ALIASES)
-    assert df.columns == [*COLUMN_ALIASES, "fonte"]
+    assert df.columns == ["iso3", "pais", "ano", "sexo", "valor", "fonte"]  # targets that some file has
+    report = {r["header"]: r for r in landed.folder_report(spark, str(tmp_path), COLUMN_ALIASES).collect()}
+    assert sorted((r["n_files"], r["n_rows"], r["n_corrupt"]) for r in report.values()) == [(1, 1, 0), (2, 3, 0)]
+    assert "sexo" in report["location_id,location_name,year,val"]["absent"]
     rows = {r["ano"]: r for r in df.collect()}
     assert rows["2010"]["iso3"] == "006" and rows["2010"]["pais"] == "Korea, Rep."
     assert rows["2011"]["iso3"] is None and rows["2011"]["pais"] is None and rows["2011"]["valor"] == "-"
@@ -38,7 +42,27 @@ def test_folder_on_one_vocabulary(spark, tmp_path):
     assert len(rows) == 4 and {r["fonte"] for r in rows.values()} == {"gbd"}
 
 
+def test_tags_are_text(spark, tmp_path):
+    body = json.dumps([{"page": 1}, [{"countryiso3code": "BRA", "country": {"value": "B"}, "date": "2019", "value": 1}]])
+    for tag in ("0012", "1.10", "a%2Fb", "x+y"):
+        write(tmp_path / f"indicator={tag}" / "p.json", body)
+    assert sorted(r["indicador"] for r in landed.read_payloads(spark, str(tmp_path)).collect()) == ["0012", "1.10", "a/b", "x+y"]
+
+
+def test_records_with_too_many_fields(spark, tmp_path):
+    write(tmp_path / "a.csv", 'year,val\n2010,1\n2011,2,3\n2012\n2013,"4,5"\n')
+    aliases = {"ano": ["year"], "valor": ["val"]}
+    rows = landed.read_folder(spark, str(tmp_path), "s", aliases).orderBy("ano").collect()
+    assert [(r["ano"], r["valor"]) for r in rows] == [("2010", "1"), ("2012", None), ("2013", "4,5")]
+    report = landed.folder_report(spark, str(tmp_path), aliases).first()
+    assert (report["n_rows"], report["n_corrupt"], report["absent"]) == (4, 1, [])
+    with pytest.raises(PySparkException, match="too many fields"):
+        landed.read_folder(spark, str(tmp_path), "s", aliases, ragged="fail").collect()
+    assert landed.read_delimited(spark, str(tmp_path / "a.csv")).count() == 3
+
+
 def test_empty_folder_keeps_the_schema(spark, tmp_path):
+    assert landed.folder_report(spark, str(tmp_path), {"a": ["A"]}).isEmpty()
     df = landed.read_folder(spark, str(tmp_path), "x", {"a": ["A"]})
     assert df.columns == ["a", "fonte"] and df.isEmpty()
 
