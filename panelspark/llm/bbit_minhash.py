@@ -6,8 +6,8 @@
 3. Star: every class meets the smallest class of each of its buckets. Estimates below the threshold less a margin of
    five standard deviations fall away; the best partner of each class is confirmed on the full sets, then the partners
    that would still join two components.
-4. Rest: buckets that still hold several components are compared whole, in blocks of bounded size, each link again
-   confirmed on the full sets. Classes of one component are not compared, since no link between them changes a component.
+4. Rest: buckets that still hold several components are compared whole, in blocks of bounded size: first by the packed
+   bits, then, for classes that have a partner near enough, on the full sets. Classes of one component are not compared, since no link between them changes a component.
 
 A link of similarity s escapes the bands with probability (1 - s**ROWS)**BANDS: under 3e-6 at 0.8, and a component is
 lost only if all links that hold it do.
@@ -37,8 +37,9 @@ BANDS, ROWS = 42, 6
 BITS = 2
 #: Standard deviations that an estimate may lie below the threshold.
 MARGIN = 5.0
-#: Ids that may be broadcast to pick the documents whose sets are needed (8 bytes each); more are joined by a shuffle.
-BROADCAST_IDS = 2_000_000
+#: Ids that may be broadcast to pick the documents whose sets are needed, or that go (8 to 40 bytes each); more are
+#: joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 #: Classes of one bucket that a task compares with as many others.
 BLOCK_CLASSES = 500
 #: Words that one Python worker remembers the hash of.
@@ -213,8 +214,6 @@ def _class_sets(docs, key, text, words_each, needed: DataFrame) -> DataFrame:
 
 def _rest(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, threshold: float, percent: int):
     """Links (a, b) that join components within the buckets that still hold several."""
-    ddl = "a bigint, b bigint"
-    out = to_arrow_schema(StructType.fromDDL(ddl))
     least = least_matches(threshold)
     told = members.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
         "label", F.coalesce("label", "cid")
@@ -226,14 +225,30 @@ def _rest(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataF
     # a class goes to the block of its chunk with each other chunk, the smaller chunk first
     blocks = rows.select("bucket", "cid", "label", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("o")
     ).select("bucket", "cid", "label", "chunk", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"))
-    full = blocks.join(classes.select("cid", "bands", "packed"), "cid").join(sets, "cid")
-    dealt = full.select("bucket", "i", "j", "chunk", "cid", "label", "bands", "packed", "shingles").repartition(
-        "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "chunk", "cid")
+    place = ["bucket", "i", "j", "chunk", "cid", "label"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from in_batches(((16, link) for block in _blocks(batches) for link in _block_links(block, least, percent)), out)
+    def dealt(rows: DataFrame, values: list[str]) -> DataFrame:
+        return rows.select(*place, *values).repartition("bucket", "i", "j").sortWithinPartitions(*place[:5])
 
-    return map_in_arrow(dealt, run, ddl)
+    def run(each, schema: pa.Schema):
+        def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from in_batches(((24, row) for block in _blocks(batches) for row in each(block)), schema)
+
+        return mapped
+
+    # by the packed bits alone: which classes have a partner near enough; only those fetch their sets
+    fields = ", ".join(f"{name} {kind}" for name, kind in blocks.dtypes)
+    with_bits = dealt(blocks.join(classes.select("cid", "packed"), "cid"), ["packed"])
+    order = [place.index(c) for c in blocks.columns]
+    with_partner = map_in_arrow(with_bits, run(lambda b: _near_members(b, least, order), _schema(fields)), fields)
+    full = with_partner.join(classes.select("cid", "bands", "packed"), "cid").join(sets, "cid")
+    ddl = "a bigint, b bigint"
+    complete = dealt(full, ["packed", "bands", "shingles"])
+    return map_in_arrow(complete, run(lambda b: _block_links(b, least, percent), _schema(ddl)), ddl)
+
+
+def _schema(ddl: str) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(ddl))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
@@ -249,9 +264,33 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield held
 
 
+def _near_in_block(block: list[tuple], least: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of a block, the later rows of another component whose estimate is high enough."""
+    _, i, j = block[0][:3]
+    chunk, label = np.array([r[3] for r in block]), np.array([r[5] for r in block])
+    packed = np.array([r[6] for r in block], np.int64).view(np.uint64)
+    low = np.uint64(int("01" * 32, 2))
+    for x in range(len(block) - 1):
+        unlike = packed[x + 1:] ^ packed[x]
+        apart = np.bitwise_count((unlike | (unlike >> np.uint64(1))) & low).sum(axis=1)
+        near = (HASHES - apart >= least) & (label[x + 1:] != label[x])
+        if i != j:
+            near &= chunk[x + 1:] != chunk[x]
+        yield x, np.flatnonzero(near) + x + 1
+
+
+def _near_members(block: list[tuple], least: int, order: list[int]) -> Iterator[tuple]:
+    """The rows of a block that have a partner, without their bits."""
+    some = np.zeros(len(block), bool)
+    for x, partners in _near_in_block(block, least):
+        some[partners] = True
+        some[x] |= len(partners) > 0
+    for x in np.flatnonzero(some):
+        yield tuple(block[x][k] for k in order)
+
+
 def _block_links(block: list[tuple], least: int, percent: int) -> Iterator[tuple[int, int]]:
-    bucket, i, j = block[0][:3]
-    chunk = np.array([r[3] for r in block])
+    bucket = block[0][0]
     root = {r[5]: r[5] for r in block}
 
     def find(x):
@@ -260,18 +299,11 @@ def _block_links(block: list[tuple], least: int, percent: int) -> Iterator[tuple
             x = root[x]
         return x
 
-    packed = np.array([r[7] for r in block], np.int64).view(np.uint64)
-    bands = np.array([r[6] for r in block], np.int64)
-    label = np.array([r[5] for r in block])
+    bands = np.array([r[7] for r in block], np.int64)
+    label = [r[5] for r in block]
     sets = [np.frombuffer(r[8], np.uint64) for r in block]
-    low = np.uint64(int("01" * 32, 2))
-    for x in range(len(block) - 1):
-        x_xor = packed[x + 1:] ^ packed[x]
-        apart = np.bitwise_count((x_xor | (x_xor >> np.uint64(1))) & low).sum(axis=1)
-        near = (HASHES - apart >= least) & (label[x + 1:] != label[x])
-        if i != j:
-            near &= chunk[x + 1:] != chunk[x]
-        for y in np.flatnonzero(near) + x + 1:
+    for x, partners in _near_in_block(block, least):
+        for y in partners:
             # the first band that two classes share answers for the pair
             if bands[x][np.argmax(bands[x] == bands[y])] != bucket or find(label[x]) == find(label[y]):
                 continue
@@ -333,7 +365,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words_
     keyed = docs.withColumn("_content", content_key(key, text))
     told = materialise(near_duplicates(keyed, "_content", text, words_each, percent))
     gone = materialise(told.filter("NOT kept").select("_content").distinct())
-    left = keyed.join(gone, "_content", "left_anti")
+    left = keyed.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "_content", "left_anti")
     again = told.filter("kept").groupBy("_content").agg(F.count("*").alias("n")).filter("n > 1")
     if not again.isEmpty():  # rows equal in id and text: only then are the texts worth a shuffle
         left = left.dropDuplicates(["_content"])
