@@ -14,6 +14,7 @@ from panelspark.operators.moments import complete_rows, moment_columns, unpack
 from panelspark.operators.quality import QualityError
 from panelspark.operators.quantiles import exact_quantiles
 from panelspark.operators.schema import quoted
+from panelspark.session import materialise
 
 DIAGNOSTICS = (
     "component string, mean double, sd double, loading double, explained double, n_rows long, n_units long"
@@ -164,8 +165,9 @@ def bin_labels(value: Column, edges: Sequence[float], stem: str = "Q") -> Column
 def quantile_table(
     df: DataFrame, index: str, summaries: Sequence[str], bins: int = 4, out: str = "quartile"
 ) -> DataFrame:
-    """Mean of each summary column per quantile bin of the index."""
-    kept = df.dropna(subset=[index])
+    """Mean of each summary column per quantile bin of the index. What it needs of ``df`` is computed and written once."""
+    needed = list(dict.fromkeys([index, *summaries]))
+    kept = materialise(df.dropna(subset=[index]).select(*map(quoted, needed)))
     edges = exact_quantiles(kept, index, [i / bins for i in range(bins + 1)])
     if not edges:
         raise QualityError(f"{index} has no value")

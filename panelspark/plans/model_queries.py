@@ -464,7 +464,7 @@ def holed_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-@query("pmm_single", f"""
+_NEAREST_DONOR = f"""
 WITH {CUSTOMER_MONTH},
 h AS (SELECT unit, period, x, x3, CASE WHEN (period - 1) % 12 + 1 > 3 THEN y END AS y FROM cm),
 s AS (
@@ -482,7 +482,10 @@ nb AS (
   SELECT rc.unit, rc.period, dn.y,
          row_number() OVER (PARTITION BY rc.unit, rc.period ORDER BY abs(dn.yhat - rc.yhat), dn.r) AS pos
   FROM rc JOIN (SELECT * FROM o WHERE y IS NOT NULL) dn ON dn.r = rc.r
-)
+)"""
+
+
+@query("pmm_single", f"""{_NEAREST_DONOR}
 SELECT unit, period, {q6('y', 8)} AS y, FALSE AS imputed FROM h WHERE y IS NOT NULL
 UNION ALL SELECT unit, period, {q6('y', 8)}, TRUE FROM nb WHERE pos = 1""")
 def pmm_single(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -497,25 +500,7 @@ def mice_pmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impute.mice(panel, ["unit", "period"], ["y", "x", "x2", "x3"], m=3, iterations=2, carry=["stratum"])
 
 
-@query("completed", f"""
-WITH {CUSTOMER_MONTH},
-h AS (SELECT unit, period, x, x3, CASE WHEN (period - 1) % 12 + 1 > 3 THEN y END AS y FROM cm),
-s AS (
-  SELECT avg(x) AS ma, avg(x3) AS mb, avg(y) AS mv, var_pop(x) * count(*) * 1.00001 AS saa, var_pop(x3) * count(*) * 1.00001 AS sbb,
-         covar_pop(x, x3) * count(*) AS sab, covar_pop(x, y) * count(*) AS sav, covar_pop(x3, y) * count(*) AS sbv
-  FROM h WHERE y IS NOT NULL
-),
-b AS (SELECT *, (sbb * sav - sab * sbv) / (saa * sbb - sab * sab) AS ba, (saa * sbv - sab * sav) / (saa * sbb - sab * sab) AS bb FROM s),
-p AS (SELECT h.*, mv - ba * ma - bb * mb + ba * x + bb * x3 AS yhat FROM h, b),
-o AS (
-  SELECT *, count(y) OVER (ORDER BY yhat, y IS NOT NULL, unit, period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS r FROM p
-),
-rc AS (SELECT unit, period, yhat, unnest([r, r + 1]) AS r FROM o WHERE y IS NULL),
-nb AS (
-  SELECT rc.unit, rc.period, dn.y,
-         row_number() OVER (PARTITION BY rc.unit, rc.period ORDER BY abs(dn.yhat - rc.yhat), dn.r) AS pos
-  FROM rc JOIN (SELECT * FROM o WHERE y IS NOT NULL) dn ON dn.r = rc.r
-)
+@query("completed", f"""{_NEAREST_DONOR}
 SELECT unit, period, {q6('y', 8)} AS y FROM h WHERE y IS NOT NULL
 UNION ALL SELECT unit, period, {q6('y', 8)} FROM nb WHERE pos = 1""")
 def completed(spark: SparkSession, sf_dir: str) -> DataFrame:
