@@ -14,6 +14,7 @@ and then by their place in the input; null keys come last; an empty table makes
 
 from __future__ import annotations
 
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -39,15 +40,18 @@ _MANIFEST = "part int, data_path string, index_path string, n_docs bigint, n_ids
 
 
 def _only_letters(text: str) -> bool:
-    """Whether the text is letters, also in lower case, where some get a combining mark."""
+    """Whether the composed text is letters, also in lower case: either form gives some letters a combining mark, which
+    would be one pre-token with punctuation behind it."""
+    text = unicodedata.normalize("NFC", text)
     return text.isalpha() and text.lower().isalpha()
 
 
 class WordMemo(dict):
     """Memo from a word, cut at ASCII white space, to its ids.
 
-    Right for tokenizers that drop white space, lower-case, and split letters from punctuation before they merge: for
-    those, a word in lower case has the ids of the word, and letters with punctuation after them the ids of both parts.
+    Right for tokenizers that drop white space, compose (NFC), lower-case, and split letters from punctuation before they
+    merge: for those, letters with punctuation after them have the ids of both parts, and a word in lower case those of
+    the word, unless combining marks follow a letter of it: h with a macron below composes, H with one does not.
     """
 
     def __init__(self, tokenizer, dtype: str):
@@ -66,7 +70,10 @@ class WordMemo(dict):
         return value
 
     def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.lower().split()))  # bytes: A-Z and ASCII white space only
+        # bytes: A-Z and ASCII white space only
+        if b"\xcc" not in text and b"\xcd" not in text:  # lead bytes of U+0300-037F, all marks that compose with A-Z
+            return b"".join(map(self.__getitem__, text.lower().split()))
+        return b"".join(self[w if b"\xcc" in w or b"\xcd" in w else w.lower()] for w in text.split())
 
 
 _MEMOS: dict[tuple[str, str], WordMemo] = {}

@@ -1,5 +1,6 @@
 import base64
 import random
+import unicodedata
 import zlib
 from array import array
 
@@ -87,6 +88,17 @@ def test_word_memo_equals_the_library(words):
         assert np.frombuffer(memo.encode(text.encode()), "<u2").tolist() == words(text), text
 
 
+def test_words_with_combining_marks_equal_the_library(words):
+    memo = arrow_tokens._memo(WORD_VOCABULARY)
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha() and not unicodedata.normalize("NFC", c).isalpha()]
+    assert len(letters) == 59
+    texts = [f"ab{c}{chr(t)}" for c in [*letters, "\u0130", "K"] for t in arrow_tokens._TAIL]
+    texts += [f"x{a}{m}, y" for a in map(chr, range(65, 91)) for m in map(chr, range(0x300, 0x370))]
+    texts += ["J\u0323\u030c It Q", "\u09b9\u09df, \u09b9\u09df."]
+    for text in texts:
+        assert np.frombuffer(memo.encode(text.encode()), "<u2").tolist() == words(text), ascii(text)
+
+
 def places(rows, words):
     out, start = [], 0
     for key, text in rows:
