@@ -14,6 +14,7 @@ and then by their place in the input; null keys come last; an empty table makes
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import uuid
 import zlib
@@ -57,6 +58,13 @@ class WordMemo(dict):
     def __init__(self, tokenizer, dtype: str):
         super().__init__()
         self.tokenizer, self.dtype = tokenizer, dtype
+        added = tokenizer.get_added_tokens_decoder()
+        if any(not t.special or t.normalized or t.single_word or t.lstrip or t.rstrip for t in added.values()):
+            raise ValueError("added tokens must be special ones that are matched as they are written")
+        tokenizer.encode_special_tokens = True  # words are in lower case, which must not make an added token of them
+        self.added = {t.content.encode(): np.array([i], dtype).tobytes() for i, t in added.items()}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile(b"(" + b"|".join(map(re.escape, longest_first)) + b")").split if added else lambda text: [text]
 
     def __missing__(self, word: bytes) -> bytes:
         letters = word.rstrip(_TAIL)
@@ -70,6 +78,13 @@ class WordMemo(dict):
         return value
 
     def encode(self, text: bytes) -> bytes:
+        """The ids of a text; it is cut at the strings of added tokens, which have ids of their own, in their case only."""
+        parts = self.cut(text)
+        if len(parts) == 1:
+            return self._plain(text)
+        return b"".join(self.added[p] if i % 2 else self._plain(p) for i, p in enumerate(parts))
+
+    def _plain(self, text: bytes) -> bytes:
         # bytes: A-Z and ASCII white space only
         if b"\xcc" not in text and b"\xcd" not in text:  # lead bytes of U+0300-037F, all marks that compose with A-Z
             return b"".join(map(self.__getitem__, text.lower().split()))
@@ -84,12 +99,11 @@ def id_type(vocabulary_size: int) -> str:
 
 
 def _memo(path: str) -> WordMemo:
-    """This process's tokenizer. Strings of special tokens in a text are ordinary text."""
+    """This process's memo; its ids are those of the library with its defaults."""
     if path not in _MEMOS:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         _MEMOS[path] = WordMemo(tokenizer, id_type(tokenizer.get_vocab_size()))
     return _MEMOS[path]
 

@@ -99,6 +99,17 @@ def test_words_with_combining_marks_equal_the_library(words):
         assert np.frombuffer(memo.encode(text.encode()), "<u2").tolist() == words(text), ascii(text)
 
 
+def test_added_tokens_equal_the_unmodified_library():
+    tokenizer, memo = Tokenizer.from_file(WORD_VOCABULARY), arrow_tokens._memo(WORD_VOCABULARY)
+    rnd = random.Random(8)
+    pieces = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", " ", "\n", "A b", "'s", "x,", "\u0301", "\u09df"]
+    texts = ["a <|endoftext|> b", *("".join(rnd.choices(pieces, k=rnd.randrange(1, 9))) for _ in range(3000))]
+    for text in texts:
+        got = np.frombuffer(memo.encode(text.encode()), "<u2").tolist()
+        assert got == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
+    assert np.frombuffer(memo.encode(texts[0].encode()), "<u2").tolist() == [320, 49407, 321]
+
+
 def places(rows, words):
     out, start = [], 0
     for key, text in rows:
