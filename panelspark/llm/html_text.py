@@ -34,7 +34,7 @@ DEPTH = 8
 #: Prefixes that may be broadcast to mark the pages (8 bytes each); more are joined by a shuffle.
 BROADCAST_PREFIXES = 2_000_000
 
-MAIN, FURNITURE, OPEN = 0, 1, 2
+MAIN, FURNITURE, OPEN, SKIPPED = 0, 1, 2, 3
 
 #: Comments and declarations, or a tag whose quoted attribute values may hold a ">".
 _TAG = re.compile(
@@ -47,13 +47,20 @@ _TAG_START = re.compile(r"<[a-zA-Z/!?]")
 _ATTRIBUTE = re.compile(
     r"(?<![a-zA-Z-])(?:([a-zA-Z-]++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))|(hidden)(?![a-zA-Z=-]))"
 )
-_RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp", "svg", "math", "select"}
-_RAW_END = {name: re.compile(rf"</{name}\b[^>]*+(?:>|\Z)", re.I) for name in _RAW}
+#: Elements whose content is no text of the page, up to their own end tag; script and style go on to it in any case.
+_RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp", "select"}
+_RAW_TAG = {name: re.compile(rf"<(/?){name}(?![^\s/>])[^>]*+(?:>|\Z)", re.I) for name in _RAW}
+#: Elements in which a slash ends a tag, and those inside that hold HTML again.
+_FOREIGN = {"svg", "math"}
+_FOREIGN_HTML = {"foreignobject", "desc", "annotation-xml"}
+_ANNOTATIONS = {"annotation", "annotation-xml"}
 _BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section "
     "summary table tbody td tfoot th thead tr ul".split()
 )
+#: Start tags that end a drawing nobody closed, as browsers read them.
+_NOT_DRAWN = _BLOCK | set("b big br code em embed i img meta nobr ruby s small span strong strike sub sup tt u var".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _FURNITURE_TAGS = set("head nav header footer aside form menu dialog button object".split())
 _FURNITURE_ROLES = set(
@@ -99,19 +106,71 @@ def _role(tag: str, attributes: dict[str, str], outer: int, final: bool) -> tupl
     return outer, False
 
 
+def _self_closed(attributes: str) -> bool:
+    """Whether the slash at the end is the tag's and not that of a value without quotes."""
+    return attributes.endswith("/") and not re.search(r"=\s*+[^\s\"']\S*\Z", re.sub(r"\"[^\"]*\"|'[^']*'", '""', attributes))
+
+
+def _own_ends(page: str, name: str) -> dict[int, int]:
+    """Where each element of this raw kind that has an end tag of its own starts, and where it ends."""
+    ends, waiting = {}, []
+    for m in _RAW_TAG[name].finditer(page):
+        if m[1]:
+            if waiting:
+                ends[waiting.pop()] = m.end()
+        elif name in ("script", "style"):
+            waiting = waiting or [m.start()]
+        else:
+            if name != "template":  # the others do not nest
+                waiting.clear()
+            waiting.append(m.start())
+    return ends
+
+
+def _ends_outer(inside: str, opened: Counter[str], in_paragraph: bool) -> bool:
+    """Whether the text between the tags of a raw element ends an element around it."""
+    here: Counter[str] = Counter()
+    for m in re.finditer(r"<(/?)([a-zA-Z][^\s/>]*+)", inside):
+        name = m[2].lower()
+        here[name] += -1 if m[1] else 1
+        if here[name] < 0 and (opened[name] or name == "p" and in_paragraph):
+            return True
+    return False
+
+
 def blocks_of(page: str) -> list[tuple[int, str]]:
     """(role, text) of the blocks of a page in order, with references decoded and white space made one space."""
     blocks: list[tuple[int, str]] = []
     parts: list[str] = []
     stack: list[tuple[str, int, bool]] = [("", OPEN, False)]  # open elements that may matter for a role
     opened: Counter[str] = Counter()  # their names
+    foreign: list[str] = []  # those of them that are drawings and formulas, or hold HTML inside one
+    own_ends: dict[str, dict[int, int]] = {}
+    in_paragraph = False
+
+    def push(name: str, role: int, final: bool) -> None:
+        stack.append((name, role, final))
+        opened[name] += 1
+        if name in _FOREIGN or name in _FOREIGN_HTML:
+            foreign.append(name)
+
+    def pop_to(names: set[str]) -> None:
+        while len(stack) > 1:
+            if stack[-1][1] != SKIPPED and stack[-1][0] != "math":
+                flush()
+            last = stack.pop()[0]
+            opened[last] -= 1
+            if last in _FOREIGN or last in _FOREIGN_HTML:
+                foreign.pop()
+            if last in names:
+                break
 
     def flush() -> None:
         if parts:
             text = "".join(parts)
             text = " ".join((html.unescape(text) if "&" in text else text).split())
             if text:
-                blocks.append((stack[-1][1], text))
+                blocks.append((next(e[1] for e in reversed(stack) if e[1] != SKIPPED), text))
             parts.clear()
 
     at, tag = 0, _TAG
@@ -123,32 +182,52 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
         if m is None:
             if page.find(">", opening.start()) < 0:
                 break
-            parts.append(page[at:opening.end()])
+            if stack[-1][1] != SKIPPED:
+                parts.append(page[at:opening.end()])
             at = opening.end()
             continue
-        parts.append(page[at:m.start()])
+        if stack[-1][1] != SKIPPED:
+            parts.append(page[at:m.start()])
         at = m.end()
         if m[2] is None:
             continue
         name, closing = m[2].lower(), bool(m[1])
-        if name == "br":
+        if not closing and foreign:
+            while foreign and name in (_NOT_DRAWN if foreign[-1] == "svg" else _BLOCK if foreign[-1] == "math" else ()):
+                pop_to(_FOREIGN)
+            if foreign and foreign[-1] in _FOREIGN and _self_closed(m[3]):
+                continue
+        if name == "br" and stack[-1][1] != SKIPPED:
             parts.append(" ")
         block = name in _BLOCK
-        if block:
+        if block and stack[-1][1] == SKIPPED and not closing and name not in ("option", "hr"):
+            if stack[-1][0] == "select" or stack[-1][0] == "option" and opened["select"]:
+                pop_to({"select"})  # nobody closed it
+            elif stack[-2][0] == "p":
+                pop_to({"p"})
+        if block and stack[-1][1] != SKIPPED:
             flush()
-        if name in _RAW:
-            if not closing:
-                end = _RAW_END[name].search(page, at)
-                at = end.end() if end else len(page)
-            continue
-        if closing:
+            in_paragraph = name == "p" and not closing
+        if name in _RAW and not closing:
+            if name not in own_ends:
+                own_ends[name] = _own_ends(page, name)
+            end = own_ends[name].get(m.start())
+            if name in ("script", "style"):
+                at = end or len(page)
+            elif end and not (name in ("noscript", "select") and _ends_outer(page[at:end], opened, in_paragraph)):
+                at = end
+            else:  # without an end tag: up to the end of what is around it
+                if in_paragraph and not opened["p"]:
+                    push("p", *stack[-1][1:])
+                push(name, SKIPPED, True)
+        elif name in _FOREIGN and not closing:
+            if not _self_closed(m[3]):
+                push(name, *((SKIPPED, True) if name == "svg" else stack[-1][1:]))
+        elif foreign and not closing and (name in _FOREIGN_HTML or name in _ANNOTATIONS):
+            push(name, *((SKIPPED, True) if name in _ANNOTATIONS else stack[-1][1:]))
+        elif closing:
             if opened[name]:
-                flush()
-                while opened[name] and stack:
-                    last = stack.pop()[0]
-                    opened[last] -= 1
-                    if last == name:
-                        break
+                pop_to({name})
         elif name not in _VOID:
             if block and stack[-1][0] == "p":
                 opened[stack.pop()[0]] -= 1  # a paragraph ends where another block starts
@@ -158,9 +237,9 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
                 if not block:
                     flush()
                 if name != "p" or (role, final) != stack[-1][1:]:
-                    stack.append((name, role, final))
-                    opened[name] += 1
-    parts.append(page[at:])
+                    push(name, role, final)
+    if stack[-1][1] != SKIPPED:
+        parts.append(page[at:])
     flush()
     return blocks
 

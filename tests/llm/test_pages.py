@@ -64,6 +64,32 @@ def test_main_text(page, text):
     assert text_of(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<svg width='1'/><article><p>x</p><svg class=\"a=b\"/><p>y</p></article><svg></svg>", "x\ny"),
+    ("<article><p>a <svg><title/><text>no</text><style/></svg> b</p><math/><p>c</p></article>", "a b\nc"),
+    ("<article><svg><path d='m'><p>x</p><span>y</span></article>", "x\ny"),
+    ("<article><svg><foreignObject><p>no</p></foreignObject></svg><p>x</p></article>", "x"),
+    ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>tex</annotation></math> holds</p></article>", "so x=1 holds"),
+    ("<article><div><select><option>1<option>2</div><p>x</p></article><select><option>3</select>", "x"),
+    ("<article><p>a<select><option>1<p>x</article>", "a\nx"),
+    ("<article><select><option>1</select><p>x</p></article>", "x"),
+    ("<article><p>a <noscript>no</p><p>x</p></article>", "a\nx"),
+    ("<div><template><b>no</div><article><p>x</p></article>", "x"),
+    ("<article><template><template>no</template><p>no</p></template><p>x</p></article>", "x"),
+    ("<article><noscript><div>no</div></noscript><p>x <textarea></article></textarea> y</p></article>", "x y"),
+    ("<article><div><iframe src='a'></div><p>x</p></article>", "x"),
+])
+def test_elements_without_text(page, text):
+    assert text_of(page) == text
+
+
+def test_hostile_raw_elements_end():
+    for tag in ("svg", "math", "select", "noscript", "template", "textarea", "iframe", "title", "script"):
+        for page in (f"<{tag}>" * 30_000, f"<p><{tag}>" * 30_000, f"<{tag}><div>" * 20_000, f"<{tag}></div></{tag}>" * 20_000):
+            html_text.blocks_of(page)
+    html_text.blocks_of("<svg><foreignObject>" + "<div>" * 30_000)
+
+
 def test_hostile_pages_end():
     for page in ("<" * 100_000, '<a "' * 50_000, "<p x='" * 50_000, '<a x=">"' * 50_000, "<p " + "a" * 300_000 + ">",
                  "<div>" * 30_000 + "</b>" * 30_000, "<script>" + "</script" * 50_000):
