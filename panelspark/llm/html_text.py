@@ -35,6 +35,10 @@ DEPTH = 8
 BROADCAST_PREFIXES = 2_000_000
 
 MAIN, FURNITURE, OPEN, SKIPPED = 0, 1, 2, 3
+#: Roles that only the whole page decides: an article in furniture, one among comments, and (this or more) a form.
+ENCLOSED, COMMENT, FORM = 4, 5, 6
+#: What an element lies in: nothing of the kind, something hidden, furniture, comments.
+FREE, HIDDEN, IN_FURNITURE, IN_COMMENTS = 0, 1, 2, 3
 
 #: Comments and declarations, or a tag whose quoted attribute values may hold a ">".
 _TAG = re.compile(
@@ -72,7 +76,12 @@ _FURNITURE_NAMES = _COMMENT_NAMES | set(
     "navigation breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr notice popup modal newsletter "
     "subscribe subscription share sharing social related recommended pagination toolbar skip".split()
 )
-_MAIN_TAGS = {"article", "main"}
+#: Words that make a name with "comments" tell the state of a page, as in "comments-open".
+_STATE_NAMES = set("has no with without open opened closed enabled disabled allowed on off".split())
+#: All that a head may hold: another tag ends a head that nobody closed.
+_HEAD_TAGS = set("html head title base link meta style script noscript template".split())
+#: Tags that a form holds if it is wrapped round a page.
+_PAGE_TAGS = set("h1 nav header footer section".split())
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -89,21 +98,56 @@ def _names(*values: str) -> set[str]:
     return set(re.split(r"[^a-z0-9]+", " ".join(values).lower()))
 
 
-def _role(tag: str, attributes: dict[str, str], outer: int, final: bool) -> tuple[int, bool]:
-    """(role, final) of an element inside one of role ``outer``; a final role holds for all that is inside."""
-    if final:
-        return outer, True
+def _is_comments(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether class or id say comments. An article is one by the singular only: the plural may tell that it has some."""
+    if tag in ("html", "body", "main"):
+        return False
+    wanted = {"comment"} if tag == "article" else _COMMENT_NAMES
+    names = map(_names, f"{attributes.get('class', '')} {attributes.get('id', '')}".split())
+    return any(words & wanted and not words & _STATE_NAMES for words in names)
+
+
+def _role(tag: str, attributes: dict[str, str], outer: int, within: int, forms: int) -> tuple[int, int]:
+    """(role, within) of an element inside one of role ``outer``, after so many forms."""
+    if within == HIDDEN:
+        return outer, within
     role = attributes.get("role", "").lower()
-    names = _names(attributes.get("class", ""), attributes.get("id", "")) if attributes else set()
-    if tag in _FURNITURE_TAGS or role in _FURNITURE_ROLES or names & _COMMENT_NAMES:
-        return FURNITURE, True
-    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
-        return FURNITURE, True
-    if tag in _MAIN_TAGS or role in ("main", "article") or attributes.get("itemprop", "").lower() == "articlebody":
-        return MAIN, False
-    if names & _FURNITURE_NAMES and tag not in ("html", "body"):
-        return FURNITURE, False  # a name may be wrong about an article inside
-    return outer, False
+    hidden = "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
+    if hidden and tag not in ("html", "body"):
+        return FURNITURE, HIDDEN
+    if tag == "main" or role == "main":
+        return MAIN, FREE
+    article = tag == "article" or role == "article" or attributes.get("itemprop", "").lower() == "articlebody"
+    if attributes and _is_comments(tag, attributes):
+        return COMMENT if article else FURNITURE, IN_COMMENTS
+    if tag == "article":
+        return (MAIN, MAIN, ENCLOSED, COMMENT)[within], within
+    in_article = outer in (MAIN, ENCLOSED, COMMENT)
+    if tag == "form":  # holds no role of its own for an article inside
+        return FORM + forms if outer == OPEN else FURNITURE, within
+    if tag in _FURNITURE_TAGS and not (tag == "header" and in_article) or role in _FURNITURE_ROLES:
+        return FURNITURE, max(within, IN_FURNITURE)
+    if article:
+        return (MAIN, MAIN, ENCLOSED, COMMENT)[within], within
+    if attributes and tag not in ("html", "body"):
+        names = _names(attributes.get("class", ""), attributes.get("id", "")) & _FURNITURE_NAMES - _COMMENT_NAMES
+        if names - {"header", "masthead"} if in_article else names:
+            return FURNITURE, within  # a name may be wrong about an article inside
+    return outer, within
+
+
+def _decided(blocks: list[tuple[int, str]], wrapping: set[int]) -> list[tuple[int, str]]:
+    """The blocks with the roles that the whole page decides. Beside an article, articles in furniture are teasers and
+    those among comments are comments; without one, the former are open, and the latter if they have a title (their
+    role is in ``wrapping``) or no other text is."""
+    if all(role < ENCLOSED for role, _ in blocks):
+        return blocks
+    open_roles = set()
+    if all(role != MAIN for role, _ in blocks):
+        open_roles = {OPEN, ENCLOSED} | wrapping
+        if all(role not in open_roles for role, _ in blocks):
+            open_roles.add(COMMENT)
+    return [(role if role < ENCLOSED else OPEN if role in open_roles else FURNITURE, text) for role, text in blocks]
 
 
 def _self_closed(attributes: str) -> bool:
@@ -142,14 +186,15 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
     """(role, text) of the blocks of a page in order, with references decoded and white space made one space."""
     blocks: list[tuple[int, str]] = []
     parts: list[str] = []
-    stack: list[tuple[str, int, bool]] = [("", OPEN, False)]  # open elements that may matter for a role
+    stack: list[tuple[str, int, int]] = [("", OPEN, FREE)]  # open elements that may matter for a role
     opened: Counter[str] = Counter()  # their names
     foreign: list[str] = []  # those of them that are drawings and formulas, or hold HTML inside one
     own_ends: dict[str, dict[int, int]] = {}
     in_paragraph = False
+    forms, wrapping = 0, set()  # the forms so far, and the roles of which something shows that they hold the page
 
-    def push(name: str, role: int, final: bool) -> None:
-        stack.append((name, role, final))
+    def push(name: str, role: int, within: int) -> None:
+        stack.append((name, role, within))
         opened[name] += 1
         if name in _FOREIGN or name in _FOREIGN_HTML:
             foreign.append(name)
@@ -197,6 +242,8 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
                 pop_to(_FOREIGN)
             if foreign and foreign[-1] in _FOREIGN and _self_closed(m[3]):
                 continue
+        if not closing and opened["head"] and name not in _HEAD_TAGS:
+            pop_to({"head"})  # nobody closed it
         if name == "br" and stack[-1][1] != SKIPPED:
             parts.append(" ")
         block = name in _BLOCK
@@ -219,12 +266,12 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
             else:  # without an end tag: up to the end of what is around it
                 if in_paragraph and not opened["p"]:
                     push("p", *stack[-1][1:])
-                push(name, SKIPPED, True)
+                push(name, SKIPPED, HIDDEN)
         elif name in _FOREIGN and not closing:
             if not _self_closed(m[3]):
-                push(name, *((SKIPPED, True) if name == "svg" else stack[-1][1:]))
+                push(name, *((SKIPPED, HIDDEN) if name == "svg" else stack[-1][1:]))
         elif foreign and not closing and (name in _FOREIGN_HTML or name in _ANNOTATIONS):
-            push(name, *((SKIPPED, True) if name in _ANNOTATIONS else stack[-1][1:]))
+            push(name, *((SKIPPED, HIDDEN) if name in _ANNOTATIONS else stack[-1][1:]))
         elif closing:
             if opened[name]:
                 pop_to({name})
@@ -232,16 +279,20 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
             if block and stack[-1][0] == "p":
                 opened[stack.pop()[0]] -= 1  # a paragraph ends where another block starts
             attributes = _attributes(m[3]) if m[3] else {}
-            role, final = _role(name, attributes, stack[-1][1], stack[-1][2])
-            if block or (role, final) != stack[-1][1:]:
+            outer, within = stack[-1][1:]
+            if outer >= FORM and name in _PAGE_TAGS or outer == COMMENT and name == "h1":
+                wrapping.add(outer)
+            role, within = _role(name, attributes, outer, within, forms)
+            forms += name == "form"
+            if block or (role, within) != stack[-1][1:]:
                 if not block:
                     flush()
-                if name != "p" or (role, final) != stack[-1][1:]:
-                    push(name, role, final)
+                if name != "p" or (role, within) != stack[-1][1:]:
+                    push(name, role, within)
     if stack[-1][1] != SKIPPED:
         parts.append(page[at:])
     flush()
-    return blocks
+    return _decided(blocks, wrapping)
 
 
 def host_of(url: str) -> str:

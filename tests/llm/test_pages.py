@@ -90,6 +90,27 @@ def test_hostile_raw_elements_end():
     html_text.blocks_of("<svg><foreignObject>" + "<div>" * 30_000)
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<body><form><nav>m</nav><div>d</div><article><p>x</p><form>f</form></article></form>", "x"),
+    ("<body class='single comments-open'><nav>m</nav><article><p>x</p></article>", "x"),
+    ("<body><article class='post has-comments'><p>x</p></article>", "x"),
+    ("<html id=comments><main id=respond>x</main><p>o</p>", "x"),
+    ("<div class=comments><main><p>x</p></main></div>", "x"),
+    ("<div>m</div><div class=comments><article><h1>T</h1><p>x</p></article></div>", "m\nT\nx"),
+    ("<article><header class=entry-header><h1>T</h1></header><p>x</p></article><header>h</header>", "T\nx"),
+    ("<html><head><title>t</title><body><article>x</article>", "x"),
+    ("<html><head><title>t<body><p>x", "x"),
+    ("<body><form><nav>m</nav><h1>T</h1><p>x</p></form><form>f</form>", "T\nx"),
+    ("<header><article>x</article>", "x"),
+    ("<article>x</article><aside><article>teaser</article></aside>", "x"),
+    ("<article>x</article><ol class=comment-list><li><article>no</article></ol><article class='comment even'>no</article>", "x"),
+    ("<p>x</p><section class=comments><article>no</article></section><form>f</form>", "x"),
+    ("<div hidden><article>no</article><main>no</main></div><p>x", "x"),
+])
+def test_articles_in_furniture(page, text):
+    assert text_of(page) == text
+
+
 def test_hostile_pages_end():
     for page in ("<" * 100_000, '<a "' * 50_000, "<p x='" * 50_000, '<a x=">"' * 50_000, "<p " + "a" * 300_000 + ">",
                  "<div>" * 30_000 + "</b>" * 30_000, "<script>" + "</script" * 50_000):
