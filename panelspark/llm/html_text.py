@@ -4,11 +4,14 @@ A page is cut into blocks of text, each with a role: inside the article, in page
 sidebars, notices, adverts, forms, comments), or open. The tokens outside articles are concatenated by host, and the
 suffixes of that stream, sorted by their first DEPTH tokens, tell which runs of DEPTH or more tokens several pages share.
 Tasks sort the suffixes of their own pages and pass on one row for each prefix, with the first and last page that have
-it; a prefix with two different pages is boilerplate, and the positions it covers are marked.
+it; a prefix with two different pages is shared, and the positions it covers are counted.
+
+Boilerplate is what SEVERAL distinct pages of a host share. Copies count as one page: equal ones by a hash of their
+tokens in the article and in open blocks, near ones by the runs of these tokens, most of which they share. Only
+prefixes that some page without an article has are looked into; where there are none, this costs nothing.
 
 Text: the article's blocks; on a page without an article the open blocks that boilerplate does not mostly cover, or all
-of them if nothing else would remain, since a whole copy of a page is not boilerplate. Unique runs in furniture are
-dropped by their role.
+of them if nothing else would remain. Unique runs in furniture are dropped by their role.
 
 Defined results: null and empty pages have an empty text; a null address is a host of its own kind, the empty one;
 repeated rows give equal rows, and pages count as distinct by row; an empty table gives an empty one; other columns are
@@ -26,12 +29,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.llm import bbit_minhash
 from panelspark.llm.common import map_documents
 from panelspark.session import materialise
 
 #: Tokens of a run that counts as long.
 DEPTH = 8
-#: Prefixes that may be broadcast to mark the pages (8 bytes each); more are joined by a shuffle.
+#: Distinct pages of a host that make a run boilerplate.
+SEVERAL = 3
+#: Two pages are copies if they share most of their runs: this percentage of those that either has. Minima of a band
+#: that finds such pairs: at the limit a pair escapes all 64 bands with probability (1 - 0.51 ** 4) ** 64 = 0.011.
+COPY_PERCENT, BAND_ROWS = 51, 4
+#: Prefixes that may be broadcast to mark the pages (9 bytes each); more are joined by a shuffle.
 BROADCAST_PREFIXES = 2_000_000
 
 MAIN, FURNITURE, OPEN, SKIPPED = 0, 1, 2, 3
@@ -338,32 +347,95 @@ def _page_keys(host: str, stream: list[str], depth: int) -> list[int]:
 
 
 def shared_prefixes(pages: DataFrame, url: str, page: str, depth: int = DEPTH) -> DataFrame:
-    """(prefix): keys of the prefixes of ``depth`` tokens that two or more pages of a host have outside articles."""
+    """(prefix, bare): keys of the prefixes of ``depth`` tokens that two or more pages of a host have outside articles,
+    and whether one of these pages has no article."""
 
     def make(rows, urls, texts):
-        hosts: dict[str, list[tuple[int, list[str]]]] = {}
+        hosts: dict[str, list[tuple[int, bool, list[str]]]] = {}
         for row, u, t in zip(rows, urls, texts):
-            stream = _outside(blocks_of(t.decode()))
+            blocks = blocks_of(t.decode())
+            stream = _outside(blocks)
             if len(stream) >= depth:
-                hosts.setdefault(host_of(u.decode()), []).append((row, stream))
+                bare = all(role != MAIN for role, _ in blocks)
+                hosts.setdefault(host_of(u.decode()), []).append((row, bare, stream))
         for host, found in hosts.items():
-            ids = np.array([row for row, _ in found])
-            streams = [s for _, s in found]
+            ids, bare = np.array([f[0] for f in found]), np.array([f[1] for f in found])
+            streams = [f[2] for f in found]
             order, group, owner = suffix_prefixes(streams, depth)
             starts = np.concatenate(([0], np.array([len(s) for s in streams]).cumsum()))
             cuts = np.flatnonzero(np.diff(group, prepend=-1))
-            for a, z in zip(cuts, [*cuts[1:], len(order)]):
+            lo, hi = np.minimum.reduceat(ids[owner], cuts).tolist(), np.maximum.reduceat(ids[owner], cuts).tolist()
+            some_bare = np.logical_or.reduceat(bare[owner], cuts).tolist()
+            for a, *told in zip(cuts, lo, hi, some_bare):
                 who, i = owner[a], order[a] - starts[owner[a]]
-                held = ids[owner[a:z]]
-                yield 24, (_prefix_key(host, streams[who][i:i + depth]), int(held.min()), int(held.max()))
+                yield 25, (_prefix_key(host, streams[who][i:i + depth]), *told)
 
     numbered = pages.select(F.monotonically_increasing_id().alias("_row"), F.col(url), F.col(page))
-    told = map_documents(numbered, ["_row"], [url, page], make, "prefix bigint, lo bigint, hi bigint")
-    return told.groupBy("prefix").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo < hi").select("prefix")
+    told = map_documents(numbered, ["_row"], [url, page], make, "prefix bigint, lo bigint, hi bigint, bare boolean")
+    return told.groupBy("prefix").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("bare").alias("bare")
+    ).filter("lo < hi").select("prefix", "bare")
+
+
+def _copy_key(host: str, blocks: list[tuple[int, str]], depth: int) -> tuple[int, np.ndarray]:
+    """The key of a page's content, equal for equal copies, and its sorted distinct runs."""
+    content = [t for role, text in blocks if role in (MAIN, OPEN) for t in text.split(" ")]
+    ident = _prefix_key(host, content)
+    runs = np.array(_page_keys(host, content, depth) or [ident], np.int64).view(np.uint64)
+    return ident, np.unique(bbit_minhash._mixed(runs))
+
+
+def _copy_bands(least: np.ndarray) -> np.ndarray:
+    bands = least.reshape(-1, BAND_ROWS) * bbit_minhash._PLACES[:BAND_ROWS]
+    places = np.arange(len(bands), dtype=np.uint64) * bbit_minhash._PLACES[6]
+    return bbit_minhash._mixed(bbit_minhash._mixed(bands).sum(axis=1, dtype=np.uint64) + places).view(np.int64)
+
+
+def with_boilerplate(pages: DataFrame, shared: DataFrame, url: str, page: str, depth: int = DEPTH) -> DataFrame:
+    """(prefix, boilerplate): the shared prefixes, and whether SEVERAL pages have them that are no copies of each other.
+    Those that no page without an article has are false."""
+    wanted = shared.filter("bare").select("prefix")
+    if wanted.isEmpty():
+        return shared.select("prefix", F.lit(False).alias("boilerplate"))
+
+    def make(urls, texts):
+        for u, t in zip(urls, texts):
+            host, blocks = host_of(u.decode()), blocks_of(t.decode())
+            prefixes = list(set(_page_keys(host, _outside(blocks), depth)))
+            if prefixes:
+                ident, runs = _copy_key(host, blocks, depth)
+                least = bbit_minhash.minima(runs)
+                bands, packed = _copy_bands(least).tolist(), bbit_minhash.packed_bits(least).tolist()
+                yield 8 * (len(prefixes) + len(runs)) + 600, (ident, prefixes, bands, packed, runs.tobytes())
+
+    fields = "ident bigint, prefixes array<bigint>, bands array<bigint>, packed array<bigint>, runs binary"
+    told = materialise(map_documents(pages.select(url, page), [], [url, page], make, fields))
+    held = materialise(
+        told.select("ident", F.explode("prefixes").alias("prefix")).join(wanted, "prefix").select("prefix", "ident").distinct()
+    )
+    kept = told.drop("prefixes").join(held.select("ident").distinct(), "ident", "left_semi")
+    light = materialise(kept.groupBy("ident").agg(*(F.first(c).alias(c) for c in ("bands", "packed", "runs"))))
+    banded = light.select("ident", F.explode("bands").alias("bucket"))
+    least = banded.groupBy("bucket").agg(F.min("ident").alias("a"), F.count("*").alias("n")).filter("n > 1")
+    pairs = banded.join(least, "bucket").filter("a <> ident").select("a", F.col("ident").alias("b")).distinct()
+    packed = light.select("ident", "packed")
+    share = COPY_PERCENT / 100 + (1 - COPY_PERCENT / 100) * 0.5 ** bbit_minhash.BITS
+    enough = bbit_minhash.HASHES * share - 2 * (bbit_minhash.HASHES * share * (1 - share)) ** 0.5
+    near = pairs.join(packed.toDF("a", "pa"), "a").join(packed.toDF("b", "pb"), "b").filter(
+        bbit_minhash._matches("pa", "pb") >= enough
+    )
+    sets = light.select(F.col("ident").alias("cid"), F.col("runs").alias("shingles"))
+    copies = bbit_minhash._confirmed(near, sets, COPY_PERCENT)
+    labels = bbit_minhash.components(copies).withColumnRenamed("node", "ident")
+    distinct = held.join(labels, "ident", "left").groupBy("prefix").agg(
+        F.count_distinct(F.coalesce("label", "ident")).alias("n")
+    )
+    often = distinct.select("prefix", (F.col("n") >= SEVERAL).alias("often"))
+    return shared.join(often, "prefix", "left").select("prefix", F.coalesce("often", F.lit(False)).alias("boilerplate"))
 
 
 def main_text(blocks: list[tuple[int, str]], covered: np.ndarray) -> str:
-    """The page's text; ``covered`` says which tokens outside the article lie in shared runs."""
+    """The page's text; ``covered`` says which tokens outside the article lie in boilerplate."""
     if any(role == MAIN for role, _ in blocks):
         return "\n".join(text for role, text in blocks if role == MAIN)
     unique, at = [], 0
@@ -389,19 +461,23 @@ def extract(
     other pages of the host share. One row for each row of ``pages``."""
     spark = pages.sparkSession
     shared = materialise(shared_prefixes(pages, url, page, depth))
+    shared = materialise(with_boilerplate(pages, shared, url, page, depth))
     kind = dict(pages.dtypes)[key]
     if shared.count() <= BROADCAST_PREFIXES:
-        known = spark.sparkContext.broadcast(np.sort(np.array([r.prefix for r in shared.collect()], np.int64)))
+        rows = sorted((r.prefix, r.boilerplate) for r in shared.collect())
+        known = spark.sparkContext.broadcast((np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], bool)))
 
         def make(keys, addresses, urls, texts):
             for k, address, u, t in zip(keys, addresses, urls, texts):
+                prefixes, boilerplate = known.value
                 blocks = blocks_of(t.decode())
                 stream = _outside(blocks)
                 mine = np.array(_page_keys(host_of(u.decode()), stream, depth), np.int64)
-                place = np.minimum(np.searchsorted(known.value, mine), max(0, len(known.value) - 1))
-                starts = np.flatnonzero(known.value[place] == mine) if len(known.value) else np.zeros(0, np.int64)
+                place = np.minimum(np.searchsorted(prefixes, mine), max(0, len(prefixes) - 1))
+                starts = np.flatnonzero(prefixes[place] == mine) if len(prefixes) else np.zeros(0, np.int64)
                 covered = _covered(len(stream), starts, depth)
-                text = main_text(blocks, covered)
+                often = starts[boilerplate[place[starts]]]
+                text = main_text(blocks, _covered(len(stream), often, depth))
                 yield len(text) * 2, (k, address, text, len(stream), int(covered.sum()))
 
         numbered = pages.select(F.col(key), F.col(url).cast("string").alias("_url"), F.col(url).cast("string").alias("_u"), page)
@@ -426,17 +502,19 @@ def _extract_joined(pages, shared: DataFrame, key: str, url: str, page: str, dep
                 yield 24, (row, i, p)
 
     found = map_documents(rows, ["_row"], ["_url", "_page"], places, "_row bigint, place int, prefix bigint")
-    starts = found.join(shared, "prefix").groupBy("_row").agg(F.collect_list("place").alias("starts"))
+    starts = found.join(shared, "prefix").groupBy("_row").agg(
+        F.collect_list("place").alias("starts"), F.collect_list(F.when(F.col("boilerplate"), F.col("place"))).alias("often")
+    )
 
-    def make(keys, addresses, all_starts, texts):
-        for k, address, starts, t in zip(keys, addresses, all_starts, texts):
+    def make(keys, addresses, all_starts, all_often, texts):
+        for k, address, starts, often, t in zip(keys, addresses, all_starts, all_often, texts):
             blocks = blocks_of(t.decode())
             n = len(_outside(blocks))
             covered = _covered(n, np.array(starts or [], np.int64), depth)
-            text = main_text(blocks, covered)
+            text = main_text(blocks, _covered(n, np.array(often or [], np.int64), depth))
             yield len(text) * 2, (k, address, text, n, int(covered.sum()))
 
     return map_documents(
-        rows.join(starts, "_row", "left"), ["_key", "_url", "starts"], ["_page"], make,
+        rows.join(starts, "_row", "left"), ["_key", "_url", "starts", "often"], ["_page"], make,
         f"`{key}` {kind}, `{url}` string, text string, n_outside bigint, n_covered bigint",
     )

@@ -151,6 +151,30 @@ def test_boilerplate_of_a_host_goes(spark, monkeypatch, limit):
     assert html_text.extract(got.select("page_id", "url", got.text.alias("html")).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_copies_are_no_boilerplate(spark, monkeypatch, limit):
+    monkeypatch.setattr(html_text, "BROADCAST_PREFIXES", limit)
+
+    def page(name, changed=None):
+        story = [" ".join(f"{name}{i}{w}" for w in "abcdefghijklmnopqrst") for i in range(10)]
+        if changed is not None:
+            story[changed] = " ".join(f"{name}-new{changed}{w}" for w in "abcdefghijklmnopqrst")
+        return MENU + "".join(f"<p>{p}</p>" for p in story), "\n".join(story)
+
+    menu = MENU[5:-6]
+    near = {i: page("near", i) for i in range(5)}
+    equal = {10 + i: page("equal") for i in range(4)}
+    other = {20: page("other"), 21: page("another")}
+    rows = [(k, "http://h/", p) for k, (p, _) in {**near, **equal, **other}.items()]
+    rows += [(30 + k, "http://g/", p) for k, (p, _) in near.items()]  # nothing but copies: the menu cannot be told
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k, (_, story) in {**near, **equal, **other}.items():
+        assert got[k] == story, k
+    for k, (_, story) in near.items():
+        assert got[30 + k] == menu + "\n" + story
+    assert len(got) == len(rows)
+
+
 def test_text_query_keeps_whole_articles(spark):
     import re
 
