@@ -1,9 +1,9 @@
-"""Main text of web pages: tag roles for the blocks of a page, a suffix array over each host for its boilerplate.
+"""Main text of web pages: tag roles for the blocks of a page, shared runs of tokens of each host for its boilerplate.
 
 A page is cut into blocks of text, each with a role: inside the article, in page furniture (menus, headers, footers,
-sidebars, notices, adverts, forms, comments), or open. The tokens outside articles are concatenated by host, and the
-suffixes of that stream, sorted by their first DEPTH tokens, tell which runs of DEPTH or more tokens several pages share.
-Tasks sort the suffixes of their own pages and pass on one row for each prefix, with the first and last page that have
+sidebars, notices, adverts, forms, comments), or open. The tokens outside articles are concatenated by host
+within an Arrow batch, and the suffixes of that stream, sorted by their first DEPTH tokens, tell which runs of DEPTH or
+more tokens its pages share. Batches meet by hashes of such prefixes: tasks pass on one row for each prefix, with the first and last page that have
 it; a prefix with two different pages is shared, and the positions it covers are counted.
 
 Boilerplate is what SEVERAL distinct pages of a host share. Copies count as one page: equal ones by a hash of their
