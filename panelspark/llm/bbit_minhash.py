@@ -10,7 +10,7 @@
    bits, then, for classes that have a partner near enough, on the full sets. Classes of one component are not compared, since no link between them changes a component.
 
 A link of similarity s escapes the bands with probability (1 - s**ROWS)**BANDS: under 3e-6 at 0.8, and a component is
-lost only if all links that hold it do.
+lost only if all links that hold it do. Bands and the rule for small sets hold from LEAST_PERCENT on; less is refused.
 
 Defined results: texts without words have an empty set and stay alone; rows of one doc_id share what that id is linked
 with; a null id takes the smallest id of its component, or null; an empty table gives an empty one; other columns are
@@ -35,6 +35,8 @@ from panelspark.session import materialise
 HASHES = 256
 BANDS, ROWS = 42, 6
 BITS = 2
+#: Least similarity that BANDS find nearly every link of, and at which sets of up to three shingles link equal ones only.
+LEAST_PERCENT = 80
 #: Standard deviations that an estimate may lie below the threshold.
 MARGIN = 5.0
 #: Ids that may be broadcast to pick the documents whose sets are needed, or that go (8 to 40 bytes each); more are
@@ -315,7 +317,9 @@ def _block_links(block: list[tuple], least: int, percent: int) -> Iterator[tuple
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words_each: int = 5, percent: int = 80
 ) -> DataFrame:
-    """(key, n_shingles, component_id, kept): one row for each row of ``docs``."""
+    """(key, n_shingles, component_id, kept): one row for each row of ``docs``. ``percent`` is LEAST_PERCENT or more."""
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"the bands miss links below {LEAST_PERCENT} percent, got {percent}")
     told = materialise(document_sets(docs, key, text, words_each).withColumnRenamed(key, "_id"))
     classes = materialise(told.filter("set_key IS NOT NULL").groupBy("set_key").agg(
         F.min("_id").alias("first_doc"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),

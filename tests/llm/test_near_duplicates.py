@@ -78,3 +78,9 @@ def test_components_of_a_long_chain(spark):
     assert {r.node: r.label for r in bbit_minhash.components(edges).collect()} == {
         **{i: 1 for i in range(1, 201)}, 500: 500, 501: 500
     }
+
+
+def test_similarities_that_the_bands_would_miss_are_refused(edge):
+    for run in (bbit_minhash.near_duplicates, bbit_minhash.deduplicate):
+        with pytest.raises(ValueError, match="80 percent"):
+            run(edge, percent=79)
