@@ -4,8 +4,9 @@ The patterns are the windows of an item: every run of ``window`` words, or all i
 table over blocks of two words tells how far a search may jump; where it says zero, the bucket of that last block, split
 by the first block, names the windows to compare directly.
 
-Patterns are broadcast in blocks of bounded size, one pass over the documents for each block, so a benchmark of any size
-is searched whole. Nothing is shuffled.
+The benchmark is cut into pieces of words, each (item, piece) once however often its row recurs. Pieces are broadcast in
+blocks of bounded size, dealt by their summed bytes, so a benchmark of any size is searched whole. Each block is a pass
+over the documents that writes only the spans it finds; then its broadcast goes. Only these spans are shuffled, by row.
 
 Defined results: null and empty texts have no words and no hits, a null or wordless item no windows; items that share an
 id count once, a null id counts as the empty string; repeated rows give equal rows; empty tables give an empty table or
@@ -19,17 +20,21 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from panelspark.llm.common import as_bytes, content_key, in_batches, map_in_arrow
+from panelspark.llm.common import as_bytes, content_key, in_batches, map_documents, map_in_arrow
 from panelspark.session import materialise
 
 WINDOW = 13
-#: UTF-8 bytes of benchmark text in one broadcast, on average; an item is never split.
+#: UTF-8 bytes of pieces and item ids in one broadcast, at most, unless a single piece has more.
 BLOCK_BYTES = 1 << 20
+#: Words of a piece; the next one repeats the last words of the one before, as many as a window less one.
+PIECE_WORDS = 4096
+#: Buckets of pieces for each block, which are dealt whole.
+BUCKETS_EACH = 8
 #: Letters and digits after lower-casing A-Z, and all bytes of other characters; the rest becomes a space.
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
@@ -94,40 +99,85 @@ def find_contamination(
     """(key, n_words, n_hit, items): words of the whole text, those inside any occurrence of a window, and the ids (as
     strings, ascending) of the items whose windows occur."""
     spark = docs.sparkSession
-    items = benchmark.select(
-        F.coalesce(F.col(item_key).cast("string"), F.lit("")).alias("item"),
-        F.coalesce(F.col(item_text), F.lit("")).alias("text"),
-    )
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(1, -(-total // BLOCK_BYTES))
+    pieces = _pieces(benchmark, item_key, item_text, window)
+    blocks = _blocks(pieces)
     kept = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = kept.schema["key"].dataType.simpleString()
-    found = None
-    for b in range(n_blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == b).collect()
-        block = spark.sparkContext.broadcast([(r.item, r.text.encode()) for r in rows])
-        found = _search_block(kept if found is None else found, kind, block, window, last=b == n_blocks - 1)
-    return found.withColumnRenamed("key", key)
-
-
-def _search_block(df: DataFrame, kind: str, block: Broadcast, window: int, last: bool) -> DataFrame:
-    """Adds one block's occurrences to (key, text, starts, stops, items); the last block gives the result instead."""
-    if last:
-        ddl = f"key {kind}, n_words bigint, n_hit bigint, items array<string>"
-    else:
-        ddl = f"key {kind}, text string, starts array<int>, stops array<int>, items array<string>"
+    if len(blocks) == 1:
+        found = _search(kept, f"key {kind}, n_words bigint, n_hit bigint, items array<string>", _sent(spark, pieces), window)
+        return found.withColumnRenamed("key", key)
+    rows = materialise(kept.withColumn("row", F.monotonically_increasing_id()).select("row", "key", "text"))
+    spans = None
+    for lo, hi in blocks:
+        block = _sent(spark, pieces.filter(F.col("bucket").between(lo, hi)))
+        found = materialise(_search(
+            rows.select("row", "text"), "row bigint, starts array<int>, stops array<int>, items array<string>", block, window
+        ))
+        block.destroy()
+        spans = found if spans is None else spans.union(found)
+    return _joined(rows, spans, kind).withColumnRenamed("key", key)
+
+
+def _pieces(benchmark: DataFrame, item_key: str, item_text: str, window: int) -> DataFrame:
+    """(item, piece, bytes, bucket): the distinct pieces of every item, whose windows are the item's."""
+
+    def make(items, texts):
+        for item, text in zip(items, texts):
+            words = words_of(text)
+            step = max(1, PIECE_WORDS - window + 1)
+            for i in range(0, max(1, len(words) - window + 1) if words else 0, step):
+                piece = b" ".join(words[i:i + step + window - 1])
+                yield len(piece), (item, piece.decode())
+
+    items = benchmark.select(F.coalesce(F.col(item_key).cast("string"), F.lit("")).alias("item"), F.col(item_text).alias("text"))
+    cut = map_documents(items.distinct(), ["item"], ["text"], make, "item string, piece string").distinct()
+    size = cut.withColumn("bytes", F.octet_length("item") + F.octet_length("piece"))
+    pieces = materialise(size.withColumn("hash", F.xxhash64("item", "piece")))
+    total = pieces.agg(F.sum("bytes")).first()[0] or 0
+    n_buckets = BUCKETS_EACH * -(-total // BLOCK_BYTES) if total > BLOCK_BYTES else 1
+    return pieces.withColumn("bucket", F.pmod("hash", F.lit(n_buckets)))
+
+
+def _blocks(pieces: DataFrame) -> list[tuple[int, int]]:
+    """First and last bucket of each block; only a bucket that is larger by itself exceeds BLOCK_BYTES."""
+    blocks: list[tuple[int, int]] = []
+    held = 0
+    for bucket, size in sorted(tuple(r) for r in pieces.groupBy("bucket").agg(F.sum("bytes")).collect()):
+        if blocks and held + size <= BLOCK_BYTES:
+            blocks[-1], held = (blocks[-1][0], bucket), held + size
+        else:
+            blocks.append((bucket, bucket))
+            held = size
+    return blocks or [(0, 0)]
+
+
+def _sent(spark: SparkSession, pieces: DataFrame) -> Broadcast:
+    return spark.sparkContext.broadcast([(r.item, r.piece.encode()) for r in pieces.select("item", "piece").collect()])
+
+
+def _merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for start, stop in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], stop))
+        else:
+            out.append((start, stop))
+    return out
+
+
+def _search(df: DataFrame, ddl: str, block: Broadcast, window: int) -> DataFrame:
+    """One block's occurrences in (key, text): counts and items of every row, or with a field "starts" the spans and items
+    of the rows that have any."""
     out = to_arrow_schema(StructType.fromDDL(ddl))
-    first = "items" not in df.columns
+    whole = "starts" not in out.names
 
     def rows(batches: Iterator[pa.RecordBatch]):
         searches = None
         for batch in batches:
-            searches = searches or build(block.value, window)
-            n = batch.num_rows
-            past = [[[]] * n] * 3 if first else [batch.column(c).to_pylist() for c in ("starts", "stops", "items")]
-            for key, text, starts, stops, items in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), *past):
+            searches = build(block.value, window) if searches is None else searches
+            for key, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
                 words = words_of(text)
-                spans, names = list(zip(starts, stops)), set(items)
+                spans, names = [], set()
                 for search in searches:
                     for start, owners in search.search(words):
                         names |= owners
@@ -135,13 +185,11 @@ def _search_block(df: DataFrame, kind: str, block: Broadcast, window: int, last:
                             spans[-1] = (spans[-1][0], max(spans[-1][1], start + search.length))
                         else:
                             spans.append((start, start + search.length))
-                if last:
-                    hit = bytearray(len(words)) if spans else b""
-                    for a, z in spans:
-                        hit[a:z] = b"\x01" * (z - a)
-                    yield 32, (key, len(words), hit.count(1), sorted(names))
-                else:
-                    yield len(text), (key, text.decode(), [a for a, _ in spans], [z for _, z in spans], sorted(names))
+                spans = _merged(spans)
+                if whole:
+                    yield 32, (key, len(words), sum(z - a for a, z in spans), sorted(names))
+                elif spans:
+                    yield 8 * len(spans), (key, [a for a, _ in spans], [z for _, z in spans], sorted(names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from in_batches(rows(batches), out)
@@ -149,6 +197,27 @@ def _search_block(df: DataFrame, kind: str, block: Broadcast, window: int, last:
     return map_in_arrow(df, run, ddl)
 
 
+def _joined(rows: DataFrame, spans: DataFrame, kind: str) -> DataFrame:
+    """The result for the rows (row, key, text) from the spans that all blocks found."""
+
+    def count(ids, keys, texts):
+        for row, key, text in zip(ids, keys, texts):
+            yield 32, (row, key, len(words_of(text)))
+
+    def merge(ids, starts, stops, items):
+        for row, a, z, names in zip(ids, starts, stops, items):
+            merged = _merged((x, y) for s, t in zip(a, z) for x, y in zip(s, t))
+            yield 32, (row, sum(y - x for x, y in merged), sorted({n for some in names for n in some}))
+
+    counted = map_documents(rows, ["row", "key"], ["text"], count, f"row bigint, key {kind}, n_words bigint")
+    lists = spans.groupBy("row").agg(*(F.collect_list(c).alias(c) for c in ("starts", "stops", "items")))
+    hits = map_documents(lists, lists.columns, [], merge, "row bigint, n_hit bigint, items array<string>")
+    return counted.join(hits, "row", "left").select(
+        "key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+    )
+
+
 def contaminated() -> Column:
     """Whether a twentieth or more of the words are hit."""
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))

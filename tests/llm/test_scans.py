@@ -41,6 +41,32 @@ def test_windows_equal_brute_force(spark, monkeypatch, block):
     }
 
 
+@pytest.mark.parametrize("block", [1 << 20, 60])
+def test_benchmark_blocks_are_bounded(spark, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 4)
+    sent = []
+
+    class Context:
+        def broadcast(self, value):
+            sent.append(sum(len(str(i)) + len(t) for i, t in value))
+            return spark.sparkContext.broadcast(value)
+
+    class Session:
+        sparkContext = Context()
+
+    told = decontaminate._sent
+    monkeypatch.setattr(decontaminate, "_sent", lambda _, pieces: told(Session, pieces), raising=False)
+    rows = [*ITEMS, (9, "one two three four five six seven eight nine")]
+    items = spark.createDataFrame(rows + 500 * [(2, "pi RHO, sigma!")], "item_id long, text string")
+    docs = [*TEXTS, (9, "one two three four five. Six seven eight nine tau alpha"), (None, "eight nine"), (9, "six seven eight")]
+    for window in (3, 13):
+        got = decontaminate.find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), items, window=window)
+        want = [brute.contamination([d], rows, window)[d[0]] for d in docs]
+        assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(repr((d[0], *w)) for d, w in zip(docs, want))
+    assert sent and max(sent) <= max(block, 85) and (len(sent) > 4) == (block == 60)
+
+
 def test_many_patterns_equal_brute_force(documents):
     items = [(i, " ".join(t.split()[5:40])) for i, t in documents[::20]]
     searches = decontaminate.build([(str(i), t.encode()) for i, t in items])
