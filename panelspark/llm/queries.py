@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelspark.llm import arrow_tokens, bbit_minhash, bpe, decontaminate, html_text, quality_model, quality_rules
-from panelspark.llm import secret_scan, sharding, warc
+from panelspark.llm import alignment, arrow_tokens, bbit_minhash, bpe, decontaminate, html_text, packing, quality_model
+from panelspark.llm import quality_rules, secret_scan, sharding, warc, whitening
 from panelspark.llm.sql import OP2, OP3, OP4, OP9
 from panelspark.llm.common import table
 
@@ -15,7 +15,10 @@ ORACLES: dict[str, str] = {}
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
+PACK_END_ID = 0
 SHARDS = 8
 
 
@@ -117,3 +120,32 @@ def op5_html_text(spark, sf_dir):
 
 
 ORACLES["op4_warc"] = OP4
+
+
+@register
+def op11_whitening(spark, sf_dir):
+    """Every vector on the first components of the distinct ones."""
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    rows = whitening.transform(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("i", "whitened"))
+    share = [e / model.trace if model.trace else None for e in model.values] if model else [0.0]
+    return rows.select(
+        "vec_id", (F.col("i") + 1).alias("component"), F.lit(model.n if model else 0).cast("bigint").alias("n"),
+        "deviation", "whitened", F.get(F.array(*map(F.lit, share)), "i").cast("double").alias("explained"),
+        F.lit(model.identity_error if model else 0.0).alias("identity_error"),
+    )
+
+
+@register
+def op12_alignment(spark, sf_dir):
+    """Every document's groups of two tokenizers' tokens, and how common its linked id pairs are."""
+    aligned = alignment.align(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_MODEL)
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return alignment.count_links(aligned.withColumn("groups_sha256", digest).drop("groups"))
+
+
+@register
+def op13_packing(spark, sf_dir):
+    """The sequence and the place there of every piece of every document."""
+    pieces = packing.encode_pieces(table(spark, sf_dir, "documents"), WORD_VOCABULARY, PACK_END_ID)
+    return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
