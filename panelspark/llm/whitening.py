@@ -126,13 +126,18 @@ def _clusters(values: np.ndarray, near: float) -> list[np.ndarray]:
 
 def _solve_within(a: np.ndarray, basis: np.ndarray, middle: float) -> np.ndarray:
     """The basis rotated so that its vectors are eigenvectors, by the small matrix of ``a`` shifted by ``middle``."""
-    basis = basis @ (3 * np.eye(basis.shape[1], dtype=a.dtype) - basis.T @ basis) / 2
+    basis = _orthonormal(basis)
     small = basis.T @ (a @ basis - middle * basis)
     size = np.abs(small).max()
     if size == 0:
         return basis
     _, turn = np.linalg.eigh(((small + small.T) / (2 * size)).astype(np.float64))
-    return basis @ turn.astype(a.dtype)
+    return basis @ _orthonormal(turn.astype(a.dtype))
+
+
+def _orthonormal(x: np.ndarray) -> np.ndarray:
+    """Nearly orthonormal columns, with their error squared."""
+    return x @ (3 * np.eye(x.shape[1], dtype=x.dtype) - x.T @ x) / 2
 
 
 @dataclass(frozen=True)
