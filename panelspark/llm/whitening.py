@@ -98,6 +98,7 @@ def refine(a: np.ndarray, x: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarr
     for _ in range(rounds):
         r = eye - x.T @ x
         s = x.T @ (a @ x)
+        s = (s + s.T) / 2  # then E + E' = R, and a small gap cannot cost orthogonality
         values = np.diag(s) / (1 - np.diag(r))
         off = s - np.diag(values)
         near = 2 * (np.sqrt((off * off).sum()) + a_norm * np.sqrt((r * r).sum()))
@@ -111,7 +112,7 @@ def refine(a: np.ndarray, x: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarr
             x[:, members] = _solve_within(a, x[:, members], values[members].mean())
         if np.abs(e).max() <= least and not clustered:
             break
-    x = x / np.sqrt((x * x).sum(0))
+    x = _orthonormal(x)
     values = ((a @ x) * x).sum(0)
     order = np.argsort(-values, kind="stable")
     return values[order], x[:, order]
