@@ -19,9 +19,11 @@ an empty one; other columns are not read. Texts of any length are aligned whole.
 
 from __future__ import annotations
 
+import re
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, count
 
 import numpy as np
 import pyarrow as pa
@@ -31,21 +33,22 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from panelspark.llm.bpe import stretches
-from panelspark.llm.common import as_bytes, in_batches, map_in_arrow, sole_memo
+from panelspark.llm.common import Memo, as_bytes, byte_alphabet, in_batches, map_in_arrow, model_ids, sole_memo
 from panelspark.session import materialise
 
-#: Bytes that one Python worker's memo may take, and the longest stretch that it remembers.
-MEMO_BYTES, LONGEST = 96 << 20, 64
+#: Bytes that one Python worker's memo may take.
+MEMO_BYTES = 288 << 20
 #: A chunk ends with the document that brings it to so many distinct links (summed over documents), or bytes of groups.
 CHUNK_LINKS, CHUNK_BYTES = 400_000, 32 << 20
-_ENTRY_BYTES = 400  # of Python objects for an entry of the memo, beside what it holds
 _PIECE_SPACE = "▁"
+#: A space and letters, then punctuation: a pre-token each, which no normaliser changes.
+_TWO_PARTS = re.compile(r"( [A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 
 
 def token_groups(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int]]:
     """For each group, the indices behind its last token in either list; both lists end at the same byte."""
-    a_at = {end: i for i, end in enumerate(a_ends, 1)}
-    b_at = {end: i for i, end in enumerate(b_ends, 1)}
+    a_at = dict(zip(a_ends, count(1)))
+    b_at = dict(zip(b_ends, count(1)))
     return [(a_at[end], b_at[end]) for end in sorted(a_at.keys() & b_at.keys())]
 
 
@@ -60,20 +63,26 @@ def overlaps(a_ends: list[int], b_ends: list[int], group: tuple[int, int, int, i
             j += 1
 
 
-class Aligner(dict):
+class Aligner(Memo):
     """Memo from a stretch of text (UTF-8, with the space before it) to (tokens of A, of B, groups, their text, linked id
     pairs as 64-bit integers), or None where the tokens' bytes are not the stretch."""
 
+    ENTRY_BYTES = 300
+
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
         from tokenizers import Tokenizer, decoders
 
-        super().__init__()
+        super().__init__(MEMO_BYTES)
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
+        self.model = self.a.model
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        alphabet = _byte_alphabet()
-        self.a_bytes = {i: bytes(alphabet[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        number = {c: i for i, c in byte_alphabet().items()}
+        vocabulary = self.a.get_vocab(with_added_tokens=False)
+        self.a_bytes = [b""] * (1 + max(vocabulary.values()))
+        for token, i in vocabulary.items():
+            self.a_bytes[i] = bytes(map(number.get, token))
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [
             bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(_PIECE_SPACE, " ").encode()
@@ -81,35 +90,48 @@ class Aligner(dict):
         ]
         if not isinstance(self.a.decoder, decoders.ByteLevel) or any(_PIECE_SPACE in p.lstrip(_PIECE_SPACE) for p in pieces):
             raise ValueError("A must be byte-level, and no piece of B may reach over a space")
-        self.held = 0
+        self.direct = False
+        self.direct = all(self._a_ids(t) == self._a_direct(*_TWO_PARTS(t).groups()) for t in (" the", " Stra\u00dfe,", " \u00c9t\u00e9&&"))
+
+    def _a_direct(self, letters: str, punctuation: str) -> list[int]:
+        ids = model_ids(self.model, letters)
+        return ids + model_ids(self.model, punctuation) if punctuation else ids
+
+    def _a_ids(self, text: str) -> list[int]:
+        parts = _TWO_PARTS(text) if self.direct else None
+        return self._a_direct(*parts.groups()) if parts else self.a.encode(text, add_special_tokens=False).ids
 
-    def align(self, stretch: bytes) -> tuple | None:
+    def make(self, stretch: bytes) -> tuple | None:
         text = stretch.decode()
-        a = self.a.encode(text, add_special_tokens=False).ids
-        b = self.b.encode(text[1:], num_threads=1)
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
+        a, b = self._a_ids(text), self.b.encode(text[1:], num_threads=1)
+        a_parts, b_parts = list(map(self.a_bytes.__getitem__, a)), list(map(self.b_bytes.__getitem__, b))
         if b"".join(a_parts) != stretch or b"".join(b_parts) != stretch:
             return None
         a_ends, b_ends = list(accumulate(map(len, a_parts))), list(accumulate(map(len, b_parts)))
+        if a_ends == b_ends:  # a group for each token
+            links = [i << 32 | j for i, j in zip(a, b)]
+            return len(a), len(a), len(a), ";".join([f"{i}|{j}" for i, j in zip(a, b)]), array("q", links).tobytes()
         texts, links, i0, j0 = [], [], 0, 0
         for i1, j1 in token_groups(a_ends, b_ends):
-            texts.append(",".join(map(str, a[i0:i1])) + "|" + ",".join(map(str, b[j0:j1])))
-            links += [a[i] << 32 | b[j] for i, j in overlaps(a_ends, b_ends, (i0, i1, j0, j1))]
+            if i1 - i0 == 1:  # one token on a side: it overlaps all of the other
+                i = a[i0]
+                if j1 - j0 == 1:
+                    links.append(i << 32 | b[j0])
+                    texts.append(f"{i}|{b[j0]}")
+                else:
+                    links += [i << 32 | j for j in b[j0:j1]]
+                    texts.append(f"{i}|{','.join(map(str, b[j0:j1]))}")
+            else:
+                if j1 - j0 == 1:
+                    links += [i << 32 | b[j0] for i in a[i0:i1]]
+                else:
+                    links += [a[i] << 32 | b[j] for i, j in overlaps(a_ends, b_ends, (i0, i1, j0, j1))]
+                texts.append(",".join(map(str, a[i0:i1])) + "|" + ",".join(map(str, b[j0:j1])))
             i0, j0 = i1, j1
-        return len(a), len(b), len(texts), ";".join(texts), np.array(links, "<i8").tobytes()
+        return len(a), len(b), len(texts), ";".join(texts), array("q", links).tobytes()
 
-    def __missing__(self, stretch: bytes) -> tuple | None:
-        value = self.align(stretch)
-        if len(stretch) <= LONGEST:
-            if self.held >= MEMO_BYTES:
-                self.clear()
-            self[stretch] = value
-            self.held += _ENTRY_BYTES + (len(value[3]) + len(value[4]) if value else 0)
-        return value
-
-    def clear(self) -> None:
-        super().clear()
-        self.held = 0
+    def size(self, value: tuple | None) -> int:
+        return len(value[3]) + len(value[4]) if value else 0
 
     def document(self, text: bytes) -> tuple[int, int, int, str, bytes]:
         """As an entry of the memo, for a whole text."""
@@ -122,14 +144,6 @@ class Aligner(dict):
         return 0, 0, 0, "", b""
 
 
-def _byte_alphabet() -> dict[str, int]:
-    """Byte-level vocabularies write a byte as the printable Latin-1 character of its number; the others, in order, as
-    the characters from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
-
-
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
@@ -228,12 +242,12 @@ def count_links(aligned: DataFrame) -> DataFrame:
 
     def judge(docs: pa.Table, found: pa.Table) -> pa.Table:
         docs, at = docs.combine_chunks(), found["at"].to_numpy()
-        count, best = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-        count[at], best[at] = found["count"].to_numpy(), found["best"].to_numpy()
+        counts, best = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        counts[at], best[at] = found["count"].to_numpy(), found["best"].to_numpy()
         sums = []
         for links, times in zip(docs["links"].to_pylist(), docs["times"].to_pylist()):
             number, n = np.frombuffer(links, "<u4"), np.frombuffer(times, "<u4").astype(np.int64)
-            sums.append((int(best[number] @ n), int(count[number] @ n)))
+            sums.append((int(best[number] @ n), int(counts[number] @ n)))
         n_best, count_sum = zip(*sums) if sums else ((), ())
         columns = [docs[c] for c in kept] + [pa.array(n_best, pa.int64()), pa.array(count_sum, pa.int64())]
         return pa.Table.from_arrays(columns, schema=schema)

@@ -27,14 +27,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from panelspark.llm.common import as_bytes, in_batches, map_in_arrow, new_folder, open_path, sole_memo
+from panelspark.llm.common import Memo, as_bytes, in_batches, map_in_arrow, model_ids, new_folder, open_path, sole_memo
 from panelspark.session import materialise
 
 SEQUENCE_LENGTH = 2048
 #: Sequences of a record batch; every batch of a file but the last has as many, so a place gives its batch.
 BATCH_SEQUENCES = 128
-#: Entries that one Python worker remembers; it starts anew beyond that.
-MEMO_ENTRIES = 1_000_000
+#: Bytes that one Python worker's memo may take.
+MEMO_BYTES = 160 << 20
+#: Lower-case letters that normalisation leaves as they are; a word of them is one pre-token.
+_SETTLED = re.compile("[a-zß-öø-ÿ]+").fullmatch
 #: Punctuation that may end a word; no contraction starts with it.
 _TAIL = b".,;:!?#$%&*|)"
 _MANIFEST = "part int, data_path string, index_path string, n_docs bigint, n_ids bigint"
@@ -47,16 +49,17 @@ def _only_letters(text: str) -> bool:
     return text.isalpha() and text.lower().isalpha()
 
 
-class WordMemo(dict):
+class WordMemo(Memo):
     """Memo from a word, cut at ASCII white space, to its ids.
 
     Right for tokenizers that drop white space, compose (NFC), lower-case, and split letters from punctuation before they
     merge: for those, letters with punctuation after them have the ids of both parts, and a word in lower case those of
-    the word, unless combining marks follow a letter of it: h with a macron below composes, H with one does not.
+    the word, unless combining marks follow a letter of it: h with a macron below composes, H with one does not. Where the
+    tokenizer is byte-level, a word of settled letters goes to its model without normalisers and splitting.
     """
 
     def __init__(self, tokenizer, dtype: str):
-        super().__init__()
+        super().__init__(MEMO_BYTES)
         self.tokenizer, self.dtype = tokenizer, dtype
         added = tokenizer.get_added_tokens_decoder()
         if any(not t.special or t.normalized or t.single_word or t.lstrip or t.rstrip for t in added.values()):
@@ -66,16 +69,19 @@ class WordMemo(dict):
         longest_first = sorted(self.added, key=len, reverse=True)
         self.cut = re.compile(b"(" + b"|".join(map(re.escape, longest_first)) + b")").split if added else lambda text: [text]
 
-    def __missing__(self, word: bytes) -> bytes:
+        probes = ("the", "stra\u00dfe", "na\u00efvet\u00e9")
+        self.direct = all(model_ids(tokenizer.model, w) == self._whole(w) for w in probes)
+
+    def _whole(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def make(self, word: bytes) -> bytes:
         letters = word.rstrip(_TAIL)
         if len(letters) < len(word) and _only_letters(letters.decode()):
-            value = self[letters] + self[word[len(letters):]]
-        else:
-            value = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, self.dtype).tobytes()
-        if len(self) >= MEMO_ENTRIES:
-            self.clear()
-        self[word] = value
-        return value
+            return self[letters] + self[word[len(letters):]]
+        text = word.decode()
+        ids = model_ids(self.tokenizer.model, text) if self.direct and _SETTLED(text) else self._whole(text)
+        return np.array(ids, self.dtype).tobytes()
 
     def encode(self, text: bytes) -> bytes:
         """The ids of a text; it is cut at the strings of added tokens, which have ids of their own, in their case only."""

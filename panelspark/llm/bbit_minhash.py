@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from panelspark.llm.common import content_key, in_batches, map_documents, map_in_arrow, sole_memo
-from panelspark.session import materialise
+from panelspark.llm.common import Memo, content_key, dealt_by_rows, in_batches, map_documents, map_in_arrow, sole_memo
+from panelspark.session import materialise, release
 
 HASHES = 256
 BANDS, ROWS = 42, 6
@@ -44,8 +44,8 @@ MARGIN = 5.0
 BROADCAST_IDS = 1_000_000
 #: Classes of one bucket that a task compares with as many others.
 BLOCK_CLASSES = 500
-#: Words that one Python worker remembers the hash of.
-MEMO_ENTRIES = 200_000
+#: Bytes of words and hashes that one Python worker remembers.
+MEMO_BYTES = 24 << 20
 _LANES = HASHES * BITS // 64
 
 
@@ -60,15 +60,15 @@ _MULTIPLIERS = _mixed(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E
 _PLACES = _mixed(np.arange(1, 9, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_ENTRIES:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+class _WordHashes(Memo):
+    def make(self, word: bytes) -> int:
+        return xxhash.xxh3_64_intdigest(word)
 
+    def size(self, value: int) -> int:
+        return 0
 
-_WORDS = _WordHashes()
+
+_WORDS = _WordHashes(MEMO_BYTES)
 
 
 def shingle_set(text: bytes, words_each: int) -> np.ndarray:
@@ -342,9 +342,13 @@ def near_duplicates(
 def _links(docs, key, text, words_each, percent, classes: DataFrame) -> DataFrame:
     """Confirmed links (a, b) between classes, enough of them to connect every component."""
     least = least_matches(percent / 100)
-    banded = classes.select("cid", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.min("cid").alias("rep"), F.count("*").alias("n")).filter("n > 1")
-    members = materialise(banded.join(shared.select("bucket", "rep"), "bucket"))
+    # written once and dealt by rows: there are 42 short ones for each class, many in few bytes
+    banded = materialise(classes.select("cid", F.explode("bands").alias("bucket")))
+    with dealt_by_rows(docs.sparkSession, banded.count()):
+        shared = banded.groupBy("bucket").agg(F.min("cid").alias("rep"), F.count("*").alias("n")).filter("n > 1")
+        shared = materialise(shared.select("bucket", "rep"))
+        members = materialise(banded.join(shared, "bucket"))
+    release(banded, shared)
     light = classes.select("cid", "packed")
     pairs = members.filter("rep <> cid").select(F.col("rep").alias("a"), F.col("cid").alias("b")).distinct()
     rated = pairs.join(light.toDF("a", "pa"), "a").join(light.toDF("b", "pb"), "b").select(

@@ -18,10 +18,10 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from panelspark.llm.common import map_documents, sole_memo
+from panelspark.llm.common import Memo, map_documents, sole_memo
 
-#: Entries that one Python worker remembers; it starts anew beyond that.
-MEMO_ENTRIES = 600_000
+#: Bytes that one Python worker's memo may take.
+MEMO_BYTES = 128 << 20
 #: Keys of a bucket of the perfect hash, on average.
 BUCKET_KEYS = 3
 _MASK = (1 << 64) - 1
@@ -107,11 +107,11 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class Encoder(dict):
+class Encoder(Memo):
     """Memo from a stretch of text (UTF-8) to its ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, built: tuple[int, list[int]] | None = None):
-        super().__init__()
+        super().__init__(MEMO_BYTES)
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
         keys = sorted(ranks, key=ranks.get)
@@ -125,15 +125,11 @@ class Encoder(dict):
         found = self.whole[self.perfect.slot(piece)]
         return [found[1]] if found is not None and found[0] == piece else merge_bytes(piece, self.ranks)
 
-    def __missing__(self, stretch: bytes) -> bytes:
+    def make(self, stretch: bytes) -> bytes:
         ids: list[int] = []
         for token in self.split(stretch.decode()):
             ids += self.piece_ids(token.encode())
-        packed = array("I", ids)
-        if len(self) >= MEMO_ENTRIES:
-            self.clear()
-        self[stretch] = value = packed.tobytes()
-        return value
+        return array("I", ids).tobytes()
 
     def encode(self, text: bytes) -> bytes:
         return b"".join(map(self.__getitem__, stretches(text)))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager, suppress
 
 import pyarrow as pa
 from pyarrow import fs
@@ -65,14 +68,73 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
+_ABSENT = object()
+
+
+class Memo(dict):
+    """What ``make`` gives for a byte string, remembered within ``limit`` bytes, in two generations: a younger one of half
+    of that becomes the older one, whose entries move over when they are asked for again. Frequent keys so stay; keys of
+    over LONGEST bytes are not remembered."""
+
+    #: Bytes of the Python objects of an entry, beside what they hold.
+    ENTRY_BYTES = 140
+    LONGEST = 64
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.held, self.older = limit, 0, {}
+
+    def make(self, key: bytes):
+        raise NotImplementedError
+
+    def size(self, value) -> int:
+        return len(value)
+
+    def __missing__(self, key: bytes):
+        value = self.older.pop(key, _ABSENT)
+        if value is _ABSENT:
+            value = self.make(key)
+        if len(key) <= self.LONGEST:
+            if self.held >= self.limit // 2:
+                self.older = dict(self)
+                super().clear()
+                self.held = 0
+            self[key] = value
+            self.held += self.ENTRY_BYTES + len(key) + self.size(value)
+        return value
+
+    def clear(self) -> None:
+        super().clear()
+        self.older, self.held = {}, 0
+
+
+def byte_alphabet() -> dict[int, str]:
+    """Byte-level vocabularies write a byte as the printable Latin-1 character of its number; the others, in order, as
+    the characters from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
+_BYTE_LEVEL = byte_alphabet()
+
+
+def model_ids(model, text: str) -> list[int]:
+    """Ids of one pre-token by a byte-level model alone, without normalisers and splitting."""
+    return [t.id for t in model.tokenize(text.encode().decode("latin-1").translate(_BYTE_LEVEL))]
+
+
 _MEMOS_IN_USE: list[dict] = []
 
 
 def sole_memo(memo: dict) -> None:
     """Mark the memo that this worker process fills; one that an earlier stage left in the process is emptied."""
-    if _MEMOS_IN_USE and _MEMOS_IN_USE[0] is not memo:
+    if _MEMOS_IN_USE and _MEMOS_IN_USE[0] is memo:
+        return
+    if _MEMOS_IN_USE:
         _MEMOS_IN_USE[0].clear()
     _MEMOS_IN_USE[:] = [memo]
+    gc.freeze()  # modules and vocabularies stay: the collector need not visit them while the memo fills
 
 
 def map_in_arrow(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
@@ -80,7 +142,33 @@ def map_in_arrow(df: DataFrame, run: Callable, schema: StructType | str) -> Data
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(key)) <= BATCH_ROWS:
         conf.set(key, BATCH_ROWS)
-    return df.mapInArrow(run, schema)
+
+    def run_and_rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _hand_back()
+
+    return df.mapInArrow(run_and_rest, schema)
+
+
+def _hand_back() -> None:
+    """Gives free memory back to the machine: an idle worker process should not keep what a long text once took."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+@contextmanager
+def dealt_by_rows(spark: SparkSession, rows: int, each: int = 250_000) -> Iterator[None]:
+    """Shuffles that run inside have a partition for ``each`` rows, however few bytes those are."""
+    partitions, coalesce = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"
+    before = {k: spark.conf.get(k) for k in (partitions, coalesce)}
+    spark.conf.set(partitions, max(int(before[partitions]), -(-rows // each)))
+    spark.conf.set(coalesce, False)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def map_documents(

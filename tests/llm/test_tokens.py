@@ -12,6 +12,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from panelspark.llm import arrow_tokens, bpe
+from panelspark.llm.common import Memo
 from panelspark.llm.queries import BYTE_RANKS, END_ID, QUERIES, WORD_VOCABULARY
 from tests.llm.brute import sha
 from tests.llm.conftest import EDGE, SF
@@ -55,11 +56,48 @@ def test_bpe_equals_the_library(reference):
 
 
 def test_bpe_memo_is_bounded(reference, monkeypatch):
-    monkeypatch.setattr(bpe, "MEMO_ENTRIES", 5)
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 5 * bpe.Encoder.ENTRY_BYTES)
     encoder = bpe.Encoder({bytes([i]): i for i in range(256)} | {b"ab": 256}, vocabularies.PATTERN)
     for i in range(100):
         assert encoder.decode(encoder.encode(f"ab {i} ab".encode())) == f"ab {i} ab".encode()
-        assert len(encoder) <= 6
+        assert len(encoder) + len(encoder.older) <= 6
+
+
+def test_memos_hold_texts_without_spaces_in_bounded_bytes():
+    """A stretch may be a whole text: what is remembered is bounded by bytes, and long stretches are not remembered."""
+    encoder = bpe._encoder(BYTE_RANKS, vocabularies.PATTERN)
+    words = arrow_tokens._memo(WORD_VOCABULARY)
+    rnd = random.Random(2)
+    for memo in (encoder, words):
+        memo.clear()
+        for _ in range(60):
+            memo.encode("".join(map(chr, rnd.choices(range(0x4E00, 0x9FA5), k=400))).encode())
+        assert not memo and not memo.older and not memo.held
+
+
+def test_memo_keeps_what_is_asked_for_again():
+    class Doubled(Memo):
+        made = 0
+
+        def make(self, key):
+            self.made += 1
+            return key + key
+
+    memo = Doubled(40 * Doubled.ENTRY_BYTES)
+    for i in range(1000):
+        assert memo[b"often"] == b"oftenoften" and memo[b"%d" % i] == b"%d" % i * 2
+        assert len(memo) + len(memo.older) <= 41
+    assert memo.made == 1001
+
+
+def test_settled_words_go_to_the_model(words):
+    memo = arrow_tokens._memo(WORD_VOCABULARY)
+    assert memo.direct
+    rnd = random.Random(4)
+    letters = [c for c in map(chr, range(0x61, 0x180)) if c.isalpha()]
+    for _ in range(3000):
+        word = "".join(rnd.choices(letters, k=rnd.randrange(1, 12))) + rnd.choice(["", ",", "!?", "'s"])
+        assert np.frombuffer(memo.encode(word.encode()), memo.dtype).tolist() == words(word), word
 
 
 def test_bpe_of_odd_rows(spark, edge, nothing, reference):
