@@ -37,6 +37,8 @@ BATCH_SEQUENCES = 128
 MEMO_BYTES = 160 << 20
 #: Lower-case letters that normalisation leaves as they are; a word of them is one pre-token.
 _SETTLED = re.compile("[a-zß-öø-ÿ]+").fullmatch
+#: Punctuation behind an ASCII letter starts a pre-token, whatever follows: words are remembered without it.
+_AFTER_LETTER = re.compile(rb"[.,;:!?](?<=[a-z].)").sub
 #: Punctuation that may end a word; no contraction starts with it.
 _TAIL = b".,;:!?#$%&*|)"
 _MANIFEST = "part int, data_path string, index_path string, n_docs bigint, n_ids bigint"
@@ -93,7 +95,7 @@ class WordMemo(Memo):
     def _plain(self, text: bytes) -> bytes:
         # bytes: A-Z and ASCII white space only
         if b"\xcc" not in text and b"\xcd" not in text:  # lead bytes of U+0300-037F, all marks that compose with A-Z
-            return b"".join(map(self.__getitem__, text.lower().split()))
+            return b"".join(map(self.__getitem__, _AFTER_LETTER(rb" \g<0>", text.lower()).split()))
         return b"".join(self[w if b"\xcc" in w or b"\xcd" in w else w.lower()] for w in text.split())
 
 
