@@ -75,3 +75,26 @@ def spline_terms(x: Column, knots: Sequence[float]) -> list[Column]:
         lifted = cube(t) - cube(before) * ((last - t) / (last - before)) + cube(last) * ((before - t) / (last - before))
         terms.append(lifted / scale)
     return terms
+
+
+def ordered_bits(x: Column) -> Column:
+    """The 64-bit image of a double that is not NaN, as a long in the order of the values; both zeros are 0.
+
+    Exponent and fraction come from exact scaling by powers of two, so infinities and subnormal numbers have theirs.
+    """
+    size = F.abs(x)
+    rough = F.floor(F.log2(size)).cast("double")
+    exponent = (
+        rough + F.when(size >= F.pow(F.lit(2.0), rough + 1), 1.0).otherwise(0.0)
+        - F.when(size < F.pow(F.lit(2.0), rough), 1.0).otherwise(0.0)
+    )
+    # by halves, since two to the exponent, or its inverse, may be no double
+    half = F.floor(exponent / 2)
+    fraction = size / F.pow(F.lit(2.0), half) / F.pow(F.lit(2.0), exponent - half) - 1
+    normal = (exponent.cast("bigint") + 1023) * F.lit(1 << 52) + (fraction * F.lit(2.0**52)).cast("bigint")
+    subnormal = (size * F.lit(2.0**537) * F.lit(2.0**537)).cast("bigint")
+    image = (
+        F.when(size == 0, F.lit(0)).when(size == F.lit(float("inf")), F.lit(2047 << 52))
+        .when(size < F.lit(2.0**-1022), subnormal).otherwise(normal)
+    )
+    return F.when(x < 0, -image).otherwise(image)

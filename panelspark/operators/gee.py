@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -17,6 +18,11 @@ from panelspark.operators.quality import guard
 from panelspark.operators.schema import quoted
 from panelspark.session import materialise, release
 
+#: Correlations at the mean gap where the search for alpha starts.
+_GRID = sorted(sign * u for u in (
+    *(i / 10 for i in range(1, 10)), 1e-6, 0.02, 0.05, 0.95, 0.98, 0.99, 0.999, 0.9999, 0.99999, 1 - 1e-7
+) for sign in (-1, 1)) + [0.0]
+_GRID.sort()
 
 
 class GeeFit(NamedTuple):
@@ -24,6 +30,47 @@ class GeeFit(NamedTuple):
     working: DataFrame
 
 
+class _Trial(NamedTuple):
+    """A fit at one alpha: the estimating function (positive below the root), the sum of squares less a constant."""
+
+    alpha: float
+    function: float
+    squares: float
+    matrix: np.ndarray
+    beta: np.ndarray
+    phi: float
+
+
+def _root(judged: Callable[[Sequence[float]], list[_Trial]], grid: Sequence[float], rounds: int) -> float:
+    """The alpha of least squares: the best crossing of the grid is narrowed until it is as short as rounding allows.
+
+    A round tries the point where a line through the ends crosses and points at falling distances from it, so the
+    interval shrinks by much more than half a round.
+    """
+    tried = judged(grid)
+    crossings = [(a, b) for a, b in zip(tried, tried[1:]) if a.function > 0 >= b.function]
+    best = min((min(a.squares, b.squares) for a, b in crossings), default=math.inf)
+    if tried[-1].function > 0 and tried[-1].squares <= best:
+        raise RuntimeError("the working correlation is not below one")
+    if tried[0].function <= 0 and tried[0].squares <= best:
+        if tried[0].alpha < 0:
+            raise RuntimeError("the working correlation is not above minus one")
+        return 0.0  # gaps of any length: correlations are not negative
+    low, high = min(crossings, key=lambda ends: min(e.squares for e in ends))
+    for _ in range(rounds - 1):
+        width = high.alpha - low.alpha
+        crossing = low.alpha + width * low.function / (low.function - high.function)
+        if width <= 1e-13 * abs(crossing) + 1e-300 or high.function == 0:
+            return high.alpha if high.function == 0 else crossing
+        near = [crossing + sign * width * step for step in (0, 1e-1, 1e-2, 1e-4, 1e-7) for sign in (-1, 1)]
+        inside = sorted({x for x in (*near, low.alpha + width / 2) if low.alpha < x < high.alpha})
+        if not inside:
+            return crossing
+        ends = [low, *judged(inside), high]
+        low, high = next((a, b) for a, b in zip(ends, ends[1:]) if a.function > 0 >= b.function)
+    raise RuntimeError(f"the working correlation did not settle in {rounds} rounds; it lies in {low.alpha}..{high.alpha}")
+
+
 def period_number(df: DataFrame, period: str) -> Column:
     """The period as a number: days for dates and timestamps, numbers as they are."""
     kind = df.schema[period].dataType
@@ -74,9 +121,14 @@ def gee_ar1(
 
     Periods are numbers, dates or timestamps (distances in days); (unit, period) must be unique. Whitening combines a
     row and its predecessor with weights that depend on alpha only, so the cross-products of rows, predecessors and
-    row-predecessor pairs, summed per unit once, serve every iteration; the driver sees their p x p totals. Alpha is the
-    lag-one moment estimate (less the number of coefficients) unless given; the errors are the unit-clustered sandwich.
-    An estimate of one or more, and iterations that do not settle, are errors.
+    row-predecessor pairs, summed per unit and gap once, serve every trial; the driver sees their p x p totals.
+
+    Alpha, unless given, uses the pairs of all gaps g: it makes the sum of squares of (r s / phi - alpha**g) over them
+    least, in a joint solution with the coefficients, where r and s are residuals of a row and its predecessor; products
+    are worth (pairs - coefficients) / pairs each. With gaps of one only, that is the lag-one moment estimate. Negative
+    values are searched if all gaps are whole numbers and the smallest is odd. Without more pairs than coefficients alpha
+    is 0 and the status says so. The errors are the unit-clustered sandwich. A best value at one or beyond, and a search
+    that does not settle in ``rounds`` jobs, are errors.
     """
     if gap not in ("ignore", "power"):
         raise ValueError("gap is 'ignore' or 'power'")
@@ -119,53 +171,54 @@ def gee_ar1(
     )
     total = by_gap.agg(F.sum("n").alias("n"), sums([f"a[{i}]" for i in range(len(pair_list))]).alias("a")).first()
     n, whole = total["n"], unpack(np.array(total["a"]), k)
-    near = by_gap.filter("gap > 0").orderBy("gap").limit(1).collect()
     p = k - 1
     place = {ij: i for i, ij in enumerate(pair_list)}
 
     def at(i: int, j: int) -> int:
         return place[min(i, j), max(i, j)]
 
-    def whitened(rho: float) -> np.ndarray:
-        f = f"pow({rho!r}D, gap)"
-        cells = [
-            f"if(gap = 0, a[{at(i, j)}], (a[{at(i, j)}] - {f} * (b[{i * k + j}] + b[{j * k + i}]) + {f} * {f} * c[{at(i, j)}]) "
-            f"/ (1D - {f} * {f}))" for i, j in pair_list
-        ]
-        return unpack(np.array(by_gap.agg(sums(cells).alias("m")).first()["m"]), k)
-
-    def solve(matrix: np.ndarray) -> np.ndarray:
+    gaps = by_gap.filter("gap > 0").agg(
+        F.sum("n").alias("n"), F.min("gap").alias("least"), (F.sum(F.col("n") * F.col("gap")) / F.sum("n")).alias("mean"),
+        F.bool_and(F.col("gap") == F.floor("gap")).alias("whole"),
+    ).first()
+    enough = gaps["n"] is not None and gaps["n"] > p
+
+    def judged(alphas: Sequence[float]) -> list[_Trial]:
+        """One job: the fit at each alpha, its estimating function and its sum of squares."""
+        f, both = "pow(alpha, gap)", [f"(b[{i * k + j}] + b[{j * k + i}])" for i, j in pair_list]
+        spread = f"greatest(1D - {f} * {f}, 2e-16D)"
+        kept = [f"if(gap = 0, a[{at(i, j)}], (a[{at(i, j)}] - {f} * {s} + {f} * {f} * c[{at(i, j)}]) / {spread})"
+                for (i, j), s in zip(pair_list, both)]
+        slope = f"if(gap > 0, gap * pow(alpha, gap - {gaps['least'] or 0.0!r}D), 0D)"
+        level = f"if(gap > 0, {f}, 0D)"
+        grid = F.explode(F.array(*[F.lit(float(x)) for x in alphas])).alias("alpha")
+        rows = by_gap.select("*", grid).groupBy("alpha").agg(
+            sums(kept).alias("m"), sums([f"{slope} * {s} / 2" for s in both]).alias("s"),
+            sums([f"{level} * {s} / 2" for s in both]).alias("f"),
+            sums([f"{slope} * {f} * n", f"{level} * {level} * n"]).alias("n"),
+        ).collect()
+        return [trial(r) for r in sorted(rows, key=lambda r: r["alpha"])]
+
+    def trial(r) -> _Trial:
+        matrix = unpack(np.array(r["m"]), k)
         if is_singular(matrix[:p, :p]):
             raise ValueError("regressors are collinear")
-        return np.linalg.solve(matrix[:p, :p], matrix[:p, p])
-
-    def scale_and_alpha(beta: np.ndarray) -> tuple[float, float]:
+        beta = np.linalg.solve(matrix[:p, :p], matrix[:p, p])
         v = np.append(-beta, 1.0)
         phi = float(v @ whole @ v) / (n - p)
-        if not near or near[0]["n"] <= p:
-            return phi, 0.0
-        g, count, b = near[0]["gap"], near[0]["n"], np.array(near[0]["b"]).reshape(k, k)
-        rho = float(v @ b @ v) / ((count - p) * phi)
-        if abs(rho) >= 1.0:
-            raise RuntimeError(f"the working correlation is not below one: {rho}")
-        return phi, rho if g == 1 else float(np.sign(rho) * abs(rho) ** (1.0 / g))
-
-    rho = 0.0 if alpha is None else float(alpha)
-    if abs(rho) >= 1.0:
+        share = (gaps["n"] - p) / gaps["n"] if enough else 0.0
+        steep, flat = (float(v @ unpack(np.array(r[c]), k) @ v) / phi if phi > 0 else 0.0 for c in "sf")
+        return _Trial(r["alpha"], steep - share * r["n"][0], share * r["n"][1] - 2 * flat, matrix, beta, phi)
+
+    if alpha is not None and abs(alpha) >= 1.0:
         raise ValueError("alpha lies between -1 and 1")
-    matrix = whitened(rho)
-    beta = solve(matrix)
-    moved = 0.0 if alpha is not None else 1.0
-    for _ in range(rounds):
-        if moved < 1e-12:
-            break
-        fresh = scale_and_alpha(beta)[1]
-        matrix = whitened(fresh)
-        beta = solve(matrix)
-        moved, rho = abs(fresh - rho), fresh
-    if moved >= 1e-12:
-        raise RuntimeError(f"the working correlation did not settle in {rounds} rounds; it last moved by {moved}")
-    phi = scale_and_alpha(beta)[0]
+    if alpha is not None or not enough:
+        rho = float(alpha or 0.0)
+    else:
+        signed = gaps["whole"] and gaps["least"] % 2 == 1
+        rho = _root(judged, [math.copysign(abs(u) ** (1.0 / gaps["mean"]), u) for u in _GRID if signed or u >= 0], rounds)
+    status = "ok" if enough or alpha is not None else "too_few_pairs"
+    _, _, _, matrix, beta, phi = judged([rho])[0]
     bread = np.linalg.inv(matrix[:p, :p])
     v = [f"({float(x)!r}D)" for x in np.append(-beta, 1.0)]
     f = f"pow({rho!r}D, gap)"
@@ -185,7 +238,7 @@ def gee_ar1(
     rows = []
     for term, est, se in zip([INTERCEPT, *regressors], estimates, errors):
         z = float(est / se) if se > 0 else None
-        rows.append((term, float(est), float(se), z, None, normal_two_sided(z), int(n), "ok"))
+        rows.append((term, float(est), float(se), z, None, normal_two_sided(z), int(n), status))
     spark = df.sparkSession
     working = spark.createDataFrame([(float(rho), float(phi), int(n))], "alpha double, scale double, n_obs long")
     return GeeFit(spark.createDataFrame(rows, COEFFICIENTS), working)

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from math import exp
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.operators import effects, fixed_effects, gee, impute, index, linear, mixed
+from panelspark.operators import effects, fixed_effects, gee, impute, index, linear, mixed, quantiles
 from panelspark.plans import model_sql
 from panelspark.plans.registry import q6, query, r6
 from panelspark.plans.views import (
     COMPONENTS, CUSTOMER_MONTH, NATION_YEAR, USER_DAY_WIDE, customer_month, nation_year, table, user_day_wide,
 )
-from panelspark.session import materialise
+from panelspark.session import materialise, release
 
 POSITIVE = "d AS (SELECT *, ln(y) AS v FROM cm WHERE y > 0)"
 
@@ -22,6 +23,40 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: r6(c, digits) for c in columns})
 
 
+# ---- order statistics ----------------------------------------------------------------------------------------------
+
+EXTREME_SHARES = [0.0, 0.01, 0.1, 0.25, 0.4, 0.5, 0.6, 0.75, 0.9, 0.99, 1.0]
+
+
+@query("quantile_extremes", f"""
+WITH v AS (
+  SELECT CASE WHEN l_linenumber % 2 = 0 THEN -1 ELSE 1 END
+         * CASE WHEN l_partkey % 50 = 0 THEN CAST('inf' AS DOUBLE) WHEN l_partkey % 50 = 1 THEN 0.0
+                ELSE l_quantity * pow(2.0, (l_orderkey * 7 + l_linenumber * 311) % 2080 - 1074) END AS x FROM lineitem),
+r AS (SELECT x, row_number() OVER (ORDER BY x) - 1 AS k, count(*) OVER () AS n FROM v)
+SELECT share, CAST(sign(x) AS INTEGER) AS sign, isinf(x) AS infinite,
+       CASE WHEN x <> 0 AND NOT isinf(x) THEN {q6('ln(abs(x))')} END AS log_size
+FROM r JOIN (SELECT unnest({EXTREME_SHARES})::DOUBLE AS share) ON k = CAST(floor((n - 1) * share) AS BIGINT)""")
+def quantile_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order statistics of values from the smallest to the largest doubles, with infinities and zeros among them."""
+    power = (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 311) % 2080 - 1074
+    x = F.when(F.col("l_partkey") % 50 == 0, F.lit(float("inf"))).when(F.col("l_partkey") % 50 == 1, F.lit(0.0)).otherwise(
+        F.col("l_quantity").cast("double") * F.pow(F.lit(2.0), power)
+    )
+    signed = F.when(F.col("l_linenumber") % 2 == 0, -x).otherwise(x)
+    values = materialise(table(spark, sf_dir, "lineitem").select(signed.alias("x")))
+    n = values.count()
+    ranks = {share: math.floor((n - 1) * share) for share in EXTREME_SHARES}
+    found = quantiles.order_statistics(values, "x", sorted(set(ranks.values())))
+    release(values)
+    rows = [(share, found[k]) for share, k in ranks.items()]
+    size = F.abs("x")
+    return spark.createDataFrame(rows, "share double, x double").select(
+        "share", F.signum("x").cast("int").alias("sign"), (size == F.lit(float("inf"))).alias("infinite"),
+        F.when((size > 0) & (size < F.lit(float("inf"))), r6(F.ln(size))).alias("log_size"),
+    )
+
+
 # ---- indices -------------------------------------------------------------------------------------------------------
 
 @query("zscore", f"""
@@ -454,6 +489,20 @@ def gee_working(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(fit, "alpha", "scale")
 
 
+_GAPS = f"""{CUSTOMER_MONTH}, src AS (SELECT unit, period, x, ln(y) AS y FROM cm WHERE y > 0), {model_sql.gee_power('src')}"""
+
+
+@query("gee_gaps", f"""
+WITH {_GAPS} SELECT {q6('b1')} AS slope, {q6('se1')} AS std_error, {q6('rho')} AS alpha, {q6('scale')} AS scale, n AS n_obs FROM gee_power""")
+def gee_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers order in some months only: the correlation falls with the months between two orders."""
+    fit = gee.gee_ar1(materialise(customer_month(spark, sf_dir)), "y", ["x"], "unit", "period", gap="power")
+    slope = fit.coefficients.filter("term = 'x'").select(r6("estimate").alias("slope"), r6("std_error").alias("std_error"), "n_obs")
+    return slope.join(fit.working.select(r6("alpha").alias("alpha"), r6("scale").alias("scale"), "n_obs"), "n_obs").select(
+        "slope", "std_error", "alpha", "scale", "n_obs"
+    )
+
+
 # ---- imputation and pooling ----------------------------------------------------------------------------------------
 
 def holed_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

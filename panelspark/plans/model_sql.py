@@ -205,3 +205,78 @@ def gee(source: str, rounds: int = 12) -> str:
         "(m0x * m0x * j00 - 2 * m0x * m00 * j01 + m00 * m00 * j11) / (det * det) AS v11 FROM gee_cov)"
     )
     return ",\n".join(parts)
+
+
+def gee_power(source: str, rounds: int = 8, steps: int = 20) -> str:
+    """CTEs for the estimating equations with alpha to the power of the gap between periods, one regressor.
+
+    The sign of the estimating function of alpha is looked up at even steps, and again inside the step where it turns.
+    """
+    pairs = {"00": ("1", "1"), "0x": ("1", "x"), "0y": ("1", "y"), "xx": ("x", "x"), "xy": ("x", "y"), "yy": ("y", "y")}
+    prior = {"1": "1", "x": "px", "y": "py"}
+
+    def crossed(first: dict[str, str], second: dict[str, str]) -> dict[str, str]:
+        return {name: f"{first[i]} * {second[j]}" for name, (i, j) in pairs.items()}
+
+    own = {"1": "1", "x": "x", "y": "y"}
+    now, past = crossed(own, own), crossed(prior, prior)
+    between = {name: f"({prior[i]} * {own[j]} + {own[i]} * {prior[j]})" for name, (i, j) in pairs.items()}
+    by_gap = ", ".join(
+        f"sum({now[name]}) AS l{name}, sum({between[name]}) AS s{name}, sum({past[name]}) AS c{name}" for name in pairs
+    )
+    quadratic = "({k}yy - 2 * b0 * {k}0y - 2 * b1 * {k}xy + b0 * b0 * {k}00 + 2 * b0 * b1 * {k}0x + b1 * b1 * {k}xx)"
+    weighted = ", ".join(
+        f"any_value(f{name}) + sum((l{name} - pow(rho, gap) * s{name} + pow(rho, 2 * gap) * c{name}) / (1 - pow(rho, 2 * gap))) "
+        f"AS m{name}, sum(gap * pow(rho, gap - g0) * s{name}) AS t{name}, any_value(w{name}) AS w{name}" for name in pairs
+    )
+    solved = (
+        "*, (m00 * mxy - m0x * m0y) / (m00 * mxx - m0x * m0x) AS b1, (mxx * m0y - m0x * mxy) / (m00 * mxx - m0x * m0x) AS b0"
+    )
+
+    def fits(r: str, trials: str) -> list[str]:
+        return [
+            f"""pm_{r} AS (
+  SELECT rho, w, any_value(n) AS n, any_value(n_pairs) AS n_pairs, {weighted},
+         sum(gap * pow(rho, gap - g0) * pow(rho, gap) * g.n_gap) AS steep FROM {trials}, pg g, pw GROUP BY rho, w)""",
+            f"pb_{r} AS (SELECT {solved} FROM pm_{r})",
+            f"pf_{r} AS (SELECT *, {quadratic.format(k='w')} / (n - 2) AS scale FROM pb_{r})",
+        ]
+
+    parts = [
+        f"pc AS (SELECT avg(x) AS cx, avg(y) AS cy FROM {source})",
+        f"pd AS (SELECT unit, period, x - cx AS x, y - cy AS y FROM {source}, pc)",
+        "pl AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py, CAST(period - lag(period) OVER w AS DOUBLE) AS gap "
+        "FROM pd WINDOW w AS (PARTITION BY unit ORDER BY period))",
+        f"pg AS (SELECT gap, count(*) AS n_gap, {by_gap} FROM pl WHERE gap IS NOT NULL GROUP BY gap)",
+        "pfirst AS (SELECT " + ", ".join(f"coalesce(sum({v}), 0) AS f{name}" for name, v in now.items()) + " FROM pl WHERE gap IS NULL)",
+        "pall AS (SELECT CAST(count(*) AS DOUBLE) AS n, " + ", ".join(f"sum({v}) AS w{name}" for name, v in now.items()) + " FROM pd)",
+        "pw AS (SELECT pfirst.*, pall.*, n_pairs, g0 FROM pfirst, pall, "
+        "(SELECT CAST(sum(n_gap) AS DOUBLE) AS n_pairs, min(gap) AS g0 FROM pg))",
+        "pr_0 AS (SELECT 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi)",
+    ]
+    for r in range(1, rounds + 1):
+        parts.append(
+            f"pt_{r} AS (SELECT lo + (hi - lo) * i / {steps} AS rho, (hi - lo) / {steps} AS w FROM pr_{r - 1}, range({steps}) AS s(i))"
+        )
+        parts += fits(str(r), f"pt_{r}")
+        turn = f"{quadratic.format(k='t')} / 2 / scale - (n_pairs - 2) / n_pairs * steep > 0"
+        parts.append(f"pr_{r} AS (SELECT max(rho) FILTER (WHERE {turn}) AS lo, max(rho) FILTER (WHERE {turn}) + any_value(w) AS hi FROM pf_{r})")
+    parts.append(f"pt_z AS (SELECT (lo + hi) / 2 AS rho, 0.0 AS w FROM pr_{rounds})")
+    parts += fits("z", "pt_z")
+
+    def score(z: str, pz: str) -> str:
+        whole = f"({z} * (y - b0 - b1 * x))"
+        cross = f"({z} * (py - b0 - b1 * px) + {pz} * (y - b0 - b1 * x))"
+        behind = f"({pz} * (py - b0 - b1 * px))"
+        return (
+            f"sum(CASE WHEN gap IS NULL THEN {whole} ELSE ({whole} - pow(rho, gap) * {cross} + pow(rho, 2 * gap) * {behind}) "
+            f"/ (1 - pow(rho, 2 * gap)) END)"
+        )
+
+    parts.append(f"ps AS (SELECT unit, {score('1', '1')} AS s0, {score('x', 'px')} AS s1 FROM pl, pf_z GROUP BY unit)")
+    parts.append("pj AS (SELECT sum(s0 * s0) AS j00, sum(s0 * s1) AS j01, sum(s1 * s1) AS j11 FROM ps)")
+    parts.append(
+        "gee_power AS (SELECT rho, scale, b1, CAST(n AS BIGINT) AS n, sqrt((m0x * m0x * j00 - 2 * m0x * m00 * j01 + m00 * m00 * j11) "
+        "/ pow(m00 * mxx - m0x * m0x, 2)) AS se1 FROM pf_z, pj)"
+    )
+    return ",\n".join(parts)

@@ -4,7 +4,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from panelspark.operators import effects, fixed_effects, gee, impute, index, linear, mixed
+from panelspark.functions.numeric import ordered_bits
+from panelspark.operators import effects, fixed_effects, gee, impute, index, linear, mixed, quantiles
 from panelspark.operators.moments import moments, unpack
 from panelspark.operators.quality import QualityError
 from panelspark.operators.quantiles import exact_quantiles, order_statistics
@@ -287,9 +288,19 @@ def gee_direct(pdf, power):
             right += x[g].T @ w @ y[g]
         beta = np.linalg.solve(bread, right)
         e = y - x @ beta
-        pairs = [(a, b) for g in groups for a, b in zip(g[:-1], g[1:]) if not power or period[b] - period[a] == 1]
+        pairs = [(a, b, period[b] - period[a] if power else 1) for g in groups for a, b in zip(g[:-1], g[1:])]
         phi = e @ e / (n - 2)
-        new = sum(e[a] * e[b] for a, b in pairs) / ((len(pairs) - 2) * phi)
+        products = np.array([e[a] * e[b] / phi for a, b, _ in pairs])
+        gaps = np.array([g for *_, g in pairs], float)
+
+        def function(r):
+            return (gaps * r ** (gaps - gaps.min()) * (products - (len(pairs) - 2) / len(pairs) * r ** gaps)).sum()
+
+        low, high = 0.0, 1.0
+        for _ in range(60):
+            middle = (low + high) / 2
+            low, high = (middle, high) if function(middle) > 0 else (low, middle)
+        new = (low + high) / 2
         if abs(new - rho) < 1e-13:
             break
         rho = new
@@ -309,6 +320,48 @@ def test_gee_matches_dense_matrices(spark, gap):
     assert got["(Intercept)"] == pytest.approx((beta[0], se[0]), rel=1e-7)
 
 
+def irregular(units=60, periods=12, rho=0.7, seed=4):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for u in range(units):
+        e = rng.normal()
+        for t in range(periods):
+            x = rng.normal()
+            rows.append((u, float(t), x, 0.5 * x + e))
+            e = rho * e + np.sqrt(1 - rho**2) * rng.normal()
+    return pd.DataFrame(rows, columns=["unit", "period", "x", "y"])
+
+
+def test_alpha_from_pairs_of_all_gaps(spark):
+    """Gaps of one to five and fractions: no pair decides alone, and one odd row moves nothing."""
+    pdf = irregular()
+    fit = lambda rows: gee.gee_ar1(spark.createDataFrame(rows), "y", ["x"], "unit", "period", log_outcome=False, gap="power")
+    alpha = fit(pdf).working.first()["alpha"]
+    odd = pd.concat([pdf, pd.DataFrame([(0, 3.5, 0.1, 0.2)], columns=pdf.columns)])
+    one_more = fit(odd)
+    assert abs(one_more.working.first()["alpha"] - alpha) < 0.01
+    assert one_more.coefficients.first()["status"] == "ok"
+    holed = pdf.sample(frac=0.5, random_state=1)
+    shifted = holed.assign(period=holed.period + (holed.unit % 3) * 0.25 * (holed.period % 2))
+    pdf = shifted.assign(y=np.exp(shifted.y)).reset_index(drop=True)
+    got = gee.gee_ar1(spark.createDataFrame(pdf), "y", ["x"], "unit", "period", gap="power")
+    beta, se, rho = gee_direct(pdf, True)
+    assert got.working.first()["alpha"] == pytest.approx(rho, rel=1e-8) and 0.5 < rho < 0.9
+    assert estimates(got.coefficients)["x"] == pytest.approx((beta[1], se[1]), rel=1e-7)
+
+
+def test_negative_and_missing_correlation(spark):
+    pdf = irregular(rho=-0.5)
+    fit = lambda rows, gap: gee.gee_ar1(spark.createDataFrame(rows), "y", ["x"], "unit", "period", log_outcome=False, gap=gap)
+    assert -0.65 < fit(pdf, "ignore").working.first()["alpha"] < -0.35
+    assert fit(pdf, "power").working.first()["alpha"] == pytest.approx(fit(pdf, "ignore").working.first()["alpha"], rel=1e-9)
+    halves = pdf.assign(period=pdf.period / 2)  # gaps of any length have no negative powers
+    assert fit(halves, "power").working.first()["alpha"] == 0.0
+    few = pdf[pdf.period == 0]
+    alone = fit(few, "power")
+    assert alone.working.first()["alpha"] == 0.0 and {r["status"] for r in alone.coefficients.collect()} == {"too_few_pairs"}
+
+
 def test_gee_with_zero_correlation_is_ols(panel, pdf):
     got = estimates(gee.gee_ar1(panel, "y", ["x"], "unit", "period", alpha=0.0).coefficients)
     assert got["x"][0] == pytest.approx(ols_direct(design(pdf, ["x"]), np.log(pdf.y))[0][1], rel=1e-9)
@@ -358,6 +411,39 @@ def test_gee_estimates_a_correlation_near_one(spark):
     assert 0.99 < alpha < 1 and alpha != 0.99
 
 
+EXTREMES = [
+    [1.0, 2.0, 3.0, float("inf")], [float("-inf"), float("inf")], [float("-inf")] * 3 + [0.0], [5e-324, 0.0, -5e-324, 1e-310],
+    [1e300, -1e300, 1e-300, -1e-300, 1.7976931348623157e308, -1.7976931348623157e308], [2.0, 2.0, 2.0], [0.0, -0.0],
+    [2.2250738585072014e-308, 2.225073858507201e-308, 1.0, 0.9999999999999999, 1.0000000000000002],
+]
+
+
+@pytest.mark.parametrize("values", EXTREMES)
+def test_order_statistics_of_any_doubles(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(2)
+    found = quantiles.order_statistics(df, "x", range(len(values)))
+    assert [found[k] for k in range(len(values))] == sorted(values)
+
+
+def test_images_are_the_bits_of_a_double(spark):
+    rng = np.random.default_rng(8)
+    values = np.concatenate([
+        rng.integers(-(2**63), 2**63 - 1, 4000).view(np.float64), 2.0 ** np.arange(-1074, 1024), [0.0, np.inf, -np.inf],
+        np.nextafter(2.0 ** np.arange(-1000, 1000), 0), np.nextafter(2.0 ** np.arange(-1000, 1000), np.inf),
+    ])
+    values = values[~np.isnan(values)]
+    got = spark.createDataFrame(pd.DataFrame({"x": values})).select("x", ordered_bits(F.col("x")).alias("o")).toPandas()
+    bits = np.abs(got["x"].to_numpy()).view(np.int64)
+    assert (got["o"].to_numpy() == np.where(got["x"] < 0, -bits, bits)).all()
+
+
+def test_quantiles_with_infinite_ends(spark):
+    df = spark.createDataFrame([(v,) for v in [1.0, 2.0, 3.0, float("inf")]], "x double")
+    assert quantiles.exact_quantiles(df, "x", [0.0, 0.5, 0.75, 1.0]) == [1.0, 2.5, float("inf"), float("inf")]
+    wide = spark.createDataFrame([(v,) for v in [-1.7e308, 1.7e308]], "x double")
+    assert quantiles.exact_quantiles(wide, "x", [0.5]) == [0.0]
+
+
 # ---- indices, quantiles, ranks, effects ----------------------------------------------------------------------------
 
 def test_pca_matches_a_dense_decomposition(spark):
