@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.tails import t_two_sided
-from panelspark.operators.linear import COEFFICIENTS, prepare
-from panelspark.operators.moments import complete_rows, is_singular, moments, pairs, unpack
+from panelspark.operators.linear import COEFFICIENTS, dropped_row, dropping, prepare
+from panelspark.operators.moments import complete_rows, independent, is_singular, moments, pairs, unpack
 from panelspark.operators.schema import quoted
 from panelspark.session import materialise, release
 
@@ -26,14 +26,17 @@ def two_way_fixed_effects(
     period: str,
     log_outcome: bool = False,
     small_sample: bool = True,
+    collinear: str = "drop",
 ) -> DataFrame:
     """Coefficients of ``outcome ~ regressors`` with unit and period effects; errors clustered by unit.
 
     First the period effects of every variable are found (so that removing them and then unit means leaves exact
     two-way residuals). What remains is one set of per-unit moments: their sum gives the coefficients and their
     unit scores the clustered errors. The small-sample factor is G/(G-1) (n-1)/(n-K), with K counting regressors and
-    periods but not the unit effects nested in the clusters.
+    periods but not the unit effects nested in the clusters. Regressors that the effects or those before them determine
+    have no numbers and the status ``collinear``; they are an error with ``collinear='fail'`` or if none is left.
     """
+    drop = dropping(collinear)
     names = [*regressors, "_y"]
     q = len(names)
     work = prepare(df, outcome, regressors, [unit, period], log_outcome).dropna(subset=[unit, period])
@@ -43,10 +46,12 @@ def two_way_fixed_effects(
             F.count(F.lit(1)).cast("double").alias("n"), F.array(*[F.avg(quoted(c)) for c in names]).alias("mean")
         )
     )
-    centre = cells.agg(*[F.avg(F.col("mean")[i]).alias(f"m{i}") for i in range(q)]).first()
+    centre = cells.agg(
+        *[F.avg(F.col("mean")[i]) for i in range(q)], *[F.var_pop(F.col("mean")[i]) * F.sum("n") for i in range(q)]
+    ).first()
     if centre[0] is None:
         raise ValueError("no complete row to fit")
-    shift = [float(v) for v in centre]
+    shift, spread = [float(v) for v in centre[:q]], np.array(centre[q:], float)
     effects = materialise(_period_effects(cells, unit, period, shift))
     n_periods = effects.count()
     cleaned = work.join(effects, period).select(
@@ -58,16 +63,19 @@ def two_way_fixed_effects(
         F.array(*[F.sum(F.col("c")[k]) for k in range(len(pairs(q)))]).alias("c"),
     ).first()
     cross = unpack(np.array(total["c"]), q)
-    p = q - 1
-    sxx, sxy = cross[:p, :p], cross[:p, p]
-    if is_singular(sxx):
+    kept = np.flatnonzero(independent(cross[:-1, :-1], np.maximum(spread[:-1], np.diag(cross)[:-1])))
+    p = len(kept)
+    sxx, sxy = cross[np.ix_(kept, kept)], cross[kept, q - 1]
+    if p == 0 or (p < q - 1 and not drop) or is_singular(sxx):
+        release(cells, effects, units)
         raise ValueError("regressors are collinear once unit and period effects are removed")
     bread = np.linalg.inv(sxx)
     beta = bread @ sxy
     place = {ij: k for k, ij in enumerate(pairs(q))}
+    used = [*kept.tolist(), q - 1]
 
     def entry(i: int, j: int):
-        return F.col("c")[place[min(i, j), max(i, j)]]
+        return F.col("c")[place[min(used[i], used[j]), max(used[i], used[j])]]
 
     scores = []
     for i in range(p):
@@ -83,7 +91,11 @@ def two_way_fixed_effects(
     if small_sample:
         covariance *= g / (g - 1.0) * (n - 1.0) / (n - p - n_periods)
     rows = []
-    for i, term in enumerate(regressors):
+    for at, term in enumerate(regressors):
+        if at not in used[:-1]:
+            rows.append(dropped_row(term, n))
+            continue
+        i = used.index(at)
         se = float(np.sqrt(max(covariance[i, i], 0.0))) or None
         t = float(beta[i]) / se if se else None
         rows.append((term, float(beta[i]), se, t, g - 1.0, t_two_sided(t, g - 1.0), int(n), "ok"))

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark.functions.tails import normal_two_sided
-from panelspark.operators.linear import COEFFICIENTS, INTERCEPT, prepare
-from panelspark.operators.moments import complete_rows, is_singular, pairs, unpack
+from panelspark.operators.linear import COEFFICIENTS, INTERCEPT, dropped_row, dropping, prepare
+from panelspark.operators.moments import complete_rows, independent, is_singular, pairs, unpack
 from panelspark.operators.quality import guard
 from panelspark.operators.schema import quoted
 from panelspark.session import materialise, release
@@ -116,6 +116,7 @@ def gee_ar1(
     alpha: float | None = None,
     rounds: int = 50,
     gap: str = "ignore",
+    collinear: str = "drop",
 ) -> GeeFit:
     """Estimating equations with AR(1) working correlation; ``gap='power'`` uses alpha to the period distance.
 
@@ -128,8 +129,10 @@ def gee_ar1(
     are worth (pairs - coefficients) / pairs each. With gaps of one only, that is the lag-one moment estimate. Negative
     values are searched if all gaps are whole numbers and the smallest is odd. Without more pairs than coefficients alpha
     is 0 and the status says so. The errors are the unit-clustered sandwich. A best value at one or beyond, and a search
-    that does not settle in ``rounds`` jobs, are errors.
+    that does not settle in ``rounds`` jobs, are errors. Regressors that those before them determine have no numbers and
+    the status ``collinear``; with ``collinear='fail'`` they are an error.
     """
+    drop = dropping(collinear)
     if gap not in ("ignore", "power"):
         raise ValueError("gap is 'ignore' or 'power'")
     names = [*regressors, "_y"]
@@ -171,6 +174,14 @@ def gee_ar1(
     )
     total = by_gap.agg(F.sum("n").alias("n"), sums([f"a[{i}]" for i in range(len(pair_list))]).alias("a")).first()
     n, whole = total["n"], unpack(np.array(total["a"]), k)
+    kept = independent(whole[:-1, :-1])[1:]
+    if drop and not kept.all():
+        release(per_unit, by_gap)
+        fewer = [x for x, stays in zip(regressors, kept) if stays]
+        fit = gee_ar1(df, outcome, fewer, unit, period, log_outcome, alpha, rounds, gap, "fail")
+        found = {r["term"]: tuple(r) for r in fit.coefficients.collect()}
+        rows = [found.get(term) or dropped_row(term, n) for term in (INTERCEPT, *regressors)]
+        return GeeFit(df.sparkSession.createDataFrame(rows, COEFFICIENTS), fit.working)
     p = k - 1
     place = {ij: i for i, ij in enumerate(pair_list)}
 

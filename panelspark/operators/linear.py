@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelspark.functions.numeric import log_positive, spline_terms
+from panelspark.functions.numeric import log_positive, no_nan, spline_terms
 from panelspark.functions.tails import f_upper, t_two_sided_all
-from panelspark.operators.moments import SINGULAR, moments, unpack
+from panelspark.operators.moments import independent, moments, SINGULAR, unpack
 from panelspark.operators.quantiles import exact_quantiles
 from panelspark.operators.schema import quoted, require_columns
 
@@ -39,6 +39,17 @@ def prepare(
     )
 
 
+def dropping(collinear: str) -> bool:
+    if collinear not in ("drop", "fail"):
+        raise ValueError("collinear is 'drop' or 'fail'")
+    return collinear == "drop"
+
+
+def dropped_row(term: str, n: float) -> tuple:
+    """The row of COEFFICIENTS for a term that a fit went on without."""
+    return term, None, None, None, None, None, int(n), "collinear"
+
+
 class Fits(NamedTuple):
     """Least-squares fits of a block of groups, one per leading index; those that are not identified hold NaN."""
 
@@ -49,10 +60,14 @@ class Fits(NamedTuple):
     df: np.ndarray
     n: np.ndarray
     status: np.ndarray
+    dropped: np.ndarray  # by term
+
 
+def fit_moments(n: np.ndarray, mean: np.ndarray, cross: np.ndarray, drop: bool = False) -> Fits:
+    """Least squares of the last variable on the others and an intercept, for many groups at once.
 
-def fit_moments(n: np.ndarray, mean: np.ndarray, cross: np.ndarray) -> Fits:
-    """Least squares of the last variable on the others and an intercept, for many groups at once."""
+    With ``drop``, a regressor that others before it determine is left out, as if it had not been asked for.
+    """
     g, p = mean.shape[0], mean.shape[1] - 1
     sxx, sxy, syy = cross[:, :p, :p], cross[:, :p, p], cross[:, p, p]
     df = n - p - 1
@@ -75,8 +90,20 @@ def fit_moments(n: np.ndarray, mean: np.ndarray, cross: np.ndarray) -> Fits:
     beta = np.concatenate([(mean[:, p] - np.einsum("gi,gi->g", x, slope))[:, None], slope], axis=1)
     lost = ~good
     beta[lost], rss[lost], sigma2[lost] = np.nan, np.nan, np.nan
-    status = np.where(good, "ok", np.where(enough, "collinear", "too_few_rows"))
-    return Fits(beta, covariance * sigma2[:, None, None], rss, np.where(good, syy, np.nan), df, n, status)
+    status = np.where(good, "ok", np.where(enough, "collinear", "too_few_rows")).astype(object)
+    fits = Fits(
+        beta, covariance * sigma2[:, None, None], rss, np.where(good, syy, np.nan), df, n, status, np.zeros(beta.shape, bool)
+    )
+    for i in np.flatnonzero(lost) if drop else ():
+        kept = independent(sxx[i])
+        if not kept.all():
+            terms, columns = np.flatnonzero([True, *kept]), np.flatnonzero([*kept, True])
+            fewer = fit_moments(n[i:i + 1], mean[i:i + 1, columns], cross[i:i + 1][:, columns][:, :, columns])
+            fits.dropped[i] = [False, *~kept]
+            fits.beta[i, terms], fits.covariance[i][np.ix_(terms, terms)] = fewer.beta[0], fewer.covariance[0]
+            for whole, part in zip(fits[2:7], fewer[2:7]):
+                whole[i] = part[0]
+    return fits
 
 
 def coefficient_columns(terms: Sequence[str], fits: Fits) -> dict[str, np.ndarray]:
@@ -90,7 +117,8 @@ def coefficient_columns(terms: Sequence[str], fits: Fits) -> dict[str, np.ndarra
     return {
         "term": np.tile(np.array(terms, object), len(fits.n)), "estimate": fits.beta.ravel(), "std_error": se.ravel(),
         "statistic": t.ravel(), "df": df.astype(float), "p_value": t_two_sided_all(t.ravel(), df),
-        "n_obs": np.repeat(fits.n, k).astype("int64"), "status": np.repeat(fits.status, k),
+        "n_obs": np.repeat(fits.n, k).astype("int64"),
+        "status": np.where(fits.dropped.ravel(), "collinear", np.repeat(fits.status, k)),
     }
 
 
@@ -122,18 +150,22 @@ def ols(
     regressors: Sequence[str],
     by: Sequence[str] = (),
     log_outcome: bool = False,
+    collinear: str = "drop",
 ) -> DataFrame:
     """Coefficient table of a linear model, one per group of rows.
 
     Every group of ``df`` has all its terms; where the fit is not identified they have no numbers and ``status`` says
-    why (``too_few_rows``, ``collinear``, or ``no_rows`` for a group without a complete row).
+    why (``too_few_rows``, ``collinear``, or ``no_rows`` for a group without a complete row). A regressor that those
+    before it determine has no numbers and the status ``collinear``, and the fit goes on without it; with
+    ``collinear='fail'`` that is so for the whole fit.
     """
+    drop = dropping(collinear)
     work = prepare(df, outcome, regressors, by, log_outcome)
     terms = [INTERCEPT, *regressors]
     q = len(terms)
 
     def solve(n: np.ndarray, mean: np.ndarray, cross: np.ndarray) -> dict[str, np.ndarray]:
-        return coefficient_columns(terms, fit_moments(n, mean, cross))
+        return coefficient_columns(terms, fit_moments(n, mean, cross, drop))
 
     found = solve_groups(moments(work, [*regressors, "_y"], by), by, COEFFICIENTS, q, solve, q)
     if not by:
@@ -148,15 +180,21 @@ def ols(
 
 
 def stratified_slopes(df: DataFrame, stratum: str, outcome: str, exposure: str, log_outcome: bool = True) -> DataFrame:
-    """Simple regression per stratum with built-in aggregates; rows without a stratum are left out."""
-    work = prepare(df, outcome, [exposure], [stratum], log_outcome).dropna()
-    x = F.col(quoted(exposure))
+    """Simple regression per stratum with built-in aggregates; rows without a stratum are left out.
+
+    Every other stratum has its row; without a slope its ``status`` says why: ``no_rows`` (no complete one),
+    ``too_few_rows`` or ``collinear`` (the exposure is constant).
+    """
+    work = prepare(df, outcome, [exposure], [stratum], log_outcome).dropna(subset=[stratum])
+    x, y = no_nan(F.col(quoted(exposure))), no_nan(F.col("_y"))
+    work = work.select(stratum, F.when(y.isNotNull(), x).alias("_x"), F.when(x.isNotNull(), y).alias("_y"))
+    n = F.col("n_obs")
     return work.groupBy(stratum).agg(
-        F.regr_slope("_y", x).alias("slope"),
-        F.regr_intercept("_y", x).alias("intercept"),
-        F.regr_r2("_y", x).alias("r2"),
-        F.count(F.lit(1)).alias("n_obs"),
-    )
+        F.regr_slope("_y", "_x").alias("slope"),
+        F.regr_intercept("_y", "_x").alias("intercept"),
+        F.regr_r2("_y", "_x").alias("r2"),
+        F.count("_x").alias("n_obs"),
+    ).withColumn("status", F.when(n == 0, "no_rows").when(n < 2, "too_few_rows").when(F.col("slope").isNull(), "collinear").otherwise("ok"))
 
 
 def spline_knots(df: DataFrame, exposure: str, probabilities: Sequence[float] = SPLINE_PROBABILITIES) -> list[float]:
@@ -256,9 +294,10 @@ def with_residuals(
     The table has a row per term, so only that many numbers come to the driver.
     """
     beta = {r["term"]: r["estimate"] for r in coefficients.select("term", "estimate").collect()}
-    if any(v is None for v in beta.values()):
+    if all(v is None for v in beta.values()):
         raise ValueError("the fit has no estimates")
-    terms = [F.lit(v) * F.col(quoted(t)).cast("double") for t, v in beta.items() if t != INTERCEPT]
+    # terms that the fit went on without have none
+    terms = [F.lit(v) * F.col(quoted(t)).cast("double") for t, v in beta.items() if t != INTERCEPT and v is not None]
     fitted = reduce(lambda a, b: a + b, terms, F.lit(beta.get(INTERCEPT, 0.0)))
     y = F.col(quoted(outcome)).cast("double")
     observed = log_positive(y) if log_outcome else y

@@ -19,13 +19,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark.functions.tails import t_two_sided
-from panelspark.operators.linear import COEFFICIENTS, INTERCEPT, prepare
-from panelspark.operators.moments import is_singular, moments, pairs, unpack
+from panelspark.operators.linear import COEFFICIENTS, INTERCEPT, dropped_row, dropping, prepare
+from panelspark.operators.moments import independent, is_singular, moments, pairs, unpack
 from panelspark.operators.schema import quoted
 from panelspark.session import materialise, release
 
 COARSE = tuple(float(k) for k in range(-12, 13))
-ROUNDS = 4
+#: Most rounds of Newton steps; five or so are usual.
+ROUNDS = 40
+#: A step in the log ratios that the second-order expansion takes without a look; and the longest step.
+SHORT, LONGEST = 1e-6, 2.0
+#: Slope of the criterion in a small ratio's log below which the ratio is zero.
+FLAT = 1e-7
 #: Largest log ratio that a search opens up to; a criterion that still falls there has no optimum.
 LAST_LOG = 600.0
 #: Values of ``by`` (copies, outcomes) that one call fits; each holds some numbers in the driver.
@@ -157,14 +162,6 @@ def criterion(matrix: np.ndarray, logdet: np.ndarray, n: np.ndarray | float) ->
     return np.where(regular & (rss > 0), value, np.inf)
 
 
-def _neighbourhood(theta: float, step: float) -> list[float]:
-    """Next grid around a ratio: ten finer steps to each side on the log scale, and zero."""
-    if theta == 0.0:
-        return [0.0, float(np.exp(COARSE[0] - 2)), float(np.exp(COARSE[0] - 1)), float(np.exp(COARSE[0]))]
-    centre = float(np.log(theta))
-    return [0.0, *[float(np.exp(centre + step * k / 10.0)) for k in range(-10, 11)]]
-
-
 class _Best(NamedTuple):
     t1: float
     t2: float
@@ -172,8 +169,27 @@ class _Best(NamedTuple):
     value: float
 
 
-def _look(problem: _Problem, grids: dict[str, tuple[list[float], list[float]]], best: dict[str, _Best]) -> None:
-    """Evaluate the grids and keep each ``by``'s best point; the first of equal ones, zero before others."""
+class _Slopes(NamedTuple):
+    """The criterion at a point with first and second derivatives in the log ratios (in a ratio itself where it is 0)."""
+
+    t: np.ndarray
+    matrix: np.ndarray
+    logdet: float
+    value: float
+    first: np.ndarray  # matrices by ratio
+    second: np.ndarray  # matrices by pair of ratios
+    logdet_first: np.ndarray
+    logdet_second: np.ndarray
+    gradient: np.ndarray
+    hessian: np.ndarray
+
+
+def _look(
+    problem: _Problem, grids: dict[str, tuple[list[float], list[float]]], best: dict[str, _Best]
+) -> dict[str, tuple[float, float]]:
+    """Evaluate the grids and keep each ``by``'s best point; the first of equal ones, zero before others. Returns where
+    parabolas through its neighbours on the log scale are lowest."""
+    starts = {}
     table = _evaluate(problem, grids)
     for b, part in table.groupby("_by"):
         part = part.sort_values(["t1", "t2"], ignore_index=True)
@@ -181,6 +197,21 @@ def _look(problem: _Problem, grids: dict[str, tuple[list[float], list[float]]],
         at = int(np.argmin(values))
         if b not in best or values[at] < best[b].value:
             best[b] = _Best(float(part["t1"][at]), float(part["t2"][at]), _matrix(part.iloc[[at]], problem.q)[0], float(values[at]))
+        grid = np.unique(part["t1"]), np.unique(part["t2"])
+        plane = values.reshape(len(grid[0]), len(grid[1]))
+        x, y = divmod(at, len(grid[1]))
+        starts[b] = _lowest(grid[0], plane[:, y], x), _lowest(grid[1], plane[x], y)
+    return starts
+
+
+def _lowest(axis: np.ndarray, values: np.ndarray, at: int) -> float:
+    """Lowest point of the parabola through a point of an even log axis and its neighbours; the point where they lack."""
+    if at < 2 or at + 1 >= len(axis) or not np.all(np.isfinite(values[at - 1:at + 2])):
+        return float(axis[at])
+    before, here, after = values[at - 1:at + 2]
+    bend = before - 2 * here + after
+    shift = np.clip((before - after) / (2 * bend), -0.5, 0.5) if bend > 0 else 0.0
+    return float(axis[at] * (axis[at + 1] / axis[at]) ** shift)
 
 
 def _powers(low: float, high: float) -> list[float]:
@@ -215,21 +246,221 @@ def _open_bracket(problem: _Problem, nested: bool, best: dict[str, _Best]) -> No
         _look(problem, grids, best)
 
 
-def _search(problem: _Problem, nested: bool, grid: Sequence[float] | None, rounds: int) -> dict[str, _Best]:
-    """Best ratios per ``by``: a coarse log grid, opened until the criterion turns, then repeated zooms by ten."""
+def _derivatives(problem: _Problem, points: dict[str, tuple[float, float]]) -> dict[str, _Slopes]:
+    """One job: the weighted matrices, log-determinants and their derivatives at a point for each ``by``.
+
+    In the log of a ratio t, the weight a = n/(1 + nt) has the derivatives -ar and 2ar^2 - ar with r = ta. So sums with
+    a, ar and ar^2 over the size classes give those of every stratum; the stratum's own term k u u', k = t2/(1 + t2 A),
+    adds products of them.
+    """
+    q, spark = problem.q, problem.classes.sparkSession
+    table = spark.createDataFrame(
+        [(b, float(t1), float(t2), problem.centre[b]) for b, (t1, t2) in points.items()],
+        "_by string, t1 double, t2 double, centre array<double>",
+    )
+    a = "(n / (1D + n * t1))"
+    r = f"if(t1 > 0, t1 * {a}, {a})"
+    full, inner = pairs(q + 1), {ij: k for k, ij in enumerate(pairs(q))}
+    work = problem.classes.join(F.broadcast(table), "_by").withColumns({
+        "x1": F.expr(a), "x2": F.expr(f"{a} * {r}"), "x3": F.expr(f"{a} * {r} * {r}"),
+    })
+    d = ["1D", *[f"(mm[{i}] - centre[{i}])" for i in range(q)]]
+
+    def square(x: str, i: int, j: int) -> str:
+        own = f"g * {x} * {d[i]} * {d[j]}"
+        if i == 0:
+            return f"sum({own})"
+        k = inner[i - 1, j - 1]
+        return f"sum({own} + {x} * s[{k}]{f' + w[{k}]' if x == 'x1' else ''})"
+
+    strata = work.groupBy("_by", "_stratum", "t1", "t2").agg(
+        *[F.expr(f"array({', '.join(f'sum(g * {x} * {c})' for c in d)})").alias(f"u{x[1]}") for x in ("x1", "x2", "x3")],
+        *[F.expr(f"array({', '.join(square(x, i, j) for i, j in full)})").alias(f"v{x[1]}") for x in ("x1", "x2", "x3")],
+        F.expr("sum(g * log1p(n * t1))").alias("logdet"),
+    )
+    stages = [
+        {"a": "u1[0]", "a1": "-u2[0]", "a2": "2D * u3[0] - if(t1 > 0, u2[0], 0D)"},
+        {"d": "1D + t2 * a", "e": "if(t2 > 0, 1D, 0D)"},
+        {"k": "t2 / d", "c": "if(t2 > 0, t2 / d, 1D)"},
+        {"k1": "-k * k * a1", "k11": "2D * k * k * k * a1 * a1 - k * k * a2", "k2": "c / d",
+         "k22": "-2D * c * c * a / d + e * c / d", "k12": "-2D * c * k * a1 / d"},
+    ]
+    for stage in stages:
+        strata = strata.withColumns({name: F.expr(e) for name, e in stage.items()})
+
+    def cells(i: int, j: int, at: int) -> dict[str, str]:
+        uu = f"u1[{i}] * u1[{j}]"
+        turned = f"(u2[{i}] * u1[{j}] + u1[{i}] * u2[{j}])"  # -(uu')'
+        bent = f"(2D * u3[{i}] - e1 * u2[{i}]) * u1[{j}] + u1[{i}] * (2D * u3[{j}] - e1 * u2[{j}]) + 2D * u2[{i}] * u2[{j}]"
+        return {
+            "m": f"v1[{at}] - k * {uu}",
+            "m1": f"-v2[{at}] - k1 * {uu} + k * {turned}",
+            "m11": f"2D * v3[{at}] - e1 * v2[{at}] - k11 * {uu} + 2D * k1 * {turned} - k * ({bent})",
+            "m2": f"-k2 * {uu}",
+            "m22": f"-k22 * {uu}",
+            "m12": f"-k12 * {uu} + k2 * {turned}",
+        }
+
+    strata = strata.withColumn("e1", F.expr("if(t1 > 0, 1D, 0D)"))
+    by_cell = [cells(i, j, at) for at, (i, j) in enumerate(full)]
+    names = list(by_cell[0])
+    logs = {  # that of the units has the derivative A in the ratio itself, so t1 A in its log
+        "l": "logdet + log1p(t2 * a)", "l1": "if(t1 > 0, t1, 1D) * a + k * a1",
+        "l11": "if(t1 > 0, t1 * (a + a1), a1) + k * a2 + k1 * a1", "l2": "c * a",
+        "l22": "-c * c * a * a + e * c * a", "l12": "c * a1 / d",
+    }
+    rows = strata.groupBy("_by", "t1", "t2").agg(
+        *[F.expr(f"array({', '.join(f'sum({c[name]})' for c in by_cell)})").alias(name) for name in names],
+        *[F.expr(f"sum({e})").alias(name) for name, e in logs.items()],
+    ).collect()
+    return {r["_by"]: _slopes(r, q, problem.n[r["_by"]]) for r in rows}
+
+
+def _slopes(row, q: int, n: float) -> _Slopes:
+    matrix, m1, m11, m2, m22, m12 = (unpack(np.array(row[c]), q + 1) for c in ("m", "m1", "m11", "m2", "m22", "m12"))
+    first, second = np.array([m1, m2]), np.array([[m11, m12], [m12, m22]])
+    log1, log2 = np.array([row["l1"], row["l2"]]), np.array([[row["l11"], row["l12"]], [row["l12"], row["l22"]]])
+    value = float(criterion(matrix, np.array(row["l"]), n))
+    gradient, hessian = np.zeros(2), np.zeros((2, 2))
+    if np.isfinite(value):
+        inverse = np.linalg.inv(matrix[:q, :q])
+        v = np.append(-inverse @ matrix[:q, q], 1.0)
+        rss = float(v @ matrix @ v)
+        sides = first @ v  # by ratio
+        rss1 = sides @ v
+        share = [inverse @ m[:q, :q] for m in first]
+        for i in range(2):
+            gradient[i] = (n - q) * rss1[i] / rss + log1[i] + np.trace(share[i])
+            for j in range(2):
+                rss2 = v @ second[i, j] @ v - 2.0 * sides[i][:q] @ inverse @ sides[j][:q]
+                hessian[i, j] = (
+                    (n - q) * (rss2 / rss - rss1[i] * rss1[j] / rss**2) + log2[i, j]
+                    + np.trace(inverse @ second[i, j][:q, :q]) - np.trace(share[i] @ share[j])
+                )
+    return _Slopes(np.array([row["t1"], row["t2"]]), matrix, row["l"], value, first, second, log1, log2, gradient, hessian)
+
+
+def _step(at: _Slopes, dims: int) -> np.ndarray | None:
+    """Newton's step in the log ratios, no longer than LONGEST each way; None where no ratio may move."""
+    free = [i for i in range(dims) if at.t[i] > 0]
+    if not free:
+        return None
+    values, vectors = np.linalg.eigh(at.hessian[np.ix_(free, free)])
+    size = np.maximum(np.abs(values), 1e-8 * max(1.0, np.abs(values).max()))
+    move = -vectors @ ((vectors.T @ at.gradient[free]) / size)
+    step = np.zeros(2)
+    step[free] = np.clip(move, -LONGEST, LONGEST)
+    return step
+
+
+def _moved(at: _Slopes, step: np.ndarray, n: float) -> _Best:
+    """The point a short step on, by the second-order expansion of its matrix and log-determinant."""
+    matrix = at.matrix + np.einsum("i,ijk->jk", step, at.first) + np.einsum("i,j,ijkl->kl", step, step, at.second) / 2
+    logdet = at.logdet + step @ at.logdet_first + step @ at.logdet_second @ step / 2
+    t = at.t * np.exp(step)
+    return _Best(float(t[0]), float(t[1]), matrix, float(criterion(matrix, np.array(logdet), n)))
+
+
+def _at_zero(at: _Slopes, dims: int) -> np.ndarray:
+    """The ratios, with a start above zero for those at zero where the criterion falls, and zero for those so small that
+    it hardly falls any more on the way there."""
+    t = at.t.copy()
+    for i in range(dims):
+        if t[i] == 0 and at.gradient[i] < 0:
+            rise = at.hessian[i, i]
+            t[i] = min(-at.gradient[i] / rise, np.exp(COARSE[0])) if rise > 0 else np.exp(COARSE[0])
+        elif 0 < t[i] < np.exp(COARSE[0]) and 0 < at.gradient[i] < FLAT:
+            t[i] = 0.0
+    return t
+
+
+def _descend(
+    problem: _Problem, nested: bool, best: dict[str, _Best], starts: dict[str, tuple[float, float]], rounds: int
+) -> dict[str, _Slopes]:
+    """Newton steps from the best points, one job a round for all ``by`` that still move; a step that does not lower the
+    criterion is halved. ``best`` is brought up to date; returns the derivatives where each search ended."""
+    dims = 2 if nested else 1
+    ended: dict[str, _Slopes] = {}
+    last: dict[str, tuple[_Slopes, np.ndarray]] = {}
+    usable = {
+        b: f for b, f in best.items()
+        if np.isfinite(f.value) and max(f.t1, f.t2) < np.exp(LAST_LOG - 1) and independent(f.matrix[:-1, :-1]).all()
+    }
+    points = {b: starts.get(b, (f.t1, f.t2)) for b, f in usable.items()}
+    guessed = {b for b in points if points[b] != (best[b].t1, best[b].t2)}
+    for _ in range(rounds):
+        if not points:
+            return ended
+        following = {}
+        for b, at in _derivatives(problem, points).items():
+            least = last[b][0].value if b in last else best[b].value if b in guessed else np.inf
+            if not at.value <= least + 1e-10 * abs(least):
+                if b in last:
+                    last[b] = last[b][0], last[b][1] / 2
+                    following[b] = tuple(last[b][0].t * np.exp(last[b][1]))
+                else:
+                    following[b] = best[b].t1, best[b].t2
+                guessed.discard(b)
+                continue
+            guessed.discard(b)
+            t = _at_zero(at, dims)
+            step = _step(at, dims)
+            if not np.array_equal(t, at.t):
+                last.pop(b, None)
+                following[b] = tuple(t)
+            elif step is None or np.abs(step).max() <= SHORT:
+                ended[b] = at
+                best[b] = _moved(at, step if step is not None else np.zeros(2), problem.n[b])
+            else:
+                last[b] = at, step
+                following[b] = tuple(at.t * np.exp(step))
+        points = following
+    if points:
+        raise RuntimeError(f"the variance ratios did not settle in {rounds} rounds: {sorted(points.items())[:3]}")
+    return ended
+
+
+def _search(
+    problem: _Problem, nested: bool, grid: Sequence[float] | None, rounds: int
+) -> tuple[dict[str, _Best], dict[str, _Slopes]]:
+    """Best ratios per ``by``: a coarse log grid, opened until the criterion turns, then Newton steps."""
     first = list(grid) if grid is not None else [0.0, *[float(np.exp(k)) for k in COARSE]]
     best: dict[str, _Best] = {}
-    _look(problem, {b: (first, first if nested else [0.0]) for b in problem.n}, best)
+    starts = _look(problem, {b: (first, first if nested else [0.0]) for b in problem.n}, best)
     if grid is not None:
-        return best
+        return best, {}
+    before = dict(best)
     _open_bracket(problem, nested, best)
-    step = 1.0
-    for _ in range(rounds):
-        _look(problem, {
-            b: (_neighbourhood(f.t1, step), _neighbourhood(f.t2, step) if nested else [0.0]) for b, f in best.items()
-        }, best)
-        step /= 10.0
-    return best
+    starts = {b: t for b, t in starts.items() if best[b] is before[b]}
+    return best, _descend(problem, nested, best, starts, rounds)
+
+
+def satterthwaite(at: _Slopes | None, contrasts: np.ndarray, n: float, dims: int) -> np.ndarray:
+    """Degrees of freedom of the contrasts (rows): 2 C^2 / (g' A g), with C the variance of a contrast, g its gradient in
+    the logs of the residual variance and of the ratios above zero, and A twice the inverse Hessian of the restricted
+    deviance there. Ratios at zero, or given, count as known."""
+    q = contrasts.shape[1]
+    free = [i for i in range(dims) if at is not None and at.t[i] > 0]
+    if not free:
+        return np.full(len(contrasts), n - q)
+    inverse = np.linalg.inv(at.matrix[:q, :q])
+    v = np.append(-inverse @ at.matrix[:q, q], 1.0)
+    rss = float(v @ at.matrix @ v)
+    rss1 = np.array([v @ m @ v for m in at.first])
+    hessian = np.zeros((1 + len(free), 1 + len(free)))
+    hessian[0, 0] = n - q
+    scale = (n - q) / rss  # of the residual sum of squares at the variance that is best for it
+    for x, i in enumerate(free, 1):
+        hessian[0, x] = hessian[x, 0] = -rss1[i] * scale
+        for y, j in enumerate(free, 1):
+            # the profiled Hessian plus what profiling the residual variance took away
+            hessian[x, y] = at.hessian[i, j] + (n - q) * rss1[i] * rss1[j] / rss**2
+    spread = np.einsum("ci,ij,cj->c", contrasts, inverse, contrasts)
+    gradient = [spread]
+    for i in free:
+        gradient.append(-np.einsum("ci,ij,cj->c", contrasts, inverse @ at.first[i][:q, :q] @ inverse, contrasts))
+    gradient = np.array(gradient)
+    return spread**2 / np.einsum("xc,xy,yc->c", gradient, np.linalg.inv(hessian), gradient)
 
 
 def mixed_model(
@@ -242,26 +473,49 @@ def mixed_model(
     log_outcome: bool = True,
     theta_grid: Sequence[float] | None = None,
     rounds: int = ROUNDS,
+    degrees: str = "satterthwaite",
+    collinear: str = "drop",
 ) -> MixedFit:
     """Random-intercept model by restricted likelihood: unit effects, or unit effects nested in stratum effects.
 
     ``by`` (an imputation number or an outcome name: few values) fits one model per value in the same jobs.
-    ``theta_grid`` fixes the candidate variance ratios; otherwise any ratio is found, to about 1e-4 of its log.
+    ``theta_grid`` fixes the candidate variance ratios; otherwise any ratio is found, by Newton steps on its log.
+    ``degrees`` of freedom are those of Satterthwaite, or ``residual`` (rows less coefficients).
     Every value of ``by`` has its rows; a fit without numbers says why in ``status``: ``not_identified``, or
-    ``unbounded`` where the criterion falls without end (no variance is left within units).
+    ``unbounded`` where the criterion falls without end (no variance is left within units). Regressors that those before
+    them determine have no numbers and the status ``collinear``, and the fit goes on without them; with
+    ``collinear='fail'`` such a fit is not identified.
     """
+    drop = dropping(collinear)
+    if degrees not in ("satterthwaite", "residual"):
+        raise ValueError("degrees is 'satterthwaite' or 'residual'")
     problem = _problem(df, unit, stratum, outcome, regressors, by, log_outcome)
-    best = _search(problem, stratum is not None, theta_grid, rounds)
+    best, ended = _search(problem, stratum is not None, theta_grid, rounds)
     spark = df.sparkSession
     head = f"{by} string, " if by else ""
     coefficients, variances = [], []
     terms = [INTERCEPT, *regressors]
+    again: dict[tuple[str, ...], list[str]] = {}
+    for b, (_, _, matrix, _) in sorted(best.items()) if drop else ():
+        kept = independent(matrix[:-1, :-1])[1:]
+        if not kept.all():
+            again.setdefault(tuple(x for x, stays in zip(regressors, kept) if stays), []).append(b)
+            del best[b]
+    for fewer, values in again.items():
+        part = df if by is None else df.filter(F.col(quoted(by)).cast("string").isin(values))
+        fit = mixed_model(part, outcome, fewer, unit, stratum, by, log_outcome, theta_grid, rounds, degrees, "fail")
+        rows = fit.coefficients.collect()
+        coefficients += map(tuple, rows)
+        for b in values:
+            n = problem.n[b]
+            coefficients += [(*((b,) if by else ()), *dropped_row(x, n)) for x in regressors if x not in fewer]
+        variances += map(tuple, fit.variances.collect())
     for b, (t1, t2, matrix, value) in sorted(best.items()):
         key = (b,) if by else ()
         n, p = problem.n[b], problem.q
         mxx, mxy, myy = matrix[:p, :p], matrix[:p, p], matrix[p, p]
         status = "ok"
-        if not np.isfinite(value) or is_singular(mxx):
+        if not np.isfinite(value) or is_singular(mxx) or not independent(mxx).all():
             status = "not_identified"
         elif max(t1, t2) >= np.exp(LAST_LOG - 1):
             status = "unbounded"
@@ -275,11 +529,13 @@ def mixed_model(
         centre = np.array(problem.centre[b])
         shift = np.concatenate([[1.0], -centre[:-1]])
         estimates = np.concatenate([[beta @ shift + centre[-1]], beta[1:]])
-        spread = np.concatenate([[shift @ inverse @ shift], np.diag(inverse)[1:]]) * sigma2
-        for term, est, var in zip(terms, estimates, spread):
+        contrasts = np.vstack([shift, np.eye(p)[1:]])
+        spread = np.einsum("ci,ij,cj->c", contrasts, inverse, contrasts) * sigma2
+        free = satterthwaite(ended.get(b) if degrees == "satterthwaite" else None, contrasts, n, 1 + (stratum is not None))
+        for term, est, var, rest in zip(terms, estimates, spread, free.tolist()):
             se = float(np.sqrt(var))
             t = float(est / se)
-            coefficients.append((*key, term, float(est), se, t, float(n - p), t_two_sided(t, n - p), int(n), status))
+            coefficients.append((*key, term, float(est), se, t, rest, t_two_sided(t, rest), int(n), status))
         variances.append((
             *key, int(n), int(problem.units[b]), float(t1), float(t2), sigma2, float(t1 * sigma2), float(t2 * sigma2), value,
             status,
@@ -298,6 +554,7 @@ def control_outcomes(
     stratum: str | None = None,
     log_outcome: bool = True,
     theta_grid: Sequence[float] | None = None,
+    degrees: str = "satterthwaite",
 ) -> DataFrame | None:
     """The mixed model for every listed outcome that exists, all in the same jobs; None if none exists."""
     present = [o for o in outcomes if o in df.columns]
@@ -311,7 +568,7 @@ def control_outcomes(
             F.struct(F.lit(o).alias("outcome"), F.col(quoted(o)).cast("double").alias("_value")) for o in present
         ])).alias("_o"),
     ).select(*keys, *regressors, "_o.outcome", "_o._value")
-    fit = mixed_model(stacked, "_value", regressors, unit, stratum, "outcome", log_outcome, theta_grid)
+    fit = mixed_model(stacked, "_value", regressors, unit, stratum, "outcome", log_outcome, theta_grid, degrees=degrees)
     return fit.coefficients
 
 

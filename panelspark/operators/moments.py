@@ -71,3 +71,21 @@ def is_singular(a: np.ndarray, tolerance: float = SINGULAR) -> bool:
     if not np.all(np.isfinite(a)) or np.any(d == 0):
         return True
     return bool(np.linalg.eigvalsh(a / np.outer(d, d))[0] < tolerance)
+
+
+#: Share of its own size that a column must add to those before it.
+LEAST_SHARE = 1e-10
+
+
+def independent(a: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
+    """Which columns of a moment matrix add to those before them, by elimination in their order.
+
+    ``sizes`` are the squared sizes that what is left is compared with; the diagonal unless given.
+    """
+    left, kept = np.array(a, float), np.zeros(len(a), bool)
+    sizes = np.diag(a).copy() if sizes is None else sizes
+    for j in range(len(a)):
+        kept[j] = np.isfinite(left[j, j]) and left[j, j] > LEAST_SHARE * sizes[j]
+        if kept[j]:
+            left -= np.outer(left[:, j], left[j]) / left[j, j]
+    return kept

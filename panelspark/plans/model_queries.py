@@ -193,11 +193,26 @@ def fit_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("collinear_terms", f"""
+WITH {CUSTOMER_MONTH}, d AS (SELECT x, x3, ln(y) AS v FROM cm WHERE y > 0), {model_sql.eliminate('d', ['x', 'x3'], 'v', 'o')}
+SELECT '(Intercept)' AS term, {q6('b0', 5)} AS estimate, n - 3 AS df, CAST(n AS BIGINT) AS n_obs, 'ok' AS status FROM o_fit
+UNION ALL SELECT 'x', {q6('b1', 5)}, n - 3, CAST(n AS BIGINT), 'ok' FROM o_fit
+UNION ALL SELECT 'again', NULL, n - 3, CAST(n AS BIGINT), 'collinear' FROM o_fit
+UNION ALL SELECT 'x3', {q6('b2', 5)}, n - 3, CAST(n AS BIGINT), 'ok' FROM o_fit
+UNION ALL SELECT 'both', NULL, n - 3, CAST(n AS BIGINT), 'collinear' FROM o_fit""")
+def collinear_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regressors that others determine are left out; the fit is that of the others."""
+    x, x3 = F.col("x"), F.col("x3")
+    panel = customer_month(spark, sf_dir).select("y", "x", (2 * x + 1).alias("again"), "x3", (x - 3 * x3).alias("both"))
+    fit = linear.ols(panel, "y", ["x", "again", "x3", "both"], log_outcome=True)
+    return rounded(fit, "estimate", digits=5).select("term", "estimate", "df", "n_obs", "status")
+
+
 def copies_with_a_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One fit for each of three copies; the regressor of the second is constant."""
     copies = customer_month(spark, sf_dir).withColumn("imp", F.explode(F.sequence(F.lit(1), F.lit(3))))
     moved = copies.withColumn("x", F.when(F.col("imp") == 2, F.lit(1.0)).otherwise(F.col("x") * F.col("imp")))
-    return linear.ols(moved, "y", ["x"], ["imp"], log_outcome=True)
+    return linear.ols(moved, "y", ["x"], ["imp"], log_outcome=True, collinear="fail")
 
 
 @query("pool_partial", f"""
@@ -211,7 +226,8 @@ def pool_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stratified_slopes", f"""
 WITH {CUSTOMER_MONTH}, {POSITIVE}
 SELECT stratum, {q6('regr_slope(v, x)')} AS slope, {q6('regr_intercept(v, x)')} AS intercept, {q6('regr_r2(v, x)')} AS r2,
-       count(*) AS n_obs FROM d GROUP BY stratum""")
+       count(*) AS n_obs, CASE WHEN count(*) < 2 THEN 'too_few_rows' WHEN var_pop(x) = 0 THEN 'collinear' ELSE 'ok' END AS status
+FROM d GROUP BY stratum""")
 def stratified_slopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(linear.stratified_slopes(customer_month(spark, sf_dir), "stratum", "y", "x"), "slope", "intercept", "r2")
 
@@ -358,18 +374,18 @@ def coefficient_table(fit: DataFrame) -> DataFrame:
 
 @query("mixed_intercept", f"WITH {_CM_FLAT}, {model_sql.mixed('src', False)} {model_sql.mixed_coefficients()}")
 def mixed_intercept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coefficient_table(mixed.mixed_model(customer_month(spark, sf_dir), "y", ["x"], "unit").coefficients)
+    return coefficient_table(mixed.mixed_model(customer_month(spark, sf_dir), "y", ["x"], "unit", degrees="residual").coefficients)
 
 
-def supplier_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers by calendar months, every cell filled: a large effect of the supplier next to its counts of lines."""
+def supplier_months(spark: SparkSession, sf_dir: str, scale: float = 1000.0) -> DataFrame:
+    """Suppliers by calendar months, every cell filled: an effect of the supplier, of any size, next to its counts of lines."""
     lines = table(spark, sf_dir, "lineitem").groupBy(
         F.col("l_suppkey").alias("unit"), F.month("l_shipdate").alias("period")
     ).agg(F.count(F.lit(1)).alias("n"))
     supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("unit"), "s_acctbal")
     months = supplier.withColumn("period", F.explode(F.sequence(F.lit(1), F.lit(12))))
     counted = months.join(lines, ["unit", "period"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    return counted.select("unit", "period", (F.col("s_acctbal") * 1000 + F.col("n")).alias("y"), F.col("period").cast("double").alias("x"))
+    return counted.select("unit", "period", (F.col("s_acctbal") * F.lit(scale) + F.col("n")).alias("y"), F.col("period").cast("double").alias("x"))
 
 
 # In a balanced panel with the same regressor in every unit the restricted estimates are the moments of the two strata.
@@ -385,7 +401,7 @@ v AS (SELECT *, sxy / sxx AS b, (syy - sxy * sxy / sxx) / (g * 11 - 1) AS s2, (S
 SELECT CAST(g * 12 AS BIGINT) AS n_obs, {q6('b', 5)} AS slope, {q6('sqrt(s2 / sxx)', 5)} AS slope_error, {q6('s2', 3)} AS sigma2,
        {q6('ln(vb - s2 / 12)', 4)} AS log_var_unit, {q6('ln((vb - s2 / 12) / s2) / 10', 3)} AS log_ratio, 'ok' AS status FROM v""")
 def mixed_high_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fit = mixed.mixed_model(supplier_months(spark, sf_dir), "y", ["x"], "unit", log_outcome=False, rounds=7)
+    fit = mixed.mixed_model(supplier_months(spark, sf_dir), "y", ["x"], "unit", log_outcome=False)
     slope = fit.coefficients.filter("term = 'x'").select("estimate", "std_error")
     return fit.variances.crossJoin(slope).select(
         "n_obs", r6("estimate", 5).alias("slope"), r6("std_error", 5).alias("slope_error"), r6("sigma2", 3).alias("sigma2"),
@@ -393,6 +409,32 @@ def mixed_high_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# There the variance of a coefficient is a sum of two independent mean squares, whose degrees of freedom are known.
+@query("mixed_satterthwaite", f"""
+WITH sm AS (
+  SELECT s_suppkey AS unit, m AS x, s_acctbal / 500 + coalesce(n, 0) AS y
+  FROM supplier CROSS JOIN (SELECT unnest(range(1, 13))::DOUBLE AS m)
+  LEFT JOIN (SELECT l_suppkey, month(l_shipdate)::DOUBLE AS lm, count(*) AS n FROM lineitem GROUP BY 1, 2) ON l_suppkey = s_suppkey AND lm = m
+),
+w AS (SELECT unit, x - 6.5 AS xd, y - avg(y) OVER (PARTITION BY unit) AS yd, avg(y) OVER (PARTITION BY unit) AS my FROM sm),
+s AS (SELECT count(DISTINCT unit)::DOUBLE AS g, sum(xd * xd) AS sxx, sum(xd * yd) AS sxy, sum(yd * yd) AS syy, avg(my) AS mean FROM w),
+v AS (SELECT *, sxy / sxx AS b, (syy - sxy * sxy / sxx) / (g * 11 - 1) AS s2, (SELECT var_samp(my) FROM (SELECT DISTINCT unit, my FROM w)) AS vb FROM s),
+c AS (
+  SELECT '(Intercept)' AS term, mean - 6.5 * b AS est, vb / g AS between_units, 42.25 * s2 / sxx AS within_units, g FROM v
+  UNION ALL SELECT 'x', b, 0, s2 / sxx, g FROM v),
+d AS (SELECT *, between_units + within_units AS var, pow(between_units + within_units, 2)
+      / (pow(between_units, 2) / (g - 1) + pow(within_units, 2) / (g * 11 - 1)) AS free FROM c)
+SELECT term, {q6('est', 5)} AS estimate, {q6('sqrt(var)', 5)} AS std_error, {q6('free', 2)} AS df,
+       {q6(model_sql.t_tail('est / sqrt(var)', 'free'), 4)} AS p_value FROM d""")
+def mixed_satterthwaite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = supplier_months(spark, sf_dir, scale=1 / 500)
+    fit = mixed.mixed_model(panel, "y", ["x"], "unit", log_outcome=False).coefficients
+    return fit.select(
+        "term", r6("estimate", 5).alias("estimate"), r6("std_error", 5).alias("std_error"), r6("df", 2).alias("df"),
+        r6("p_value", 4).alias("p_value"),
+    )
+
+
 _VARIANCES = f"""
 SELECT CAST(nn AS BIGINT) AS n_obs, units AS n_units, {q6('t1')} AS theta_unit, {q6('t2')} AS theta_stratum,
        {q6('rss / (nn - 2)')} AS sigma2, {q6('t1 * rss / (nn - 2)')} AS var_unit, {q6('t2 * rss / (nn - 2)')} AS var_stratum,
@@ -408,7 +450,8 @@ def mixed_variances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("mixed_nested", f"WITH {_CM_MIXED}, {model_sql.mixed('src', True)} {model_sql.mixed_coefficients()}")
 def mixed_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coefficient_table(mixed.mixed_model(customer_month(spark, sf_dir), "y", ["x"], "unit", "stratum").coefficients)
+    fit = mixed.mixed_model(customer_month(spark, sf_dir), "y", ["x"], "unit", "stratum", degrees="residual")
+    return coefficient_table(fit.coefficients)
 
 
 THETA_GRID = [0.0, *[exp(k / 2) for k in range(-16, 9)]]
@@ -420,7 +463,7 @@ _CONTROL = f"""{NATION_YEAR}, src AS (
 @query("control_outcome", f"WITH {_CONTROL}, {model_sql.mixed('src', True)} {model_sql.mixed_coefficients('outcome')}")
 def control_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coefficient_table(
-        mixed.control_outcomes(nation_year(spark, sf_dir), ["y", "n_orders", "absent"], ["x"], "unit", "stratum")
+        mixed.control_outcomes(nation_year(spark, sf_dir), ["y", "n_orders", "absent"], ["x"], "unit", "stratum", degrees="residual")
     )
 
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from panelspark.operators.mixed import COARSE, ROUNDS
 from panelspark.plans.registry import q6
 
 
+#: The twins' own search: logs of the first ratios tried, and how often the step around the best is divided by ten.
+_LOGS = range(-12, 13)
+_ZOOMS = 7
+
+
 def f_tail(f: str, df1: str, df2: str, steps: int = 2000) -> str:
     """P(F > f) by Simpson's rule over the density of the root of F."""
     top = f"least(sqrt(greatest({f}, 0)), 60)"
@@ -70,7 +74,7 @@ def two_way(source: str, columns: Sequence[str], rounds: int = 60) -> str:
     return ",\n".join(parts)
 
 
-def mixed(source: str, nested: bool, rounds: int = ROUNDS) -> str:
+def mixed(source: str, nested: bool, rounds: int = _ZOOMS) -> str:
     """CTEs for the random-intercept model with one regressor over ``source(grp, stratum, unit, x, y)``.
 
     The last CTE ``mixed_fit`` has one row per ``grp`` with the ratios, the weighted matrix and the coefficients.
@@ -83,7 +87,7 @@ def mixed(source: str, nested: bool, rounds: int = ROUNDS) -> str:
          var_pop(x) * count(*) AS cxx, covar_pop(x, y) * count(*) AS cxy, var_pop(y) * count(*) AS cyy
   FROM {source} JOIN centre USING (grp) GROUP BY grp, stratum, unit)""",
     ]
-    coarse = "[0.0::DOUBLE, " + ", ".join(f"exp({k}::DOUBLE)" for k in COARSE) + "]"
+    coarse = "[0.0::DOUBLE, " + ", ".join(f"exp({k}::DOUBLE)" for k in _LOGS) + "]"
     second = coarse if nested else "[0.0::DOUBLE]"
     parts += [
         f"g1_0 AS (SELECT grp, unnest({coarse}) AS t1 FROM centre)",
@@ -97,7 +101,7 @@ def mixed(source: str, nested: bool, rounds: int = ROUNDS) -> str:
                 if dim == 2 and not nested:
                     parts.append(f"g2_{r + 1} AS (SELECT grp, 0.0::DOUBLE AS t2 FROM centre)")
                     continue
-                low = ", ".join(f"exp({COARSE[0] - k}::DOUBLE)" for k in (2, 1, 0))
+                low = ", ".join(f"exp({_LOGS[0] - k}::DOUBLE)" for k in (2, 1, 0))
                 parts.append(
                     f"g{dim}_{r + 1} AS (SELECT grp, unnest(CASE WHEN t{dim} = 0 THEN [0.0::DOUBLE, {low}] ELSE "
                     f"list_concat([0.0::DOUBLE], [exp(ln(t{dim}) + {step} * k) for k in range(-10, 11)]) END) "

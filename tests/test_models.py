@@ -79,7 +79,7 @@ def test_wide_models_far_from_zero(spark):
 
 def test_collinear_and_empty_groups_say_so(spark):
     df = spark.createDataFrame([("a", 1.0, 2.0, 1.0), ("a", 2.0, 4.0, 2.0), ("a", 3.0, 6.0, 5.0), ("b", 1.0, 1.0, None)], "g string, x double, w double, y double")
-    got = {(r["g"], r["term"]): r for r in linear.ols(df, "y", ["x", "w"], ["g"]).collect()}
+    got = {(r["g"], r["term"]): r for r in linear.ols(df, "y", ["x", "w"], ["g"], collinear="fail").collect()}
     assert len(got) == 6
     assert {r["estimate"] for r in got.values()} == {None} and got["b", "x"]["status"] == "no_rows" and got["b", "x"]["n_obs"] == 0
     assert got["a", "x"]["status"] in ("collinear", "too_few_rows") and got["a", "x"]["n_obs"] == 3
@@ -91,6 +91,54 @@ def test_stratified_slope_of_a_constant_is_null(spark):
     assert got["a"] is None and got["b"] == pytest.approx(np.log(2)) and set(got) == {"a", "b"}
 
 
+def with_copies(panel):
+    """The panel with a regressor that repeats x and one that the unit decides."""
+    return panel.withColumns({"twice": F.col("x") * 2 + 1, "own": F.length("unit") + F.ascii(F.substring("unit", -1, 1)).cast("double")})
+
+
+@pytest.mark.parametrize("model", ["ols", "mixed", "gee", "two_way"])
+def test_collinear_regressors_are_left_out(panel, model):
+    df = with_copies(panel)
+    fits = {
+        "ols": lambda xs, **k: linear.ols(df, "y", xs, log_outcome=True, **k),
+        "mixed": lambda xs, **k: mixed.mixed_model(df, "y", xs, "unit", **k).coefficients,
+        "gee": lambda xs, **k: gee.gee_ar1(df, "y", xs, "unit", "period", **k).coefficients,
+        "two_way": lambda xs, **k: fixed_effects.two_way_fixed_effects(df, "y", xs, "unit", "period", True, **k),
+    }
+    fit = fits[model]
+    extra = ["own"] if model == "two_way" else []
+    got = {r["term"]: r for r in fit([*extra, "x", "twice", "z"]).collect()}
+    want = {r["term"]: r for r in fit(["x", "z"]).collect()}
+    assert set(got) == set(want) | {"twice", *extra}
+    for term in ("twice", *extra):
+        assert got[term]["status"] == "collinear" and got[term]["estimate"] is None
+    for term, r in want.items():
+        assert got[term]["status"] == "ok"
+        assert tuple(got[term])[1:3] == pytest.approx(tuple(r)[1:3], rel=1e-6)
+        assert got[term]["df"] == (r["df"] and pytest.approx(r["df"], rel=1e-5))
+    if model in ("gee", "two_way"):
+        with pytest.raises(ValueError, match="collinear"):
+            fit(["x", "twice"], collinear="fail")
+    else:
+        assert all(r["estimate"] is None for r in fit(["x", "twice"], collinear="fail").collect())
+
+
+def test_collinear_regressors_by_group(spark):
+    rows = [("a", float(i), 2.0 * i, (i * i) % 7 + 1.0) for i in range(9)] + [("b", float(i), float(i % 3), i + (i * i) % 5 + 1.0) for i in range(9)]
+    df = spark.createDataFrame(rows, "g string, x double, z double, y double")
+    for fit in (linear.ols(df, "y", ["x", "z"], ["g"]), mixed.mixed_model(
+            df.withColumn("u", F.col("x") % 4), "y", ["x", "z"], "u", by="g", log_outcome=False).coefficients):
+        got = {(r["g"], r["term"]): r["status"] for r in fit.collect()}
+        assert got == {("a", "(Intercept)"): "ok", ("a", "x"): "ok", ("a", "z"): "collinear"} | {("b", t): "ok" for t in ("(Intercept)", "x", "z")}
+
+
+def test_every_stratum_has_its_row(spark):
+    rows = [("a", 1.0, 2.0), ("a", 2.0, 5.0), ("b", None, 1.0), ("b", 1.0, float("nan")), ("c", 1.0, 1.0), ("d", 3.0, 1.0), ("d", 3.0, 2.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    got = {r["g"]: (r["slope"], r["n_obs"], r["status"]) for r in linear.stratified_slopes(df, "g", "y", "x", False).collect()}
+    assert got == {"a": (3.0, 2, "ok"), "b": (None, 0, "no_rows"), "c": (None, 1, "too_few_rows"), "d": (None, 2, "collinear")}
+
+
 def test_spline_and_nonlinearity(panel, pdf):
     knots = linear.spline_knots(panel.filter("y > 0"), "x")
     assert knots == pytest.approx(np.quantile(list(pdf.x) + [], [0.05, 0.35, 0.65, 0.95]), rel=1e-12)
@@ -152,7 +200,7 @@ def test_random_intercept_is_the_dense_optimum(panel, pdf):
 
 
 def test_nested_intercepts_and_the_spark_evaluation(panel, pdf):
-    local = mixed.mixed_model(panel, "y", ["x"], "unit", "stratum", rounds=3)
+    local = mixed.mixed_model(panel, "y", ["x"], "unit", "stratum")
     v = local.variances.first()
     value, beta, se, _ = reml(pdf, ["x"], v["theta_unit"], v["theta_stratum"])
     assert v["criterion"] == pytest.approx(value, rel=1e-9)
@@ -162,6 +210,60 @@ def test_nested_intercepts_and_the_spark_evaluation(panel, pdf):
     assert v["status"] == "ok"
 
 
+def dense_degrees(pdf, names, sigma2, ratios, contrast):
+    """Satterthwaite's formula with numeric derivatives of the dense restricted deviance in the logs of the parameters."""
+    x, y = design(pdf, names), np.log(pdf.y.to_numpy())
+    same = [(pdf[c].to_numpy()[:, None] == pdf[c].to_numpy()[None]).astype(float) for c in ("unit", "stratum")]
+
+    def parts(logs):
+        v = np.exp(logs[0]) * (np.eye(len(y)) + sum(np.exp(s) * k for s, k in zip(logs[1:], same)))
+        vi = np.linalg.inv(v)
+        xvx = x.T @ vi @ x
+        e = y - x @ np.linalg.solve(xvx, x.T @ vi @ y)
+        return np.linalg.slogdet(v)[1] + np.linalg.slogdet(xvx)[1] + e @ vi @ e, contrast @ np.linalg.inv(xvx) @ contrast
+
+    at, h = np.log([sigma2, *ratios]), 1e-3
+    unit = np.eye(len(at)) * h
+    k = range(len(at))
+    deviance, variance = (lambda p: parts(p)[0]), (lambda p: parts(p)[1])
+    hessian = np.array([[
+        (deviance(at + unit[i] + unit[j]) - deviance(at + unit[i] - unit[j]) - deviance(at - unit[i] + unit[j])
+         + deviance(at - unit[i] - unit[j])) / (4 * h * h) for j in k] for i in k])
+    gradient = np.array([(variance(at + unit[i]) - variance(at - unit[i])) / (2 * h) for i in k])
+    return 2 * variance(at) ** 2 / (gradient @ (2 * np.linalg.inv(hessian)) @ gradient)
+
+
+@pytest.mark.parametrize("stratum", [None, "stratum"])
+def test_degrees_of_freedom_equal_a_dense_reference(spark, stratum):
+    pdf = make_panel(seed=3, units=14, strata=5)
+    rng = np.random.default_rng(0)
+    pdf["y"] = pdf.y * np.exp(pdf.stratum.map(dict(zip(sorted(pdf.stratum.unique()), rng.normal(0, 3.0, 5)))))
+    fit = mixed.mixed_model(spark.createDataFrame(pdf), "y", ["x", "z"], "unit", stratum)
+    v = fit.variances.first()
+    ratios = [v["theta_unit"]] + ([v["theta_stratum"]] if stratum else [])
+    assert min(ratios) > 0.01
+    got = {r["term"]: r for r in fit.coefficients.collect()}
+    for i, term in enumerate(["(Intercept)", "x", "z"]):
+        want = dense_degrees(pdf, ["x", "z"], v["sigma2"], ratios, np.eye(3)[i])
+        assert got[term]["df"] == pytest.approx(want, rel=1e-3), term
+        assert got[term]["df"] < len(pdf) - 3
+    plain = mixed.mixed_model(spark.createDataFrame(pdf), "y", ["x", "z"], "unit", stratum, degrees="residual")
+    assert {r["df"] for r in plain.coefficients.collect()} == {float(len(pdf) - 3)}
+
+
+def test_ratios_are_found_to_rounding(spark, panel, pdf):
+    """The criterion's derivative vanishes at the ratios, in one dimension and in two."""
+    for stratum in (None, "stratum"):
+        v = mixed.mixed_model(panel, "y", ["x"], "unit", stratum).variances.first()
+        t = [v["theta_unit"], v["theta_stratum"]]
+        for i in range(2 if stratum else 1):
+            if t[i] > 0:
+                up, down = ([x * (f if k == i else 1) for k, x in enumerate(t)] for f in (1.001, 1 / 1.001))
+                rise = reml(pdf, ["x"], *up)[0] - reml(pdf, ["x"], *down)[0]
+                bend = reml(pdf, ["x"], *up)[0] + reml(pdf, ["x"], *down)[0] - 2 * reml(pdf, ["x"], *t)[0]
+                assert abs(rise) < 0.01 * bend  # off by less than 1e-5 of the log
+
+
 @pytest.mark.parametrize("ratio", [1e-8, 1.0, 1e8, 1e16])
 def test_any_variance_ratio_is_found(spark, ratio):
     rng = np.random.default_rng(12)
