@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from panelspark.functions.numeric import to_int
 from panelspark.functions.text import code_key, name_key, zero_fill
 from panelspark.operators.quality import QualityError, guard
-from panelspark.operators.schema import quoted, require_columns
+from panelspark.operators.schema import fresh_name, quoted, require_columns
 from panelspark.session import materialise
 
 CODE_PATTERN = "^[A-Z]{3}$"
@@ -125,6 +125,81 @@ def fuzzy_lookup(names: DataFrame, column: str, dictionary: DataFrame, max_edits
     )
 
 
+def _tokens(key: Column) -> Column:
+    """The distinct words of a name key, without punctuation."""
+    return F.array_distinct(F.filter(F.split(key, r"[^\p{L}\p{N}]+"), lambda t: t != ""))
+
+
+def _nearest_tokens(words: DataFrame, tokens: DataFrame, max_edits: int) -> DataFrame:
+    """``(word, token, edits)``: the dictionary token with the fewest edits; words of under four letters must be equal."""
+    w = words.select("word", F.explode(_shorter_forms(F.col("word"), max_edits)).alias("form"))
+    t = tokens.select("token", F.explode(_shorter_forms(F.col("token"), max_edits)).alias("form"))
+    edits = F.levenshtein("word", "token")
+    allowed = F.when(F.least(F.length("word"), F.length("token")) >= 4, max_edits).otherwise(0)
+    near = w.join(t, "form").withColumn("edits", edits).filter(F.col("edits") <= allowed)
+    best = near.groupBy("word").agg(F.min(F.struct("edits", "token")).alias("best"))
+    return best.select("word", "best.token", "best.edits")
+
+
+def _weighed(rows: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+    """A row for each key: its ``words`` (rarest first), their ``total`` weight, and the ``prefix`` of tokens without which
+    the others weigh less than the threshold's share, so that a partner must have one of them."""
+    word = F.struct((-F.col("weight")).alias("order"), "token", "weight", "quality")
+    listed = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(word)).alias("words"))
+
+    def weight(words: Column) -> Column:
+        return F.aggregate(words, F.lit(0.0), lambda acc, w: acc + w["weight"])
+
+    listed = listed.withColumn("total", weight(F.col("words")))
+    from_here = F.transform("words", lambda w, i: F.struct(
+        w["token"].alias("token"), weight(F.slice("words", i + 1, F.size("words"))).alias("rest")
+    ))
+    needed = F.filter(from_here, lambda w: w["rest"] >= F.lit(threshold) * F.col("total") - 1e-9)
+    return listed.withColumn("prefix", needed["token"])
+
+
+def token_lookup(
+    names: DataFrame, column: str, dictionary: DataFrame, threshold: float = 0.7, max_edits: int = 1
+) -> DataFrame:
+    """Best dictionary entry by shared words, whatever their order: ``name_key, fuzzy_entry, fuzzy_code, fuzzy_score``.
+
+    A word weighs ln(1 + entries / entries that hold it). A name's words first take the nearest dictionary words within
+    ``max_edits`` (a share of the weight is lost for each edit); words that no entry holds weigh most. The score is the
+    weight in common over the weight of the union; the best of at least ``threshold`` wins, then the smallest entry.
+
+    Names and entries meet on an inverted index of their prefixes of rarest words (an equi-join): a pair that reaches the
+    threshold has a word of both prefixes in common, so none is lost, and words that many entries hold make few pairs.
+    """
+    left = names.select(name_key(F.col(column)).alias("name_key")).filter("name_key <> ''").distinct()
+    right = dictionary.select(name_key(F.col("entry")).alias("entry_key"), "entry", "code").filter("entry_key <> ''")
+    n_entries = F.lit(float(max(1, right.count())))
+    held = right.select("entry", "code", F.explode(_tokens(F.col("entry_key"))).alias("token"))
+    weights = held.groupBy("token").agg(F.log1p(n_entries / F.count(F.lit(1))).alias("weight"))
+    entries = _weighed(held.join(weights, "token").withColumn("quality", F.lit(1.0)), ["entry", "code"], threshold)
+
+    spoken = left.select("name_key", F.explode(_tokens(F.col("name_key"))).alias("word"))
+    nearest = _nearest_tokens(spoken.select("word").distinct(), weights.select("token"), max_edits).join(weights, "token")
+    quality = F.lit(1.0) - F.col("edits") / F.greatest(F.length("word"), F.length("token"))
+    known = spoken.join(nearest, "word", "left").groupBy("name_key", F.coalesce("token", "word").alias("token")).agg(
+        F.max(F.coalesce("weight", F.log1p(n_entries))).alias("weight"), F.max(F.coalesce(quality, F.lit(0.0))).alias("quality")
+    )
+    spoken_for = _weighed(known, ["name_key"], threshold).select(
+        "name_key", F.col("words").alias("mine"), F.col("total").alias("my_total"), F.explode("prefix").alias("token")
+    )
+    pairs = spoken_for.join(entries.select("*", F.explode("prefix").alias("token")), "token")
+    common = F.filter("mine", lambda m: F.exists("words", lambda w: w["token"] == m["token"]))
+    shared = F.aggregate(common, F.lit(0.0), lambda acc, m: acc + m["weight"])
+    agreed = F.aggregate(common, F.lit(0.0), lambda acc, m: acc + m["weight"] * m["quality"])
+    scored = pairs.withColumn("score", agreed / (F.col("my_total") + F.col("total") - shared))
+    best = scored.filter(F.col("score") >= threshold).groupBy("name_key").agg(
+        F.min(F.struct((-F.round("score", 12)).alias("worse"), "entry", "code", "score")).alias("best")
+    )
+    return best.select(
+        "name_key", F.col("best.entry").alias("fuzzy_entry"), F.col("best.code").alias("fuzzy_code"),
+        F.col("best.score").alias("fuzzy_score"),
+    )
+
+
 def resolve_cascade(
     df: DataFrame,
     code_column: str,
@@ -135,25 +210,28 @@ def resolve_cascade(
     dictionary: DataFrame | None = None,
     max_edits: int = 1,
     pattern: str = CODE_PATTERN,
+    token_score: float | None = None,
 ) -> DataFrame:
-    """Resolve each row: valid code, else id (for rows of an id source), else alias, else fuzzy name.
+    """Resolve each row: valid code, else id (for rows of an id source), else alias, else fuzzy name, else (where
+    ``token_score`` is given) the dictionary entry whose words score at least that.
 
     Rows of an id source with a readable but unknown id stay unresolved; an alias that maps to null stops the search.
-    Adds ``resolved`` and ``match_method`` (``code``, ``id``, ``alias``, ``fuzzy``, ``unknown_id``, ``not_an_entity``
-    or ``none``).
+    Adds ``resolved`` and ``match_method`` (``code``, ``id``, ``alias``, ``fuzzy``, ``tokens``, ``unknown_id``,
+    ``not_an_entity`` or ``none``).
 
     Only the distinct (code, name, id source) labels are resolved, written once and joined back: however many rows share
     a label, or have none, it is looked up once. Spark broadcasts that table where its measured size allows it and
     splits skewed labels otherwise.
     """
     from_id = F.lit(False) if id_source is None else F.coalesce(id_source, F.lit(False))
-    marked = df.withColumn("_from_id", from_id)
-    label = [F.col(quoted(code_column)).alias("_raw"), F.col(quoted(name_column)).alias("_name"), "_from_id"]
+    flag = fresh_name("_from_id", df.columns)
+    marked = df.withColumn(flag, from_id)
+    label = [F.col(quoted(code_column)).alias("_raw"), F.col(quoted(name_column)).alias("_name"), F.col(flag).alias("_from_id")]
     labels = marked.select(*label).distinct()
-    found = materialise(_resolve_labels(labels, aliases, id_dim, dictionary, max_edits, pattern))
+    found = materialise(_resolve_labels(labels, aliases, id_dim, dictionary, max_edits, pattern, token_score))
     same = (
         marked[code_column].eqNullSafe(found["_raw"]) & marked[name_column].eqNullSafe(found["_name"])
-        & (marked["_from_id"] == found["_from_id"])
+        & (marked[flag] == found["_from_id"])
     )
     return marked.join(found, same, "left").select(
         *[marked[quoted(c)] for c in df.columns], found["resolved"], found["match_method"]
@@ -167,7 +245,7 @@ def _looked_up(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return hits.unionByName(df.filter(~has_key), allowMissingColumns=True)
 
 
-def _resolve_labels(labels, aliases, id_dim, dictionary, max_edits: int, pattern: str) -> DataFrame:
+def _resolve_labels(labels, aliases, id_dim, dictionary, max_edits: int, pattern: str, token_score: float | None) -> DataFrame:
     work = materialise(labels.withColumns({
         "_code": valid_code(F.col("_raw"), pattern),
         "_id": F.when(F.col("_from_id"), to_int(F.col("_raw"))),
@@ -181,11 +259,16 @@ def _resolve_labels(labels, aliases, id_dim, dictionary, max_edits: int, pattern
     open_row = F.col("_code").isNull() & F.col("_id").isNull() & (F.col("alias_key") != "")
     no_alias = F.col("alias_known").isNull()
     if dictionary is None:
-        work = work.withColumn("fuzzy_code", F.lit(None).cast(T.StringType()))
+        work = work.withColumns({"fuzzy_code": F.lit(None).cast(T.StringType()), "fuzzy_how": F.lit(None).cast(T.StringType())})
     else:
         rest = work.filter(open_row & no_alias).select(F.col("alias_key").alias("_rest"))
         hits = fuzzy_lookup(rest, "_rest", dictionary, max_edits)
-        hits = hits.select(F.col("name_key").alias("alias_key"), "fuzzy_code")
+        hits = hits.select(F.col("name_key").alias("alias_key"), "fuzzy_code", F.lit("fuzzy").alias("fuzzy_how"))
+        if token_score is not None:
+            hits = materialise(hits)
+            left = rest.join(hits, F.col("_rest") == F.col("alias_key"), "left_anti")
+            by_words = token_lookup(left, "_rest", dictionary, token_score, max_edits)
+            hits = hits.union(by_words.select("name_key", "fuzzy_code", F.lit("tokens")))
         work = _looked_up(work, hits, "alias_key")
     by_name = F.col("_code").isNull() & F.col("_id").isNull()
     method = (
@@ -194,7 +277,7 @@ def _resolve_labels(labels, aliases, id_dim, dictionary, max_edits: int, pattern
         .when(F.col("_id").isNotNull(), "unknown_id")
         .when(by_name & F.col("alias_code").isNotNull() & (F.col("alias_key") != ""), "alias")
         .when(by_name & ~no_alias & (F.col("alias_key") != ""), "not_an_entity")
-        .when(open_row & F.col("fuzzy_code").isNotNull(), "fuzzy")
+        .when(open_row & F.col("fuzzy_code").isNotNull(), F.col("fuzzy_how"))
         .otherwise("none")
     )
     marked = work.withColumn("match_method", method)
@@ -202,7 +285,7 @@ def _resolve_labels(labels, aliases, id_dim, dictionary, max_edits: int, pattern
         F.when(F.col("match_method") == "code", F.col("_code"))
         .when(F.col("match_method") == "id", F.col("dim_code"))
         .when(F.col("match_method") == "alias", F.col("alias_code"))
-        .when(F.col("match_method") == "fuzzy", F.col("fuzzy_code"))
+        .when(F.col("match_method").isin("fuzzy", "tokens"), F.col("fuzzy_code"))
     )
     return marked.select("_raw", "_name", "_from_id", picked.alias("resolved"), "match_method")
 

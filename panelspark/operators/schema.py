@@ -87,3 +87,11 @@ def available(df: DataFrame, wanted: Sequence[str]) -> list[str]:
     """Wanted columns that exist, in the wanted order."""
     present = set(df.columns)
     return [c for c in wanted if c in present]
+
+
+def fresh_name(name: str, taken: Sequence[str]) -> str:
+    """``name``, with underscores added until no column (in any case) is called so."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name

@@ -304,6 +304,49 @@ def fuzzy_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fuzzy_score", r6("fuzzy_score"))
 
 
+@query("token_lookup", f"""
+WITH said AS (
+  SELECT DISTINCT lower(CASE c_custkey % 5 WHEN 0 THEN r_name || ', ' || n_name || ' (the)' WHEN 1 THEN n_name || ' in ' || r_name
+    WHEN 2 THEN replace(n_name, 'A', 'AA') || ' / ' || r_name WHEN 3 THEN 'customer of ' || c_custkey
+    ELSE r_name || ' ' || n_name END) AS name_key
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+entries AS (SELECT n_name || ' of ' || r_name AS entry, {short_sql('n_nationkey')} AS code FROM nation JOIN region ON n_regionkey = r_regionkey),
+held AS (SELECT entry, code, unnest(list_distinct(list_filter(string_split_regex(lower(entry), '[^a-z0-9]+'), lambda t: t <> ''))) AS token FROM entries),
+total AS (SELECT count(*)::DOUBLE AS n FROM entries),
+weights AS (SELECT token, ln(1 + any_value(n) / count(*)) AS weight FROM held, total GROUP BY token),
+spoken AS (SELECT name_key, unnest(list_distinct(list_filter(string_split_regex(name_key, '[^a-z0-9]+'), lambda t: t <> ''))) AS word FROM said),
+near AS (
+  SELECT word, token, weight, levenshtein(word, token) AS edits FROM (SELECT DISTINCT word FROM spoken), weights
+  WHERE levenshtein(word, token) <= CASE WHEN least(length(word), length(token)) >= 4 THEN 2 ELSE 0 END
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY levenshtein(word, token), token) = 1),
+known AS (
+  SELECT name_key, coalesce(token, word) AS token, max(coalesce(weight, ln(1 + n))) AS weight,
+         max(coalesce(1 - edits::DOUBLE / greatest(length(word), length(token)), 0)) AS quality
+  FROM spoken LEFT JOIN near USING (word), total GROUP BY 1, 2),
+mine AS (SELECT name_key, sum(weight) AS mw FROM known GROUP BY 1),
+theirs AS (SELECT entry, code, sum(weight) AS tw FROM held JOIN weights USING (token) GROUP BY 1, 2),
+pairs AS (
+  SELECT name_key, entry, code, sum(known.weight * quality) AS agreed, sum(known.weight) AS shared
+  FROM known JOIN held USING (token) GROUP BY 1, 2, 3),
+scored AS (SELECT *, agreed / (mw + tw - shared) AS score FROM pairs JOIN mine USING (name_key) JOIN theirs USING (entry, code))
+SELECT name_key, entry AS fuzzy_entry, code AS fuzzy_code, {q6('score')} AS fuzzy_score FROM scored WHERE score >= 0.6
+QUALIFY row_number() OVER (PARTITION BY name_key ORDER BY round(score, 12) DESC, entry) = 1""")
+def token_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations named with their regions in other orders, with other words and slips, against one list of entries."""
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    places = nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
+    customers = table(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    kind, n, r = F.col("c_custkey") % 5, F.col("n_name"), F.col("r_name")
+    said = (
+        F.when(kind == 0, F.concat(r, F.lit(", "), n, F.lit(" (the)"))).when(kind == 1, F.concat(n, F.lit(" in "), r))
+        .when(kind == 2, F.concat(F.replace(n, F.lit("A"), F.lit("AA")), F.lit(" / "), r))
+        .when(kind == 3, F.concat(F.lit("customer of "), F.col("c_custkey").cast("string"))).otherwise(F.concat(r, F.lit(" "), n))
+    )
+    entries = places.select(F.concat(n, F.lit(" of "), r).alias("entry"), short_code(F.col("n_nationkey")).alias("code"))
+    found = lookup.token_lookup(customers.select(said.alias("label")), "label", entries, threshold=0.6, max_edits=2)
+    return found.withColumn("fuzzy_score", r6("fuzzy_score"))
+
+
 def cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = lookup.id_dimension(
         table(spark, sf_dir, "nation").withColumn("code", short_code(F.col("n_nationkey"))), "n_nationkey", "code", SHORT_CODE

@@ -19,6 +19,8 @@ RECORD_SCHEMA = (
 )
 #: Column for what stands beyond the last field of a header.
 BEYOND = "_beyond"
+#: Column that holds a whole record which is longer or shorter than the header.
+ODD = "_odd"
 
 
 def flatten_payload(df: DataFrame, payload: str, indicator: Column) -> DataFrame:
@@ -196,23 +198,41 @@ def read_folder(
     return whole.select(*[quoted(c) for c in [*aliases, "fonte"] if c in whole.columns])
 
 
-REPORT = "header string, n_files bigint, absent array<string>, n_rows bigint, n_corrupt bigint"
+REPORT = "header string, n_files bigint, absent array<string>, n_rows bigint, n_corrupt bigint, n_short bigint"
 
 
 def folder_report(
     spark: SparkSession, folder: str, aliases: Mapping[str, Sequence[str]], pattern: str = "*.csv", delimiter: str = ","
 ) -> DataFrame:
-    """For each layout of a folder: its files, the targets it lacks, its records, and those with too many fields."""
+    """For each layout of a folder: its files, the targets it lacks, its records, those with too many fields
+    (``n_corrupt``: left out on reading), and those with too few or a quote that stays open (``n_short``: read as far as
+    they go)."""
     parts = []
     for text, paths in layouts(spark, folder, pattern).items():
         names = _split_header(text, delimiter)
         absent = F.array(*map(F.lit, missing_targets(names, aliases))).cast("array<string>")
+        layout = [F.lit(text).alias("header"), F.lit(len(paths)).cast("bigint").alias("n_files"), absent.alias("absent")]
+        n, none = F.count(F.lit(1)), F.lit(0).cast("bigint")
         raw = _read_raw(spark, paths, names, delimiter)
-        parts.append(raw.agg(
-            F.lit(text).alias("header"), F.lit(len(paths)).cast("bigint").alias("n_files"), absent.alias("absent"),
-            F.count(F.lit(1)).alias("n_rows"), F.count(BEYOND).alias("n_corrupt"),
-        ))
-    return reduce(lambda a, b: a.unionByName(b), parts) if parts else spark.createDataFrame([], REPORT)
+        parts.append(raw.agg(*layout, n.alias("n_rows"), F.count(BEYOND).alias("n_corrupt"), none.alias("n_odd")))
+        odd = _odd_records(spark, paths, names, delimiter)
+        parts.append(odd.agg(*layout, none.alias("n_rows"), none.alias("n_corrupt"), n.alias("n_odd")))
+    if not parts:
+        return spark.createDataFrame([], REPORT)
+    return reduce(lambda a, b: a.unionByName(b), parts).groupBy("header").agg(
+        F.max("n_files").alias("n_files"), F.first("absent").alias("absent"), F.sum("n_rows").alias("n_rows"),
+        F.sum("n_corrupt").alias("n_corrupt"), (F.sum("n_odd") - F.sum("n_corrupt")).alias("n_short"),
+    )
+
+
+def _odd_records(spark: SparkSession, paths: Sequence[str], names: Sequence[str], delimiter: str) -> DataFrame:
+    """The records that have more or fewer fields than the header, as they are written, by Spark's own capture."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, ODD]])
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("sep", delimiter)
+    reader = reader.option("mode", "PERMISSIVE").option("escape", '"').option("columnNameOfCorruptRecord", ODD)
+    # all fields are parsed, or a record's length would not be seen; a scan must ask for one beside the capture
+    read = reader.option("columnPruning", False).csv(list(paths))
+    return read.filter(F.col(ODD).isNotNull() & (F.length(F.coalesce(F.col(quoted(names[0])), F.lit(""))) >= 0)).select(ODD)
 
 
 def union_tagged(parts: Mapping[str, DataFrame], tag: str = "nome_indicador") -> DataFrame:

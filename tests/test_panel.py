@@ -1,3 +1,6 @@
+from collections import Counter
+
+import numpy as np
 import random
 
 import pytest
@@ -193,3 +196,54 @@ def test_vocabulary_and_items(spark):
         "Coffee and products", "Tea (including mate)", None
     ]
     assert [r[0] for r in items.filter(panel.has_any_word(F.col("i"), ["coffee", "tea"])).collect()] == [" Coffee  and Products", "TEA (including mate)"]
+
+
+def test_names_meet_by_words(spark):
+    entries = [("Republic of Korea", "KOR"), ("Democratic People's Republic of Korea", "PRK"), ("Republic of Moldova", "MDA"),
+               ("United Republic of Tanzania", "TZA"), ("Brazil", "BRA"), ("Bolivia (Plurinational State of)", "BOL")]
+    dictionary = spark.createDataFrame(entries, "entry string, code string")
+    said = ["Korea, Republic of", "KOREA, Democratic People's Republic of", "Moldova, Republic of", "Tanzania, United Republik of",
+            "Bolivia, Plurinational State of", "Brasil", "Republic of", "of", "", None, "Atlantis", "Brazil Brazil"]
+    names = spark.createDataFrame([(n,) for n in said], "n string")
+    got = {r["name_key"]: (r["fuzzy_code"], r["fuzzy_score"]) for r in lookup.token_lookup(names, "n", dictionary).collect()}
+    assert {k: v[0] for k, v in got.items()} == {
+        "korea, republic of": "KOR", "korea, democratic people's republic of": "PRK", "moldova, republic of": "MDA",
+        "tanzania, united republik of": "TZA", "bolivia, plurinational state of": "BOL", "brasil": "BRA", "brazil brazil": "BRA",
+    }
+    assert got["korea, republic of"][1] == 1.0 and 0.7 <= got["tanzania, united republik of"][1] < 1
+
+
+def test_no_pair_above_the_threshold_is_lost(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{chr(97 + i)}{chr(97 + j)}{k}" for i in range(4) for j in range(3) for k in range(3)]
+    draw = lambda: " ".join(rng.choice(words, rng.integers(1, 6), p=np.arange(36, 0, -1) / 666))
+    entries = sorted({draw() for _ in range(60)})
+    said = sorted({draw() for _ in range(80)})
+    dictionary = spark.createDataFrame([(e, str(i)) for i, e in enumerate(entries)], "entry string, code string")
+    names = spark.createDataFrame([(n,) for n in said], "n string")
+    for threshold in (0.3, 0.6, 0.9):
+        got = {r["name_key"]: (r["fuzzy_entry"], r["fuzzy_score"]) for r in lookup.token_lookup(names, "n", dictionary, threshold, 0).collect()}
+        held = Counter(t for e in entries for t in set(e.split()))
+        weight = lambda t: np.log1p(len(entries) / held[t]) if held[t] else np.log1p(len(entries))
+        want = {}
+        for n in said:
+            scores = []
+            for e in entries:
+                a, b = set(n.split()), set(e.split())
+                scores.append((-round(sum(map(weight, a & b)) / sum(map(weight, a | b)), 12), e))
+            if -min(scores)[0] >= threshold:
+                want[n] = min(scores)[1], -min(scores)[0]
+        assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+        assert all(abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
+
+
+def test_cascade_tries_words_last(spark):
+    dictionary = spark.createDataFrame([("Republic of Korea", "KOR"), ("Kenya", "KEN")], "entry string, code string")
+    rows = [("KEN", "x"), (None, "Kenia"), (None, "Korea, Republic of"), (None, "Kory")]
+    df = spark.createDataFrame([(*r, "kept") for r in rows], "code string, name string, _from_id string")
+    aliases = lookup.alias_dimension(spark, {"Nobody": None})
+    for score, method in ((None, "none"), (0.7, "tokens")):
+        got = {r["name"]: r for r in lookup.resolve_cascade(df, "code", "name", aliases, dictionary=dictionary, token_score=score).collect()}
+        assert [got[n]["match_method"] for n in ("x", "Kenia", "Korea, Republic of", "Kory")] == ["code", "fuzzy", method, "none"]
+        assert {r["_from_id"] for r in got.values()} == {"kept"}
+    assert got["Korea, Republic of"]["resolved"] == "KOR"

@@ -92,3 +92,52 @@ def test_sinks(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(imp" in back.filter("imp = 1")._jdf.queryExecution().executedPlan().toString()
     sinks.write_table(df, str(tmp_path / "table"), ["v"])
     assert spark.read.option("header", True).csv(str(tmp_path / "table")).count() == 4
+
+
+def test_report_counts_short_records_and_open_quotes(spark, tmp_path):
+    good = "".join(f"{i:03d},Name {i},20{i:02d},{i}.5\n" for i in range(10, 30))
+    write(tmp_path / "a.csv", "location_id,location_name,year,val\n" + good + "7,Brasil\n8,\"Chile,2012,2\n9,Peru,2012,2,extra\n")
+    write(tmp_path / "b.csv", "Code,Country\nKEN,Kenya\n")
+    report = {r["header"]: r for r in landed.folder_report(spark, str(tmp_path), COLUMN_ALIASES).collect()}
+    told = report["location_id,location_name,year,val"]
+    assert (told["n_rows"], told["n_corrupt"], told["n_short"]) == (23, 1, 2)
+    assert (report["Code,Country"]["n_rows"], report["Code,Country"]["n_short"]) == (1, 0)
+    rows = {r["iso3"]: r for r in landed.read_folder(spark, str(tmp_path), "gbd", COLUMN_ALIASES).collect()}
+    assert rows["7"]["pais"] == "Brasil" and rows["7"]["ano"] is None and "9" not in rows
+
+
+def test_a_failing_write_leaves_the_old_table(spark, tmp_path):
+    stage, text = str(tmp_path / "stage"), str(tmp_path / "text")
+    rows = spark.range(20).withColumn("part", F.col("id") % 2)
+    for path, write_it in ((stage, lambda df: sinks.write_stage(df, path, ["part"])), (text, lambda df: sinks.write_table(df, path))):
+        write_it(rows)
+        broken = spark.range(100).repartition(4).select(
+            F.when(F.col("id") == 77, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"), (F.col("id") % 3).alias("part")
+        )
+        with pytest.raises(PySparkException, match="lost"):
+            write_it(broken)
+        read = spark.read.parquet(path) if path == stage else spark.read.option("header", True).csv(path)
+        assert read.count() == 20
+        write_it(rows.limit(5))
+        read = spark.read.parquet(path) if path == stage else spark.read.option("header", True).csv(path)
+        assert read.count() == 5
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["stage", "text"]
+
+
+def test_a_stage_may_replace_what_it_reads(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    sinks.write_stage(spark.range(10).toDF("x"), path)
+    again = sinks.write_stage(spark.read.parquet(path).select(F.col("x") + 1), path)
+    assert sorted(r[0] for r in again.collect()) == list(range(1, 11))
+
+
+def test_an_undone_rename_keeps_the_old_table():
+    moves = []
+
+    def rename(a, b):
+        moves.append((a, b))
+        return a != "new"
+
+    with pytest.raises(OSError):
+        sinks._renamed(rename, "new", "table", "old")
+    assert moves == [("table", "old"), ("new", "table"), ("old", "table")]
