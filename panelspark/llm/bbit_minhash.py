@@ -30,6 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from panelspark.llm.common import Memo, content_key, dealt_by_rows, in_batches, map_documents, map_in_arrow, sole_memo
+from panelspark.operators.schema import fresh_name
 from panelspark.session import materialise, release
 
 HASHES = 256
@@ -370,11 +371,12 @@ def _links(docs, key, text, words_each, percent, classes: DataFrame) -> DataFram
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words_each: int = 5, percent: int = 80):
     """The rows of ``docs`` without those whose component has a smaller id; one of equal rows stays."""
-    keyed = docs.withColumn("_content", content_key(key, text))
-    told = materialise(near_duplicates(keyed, "_content", text, words_each, percent))
-    gone = materialise(told.filter("NOT kept").select("_content").distinct())
-    left = keyed.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "_content", "left_anti")
-    again = told.filter("kept").groupBy("_content").agg(F.count("*").alias("n")).filter("n > 1")
+    content = fresh_name("_content", docs.columns)
+    keyed = docs.withColumn(content, content_key(key, text))
+    told = materialise(near_duplicates(keyed, content, text, words_each, percent))
+    gone = materialise(told.filter("NOT kept").select(content).distinct())
+    left = keyed.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, content, "left_anti")
+    again = told.filter("kept").groupBy(content).agg(F.count("*").alias("n")).filter("n > 1")
     if not again.isEmpty():  # rows equal in id and text: only then are the texts worth a shuffle
-        left = left.dropDuplicates(["_content"])
+        left = left.dropDuplicates([content])
     return left.select(docs.columns)

@@ -26,6 +26,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from panelspark.llm.common import as_bytes, content_key, in_batches, map_documents, map_in_arrow
+from panelspark.operators.schema import fresh_name
 from panelspark.session import materialise
 
 WINDOW = 13
@@ -225,7 +226,8 @@ def contaminated() -> Column:
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    keyed = docs.withColumn("_content", content_key(key, text))
-    found = find_contamination(keyed, benchmark, "_content", text)
-    gone = materialise(found.filter(contaminated()).select("_content").distinct())
-    return keyed.join(gone, "_content", "left_anti").select(docs.columns)
+    content = fresh_name("_content", docs.columns)
+    keyed = docs.withColumn(content, content_key(key, text))
+    found = find_contamination(keyed, benchmark, content, text)
+    gone = materialise(found.filter(contaminated()).select(content).distinct())
+    return keyed.join(gone, content, "left_anti").select(docs.columns)

@@ -30,7 +30,9 @@ def training_rows(features, docs: DataFrame, labels: DataFrame, key: str, label:
     key, the label and a list of numbers. The sampled keys are broadcast: their number is bounded by ``rows``."""
     keys = F.broadcast(sample_keys(labels, key, label, rows))
     picked = docs.join(keys, F.col(key) == F.col("_key"))
-    found = features(picked).dropDuplicates(["_key"]).orderBy("_key").limit(rows).collect()
+    # of several documents with one key that of the least statistics counts, in every run
+    one = features(picked).groupBy("_key").agg(F.min(F.struct("_x", "_label")).alias("_one")).select("_key", "_one.*")
+    found = one.orderBy("_key").limit(rows).collect()
     if not found:
         return np.zeros((0, 1)), np.zeros(0)
     return np.array([r["_x"] for r in found], float), np.array([r["_label"] for r in found], float)

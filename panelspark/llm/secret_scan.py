@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm.common import content_key
+from panelspark.operators.schema import fresh_name
 from panelspark.session import materialise
 
 # The base patterns and least lengths, in the order of the kinds.
@@ -166,15 +167,15 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
 def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by a mark; ``n_chars``, where there is one, counts the new text."""
-    keyed = docs.withColumn("_content", content_key(key, text))
-    found = scan(keyed, "_content", text).filter(F.size("spans") > 0).select("_content", "spans")
-    found = materialise(found.dropDuplicates(["_content"]).withColumnRenamed("spans", "_spans"))
-    told = keyed.join(found, "_content", "left")
-    new = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(redacted(F.col(text), F.col("_spans")))
+    content, hits = fresh_name("_content", docs.columns), fresh_name("_spans", docs.columns)
+    keyed = docs.withColumn(content, content_key(key, text))
+    found = scan(keyed, content, text).filter(F.size("spans") > 0).select(content, F.col("spans").alias(hits))
+    told = keyed.join(materialise(found.dropDuplicates([content])), content, "left")
+    new = F.when(F.col(hits).isNull(), F.col(text)).otherwise(redacted(F.col(text), F.col(hits)))
     told = told.withColumn(text, new)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        told = told.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(
+        told = told.withColumn("n_chars", F.when(F.col(hits).isNull(), F.col("n_chars")).otherwise(
             F.length(text)
         ).cast(kind))
     return told.select(docs.columns)

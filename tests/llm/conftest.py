@@ -20,8 +20,11 @@ EDGE = [
 @pytest.fixture(scope="session")
 def edge(spark):
     """The edge rows, with other columns whose names the operators use themselves."""
-    rows = [(k, t, "s", "en", None, 1, "x") for k, t in EDGE]
-    names = "doc_id long, text string, source string, lang string, n_chars long, shard int, `key` string"
+    rows = [(k, t, "s", "en", None, 1, "x", "kept", 7) for k, t in EDGE]
+    names = (
+        "doc_id long, text string, source string, lang string, n_chars long, shard int, `key` string, _content string, "
+        "_spans int"
+    )
     return spark.createDataFrame(rows, names)
 
 
