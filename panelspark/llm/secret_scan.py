@@ -5,8 +5,9 @@ and long mixed tokens ("owned") that no base span touches. Candidates are counte
 repositories and owners. A value that several of them hold is a copied example; one that stays with its owner looks
 live. Owned spans are added for live tokens only; base spans always stay.
 
-Only DataFrame functions run here. Distinct (value, repository, owner) triples are made before values are counted, so a
-value that a third of all rows hold shrinks map-side; values travel as 16-byte digests.
+Only DataFrame functions run here. Places come from windows over the matches of a text, so its time grows with their
+number. Distinct (value, repository, owner) triples are made before values are counted, so a value that a third of all
+rows hold shrinks map-side; values travel as 16-byte digests.
 
 Defined results: null and empty texts have no spans; a null owner or part of a repository's name counts as the empty
 one; repeated rows give equal rows, and their spans count for one owner; an empty table gives an empty one; other columns
@@ -15,7 +16,9 @@ are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.llm.common import content_key
@@ -36,61 +39,61 @@ KINDS = ("assign", "access", "hex", "owned")
 OWNED = r"[A-Za-z0-9+/_-]{24,}"
 #: A value is live while at most so many owners and repositories hold it.
 MOST_OWNERS, MOST_REPOSITORIES = 1, 2
+#: Code points of a block from which the pieces of a redacted text are read.
+BLOCK = 1024
 
 
-def _found(text: str, pattern: str, kind: int, value_group: int = 0) -> Column:
-    """Array of (start, kind, stop, value) of the leftmost non-overlapping matches, in code points: the stretches between
-    matches and the matches themselves alternate, so their lengths add up to the places."""
+def _matches(text: str, pattern: str, kind: int, fits: Callable[[Column], Column], value_group: int = 0) -> Column:
+    """Array of (kind, i, gap, n, value, fits) of the leftmost non-overlapping matches: the code points between a match
+    and the one before, its own, the digest of its value and whether the value is one of the kind."""
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group)) if value_group else matches
     pieces = F.arrays_zip(gaps.alias("gap"), F.transform(matches, F.length).alias("n"), values.alias("value"))
-    nothing = F.array().cast("array<struct<start:int,kind:int,stop:int,value:string>>")
-
-    def add(state: Column, piece: Column) -> Column:
-        start = state["at"] + piece["gap"]
-        stop = start + piece["n"]
-        span = F.struct(
-            start.alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"), piece["value"].alias("value")
-        )
-        # the stretch after the last match has none of its own
-        return F.struct(
-            F.coalesce(stop, state["at"]).alias("at"),
-            F.when(piece["n"].isNull(), state["spans"]).otherwise(F.concat(state["spans"], F.array(span))).alias("spans"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), nothing.alias("spans"))
-    spans = F.aggregate(pieces, start, add, lambda state: state["spans"])
-    return F.when(F.col(text).rlike(pattern), spans).otherwise(nothing)
-
-
-def find_spans(docs: DataFrame, key: str, text: str, owner: Column, repository: Column) -> DataFrame:
-    """(row, key, owner, repository, base, candidates): spans of one document, ``row`` numbering the rows."""
+    told = F.transform(pieces, lambda p, i: F.struct(
+        F.lit(kind).alias("kind"), i.alias("i"), p["gap"].alias("gap"), p["n"].alias("n"),
+        F.unhex(F.md5(p["value"].cast("binary"))).alias("value"), fits(p["value"]).alias("fits"),
+    ))
+    # the stretch after the last match has none of its own
+    told = F.filter(told, lambda p: p["n"].isNotNull())
+    nothing = F.array().cast("array<struct<kind:int,i:int,gap:int,n:int,value:binary,fits:boolean>>")
+    return F.when(F.col(text).rlike(pattern), told).otherwise(nothing)
+
+
+def find_matches(docs: DataFrame, key: str, text: str, owner: Column, repository: Column) -> DataFrame:
+    """(row, key, owner, repository, matches): the matches of one document, ``row`` numbering the rows."""
     told = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"),
         F.coalesce(owner, F.lit("")).alias("owner"), F.coalesce(repository, F.lit("")).alias("repository"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    told = told.select(
-        "*",
-        F.filter(_found("text", ASSIGN, 0, 2), lambda s: F.length(s["value"]) >= LEAST_VALUE).alias("assign"),
-        F.filter(_found("text", ACCESS, 1), lambda s: F.length(s["value"]) >= LEAST_ACCESS).alias("access"),
-        _found("text", HEX, 2).alias("hex"),
-        F.filter(_found("text", OWNED, 3), lambda s: (
-            s["value"].rlike("[A-Z]") & s["value"].rlike("[a-z]") & s["value"].rlike("[0-9]")
-        )).alias("own"),
+    matches = F.concat(
+        _matches("text", ASSIGN, 0, lambda v: F.length(v) >= LEAST_VALUE, 2),
+        _matches("text", ACCESS, 1, lambda v: F.length(v) >= LEAST_ACCESS),
+        _matches("text", HEX, 2, lambda v: F.lit(True)),
+        _matches("text", OWNED, 3, lambda v: v.rlike("[A-Z]") & v.rlike("[a-z]") & v.rlike("[0-9]")),
     )
-    base = F.array_sort(F.concat("assign", "access", "hex"))
-    told = told.select("row", "key", "owner", "repository", base.alias("base"), "own")
+    return told.select("row", "key", "owner", "repository", matches.alias("matches"))
+
 
-    def digest(spans: Column) -> Column:
-        return F.transform(spans, lambda s: F.struct(
-            s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop"),
-            F.unhex(F.md5(s["value"].cast("binary"))).alias("value"),
-        ))
+def placed_spans(found: DataFrame) -> DataFrame:
+    """(row, owner, repository, start, kind, stop, value) of the base spans and of the own ones that touch none.
 
-    free = F.filter("own", lambda c: ~F.exists("base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
-    return told.select("row", "key", "owner", "repository", digest(F.col("base")).alias("base"), digest(free).alias("own"))
+    Running sums over a row's matches give the places. A base span that begins before an own one, or with it, touches it
+    if it is the one that reaches furthest and does; of those that begin later the first decides. All are windows over
+    one shuffle by row, so a text's time grows with the number of its matches and no more than its sorting.
+    """
+    each = found.filter(F.size("matches") > 0).select("row", "owner", "repository", F.explode("matches").alias("m"))
+    each = each.select("row", "owner", "repository", "m.*").repartition("row")
+    stop = F.sum(F.col("gap") + F.col("n")).over(Window.partitionBy("row", "kind").orderBy("i")).cast("int")
+    spans = each.withColumn("stop", stop).filter("fits").withColumn("start", F.col("stop") - F.col("n"))
+    before = Window.partitionBy("row").orderBy("start", "kind", "stop")
+    after = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("kind"), F.desc("stop"))
+    base = F.col("kind") < 3
+    spans = spans.withColumn("reach", F.max(F.when(base, F.col("stop"))).over(before))
+    spans = spans.withColumn("next", F.min(F.when(base, F.col("start"))).over(after))
+    touched = (F.coalesce("reach", "start") > F.col("start")) | (F.coalesce("next", "stop") < F.col("stop"))
+    return spans.filter(base | ~touched).select("row", "owner", "repository", "start", "kind", "stop", "value")
 
 
 def scan(
@@ -99,16 +102,14 @@ def scan(
     """(row, key, spans): one row for each row of ``docs``; spans are (start, kind, stop, live), ascending, with kinds
     numbered as in KINDS. A repository is the owner's name and the ``repository`` columns (``lang`` by default)."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in [owner, *(repository or ["lang"])]]
-    told = materialise(find_spans(docs, key, text, F.col(owner).cast("string"), F.concat_ws("/", *parts)))
-    spans = told.filter((F.size("base") > 0) | (F.size("own") > 0)).select(
-        "row", "owner", "repository", F.explode(F.concat("base", "own")).alias("span")
-    )
-    holders = spans.select(F.col("span.value").alias("value"), "owner", "repository").distinct()
+    told = materialise(find_matches(docs, key, text, F.col(owner).cast("string"), F.concat_ws("/", *parts)))
+    spans = materialise(placed_spans(told))
+    holders = spans.select("value", "owner", "repository").distinct()
     holders = holders.groupBy("value", "owner").agg(F.count("*").alias("repositories"))
     live = holders.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories")).filter(
         (F.col("owners") <= MOST_OWNERS) & (F.col("repositories") <= MOST_REPOSITORIES)
     ).select("value", F.lit(True).alias("live"))
-    judged = spans.select("row", "span.*").join(live, "value", "left").select(
+    judged = spans.select("row", "start", "kind", "stop", "value").join(live, "value", "left").select(
         "row", F.struct("start", "kind", "stop", F.coalesce("live", F.lit(False)).alias("live")).alias("span")
     ).filter("span.kind < 3 OR span.live")
     each = judged.groupBy("row").agg(F.array_sort(F.collect_list("span")).alias("spans"))
@@ -140,38 +141,51 @@ def digest_columns(spans: Column) -> list[Column]:
     ]
 
 
-def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with each stretch that spans cover replaced by the mark; touching stretches become one."""
-    nothing = F.array().cast("array<struct<start:int,stop:int>>")
+def _islands(found: DataFrame) -> DataFrame:
+    """(row, starts, stops): the stretches that the spans of a row cover, touching ones as one, both ascending."""
+    each = found.select("row", F.explode("spans").alias("span")).select("row", "span.start", "span.stop")
+    order = Window.partitionBy("row").orderBy("start", "stop")
+    reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    each = each.withColumn("first", F.when(F.col("start") <= reach, 0).otherwise(1))
+    each = each.withColumn("island", F.sum("first").over(order))
+    whole = each.groupBy("row", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    # islands lie apart, so that sorted starts and sorted stops stay side by side
+    return whole.groupBy("row").agg(
+        F.array_sort(F.collect_list("start")).alias("starts"), F.array_sort(F.collect_list("stop")).alias("stops")
+    )
+
 
-    def join(done: Column, s: Column) -> Column:
-        last = F.element_at(done, -1)
-        whole = F.struct(s["start"].alias("start"), s["stop"].alias("stop"))
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["stop"], s["stop"]).alias("stop"))
-        return F.when(
-            (F.size(done) > 0) & (s["start"] <= F.try_element_at(done, F.lit(-1))["stop"]),
-            F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(joined)),
-        ).otherwise(F.concat(done, F.array(whole)))
+def redacted(text: Column, starts: Column, stops: Column, mark: str = "[SECRET]") -> Column:
+    """The text with each stretch from a start to its stop replaced by the mark.
 
-    merged = F.aggregate(spans, nothing, lambda d, s: join(d, s))
-    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
+    Finding a code point means reading the text up to it, so the text is cut into blocks once, and what stays between
+    two stretches is read from its own blocks alone.
+    """
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    ends = F.concat(starts, F.array(F.length(text)))
+    pieces = F.arrays_zip(F.concat(F.array(F.lit(0)), stops).alias("at"), ends.alias("to"))
 
-    def cut(done: Column, s: Column) -> Column:
-        piece = text.substr(done["at"] + 1, s["start"] - done["at"])
-        return F.struct(s["stop"].alias("at"), F.concat(done["text"], piece, F.lit(mark)).alias("text"))
+    def piece(whole: Column, p: Column) -> Column:
+        first = F.floor(p["at"] / BLOCK).cast("int")
+        n = F.floor(p["to"] / BLOCK).cast("int") - first + 1
+        return F.array_join(F.slice(whole, first + 1, n), "").substr(p["at"] - first * BLOCK + 1, p["to"] - p["at"])
 
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
-        merged, state, cut, lambda done: F.concat(done["text"], text.substr(done["at"] + 1, F.length(text)))
-    ))
+    # a variable of an outer transform, so that the blocks are made once for a text and not for every piece
+    state = F.array(F.struct(blocks.alias("blocks"), pieces.alias("pieces")))
+    texts = F.transform(state, lambda t: F.array_join(F.transform(t["pieces"], lambda p: piece(t["blocks"], p)), mark))
+    return F.element_at(texts, 1)
 
 
 def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by a mark; ``n_chars``, where there is one, counts the new text."""
     content, hits = fresh_name("_content", docs.columns), fresh_name("_spans", docs.columns)
     keyed = docs.withColumn(content, content_key(key, text))
-    found = scan(keyed, content, text).filter(F.size("spans") > 0).select(content, F.col("spans").alias(hits))
-    told = keyed.join(materialise(found.dropDuplicates([content])), content, "left")
-    new = F.when(F.col(hits).isNull(), F.col(text)).otherwise(redacted(F.col(text), F.col(hits)))
+    found = materialise(scan(keyed, content, text).filter(F.size("spans") > 0).dropDuplicates([content]))
+    covered = found.select("row", content).join(_islands(found), "row")
+    covered = covered.select(content, F.struct("starts", "stops").alias(hits))
+    told = keyed.join(materialise(covered), content, "left")
+    places = F.col(hits)
+    new = F.when(places.isNull(), F.col(text)).otherwise(redacted(F.col(text), places["starts"], places["stops"]))
     told = told.withColumn(text, new)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

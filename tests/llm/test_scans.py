@@ -1,3 +1,4 @@
+import time
 import zlib
 
 import pytest
@@ -101,6 +102,49 @@ def test_secrets_and_their_owners(spark):
     assert secret_scan.scan(docs.limit(0)).count() == 0
 
 
+def many_matches(n):
+    """A text of n matches of each kind and own tokens, beside each other and apart, outside ASCII too."""
+    each = ["token=aBc{0:08d}xyz é ", "AKIA{0:020d} 🙂", "{0:032x}\n", "kEy{0:030d}Z ", "secret: {0:032x}", " zZ9{0:024d} "]
+    return "".join(t.format(i) for i in range(n) for t in each)
+
+
+def test_many_matches_in_one_text(spark):
+    texts = [(1, many_matches(400)), (2, many_matches(400)[:-3] + "é" * 3000), (3, "token=abcdef" * 3), (4, "AKIA" + "Z" * 5000)]
+    docs = spark.createDataFrame([(k, t, f"s{k}", "en") for k, t in texts], "doc_id long, text string, source string, lang string")
+    got = {r.doc_id: [tuple(s)[:3] for s in r.spans] for r in secret_scan.scan(docs).collect()}
+    clean = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
+    for doc, text in texts:
+        base = brute.base_spans(text)
+        assert [s for s in got[doc] if s[1] < 3] == base
+        own = [s for s in got[doc] if s[1] == 3]
+        assert all(b[2] <= s[0] or s[2] <= b[0] for s in own for b in base)
+        marked = bytearray(len(text))
+        for start, _, stop in got[doc]:
+            marked[start:stop] = b"\1" * (stop - start)
+        want, i = [], 0
+        while i < len(text):
+            if marked[i]:
+                want.append("[SECRET]")
+                while i < len(text) and marked[i]:
+                    i += 1
+            else:
+                want.append(text[i])
+                i += 1
+        assert clean[doc] == "".join(want)
+
+
+def test_time_follows_the_number_of_matches(spark):
+    def seconds(n):
+        docs = spark.createDataFrame([(1, many_matches(n), "a", "en")], "doc_id long, text string, source string, lang string")
+        started = time.perf_counter()
+        assert secret_scan.redact(docs).count() == 1 and len(secret_scan.scan(docs).first().spans) >= 5 * n
+        return time.perf_counter() - started
+
+    seconds(10)
+    few, many = seconds(1000), seconds(8000)  # 6,000 and 48,000 matches
+    assert many < 8 * few + 10
+
+
 def test_secrets_of_odd_rows(spark, edge):
     got = secret_scan.scan(edge).select("doc_id", *secret_scan.digest_columns(F.col("spans"))).collect()
     assert len(got) == len(EDGE)
