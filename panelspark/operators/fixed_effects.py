@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.tails import t_two_sided
 from panelspark.operators.linear import COEFFICIENTS, dropped_row, dropping, prepare
 from panelspark.operators.moments import complete_rows, independent, is_singular, moments, pairs, unpack
 from panelspark.operators.schema import quoted
-from panelspark.session import materialise, release
+from panelspark.session import materialise, materialise_bucketed, release
 
 #: Residual of the period effects, relative to the start, at which they count as solved.
 TOLERANCE = 1e-11
+#: Cells of a bucket: a task of a step holds about so many.
+BUCKET_CELLS = 200_000
 
 
 def two_way_fixed_effects(
@@ -47,12 +49,13 @@ def two_way_fixed_effects(
         )
     )
     centre = cells.agg(
-        *[F.avg(F.col("mean")[i]) for i in range(q)], *[F.var_pop(F.col("mean")[i]) * F.sum("n") for i in range(q)]
+        *[F.avg(F.col("mean")[i]) for i in range(q)], *[F.var_pop(F.col("mean")[i]) * F.sum("n") for i in range(q)],
+        F.count(F.lit(1)).alias("cells"),
     ).first()
     if centre[0] is None:
         raise ValueError("no complete row to fit")
-    shift, spread = [float(v) for v in centre[:q]], np.array(centre[q:], float)
-    effects = materialise(_period_effects(cells, unit, period, shift))
+    shift, spread = [float(v) for v in centre[:q]], np.array(centre[q:2 * q], float)
+    effects = _period_effects(cells, unit, period, shift, -(-centre["cells"] // BUCKET_CELLS))
     n_periods = effects.count()
     cleaned = work.join(effects, period).select(
         unit, *[(F.col(quoted(c)) - F.lit(s) - F.col("_effect")[i]).alias(c) for i, (c, s) in enumerate(zip(names, shift))]
@@ -103,52 +106,74 @@ def two_way_fixed_effects(
     return df.sparkSession.createDataFrame(rows, COEFFICIENTS)
 
 
-def _period_effects(cells: DataFrame, unit: str, period: str, shift: Sequence[float]) -> DataFrame:
+def _each(q: int, make: Callable[[int], Column]) -> Column:
+    return F.array(*[make(i) for i in range(q)])
+
+
+def less_unit_means(cells: DataFrame, value: str, q: int) -> DataFrame:
+    """(_period, _a): the means by period of what ``value`` leaves of its unit's mean, weighted by ``_n``.
+
+    On cells laid out by unit the unit's mean is a window over rows that lie together; only sums by period are shuffled.
+    """
+    whole = Window.partitionBy("_unit")
+    share = _each(q, lambda i: F.sum(F.col("_n") * F.col(value)[i]).over(whole) / F.sum("_n").over(whole))
+    rest = cells.withColumn("_share", share)
+    return rest.groupBy("_period").agg(
+        _each(q, lambda i: F.sum(F.col("_n") * (F.col(value)[i] - F.col("_share")[i])) / F.sum("_n")).alias("_a"),
+        F.sum("_n").alias("_weight"),
+    )
+
+
+def direction_moved(cells: DataFrame, state: DataFrame, q: int) -> DataFrame:
+    """(_period, _a): the system of a step times its direction ``_p``, which travels to the cells."""
+    laid = cells.select("_unit", "_period", "_n").join(state.select("_period", "_p"), "_period")
+    return less_unit_means(laid, "_p", q).select("_period", "_a")
+
+
+def _period_effects(cells: DataFrame, unit: str, period: str, shift: Sequence[float], buckets: int) -> DataFrame:
     """Period effects of every variable: the normal equations with the unit effects eliminated, by conjugate gradients.
 
-    A step multiplies the system with a vector by two grouped sums over the cells, so neither a task nor the driver ever
-    holds more than a row per period and the scalars. The method ends after at most as many steps as there are periods,
-    up to rounding; the coefficients feel an error of the effects only in its square.
+    The cells are laid out by unit once. A step sends a row for each period to them, multiplies the system with it by a
+    window over units and a grouped sum over periods, and writes one small table, so neither a task nor the driver ever
+    holds more than a row per period and the scalars. Spark broadcasts the periods while they are few and shuffles by
+    them beyond. The method ends after at most as many steps as there are periods, up to rounding; the coefficients feel
+    an error of the effects only in its square. The result is a written table.
     """
     q = len(shift)
     each = range(q)
 
     def dot(a: str, b: str) -> list:
-        return [F.sum(F.col(a)[i] * F.col(b)[i] * F.col("_n")).alias(f"{a}{i}") for i in each]
+        return [F.sum(F.col(a)[i] * F.col(b)[i] * F.col("_weight")).alias(f"{a}{i}") for i in each]
 
-    def array(make) -> Column:
-        return F.array(*[make(i) for i in each])
-
-    values = array(lambda i: F.col("mean")[i] - F.lit(shift[i]))
-    deviations = cells.withColumn("mean", values)
-    units = deviations.groupBy(unit).agg(array(lambda i: F.sum(F.col("n") * F.col("mean")[i]) / F.sum("n")).alias("_unit"))
+    values = _each(q, lambda i: F.col("mean")[i] - F.lit(shift[i]))
+    named = cells.select(F.col(quoted(unit)).alias("_unit"), F.col(quoted(period)).alias("_period"), F.col("n").alias("_n"), values.alias("_mean"))
+    laid = materialise_bucketed(named, "_unit", buckets)
     # r / n is the preconditioned residual z; all vectors are kept divided by n, so that products carry the weight n
-    state = materialise(
-        deviations.join(units, unit).groupBy(period).agg(
-            F.sum("n").alias("_n"),
-            array(lambda i: F.sum(F.col("n") * (F.col("mean")[i] - F.col("_unit")[i])) / F.sum("n")).alias("_z"),
-        ).withColumn("_x", F.array(*[F.lit(0.0)] * q)).withColumn("_p", F.col("_z"))
+    written = materialise(
+        less_unit_means(laid, "_mean", q).select("_period", "_weight", F.col("_a").alias("_z"), F.col("_a").alias("_p"))
+        .withColumn("_x", F.array(*[F.lit(0.0)] * q))
     )
-    row = state.agg(F.count(F.lit(1)).alias("periods"), *dot("_z", "_z")).first()
-    start = rest = [float(row[f"_z{i}"]) for i in each]
-    for _ in range(2 * row["periods"] + 50):
-        if all(now <= TOLERANCE**2 * first for now, first in zip(rest, start)):
-            return state.select(period, F.col("_x").alias("_effect"))
-        laid = cells.select(unit, period, "n").join(state.select(period, "_p"), period)
-        means = laid.groupBy(unit).agg(array(lambda i: F.sum(F.col("n") * F.col("_p")[i]) / F.sum("n")).alias("_unit"))
-        moved = laid.join(means, unit).groupBy(period).agg(
-            array(lambda i: F.sum(F.col("n") * (F.col("_p")[i] - F.col("_unit")[i])) / F.sum("n")).alias("_a")
-        )
-        stepped = materialise(state.join(moved, period))
-        curve = stepped.agg(*dot("_p", "_a")).first()
-        alpha = [r / float(curve[f"_p{i}"]) if r > 0 and curve[f"_p{i}"] > 0 else 0.0 for i, r in enumerate(rest)]
-        advanced = materialise(stepped.select(
-            period, "_n", "_p", array(lambda i: F.col("_x")[i] + F.lit(alpha[i]) * F.col("_p")[i]).alias("_x"),
-            array(lambda i: F.col("_z")[i] - F.lit(alpha[i]) * F.col("_a")[i]).alias("_z"),
-        ))
-        release(state, stepped)
-        fresh = [float(v) for v in advanced.agg(*dot("_z", "_z")).first()]
-        beta = [f / r if r > 0 else 0.0 for f, r in zip(fresh, rest)]
-        state = advanced.withColumn("_p", array(lambda i: F.col("_z")[i] + F.lit(beta[i]) * F.col("_p")[i]))
-        rest = fresh
-    raise RuntimeError("period effects did not settle")
+    state = written
+    try:
+        row = state.agg(F.count(F.lit(1)).alias("periods"), *dot("_z", "_z")).first()
+        start = rest = [float(row[f"_z{i}"]) for i in each]
+        for _ in range(2 * row["periods"] + 50):
+            if all(now <= TOLERANCE**2 * first for now, first in zip(rest, start)):
+                return materialise(state.select(F.col("_period").alias(period), F.col("_x").alias("_effect")))
+            stepped = materialise(state.join(direction_moved(laid, state, q), "_period"))
+            release(written)
+            written = stepped
+            curve = stepped.agg(*dot("_p", "_a")).first()
+            alpha = [r / float(curve[f"_p{i}"]) if r > 0 and curve[f"_p{i}"] > 0 else 0.0 for i, r in enumerate(rest)]
+            advanced = stepped.select(
+                "_period", "_weight", "_p",
+                _each(q, lambda i: F.col("_x")[i] + F.lit(alpha[i]) * F.col("_p")[i]).alias("_x"),
+                _each(q, lambda i: F.col("_z")[i] - F.lit(alpha[i]) * F.col("_a")[i]).alias("_z"),
+            )
+            fresh = [float(v) for v in advanced.agg(*dot("_z", "_z")).first()]
+            beta = [f / r if r > 0 else 0.0 for f, r in zip(fresh, rest)]
+            state = advanced.withColumn("_p", _each(q, lambda i: F.col("_z")[i] + F.lit(beta[i]) * F.col("_p")[i]))
+            rest = fresh
+        raise RuntimeError("period effects did not settle")
+    finally:
+        release(written, laid)

@@ -39,8 +39,21 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_BUCKETED: set[str] = set()
+
+
+def materialise_bucketed(df: DataFrame, column: str, buckets: int) -> DataFrame:
+    """As :func:`materialise`, laid out by a hash of ``column``: what groups, joins or windows by it needs no shuffle."""
+    spark, ident = df.sparkSession, uuid.uuid4().hex
+    name, path = f"table_{ident}", f"{shared_folder(spark)}/table-{ident}"
+    spread = df.repartition(buckets, column)  # a file for each bucket
+    spread.write.bucketBy(buckets, column).option("path", path).format("parquet").saveAsTable(name)
+    _BUCKETED.add(name)
+    return spark.read.table(name)
+
+
 def release(*tables: DataFrame) -> None:
-    """Delete tables that :func:`materialise` wrote, once nothing reads them any more."""
+    """Delete tables that :func:`materialise` and :func:`materialise_bucketed` wrote, once nothing reads them any more."""
     for df in tables:
         spark = df.sparkSession
         jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -50,6 +63,10 @@ def release(*tables: DataFrame) -> None:
             if name:
                 path = jvm.org.apache.hadoop.fs.Path(root + name[0])
                 path.getFileSystem(conf).delete(path, True)
+                listed = name[0].strip("/").replace("-", "_")
+                if listed in _BUCKETED:
+                    spark.sql(f"DROP TABLE IF EXISTS {listed}")
+                    _BUCKETED.discard(listed)
                 break
 
 

@@ -1,3 +1,6 @@
+import re
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -10,6 +13,7 @@ from panelspark.operators.moments import moments, unpack
 from panelspark.operators.quality import QualityError
 from panelspark.operators.quantiles import exact_quantiles, order_statistics
 from panelspark.operators.ranking import running_count
+from panelspark.session import materialise, materialise_bucketed, release, shared_folder
 
 
 def make_panel(seed=0, units=12, strata=4, periods=8, drop=0.25):
@@ -373,6 +377,32 @@ def test_two_way_effects_over_many_periods(spark):
     assert got["estimate"] == pytest.approx((residual.x @ residual.y) / (residual.x @ residual.x), rel=1e-9)
 
 
+def test_a_step_shuffles_by_period_only(spark):
+    cells = spark.range(4000).select(
+        (F.col("id") % 97).alias("_unit"), (F.col("id") % 41).alias("_period"), F.lit(1.0).alias("_n")
+    )
+    periods = materialise(spark.range(41).select(F.col("id").alias("_period"), F.array(F.col("id") * 1.0).alias("_p")))
+    laid = materialise_bucketed(cells, "_unit", 5)
+    moved = fixed_effects.direction_moved(laid, periods, 1)
+    plan = moved._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"Exchange (\w+)\((\w+)#", plan) == [("hashpartitioning", "_period")]
+    pdf = cells.toPandas()
+    value = pdf._period - pdf.groupby("_unit")._period.transform("mean")
+    want = value.groupby(pdf._period).mean()
+    assert {r._period: pytest.approx(r._a[0], abs=1e-12) for r in moved.collect()} == dict(want)
+    release(periods, laid)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("table_")]
+
+
+def test_two_way_effects_leave_no_table(spark):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("table-*"))
+    df = spark.createDataFrame(make_panel(seed=5, units=9))
+    assert fixed_effects.two_way_fixed_effects(df, "y", ["x", "z"], "unit", "period").count() == 2
+    assert set(folder.glob("table-*")) == before
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("table_")]
+
+
 def gee_direct(pdf, power):
     x, y = design(pdf, ["x"]), np.log(pdf.y.to_numpy())
     groups = [g.sort_values("period").index.to_numpy() for _, g in pdf.groupby("unit")]
