@@ -8,10 +8,13 @@ it; a prefix with two different pages is shared, and the positions it covers are
 
 Boilerplate is what SEVERAL distinct pages of a host share. Copies count as one page: equal ones by a hash of their
 tokens in the article and in open blocks, near ones by the runs of these tokens, most of which they share. Only
-prefixes that some page without an article has are looked into; where there are none, this costs nothing.
+prefixes that some undecided page has, one without an article or with an element in doubt, are looked into; where there
+are none, this costs nothing.
 
 Text: the article's blocks; on a page without an article the open blocks that boilerplate does not mostly cover, or all
-of them if nothing else would remain. Unique runs in furniture are dropped by their role.
+of them if nothing else would remain. Unique runs in furniture are dropped by their role. A name inside an article that
+only holds a word of furniture ("share-price"), or one of a teaser, leaves it in doubt: such an element stays unless most
+of its text is links or boilerplate mostly covers it. One that is a name of furniture altogether ("share-buttons") goes.
 
 Defined results: null and empty pages have an empty text; a null address is a host of its own kind, the empty one;
 repeated rows give equal rows, and pages count as distinct by row; an empty table gives an empty one; other columns are
@@ -46,6 +49,7 @@ BROADCAST_PREFIXES = 2_000_000
 MAIN, FURNITURE, OPEN, SKIPPED = 0, 1, 2, 3
 #: Roles that only the whole page decides: an article in furniture, one among comments, and (this or more) a form.
 ENCLOSED, COMMENT, FORM = 4, 5, 6
+#: An element in doubt has a negative role, a number of its own.
 #: What an element lies in: nothing of the kind, something hidden, furniture, comments.
 FREE, HIDDEN, IN_FURNITURE, IN_COMMENTS = 0, 1, 2, 3
 
@@ -85,6 +89,13 @@ _FURNITURE_NAMES = _COMMENT_NAMES | set(
     "navigation breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr notice popup modal newsletter "
     "subscribe subscription share sharing social related recommended pagination toolbar skip".split()
 )
+#: Words that, beside one of furniture, leave a name one of furniture: "related-posts", "ad-slot-2".
+_PLAIN_NAMES = set(
+    "article articles post posts story stories page pages site content news link links list item items button buttons icon "
+    "icons box block bar strip container wrapper wrap inner outer row col column widget module section panel slot unit area "
+    "group top bottom left right main primary secondary header footer title label text signup form image js the of".split()
+)
+_TEASER_NAMES = set("teaser teasers card preview".split())
 #: Words that make a name with "comments" tell the state of a page, as in "comments-open".
 _STATE_NAMES = set("has no with without open opened closed enabled disabled allowed on off".split())
 #: All that a head may hold: another tag ends a head that nobody closed.
@@ -116,8 +127,14 @@ def _is_comments(tag: str, attributes: dict[str, str]) -> bool:
     return any(words & wanted and not words & _STATE_NAMES for words in names)
 
 
-def _role(tag: str, attributes: dict[str, str], outer: int, within: int, forms: int) -> tuple[int, int]:
-    """(role, within) of an element inside one of role ``outer``, after so many forms."""
+def _is_furniture(name: str) -> bool:
+    """Whether a class or id is a name of furniture altogether."""
+    words = _names(name)
+    return bool(words & _FURNITURE_NAMES) and all(w in _FURNITURE_NAMES | _PLAIN_NAMES or not w or w.isdigit() for w in words)
+
+
+def _role(tag: str, attributes: dict[str, str], outer: int, within: int, forms: int, doubts: int) -> tuple[int, int]:
+    """(role, within) of an element inside one of role ``outer``, after so many forms and elements in doubt."""
     if within == HIDDEN:
         return outer, within
     role = attributes.get("role", "").lower()
@@ -130,8 +147,10 @@ def _role(tag: str, attributes: dict[str, str], outer: int, within: int, forms:
     if attributes and _is_comments(tag, attributes):
         return COMMENT if article else FURNITURE, IN_COMMENTS
     if tag == "article":
+        if within == FREE and _names(attributes.get("class", "")) & _TEASER_NAMES:
+            return -1 - doubts, within
         return (MAIN, MAIN, ENCLOSED, COMMENT)[within], within
-    in_article = outer in (MAIN, ENCLOSED, COMMENT)
+    in_article = outer < 0 or outer in (MAIN, ENCLOSED, COMMENT)
     if tag == "form":  # holds no role of its own for an article inside
         return FORM + forms if outer == OPEN else FURNITURE, within
     if tag in _FURNITURE_TAGS and not (tag == "header" and in_article) or role in _FURNITURE_ROLES:
@@ -139,8 +158,11 @@ def _role(tag: str, attributes: dict[str, str], outer: int, within: int, forms:
     if article:
         return (MAIN, MAIN, ENCLOSED, COMMENT)[within], within
     if attributes and tag not in ("html", "body"):
-        names = _names(attributes.get("class", ""), attributes.get("id", "")) & _FURNITURE_NAMES - _COMMENT_NAMES
+        given = f"{attributes.get('class', '')} {attributes.get('id', '')}"
+        names = _names(given) & _FURNITURE_NAMES - _COMMENT_NAMES
         if names - {"header", "masthead"} if in_article else names:
+            if outer <= MAIN and not any(map(_is_furniture, given.split())):
+                return (outer if outer < 0 else -1 - doubts), within
             return FURNITURE, within  # a name may be wrong about an article inside
     return outer, within
 
@@ -152,13 +174,21 @@ def _decided(blocks: list[tuple[int, str]], wrapping: set[int]) -> list[tuple[in
     if all(role < ENCLOSED for role, _ in blocks):
         return blocks
     open_roles = set()
-    if all(role != MAIN for role, _ in blocks):
+    if all(role > MAIN for role, _ in blocks):
         open_roles = {OPEN, ENCLOSED} | wrapping
         if all(role not in open_roles for role, _ in blocks):
             open_roles.add(COMMENT)
     return [(role if role < ENCLOSED else OPEN if role in open_roles else FURNITURE, text) for role, text in blocks]
 
 
+def _without_link_lists(blocks: list[tuple[int, str]], sizes: Counter[int], linked: Counter[int]) -> list[tuple[int, str]]:
+    """Elements in doubt whose text is links for the most part are furniture, if the page has other text of its own."""
+    lists = {role for role, n in sizes.items() if 2 * linked[role] > n}
+    if lists and any(role <= MAIN and role not in lists for role, _ in blocks):
+        return [(FURNITURE if role in lists else role, text) for role, text in blocks]
+    return blocks
+
+
 def _self_closed(attributes: str) -> bool:
     """Whether the slash at the end is the tag's and not that of a value without quotes."""
     return attributes.endswith("/") and not re.search(r"=\s*+[^\s\"']\S*\Z", re.sub(r"\"[^\"]*\"|'[^']*'", '""', attributes))
@@ -201,6 +231,9 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
     own_ends: dict[str, dict[int, int]] = {}
     in_paragraph = False
     forms, wrapping = 0, set()  # the forms so far, and the roles of which something shows that they hold the page
+    doubts, in_link = 0, False  # the elements in doubt so far, and whether a link is open
+    sizes: Counter[int] = Counter()  # characters in each element in doubt
+    linked: Counter[int] = Counter()  # and those of them that are links
 
     def push(name: str, role: int, within: int) -> None:
         stack.append((name, role, within))
@@ -242,10 +275,16 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
             continue
         if stack[-1][1] != SKIPPED:
             parts.append(page[at:m.start()])
+        if stack[-1][1] < 0:
+            n = len(page[at:m.start()].strip())
+            sizes[stack[-1][1]] += n
+            linked[stack[-1][1]] += n if in_link else 0
         at = m.end()
         if m[2] is None:
             continue
         name, closing = m[2].lower(), bool(m[1])
+        if name == "a":
+            in_link = not closing and "href" in m[3].lower()
         if not closing and foreign:
             while foreign and name in (_NOT_DRAWN if foreign[-1] == "svg" else _BLOCK if foreign[-1] == "math" else ()):
                 pop_to(_FOREIGN)
@@ -291,8 +330,9 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
             outer, within = stack[-1][1:]
             if outer >= FORM and name in _PAGE_TAGS or outer == COMMENT and name == "h1":
                 wrapping.add(outer)
-            role, within = _role(name, attributes, outer, within, forms)
+            role, within = _role(name, attributes, outer, within, forms, doubts)
             forms += name == "form"
+            doubts = max(doubts, -role)
             if block or (role, within) != stack[-1][1:]:
                 if not block:
                     flush()
@@ -301,7 +341,7 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
     if stack[-1][1] != SKIPPED:
         parts.append(page[at:])
     flush()
-    return _decided(blocks, wrapping)
+    return _without_link_lists(_decided(blocks, wrapping), sizes, linked)
 
 
 def host_of(url: str) -> str:
@@ -348,7 +388,7 @@ def _page_keys(host: str, stream: list[str], depth: int) -> list[int]:
 
 def shared_prefixes(pages: DataFrame, url: str, page: str, depth: int = DEPTH) -> DataFrame:
     """(prefix, bare): keys of the prefixes of ``depth`` tokens that two or more pages of a host have outside articles,
-    and whether one of these pages has no article."""
+    and whether one of these pages is undecided: without an article, or with an element in doubt."""
 
     def make(rows, urls, texts):
         hosts: dict[str, list[tuple[int, bool, list[str]]]] = {}
@@ -356,7 +396,7 @@ def shared_prefixes(pages: DataFrame, url: str, page: str, depth: int = DEPTH) -
             blocks = blocks_of(t.decode())
             stream = _outside(blocks)
             if len(stream) >= depth:
-                bare = all(role != MAIN for role, _ in blocks)
+                bare = all(role != MAIN for role, _ in blocks) or any(role < 0 for role, _ in blocks)
                 hosts.setdefault(host_of(u.decode()), []).append((row, bare, stream))
         for host, found in hosts.items():
             ids, bare = np.array([f[0] for f in found]), np.array([f[1] for f in found])
@@ -393,7 +433,7 @@ def _copy_bands(least: np.ndarray) -> np.ndarray:
 
 def with_boilerplate(pages: DataFrame, shared: DataFrame, url: str, page: str, depth: int = DEPTH) -> DataFrame:
     """(prefix, boilerplate): the shared prefixes, and whether SEVERAL pages have them that are no copies of each other.
-    Those that no page without an article has are false."""
+    Those that no undecided page has are false."""
     wanted = shared.filter("bare").select("prefix")
     if wanted.isEmpty():
         return shared.select("prefix", F.lit(False).alias("boilerplate"))
@@ -436,14 +476,24 @@ def with_boilerplate(pages: DataFrame, shared: DataFrame, url: str, page: str, d
 
 def main_text(blocks: list[tuple[int, str]], covered: np.ndarray) -> str:
     """The page's text; ``covered`` says which tokens outside the article lie in boilerplate."""
-    if any(role == MAIN for role, _ in blocks):
-        return "\n".join(text for role, text in blocks if role == MAIN)
+    article = any(role <= MAIN for role, _ in blocks)
+    sizes: Counter[int] = Counter()
+    repeated: Counter[int] = Counter()
     unique, at = [], 0
     for role, text in blocks:
+        if role == MAIN:
+            continue
         n = text.count(" ") + 1
-        if role == OPEN and 2 * covered[at:at + n].sum() < n:
+        mine = int(covered[at:at + n].sum())
+        if role < 0:  # an element in doubt is judged whole
+            sizes[role] += n
+            repeated[role] += mine
+        elif role == OPEN and 2 * mine < n:
             unique.append(text)
         at += n
+    if article:
+        kept = [text for role, text in blocks if role == MAIN or role < 0 and 2 * repeated[role] < sizes[role]]
+        return "\n".join(kept or [text for role, text in blocks if role < 0])
     return "\n".join(unique or [text for role, text in blocks if role == OPEN])
 
 

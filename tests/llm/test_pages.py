@@ -111,6 +111,46 @@ def test_articles_in_furniture(page, text):
     assert text_of(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>x</p><section class='social-policy'><p>y</p></section><div class=share-price><p>z</p></div></article>", "x\ny\nz"),
+    ("<article><div id='related-work'><h2>Related work</h2><p>see <a href='#1'>one</a> and more</p></div></article>",
+     "Related work\nsee one and more"),
+    ("<article><p>x</p><div class='promo-story'><h3>More</h3><ul><li><a href=a>one long title</a><li><a href=b>two</a></ul></div></article>", "x"),
+    ("<article><p>x</p><div class='share-buttons'><p>y</p></div><div class='ad-slot-2'>y</div><div class=notice>y</div></article>", "x"),
+    ("<article><div class='banner-year'><p>x</p><nav>m</nav><div class='ad'>y</div><div class='social-life'>z</div></div></article>", "x\nz"),
+    ("<article><p>x</p></article><article class=teaser><a href=a><h3>Title</h3><p>lead</p></a></article>", "x"),
+    ("<article class=card><a href=a>only this</a></article><nav>m</nav>", "only this"),
+    ("<main><p>x</p><article class='post teaser'><p>a text of its own</p></article></main>", "x\na text of its own"),
+    ("<article><a name=top><div class='social-policy'><p>y</p></div></article>", "y"),
+])
+def test_names_in_doubt(page, text):
+    assert text_of(page) == text
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_elements_in_doubt_go_where_a_host_repeats_them(spark, monkeypatch, limit):
+    monkeypatch.setattr(html_text, "BROADCAST_PREFIXES", limit)
+    again = "<div class='newsletter-offer'><h3>Offer</h3><p>write to us today and get all of our many fine letters</p></div>"
+
+    def page(i, extra):
+        own = " ".join(f"w{i}{w}" for w in "abcdefghijklmnopqrst")
+        shared = "these ten words of the story stand on every page"  # in the article itself: they stay
+        return f"<article><p>{own}</p><p>{shared}</p>{extra}</article>", f"{own}\n{shared}"
+
+    rows, want = [], {}
+    for i in range(4):
+        html, text = page(i, again)
+        rows.append((i, "http://h/", html))
+        want[i] = text
+    for i, host in ((10, "h"), (11, "g")):  # unlike the others, and a host with one page
+        extra = again if host == "g" else "<div class='newsletter-history'><p>" + " ".join(f"n{w}" for w in "abcdefghijkl") + "</p></div>"
+        html, text = page(i, extra)
+        rows.append((i, f"http://{host}/", html))
+        want[i] = text + ("\nOffer\nwrite to us today and get all of our many fine letters" if host == "g" else "\n" + " ".join(f"n{w}" for w in "abcdefghijkl"))
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == want
+
+
 def test_hostile_pages_end():
     for page in ("<" * 100_000, '<a "' * 50_000, "<p x='" * 50_000, '<a x=">"' * 50_000, "<p " + "a" * 300_000 + ">",
                  "<div>" * 30_000 + "</b>" * 30_000, "<script>" + "</script" * 50_000):
