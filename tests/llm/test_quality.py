@@ -93,6 +93,15 @@ def test_rule_counts_query(spark, documents):
         assert got[doc].base_failed == (n < 20 or 100 * repeated > 30 * n)
 
 
+def test_verdicts_follow_held_out_labels(spark):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    got = {r.doc_id: r for r in QUERIES["op8_quality_rules"](spark, "/root/testdata/sf0.01").collect()}
+    assert len(got) == 1000 and not any(r.kept for r in got.values() if r.base_failed)
+    held = [k for k in got if zlib.crc32(str(k).encode()) % 5 == 0 and k in labels]
+    assert len(held) > 40 and np.mean([got[k].kept == (labels[k] == 1) for k in held]) > 0.9
+    assert {got[k].kept for k in held if not got[k].base_failed} == {True, False}
+
+
 def test_repeated_words_overlap():
     for text in ("a " * 9, "a b " * 9, "a b c d e f g h i " * 2, "x a b c d e f g h y a b c d e f g h z", "a b c d e f g"):
         assert statistics.repeated_words(text.encode().split(), 8) == brute.rule_counts(text)[4], text
