@@ -6,6 +6,8 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +72,19 @@ def release(*tables: DataFrame) -> None:
                 break
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, object]) -> Iterator[None]:
+    """SQL settings that hold for the jobs started inside."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 _SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
 
 

@@ -6,6 +6,7 @@ import csv
 import warnings
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 
 from panelspark.functions.vocab import NULL_TOKENS
 from panelspark.operators.schema import alias_project, missing_targets, quoted
+from panelspark.session import settings
 
 RECORD_SCHEMA = (
     "array<struct<countryiso3code: string, country: struct<value: string>, date: string, value: double>>"
@@ -147,27 +149,36 @@ def read_delimited(
     return df
 
 
+#: Headers that one job reads.
+HEADERS_A_JOB = 100
+#: A file is one split, whatever its length, so that a scan of its first line opens it once.
+_WHOLE_FILES = {"spark.sql.files.maxPartitionBytes": 1 << 40, "spark.sql.files.openCostInBytes": 1 << 40}
+
+
 def layouts(spark: SparkSession, folder: str, pattern: str = "*.csv") -> dict[str, list[str]]:
-    """Header line -> paths of the files of one folder that have it, from one job; lock files (``~``) are left out.
+    """Header line -> paths of the files of one folder that have it; lock files (``~``) are left out.
 
-    What comes to the driver is a line for each file, as Spark's own listing does. Files that cannot be read, and those
-    without a line, are left out.
+    The files are listed, then HEADERS_A_JOB first lines a job are read by scans with a limit of one row, which stop
+    after a buffer of each file, however long it is. What comes to the driver is a line for each file, as Spark's own
+    listing does. Files that cannot be read, and those without a line, are left out.
     """
-    reader = spark.read.option("pathGlobFilter", pattern).option("ignoreCorruptFiles", True)
+    reader = spark.read.option("ignoreCorruptFiles", True)
     try:
-        lines = reader.text(folder)
+        listed = spark.read.option("pathGlobFilter", pattern).text(folder).inputFiles()
     except Exception as error:
         if "PATH_NOT_FOUND" in str(error):
             return {}
         raise
-    first_block = lines.select(
-        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"),
-        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"),
-    ).filter("start = 0 AND name NOT LIKE '~%'")
-    heads = first_block.groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    paths = sorted(p for p in map(unquote, listed) if not p.rsplit("/", 1)[1].startswith("~"))
     found: dict[str, list[str]] = {}
-    for row in heads.orderBy("path").collect():
-        found.setdefault(row["header"].lstrip("\ufeff"), []).append(row["path"])
+    for i in range(0, len(paths), HEADERS_A_JOB):
+        part = paths[i:i + HEADERS_A_JOB]
+        firsts = [reader.text(p).limit(1).select(F.lit(p).alias("path"), "value") for p in part]
+        with settings(spark, _WHOLE_FILES):
+            heads = dict(map(tuple, reduce(DataFrame.union, firsts).collect()))
+        for path in part:
+            if path in heads:
+                found.setdefault(heads[path].lstrip("\ufeff"), []).append(path)
     return found
 
 

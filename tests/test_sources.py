@@ -42,6 +42,30 @@ def test_folder_on_one_vocabulary(spark, tmp_path):
     assert len(rows) == 4 and {r["fonte"] for r in rows.values()} == {"gbd"}
 
 
+def test_headers_cost_a_buffer_of_each_file(spark, tmp_path, monkeypatch):
+    line = "2010," + "9" * 93 + "\n"
+    for name, header in (("a", "year,val"), ("b", "year,val"), ("c", "ano,val"), ("~d", "junk")):
+        write(tmp_path / f"{name}.csv", header + "\n" + line * 150_000)
+    write(tmp_path / "empty.csv", "")
+    write(tmp_path / "mark 1.csv", "\ufeffyear,val\n2011,1\n")
+    known = spark._jvm.org.apache.hadoop.fs.FileSystem
+
+    def bytes_read():
+        return sum(s.getBytesRead() for s in known.getAllStatistics())
+
+    before, kept = bytes_read(), spark.conf.get("spark.sql.files.openCostInBytes")
+    found = landed.layouts(spark, str(tmp_path))
+    assert bytes_read() - before < 4 << 20  # of 60 MB
+    assert {h: [p.rsplit("/", 1)[1] for p in paths] for h, paths in found.items()} == {
+        "year,val": ["a.csv", "b.csv", "mark 1.csv"], "ano,val": ["c.csv"]
+    }
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == kept
+    monkeypatch.setattr(landed, "HEADERS_A_JOB", 2)
+    assert landed.layouts(spark, str(tmp_path)) == found
+    rows = landed.read_folder(spark, str(tmp_path), "s", {"ano": ["year", "ano"], "valor": ["val"]})
+    assert rows.count() == 450_001 and rows.filter("ano = '2011'").count() == 1
+
+
 def test_tags_are_text(spark, tmp_path):
     body = json.dumps([{"page": 1}, [{"countryiso3code": "BRA", "country": {"value": "B"}, "date": "2019", "value": 1}]])
     for tag in ("0012", "1.10", "a%2Fb", "x+y"):
