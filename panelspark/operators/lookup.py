@@ -6,7 +6,7 @@ otherwise sort-merges with AQE skew splitting, so neither a large dictionary nor
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from panelspark.functions.numeric import to_int
 from panelspark.functions.text import code_key, name_key, zero_fill
 from panelspark.operators.quality import QualityError, guard
 from panelspark.operators.schema import fresh_name, quoted, require_columns
-from panelspark.session import materialise
+from panelspark.session import materialise, release
 
 CODE_PATTERN = "^[A-Z]{3}$"
 
@@ -228,7 +228,9 @@ def resolve_cascade(
     marked = df.withColumn(flag, from_id)
     label = [F.col(quoted(code_column)).alias("_raw"), F.col(quoted(name_column)).alias("_name"), F.col(flag).alias("_from_id")]
     labels = marked.select(*label).distinct()
-    found = materialise(_resolve_labels(labels, aliases, id_dim, dictionary, max_edits, pattern, token_score))
+    scratch: list[DataFrame] = []
+    found = materialise(_resolve_labels(labels, aliases, id_dim, dictionary, max_edits, pattern, token_score, scratch))
+    release(*scratch)
     same = (
         marked[code_column].eqNullSafe(found["_raw"]) & marked[name_column].eqNullSafe(found["_name"])
         & (marked[flag] == found["_from_id"])
@@ -245,12 +247,13 @@ def _looked_up(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return hits.unionByName(df.filter(~has_key), allowMissingColumns=True)
 
 
-def _resolve_labels(labels, aliases, id_dim, dictionary, max_edits: int, pattern: str, token_score: float | None) -> DataFrame:
+def _resolve_labels(labels, aliases, id_dim, dictionary, max_edits: int, pattern: str, token_score: float | None, scratch) -> DataFrame:
     work = materialise(labels.withColumns({
         "_code": valid_code(F.col("_raw"), pattern),
         "_id": F.when(F.col("_from_id"), to_int(F.col("_raw"))),
         "alias_key": name_key(F.col("_name")),
     }))
+    scratch.append(work)
     if id_dim is None:
         work = work.withColumn("dim_code", F.lit(None).cast(T.StringType()))
     else:
@@ -266,6 +269,7 @@ def _resolve_labels(labels, aliases, id_dim, dictionary, max_edits: int, pattern
         hits = hits.select(F.col("name_key").alias("alias_key"), "fuzzy_code", F.lit("fuzzy").alias("fuzzy_how"))
         if token_score is not None:
             hits = materialise(hits)
+            scratch.append(hits)
             left = rest.join(hits, F.col("_rest") == F.col("alias_key"), "left_anti")
             by_words = token_lookup(left, "_rest", dictionary, token_score, max_edits)
             hits = hits.union(by_words.select("name_key", "fuzzy_code", F.lit("tokens")))
@@ -313,7 +317,12 @@ def is_single_source(df: DataFrame, source: str, column: str = "fonte", file_nam
         return True
     if column not in df.columns:
         return False
-    seen = df.filter(F.col(column).isNotNull()).agg(
-        F.min(F.lower(column)).alias("low"), F.max(F.lower(column)).alias("high")
-    ).first()
-    return seen["low"] == seen["high"] == source.lower()
+    return single_sources(df, [], column).first()["source"] == source.lower()
+
+
+def single_sources(df: DataFrame, by: Sequence[str], column: str = "fonte") -> DataFrame:
+    """For each group (or for all rows) the one source that its non-null tags name, in lower case; null where they name
+    several, or none."""
+    tag = F.lower(quoted(column))
+    seen = df.groupBy(*map(quoted, by)).agg(F.min(tag).alias("_low"), F.max(tag).alias("_high"))
+    return seen.select(*map(quoted, by), F.when(F.col("_low") == F.col("_high"), F.col("_low")).alias("source"))

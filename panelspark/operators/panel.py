@@ -69,8 +69,13 @@ def min_size_units(df: DataFrame, unit: str, sizes: DataFrame, size: str, minimu
 
 
 def distinct_measures(df: DataFrame, measure: str) -> list[str]:
-    """Sorted distinct measures, which become the columns of a pivot."""
-    return sorted(r[0] for r in df.select(measure).dropna().distinct().collect())
+    """Sorted distinct measures, which become the columns of a pivot; more than ``spark.sql.pivotMaxValues`` are an error,
+    as in Spark's own pivot, and do not reach the driver."""
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    found = df.select(measure).dropna().distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise QualityError(f"{measure}: more than {most} distinct measures")
+    return sorted(r[0] for r in found)
 
 
 def present_rows(df: DataFrame, columns: Sequence[str], how: str = "any") -> DataFrame:

@@ -601,12 +601,13 @@ SELECT c_mktsegment AS segment, TRUE AS single, FALSE AS mixed FROM customer GRO
 def source_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the rows of one segment, and those of all, come from that segment alone."""
     customer = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("fonte"))
-    segments = panel.distinct_measures(customer, "fonte")
-    rows = [
-        (s, lookup.is_single_source(customer.filter(F.col("fonte") == s), s.lower()), lookup.is_single_source(customer, s))
-        for s in segments
-    ]
-    return spark.createDataFrame(rows, "segment string, single boolean, mixed boolean")
+    whole = lookup.single_sources(customer, []).first()["source"]
+    each = lookup.single_sources(customer.select("fonte", F.col("fonte").alias("segment")).dropna(), ["segment"])
+    named = F.lower("segment")
+    return each.select(
+        "segment", F.coalesce(F.col("source") == named, F.lit(False)).alias("single"),
+        F.coalesce(F.lit(whole) == named, F.lit(False)).alias("mixed"),
+    )
 
 
 @query("dup_examples", """

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.vocab import COUNTRY_ALIASES
 from panelspark.operators import lookup, panel, quality, schema
+from panelspark.operators.quality import QualityError
+from panelspark.session import settings
 
 
 def test_resolvers(spark):
@@ -76,6 +78,23 @@ def test_listed_measures_bound_the_keys(spark):
     assert [r["u"] for r in panel.pivot_mean(df, ["u"], "k", "v", ["m", "absent"]).collect()] == ["A"]
 
 
+def test_too_many_measures_are_refused(spark):
+    df = spark.range(12).select(F.lit(1).alias("k"), F.concat(F.lit("m"), "id").alias("m"), F.col("id").cast("double").alias("v"))
+    with settings(spark, {"spark.sql.pivotMaxValues": 11}), pytest.raises(QualityError, match="more than 11"):
+        panel.pivot_mean(df, ["k"], "m", "v")
+    with settings(spark, {"spark.sql.pivotMaxValues": 12}):
+        assert len(panel.pivot_mean(df, ["k"], "m", "v").columns) == 13
+
+
+def test_sources_of_groups(spark):
+    df = spark.createDataFrame(
+        [("a", "GBD"), ("a", "gbd"), ("a", None), ("b", "gbd"), ("b", "who"), ("c", None)], "g string, fonte string"
+    )
+    assert {tuple(r) for r in lookup.single_sources(df, ["g"]).collect()} == {("a", "gbd"), ("b", None), ("c", None)}
+    assert lookup.is_single_source(df.filter("g = 'a'"), "Gbd") and not lookup.is_single_source(df, "gbd")
+    assert not lookup.is_single_source(df.filter("g = 'c'"), "gbd") and not lookup.is_single_source(df.limit(0), "gbd")
+
+
 def test_strict_pivot_fails_on_a_duplicate(spark):
     df = spark.createDataFrame([("A", 1, "m", 1.0), ("A", 1, "m", 1.0)], "u string, t int, k string, v double")
     with pytest.raises(PySparkException, match="duplicate cell: A, 1, m"):
