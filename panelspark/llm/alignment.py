@@ -41,8 +41,11 @@ MEMO_BYTES = 288 << 20
 #: A chunk ends with the document that brings it to so many distinct links (summed over documents), or bytes of groups.
 CHUNK_LINKS, CHUNK_BYTES = 400_000, 32 << 20
 _PIECE_SPACE = "▁"
+_LETTERS, _PUNCTUATION = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
 #: A space and letters, then punctuation: a pre-token each, which no normaliser changes.
-_TWO_PARTS = re.compile(r"( [A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+_TWO_PARTS = re.compile(f"( [{_LETTERS}]+)([{_PUNCTUATION}]*)").fullmatch
+_MIXED = re.compile(f"[{_LETTERS}][{_PUNCTUATION}]").search
+_MARK = re.compile(f"[{_PUNCTUATION}]").fullmatch
 
 
 def token_groups(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int]]:
@@ -90,6 +93,12 @@ class Aligner(Memo):
         ]
         if not isinstance(self.a.decoder, decoders.ByteLevel) or any(_PIECE_SPACE in p.lstrip(_PIECE_SPACE) for p in pieces):
             raise ValueError("A must be byte-level, and no piece of B may reach over a space")
+        # no piece reaches from a letter to the punctuation behind it: both are encoded, and remembered, apart
+        marks = {chr(i) for i in range(128) if _MARK(chr(i))}
+        special = (self.b.is_byte, self.b.is_control, self.b.is_unknown)
+        plain = {p for i, p in enumerate(pieces) if not any(told(i) for told in special)}
+        self.apart = marks <= plain and not any(map(_MIXED, plain))
+        self.before_mark = len(self.b.encode("a", num_threads=1))
         self.direct = False
         self.direct = all(self._a_ids(t) == self._a_direct(*_TWO_PARTS(t).groups()) for t in (" the", " Stra\u00dfe,", " \u00c9t\u00e9&&"))
 
@@ -103,7 +112,14 @@ class Aligner(Memo):
 
     def make(self, stretch: bytes) -> tuple | None:
         text = stretch.decode()
-        a, b = self._a_ids(text), self.b.encode(text[1:], num_threads=1)
+        if text[0] != " ":  # punctuation behind letters
+            a, b = model_ids(self.model, text), self.b.encode("a" + text, num_threads=1)[self.before_mark:]
+        else:
+            parts = _TWO_PARTS(text) if self.direct else None
+            if parts and parts[2] and self.apart:
+                return self._together([self[parts[1].encode()], self[parts[2].encode()]])
+            a = self._a_direct(*parts.groups()) if parts else self._a_ids(text)
+            b = self.b.encode(text[1:], num_threads=1)
         a_parts, b_parts = list(map(self.a_bytes.__getitem__, a)), list(map(self.b_bytes.__getitem__, b))
         if b"".join(a_parts) != stretch or b"".join(b_parts) != stretch:
             return None
@@ -133,15 +149,20 @@ class Aligner(Memo):
     def size(self, value: tuple | None) -> int:
         return len(value[3]) + len(value[4]) if value else 0
 
+    @staticmethod
+    def _together(parts: list) -> tuple | None:
+        if None in parts:
+            return None
+        n_a, n_b, n_groups, groups, links = zip(*parts)
+        return sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(links)
+
     def document(self, text: bytes) -> tuple[int, int, int, str, bytes]:
         """As an entry of the memo, for a whole text."""
+        whole = None
         if text:
             first, *rest = stretches(text)
-            parts = [self[b" " + first], *map(self.__getitem__, rest)]
-            if None not in parts:
-                n_a, n_b, n_groups, groups, links = zip(*parts)
-                return sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(links)
-        return 0, 0, 0, "", b""
+            whole = self._together([self[b" " + first], *map(self.__getitem__, rest)])
+        return whole or (0, 0, 0, "", b"")
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}

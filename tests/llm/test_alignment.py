@@ -138,3 +138,15 @@ def test_odd_rows(edge, whole, monkeypatch, links):
 
 def test_no_rows(nothing):
     assert alignment.count_links(alignment.align(nothing, BYTE_VOCABULARY, PIECE_MODEL)).collect() == []
+
+
+def test_words_and_the_punctuation_behind_them_are_remembered_apart():
+    rnd, marks = random.Random(3), "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+    apart, whole = (alignment.Aligner(BYTE_VOCABULARY, PIECE_MODEL) for _ in range(2))
+    assert apart.apart and apart.direct
+    whole.apart = whole.direct = False
+    for _ in range(5000):
+        word = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyzABCXYZÀÖØößÿéñ") for _ in range(rnd.randint(1, 12)))
+        stretch = (" " + word + "".join(rnd.choice(marks) for _ in range(rnd.randint(1, 5)))).encode()
+        assert apart[stretch] == whole[stretch]
+    assert b" " + word.encode() in apart and b" " + word.encode() not in whole
