@@ -297,6 +297,46 @@ def test_any_variance_ratio_is_found(spark, ratio):
     assert (rest["estimate"], rest["std_error"]) == pytest.approx(estimates(refit.coefficients)["x"], rel=1e-3)
 
 
+def test_a_ratio_just_above_zero_is_found(spark):
+    # balanced, with the same regressor in every unit: the ratio follows from the two mean squares
+    rng, frames, wanted = np.random.default_rng(21), [], [0.0, 1e-8, 1e-7, 1e-6, 3e-6, 6e-6, 1e-5]
+    for ratio in wanted:
+        for copy in range(3):
+            x = np.arange(6.0)
+            e = rng.normal(size=(40, 6))
+            e -= e.mean(axis=1, keepdims=True)
+            e -= np.outer(e @ (x - 2.5), x - 2.5) / ((x - 2.5) ** 2).sum()
+            within = (e**2).sum() / (40 * 5 - 1)
+            a = rng.normal(size=40)
+            a = (a - a.mean()) / a.std(ddof=1) * np.sqrt(within * (1 + 6 * ratio) / 6)
+            y = 3 + 0.5 * x + a[:, None] + e
+            frames.append(pd.DataFrame({"g": f"{ratio} {copy}", "unit": np.repeat(np.arange(40), 6), "x": np.tile(x, 40), "y": y.ravel()}))
+    fit = mixed.mixed_model(spark.createDataFrame(pd.concat(frames)), "y", ["x"], "unit", by="g", log_outcome=False)
+    found = {r["g"]: r for r in fit.variances.collect()}
+    assert len(found) == 3 * len(wanted)
+    for g, r in found.items():
+        assert r["status"] == "ok" and r["theta_unit"] == pytest.approx(float(g.split()[0]), rel=1e-3, abs=1e-7)
+    assert all(r["estimate"] == pytest.approx(0.5) for r in fit.coefficients.filter("term = 'x'").collect())
+
+
+def slopes(log_ratios, gradient, hessian):
+    nothing = np.zeros((2, 2))
+    return mixed._Slopes(np.exp(log_ratios), nothing, 0.0, 1.0, nothing, nothing, nothing, nothing, gradient, hessian)
+
+
+def test_a_small_ratio_steps_in_its_own_scale():
+    at = slopes(np.array([0.0, -20.0]), np.array([5.0, 3e-6]), np.array([[1e5, 2e-6], [2e-6, 6e-6]]))
+    assert mixed._step(at, 2) == pytest.approx([-5e-5, -0.5], rel=1e-3)
+
+
+def test_a_ratio_that_left_zero_returns_once_and_only_beside_another():
+    at = slopes(np.array([0.0, -20.0]), np.array([0.0, 5e-8]), np.diag([1.0, 6e-8]))
+    assert mixed._at_zero(at, 2, [0, 0])[1] == mixed._at_zero(at, 2, [0, 1])[1] == 0.0
+    assert mixed._at_zero(at, 2, [0, 2])[1] == at.t[1]
+    alone = slopes(np.array([-20.0, 0.0]), np.array([5e-8, 0.0]), np.diag([6e-8, 0.0]))
+    assert mixed._at_zero(alone, 1, [0, 0])[0] == 0.0 and mixed._at_zero(alone, 1, [1, 0])[0] == alone.t[0]
+
+
 def test_fits_without_a_solution_say_so(spark):
     rows = [("a", u, float(t), float(u)) for u in range(5) for t in range(4)]  # nothing varies within units
     rows += [("b", u, 1.0, float(u + t * t)) for u in range(5) for t in range(4)]
