@@ -13,6 +13,7 @@ from panelspark.operators.moments import moments, unpack
 from panelspark.operators.quality import QualityError
 from panelspark.operators.quantiles import exact_quantiles, order_statistics
 from panelspark.operators.ranking import running_count
+from panelspark.plans import model_queries
 from panelspark.session import materialise, materialise_bucketed, release, shared_folder
 
 
@@ -319,6 +320,22 @@ def test_a_ratio_just_above_zero_is_found(spark):
     assert all(r["estimate"] == pytest.approx(0.5) for r in fit.coefficients.filter("term = 'x'").collect())
 
 
+def test_queries_of_a_panel_with_a_ratio_just_above_zero(spark, monkeypatch):
+    x = np.arange(6.0)
+    e = np.random.default_rng(21).normal(size=(40, 6)) / 10
+    e -= e.mean(axis=1, keepdims=True)
+    e -= np.outer(e @ (x - 2.5), x - 2.5) / ((x - 2.5) ** 2).sum()
+    within = (e**2).sum() / (40 * 5 - 1)
+    a = np.linspace(-1, 1, 40)
+    a *= np.sqrt(within * (1 + 6 * 3e-6) / 6) / a.std(ddof=1)
+    pdf = pd.DataFrame({"unit": np.repeat(np.arange(40), 6), "x": np.tile(x, 40), "y": np.exp(3 + 0.5 * x + a[:, None] + e).ravel()})
+    monkeypatch.setattr(model_queries, "customer_month", lambda *_: spark.createDataFrame(pdf))
+    v = model_queries.mixed_variances(spark, "").first()
+    assert (v["theta_unit"], v["status"], v["n_obs"]) == (3e-6, "ok", 240) and v["sigma2"] == pytest.approx(within, abs=1e-6)
+    got = {r["term"]: r for r in model_queries.mixed_intercept(spark, "").collect()}
+    assert got["x"]["estimate"] == 0.5 and {r["status"] for r in got.values()} == {"ok"}
+
+
 def slopes(log_ratios, gradient, hessian):
     nothing = np.zeros((2, 2))
     return mixed._Slopes(np.exp(log_ratios), nothing, 0.0, 1.0, nothing, nothing, nothing, nothing, gradient, hessian)
